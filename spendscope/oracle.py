@@ -176,4 +176,6 @@ def build(uses: list[str], body: str, factor: float = 1.0, extra: list[tuple[str
         ctes.append(f"{name} AS ({text}\n)")
     if not ctes:
         return body
+    if body.lstrip().lower().startswith("with"):
+        body = f"SELECT * FROM (\n{body}\n) AS q"
     return "WITH " + ",\n".join(ctes) + "\n" + body

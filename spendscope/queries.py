@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from spendscope import fixtures as fx
 from spendscope import oracle
-from spendscope.operators import cost, prices
+from spendscope.functions.normalize import owner_from_path
+from spendscope.operators import cost, prices, quality, rollups, usage
 from spendscope.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,15 +39,24 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def rn(c: str, digits: int) -> F.Column:
+    """Half-up rounding written as plain IEEE arithmetic, so that Spark and
+    DuckDB round exact ties the same way (their ``round`` functions differ)."""
+    scale = 10 ** digits
+    return (F.floor(F.col(c).cast("double") * scale + 0.5) / scale).alias(c)
+
+
 def r4(c: str) -> F.Column:
-    """Half-up rounding to 4 digits written as plain IEEE arithmetic, so that
-    Spark and DuckDB round exact ties the same way (their ``round`` differ)."""
-    return (F.floor(F.col(c).cast("double") * 10000 + 0.5) / 10000).alias(c)
+    return rn(c, 4)
+
+
+def on(expr: str, digits: int, alias: str | None = None) -> str:
+    """Oracle twin of :func:`rn`."""
+    return f"floor(cast({expr} as double) * {10 ** digits} + 0.5) / {10 ** digits} as {alias or expr}"
 
 
 def o4(expr: str, alias: str | None = None) -> str:
-    """Oracle twin of :func:`r4`."""
-    return f"floor(cast({expr} as double) * 10000 + 0.5) / 10000 as {alias or expr}"
+    return on(expr, 4, alias)
 
 
 # ------------------------------------------------------------------ inputs
@@ -165,3 +175,217 @@ from query_cost_attribution"""
 def q_query_cost_attribution(spark, sf_dir):
     """H8: per-statement attributed cost and DBUs (flagship)."""
     return cost_attribution(spark, sf_dir).select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))
+
+
+# ------------------------------------------------------------------ H9-H13
+def _dashboards(spark, sf_dir):
+    return fx.dashboard_current(spark, sf_dir).withColumn("owner", owner_from_path("parent_path"))
+
+
+_O_DASH = ("fx_dashboard_current_o", """select *, case when parent_path like '/Users/%' then split_part(parent_path, '/', 3) end as owner
+from fx_dashboard_current""")
+
+
+@register("dashboard_cost", oracle.build(["query_cost_attribution", "fx_dashboard_current"], f"""
+select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, dash.warehouse_id as configured_warehouse_id,
+  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
+  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
+  {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
+  max(qc.end_time) as last_statement_at
+from fx_dashboard_current_o dash left join query_cost_attribution qc on qc.dashboard_id = dash.dashboard_id
+group by 1, 2, 3, 4""", extra=[_O_DASH]))
+def q_dashboard_cost(spark, sf_dir):
+    """H9: cost roll-up per dashboard (unused dashboards keep a zero row)."""
+    out = rollups.dashboard_cost(_dashboards(spark, sf_dir), cost_attribution(spark, sf_dir))
+    return out.select(
+        "dashboard_id", "dashboard_name", "owner", "configured_warehouse_id", "statements",
+        r4("cost_usd"), r4("dbus"), r4("avg_cost_per_statement_usd"), "last_statement_at",
+    )
+
+
+@register("space_cost", oracle.build(["query_cost_attribution", "fx_space_current"], f"""
+select g.space_id, g.title as genie_space_title, g.warehouse_id as configured_warehouse_id, g.creator_id,
+  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
+  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
+  {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
+  count(distinct qc.executed_by) as unique_users, max(qc.end_time) as last_statement_at
+from fx_space_current g left join query_cost_attribution qc on qc.genie_space_id = g.space_id
+group by 1, 2, 3, 4"""))
+def q_space_cost(spark, sf_dir):
+    """Cost roll-up per conversational space with distinct users."""
+    out = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
+    return out.select(
+        "space_id", "genie_space_title", "configured_warehouse_id", "creator_id", "statements",
+        r4("cost_usd"), r4("dbus"), r4("avg_cost_per_statement_usd"), "unique_users", "last_statement_at",
+    )
+
+
+@register("warehouse_cost", oracle.build(["query_cost_attribution", "fx_warehouse_current"], f"""
+select w.id as warehouse_id, w.name as warehouse_name, w.cluster_size, w.warehouse_type, w.enable_serverless_compute,
+  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
+  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
+  count(distinct qc.executed_by) as unique_users, count(distinct qc.dashboard_id) as dashboards_touched,
+  count(distinct qc.genie_space_id) as genie_spaces_touched, max(qc.end_time) as last_statement_at
+from fx_warehouse_current w left join query_cost_attribution qc on qc.warehouse_id = w.id
+group by 1, 2, 3, 4, 5"""))
+def q_warehouse_cost(spark, sf_dir):
+    """Cost roll-up per warehouse with distinct users/dashboards/spaces."""
+    out = rollups.warehouse_cost(fx.warehouse_current(spark, sf_dir), cost_attribution(spark, sf_dir))
+    return out.select(
+        "warehouse_id", "warehouse_name", "cluster_size", "warehouse_type", "enable_serverless_compute",
+        "statements", r4("cost_usd"), r4("dbus"), "unique_users", "dashboards_touched", "genie_spaces_touched",
+        "last_statement_at",
+    )
+
+
+_SOURCE_CASE = """case when dashboard_id is not null then 'dashboard' when genie_space_id is not null then 'genie_space'
+    when notebook_id is not null then 'notebook' when alert_id is not null then 'alert'
+    when job_id is not null then 'job' else 'other / direct' end"""
+
+
+@register("cost_by_source_type", oracle.build(["query_cost_attribution"], f"""
+select {_SOURCE_CASE} as source_type, count(*) as statements, {on('sum(attributed_cost_usd)', 2, 'cost_usd')},
+  {on('100.0 * sum(attributed_cost_usd) / sum(sum(attributed_cost_usd)) over ()', 2, 'pct_of_total')}
+from query_cost_attribution group by 1"""))
+def q_cost_by_source_type(spark, sf_dir):
+    """H13 + J7: statements and cost per source type, percent of total."""
+    out = rollups.cost_by_source_type(cost_attribution(spark, sf_dir))
+    return out.select("source_type", "statements", rn("cost_usd", 2), rn("pct_of_total", 2))
+
+
+# --------------------------------------------------------------------- H12
+_O_VIEWS = ("dashboard_views", f"""
+select dashboard_id,
+  cast(sum(case when action_name = 'getPublishedDashboard' then 1 else 0 end) as bigint) as published_l30d,
+  count(distinct case when action_name = 'getPublishedDashboard' then email end) as published_users_l30d,
+  cast(sum(case when action_name = 'getDashboard' then 1 else 0 end) as bigint) as draft_l30d,
+  count(distinct case when action_name = 'getDashboard' then email end) as draft_users_l30d
+from fx_audit
+where event_date >= {oracle.CUTOFF_30} and action_name in ('getPublishedDashboard', 'getDashboard')
+  and dashboard_id is not null
+group by dashboard_id""")
+_O_LOAD = ("query_history_l30d", f"""
+select dashboard_id, cast(coalesce(sum(total_task_duration_ms), 0) as bigint) as total_task_duration_l30d,
+  count(statement_id) as count_queries_l30d
+from fx_query_history where start_time >= {oracle.CUTOFF_30} and dashboard_id is not null
+group by dashboard_id""")
+
+
+@register("dashboard_usage_30d", oracle.build(["fx_audit"], "select * from dashboard_views", extra=[_O_VIEWS]))
+def q_dashboard_usage_30d(spark, sf_dir):
+    """H12 part: 30-day published/draft views and distinct viewers."""
+    return usage.dashboard_views(fx.audit(spark, sf_dir), fx.AS_OF, fx.USAGE_WINDOW_DAYS)
+
+
+@register("dashboard_denormalized", oracle.build(["fx_audit", "fx_query_history", "fx_dashboard_current"], """
+select dash.*, coalesce(hist.total_task_duration_l30d, 0) as total_task_duration_l30d,
+  coalesce(hist.count_queries_l30d, 0) as count_queries_l30d,
+  dv.published_l30d, dv.published_users_l30d, dv.draft_l30d, dv.draft_users_l30d
+from fx_dashboard_current_o dash
+left join query_history_l30d hist on dash.dashboard_id = hist.dashboard_id
+left join dashboard_views dv on dash.dashboard_id = dv.dashboard_id""", extra=[_O_DASH, _O_VIEWS, _O_LOAD]))
+def q_dashboard_denormalized(spark, sf_dir):
+    """Current dashboards + 30-day load + views (struct flattened)."""
+    out = usage.dashboard_denormalized(
+        _dashboards(spark, sf_dir), fx.audit(spark, sf_dir), fx.query_history(spark, sf_dir),
+        fx.AS_OF, fx.USAGE_WINDOW_DAYS,
+    )
+    return out.select(
+        *[c for c in out.columns if c != "views"], *[F.col(f"views.{f}").alias(f) for f in usage.VIEW_FIELDS]
+    )
+
+
+# ------------------------------------------------------------------ J1-J8
+_O_RAW_HOURLY = ("raw_hourly", "select * from hourly_cost")
+
+
+@register("check_rowcount", oracle.build(["query_cost_attribution"],
+                                         "select count(*) as statements_attributed from query_cost_attribution"))
+def q_check_rowcount(spark, sf_dir):
+    """Attributed statements (> 0 expected)."""
+    return quality.check_rowcount(cost_attribution(spark, sf_dir))
+
+
+@register("check_variance", oracle.build(["query_cost_attribution", "hourly_cost"], f"""
+with mv_total as (select sum(attributed_cost_usd) as mv_total_usd from query_cost_attribution),
+raw_total as (select sum(u.usage_quantity * coalesce(lp.price_usd, 0)) as raw_total_usd
+  from fx_usage u left join effective_prices lp
+    on u.cloud = lp.cloud and u.sku_name = lp.sku_name and u.usage_start_time >= lp.price_start_time
+   and (lp.price_end_time is null or u.usage_start_time < lp.price_end_time)
+  where u.billing_origin_product = 'SQL' and u.warehouse_id is not null and u.usage_start_time >= {oracle.CUTOFF_365})
+select {on('mv_total_usd', 4)}, {on('raw_total_usd', 4)},
+  {on('abs(mv_total_usd - raw_total_usd) / nullif(raw_total_usd, 0)', 6, 'variance_pct')}
+from mv_total cross join raw_total"""))
+def q_check_variance(spark, sf_dir):
+    """Attributed vs raw billed total and their relative gap."""
+    out = quality.check_variance(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
+    return out.select(r4("mv_total_usd"), r4("raw_total_usd"), rn("variance_pct", 6))
+
+
+@register("check_bad_cost", oracle.build(["query_cost_attribution"], """
+select count(*) as bad_rows from query_cost_attribution where attributed_cost_usd < 0 or attributed_cost_usd is null"""))
+def q_check_bad_cost(spark, sf_dir):
+    """Negative or NULL attributed cost (0 expected)."""
+    return quality.check_bad_cost(cost_attribution(spark, sf_dir))
+
+
+@register("check_hour_overattributed", oracle.build(["query_cost_attribution", "hourly_cost"], """
+with per_hour as (select workspace_id, warehouse_id, date_trunc('hour', start_time) as hour_start,
+    sum(attributed_cost_usd) as hour_attributed from query_cost_attribution group by 1, 2, 3)
+select count(*) as hours_overattributed
+from per_hour p join hourly_cost r using (workspace_id, warehouse_id, hour_start)
+where p.hour_attributed > r.list_cost_usd * 1.01"""))
+def q_check_hour_overattributed(spark, sf_dir):
+    """Hours whose start-hour-booked attribution exceeds the bill by > 1 %."""
+    return quality.check_hour_overattributed(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
+
+
+@register("check_hour_overattributed_exact", oracle.build(["attributed_hour", "hourly_cost"], """
+with per_hour as (select workspace_id, warehouse_id, hour_start, sum(cost_usd_in_hour) as hour_attributed
+  from attributed_hour group by 1, 2, 3)
+select count(*) as hours_overattributed
+from per_hour p join hourly_cost r using (workspace_id, warehouse_id, hour_start)
+where p.hour_attributed > r.list_cost_usd * 1.01"""))
+def q_check_hour_overattributed_exact(spark, sf_dir):
+    """J4 exact (R9): per-hour split compared hour by hour (0 expected)."""
+    shw = _shw(spark, sf_dir)
+    hourly = _hourly(spark, sf_dir)
+    att = cost.attribute_hours(shw, cost.hour_rates(cost.hour_totals(shw), hourly))
+    return quality.check_hour_overattributed_exact(att, hourly)
+
+
+@register("top_dashboards", oracle.build(["query_cost_attribution", "fx_dashboard_current"], f"""
+with dc as (
+  select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, count(qc.statement_id) as statements,
+    coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, coalesce(sum(qc.attributed_dbus), 0) as dbus
+  from fx_dashboard_current_o dash left join query_cost_attribution qc on qc.dashboard_id = dash.dashboard_id
+  group by 1, 2, 3)
+select dashboard_name, owner, statements, {on('cost_usd', 4)}, {on('dbus', 4)}
+from dc where cost_usd > 0 order by dc.cost_usd desc, dashboard_id limit 10""", extra=[_O_DASH]))
+def q_top_dashboards(spark, sf_dir):
+    """Ten most expensive dashboards."""
+    dc = rollups.dashboard_cost(_dashboards(spark, sf_dir), cost_attribution(spark, sf_dir))
+    return quality.top_dashboards(dc).select("dashboard_name", "owner", "statements", r4("cost_usd"), r4("dbus"))
+
+
+@register("top_spaces", oracle.build(["query_cost_attribution", "fx_space_current"], f"""
+with sc as (
+  select g.space_id, g.title as genie_space_title, g.creator_id, count(qc.statement_id) as statements,
+    coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, count(distinct qc.executed_by) as unique_users
+  from fx_space_current g left join query_cost_attribution qc on qc.genie_space_id = g.space_id
+  group by 1, 2, 3)
+select genie_space_title, creator_id, statements, {on('cost_usd', 4)}, unique_users
+from sc where cost_usd > 0 order by sc.cost_usd desc, space_id limit 10"""))
+def q_top_spaces(spark, sf_dir):
+    """Ten most expensive spaces."""
+    sc = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
+    return quality.top_spaces(sc).select("genie_space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
+
+
+@register("check_unbilled", oracle.build(["query_cost_attribution"], f"""
+select count(*) as unbilled_statements,
+  {on('100.0 * count(*) / (select count(*) from query_cost_attribution)', 2, 'unbilled_pct')}
+from query_cost_attribution where attributed_cost_usd = 0 or attributed_cost_usd is null"""))
+def q_check_unbilled(spark, sf_dir):
+    """Statements without a billed hour, count and percent."""
+    return quality.check_unbilled(cost_attribution(spark, sf_dir)).select("unbilled_statements", rn("unbilled_pct", 2))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from spendscope import fixtures as fx
 from spendscope import oracle
 from spendscope.functions.normalize import owner_from_path
-from spendscope.operators import cost, prices, quality, rollups, usage
+from spendscope.operators import cost, prices, quality, rollups, scd2, usage
+from spendscope.plans.joins import materialize
 from spendscope.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -389,3 +390,71 @@ from query_cost_attribution where attributed_cost_usd = 0 or attributed_cost_usd
 def q_check_unbilled(spark, sf_dir):
     """Statements without a billed hour, count and percent."""
     return quality.check_unbilled(cost_attribution(spark, sf_dir)).select("unbilled_statements", rn("unbilled_pct", 2))
+
+
+# ------------------------------------------------------------------ C1-C6
+SNAP_KEYS = ["object_id"]
+SNAP_TRACKED = ["segment", "balance"]
+SNAP_VERSIONS = (1, 2, 3)
+
+_O_ISLANDS = ("scd2_history", """
+with vers as (
+  select version, lag(version) over (order by version) as prev_version, lead(version) over (order by version) as next_version
+  from (select distinct version from fx_snapshots) d),
+marked as (
+  select s.*, v.prev_version, v.next_version,
+    lag(s.version) over (partition by s.object_id order by s.version) as pv,
+    lag(s.segment) over (partition by s.object_id order by s.version) as p_segment,
+    lag(s.balance) over (partition by s.object_id order by s.version) as p_balance
+  from fx_snapshots s join vers v on s.version = v.version),
+flagged as (
+  select *, case when pv is null or pv is distinct from prev_version
+      or segment is distinct from p_segment or balance is distinct from p_balance then 1 else 0 end as is_new
+  from marked),
+runs as (
+  select *, sum(is_new) over (partition by object_id order by version rows between unbounded preceding and current row) as run_id
+  from flagged)
+select object_id, min(segment) as segment, min(balance) as balance, arg_max_null(payload, version) as payload,
+  cast(min(version) as bigint) as __START_AT, cast(arg_max_null(next_version, version) as bigint) as __END_AT
+from runs group by object_id, run_id""")
+
+
+def _snapshots(spark, sf_dir):
+    return fx.snapshots(spark, sf_dir)
+
+
+@register("scd2_backfill", oracle.build(["fx_snapshots"], "select * from scd2_history", extra=[_O_ISLANDS]))
+def q_scd2_backfill(spark, sf_dir):
+    """Full SCD2 history from all snapshots at once (gaps and islands)."""
+    return scd2.backfill(_snapshots(spark, sf_dir), SNAP_KEYS, SNAP_TRACKED)
+
+
+def incremental_history(spark, sf_dir):
+    snaps = _snapshots(spark, sf_dir)
+    history = None
+    for v in SNAP_VERSIONS:
+        history = scd2.apply_snapshot(history, snaps.where(F.col("version") == v), v, SNAP_KEYS, SNAP_TRACKED)
+        # cut lineage between snapshot applications, as a stored history does
+        history = materialize(history, f"scd2_v{v}")
+    return history
+
+
+@register("scd2_incremental", oracle.build(["fx_snapshots"], "select * from scd2_history", extra=[_O_ISLANDS]))
+def q_scd2_incremental(spark, sf_dir):
+    """The same history, built by applying one snapshot at a time."""
+    return incremental_history(spark, sf_dir)
+
+
+@register("scd2_current", oracle.build(["fx_snapshots"], """
+select object_id, segment, balance, payload from scd2_history where __END_AT is null""", extra=[_O_ISLANDS]))
+def q_scd2_current(spark, sf_dir):
+    """C4: open rows of the history."""
+    return scd2.current(scd2.backfill(_snapshots(spark, sf_dir), SNAP_KEYS, SNAP_TRACKED))
+
+
+@register("scd2_as_of", oracle.build(["fx_snapshots"], """
+select object_id, segment, balance, payload from scd2_history
+where __START_AT <= 2 and (__END_AT is null or __END_AT > 2)""", extra=[_O_ISLANDS]))
+def q_scd2_as_of(spark, sf_dir):
+    """The inventory as it was at snapshot version 2."""
+    return scd2.as_of(scd2.backfill(_snapshots(spark, sf_dir), SNAP_KEYS, SNAP_TRACKED), 2)

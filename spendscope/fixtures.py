@@ -188,3 +188,139 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("sc"), F.col("event_id").cast("string")).alias("schedule_id"),
         cron.alias("quartz_cron_expression"),
     )
+
+
+# --------------------------------------------------------------------------
+# Raw object landing tables (object_id, raw_json, status) for the snapshot
+# normalizers.  JSON text is built with Spark's own JSON writer; the mixed
+# value types an API returns (epoch numbers and ISO text, objects and plain
+# strings, numeric text and junk) are covered on purpose.
+# --------------------------------------------------------------------------
+def _pad2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def raw_dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    parent = (
+        F.when(k % 4 == 0, F.concat(F.lit("/Users/"), F.lower(F.col("c_mktsegment")), F.lit("@x.org/team")))
+        .when(k % 4 == 1, F.lit("/Users/"))
+        .when(k % 4 == 2, F.lit("/Shared/reports"))
+    )
+    day = _pad2(F.lit(1) + k % 28)
+    update = (
+        F.when(k % 5 == 0, F.concat(F.lit("2024-01-"), day, F.lit("T10:00:00Z")))
+        .when(k % 5 == 1, F.concat(F.lit("2024-01-"), day, F.lit("T10:00:00+02:00")))
+        .when(k % 5 == 2, F.lit(""))
+        .when(k % 5 == 3, F.lit("not a time"))
+        .otherwise(F.concat(F.lit("2024-01-"), day, F.lit(" 10:00:00.250")))
+    )
+    create = F.when(k % 3 == 0, F.lit(1700000000) + k).otherwise(F.lit(1700000000000) + k * 1000)
+    body = F.struct(
+        F.concat(F.lit("d"), k.cast("string")).alias("dashboard_id"),
+        F.col("c_name").alias("display_name"),
+        (k * 7).cast("string").alias("etag"),
+        F.when(F.col("c_acctbal") < 0, "TRASHED").otherwise("ACTIVE").alias("lifecycle_state"),
+        parent.alias("parent_path"),
+        F.concat(F.coalesce(parent, F.lit("")), F.lit("/dash"), k.cast("string"), F.lit(".lvdash.json")).alias("path"),
+        F.concat(F.lit("w"), (F.col("c_nationkey") % 4).cast("string")).alias("warehouse_id"),
+        create.alias("create_time"),
+        update.alias("update_time"),
+        F.concat(F.lit('{"pages":[{"name":"p'), k.cast("string"), F.lit('"}]}')).alias("serialized_dashboard"),
+    )
+    return c.select(
+        F.concat(F.lit("d"), k.cast("string")).alias("object_id"),
+        F.to_json(body).alias("raw_json"),
+        F.lit("ok").alias("status"),
+    )
+
+
+def raw_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dashboard schedules: one per order, owned by the order's customer
+    (a dashboard's schedule list is bounded, as an API page is)."""
+    o = table(spark, sf_dir, "orders")
+    m = F.col("o_orderkey") % 10
+    cron = (
+        F.when(m == 0, "0 * * * * ?").when(m == 1, "0 */5 * * * ?").when(m == 2, "0 0 9 * * ?")
+        .when(m == 3, "0 0 9 ? * MON").when(m == 4, "0 0 9 1 * ?").when(m == 5, "0 0 9 1 1 ?")
+        .when(m == 6, "0 9 * * *").when(m == 7, "0 0 9 1 1 MON").when(m == 8, "")
+    )
+    return o.select(
+        F.concat(F.lit("d"), F.col("o_custkey").cast("string")).alias("dashboard_id"),
+        F.concat(F.lit("sc"), F.col("o_orderkey").cast("string")).alias("schedule_id"),
+        F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("display_name"),
+        cron.alias("quartz_cron_expression"),
+        F.lit("UTC").alias("timezone_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, "PAUSED").otherwise("UNPAUSED").alias("pause_status"),
+    )
+
+
+def raw_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    instructions = (
+        F.when(k % 5 == 0, F.lit('["a","b"]')).when(k % 5 == 1, F.lit('{"text":"x"}'))
+        .when(k % 5 == 2, F.lit('"x"')).when(k % 5 == 3, F.lit("7")).otherwise(F.lit("null"))
+    )
+    curated = F.when(k % 2 == 0, F.lit(',"curated_questions":["c"]')).otherwise(F.lit(""))
+    serialized = F.when(k % 11 == 0, F.lit("{bad json")).otherwise(
+        F.concat(
+            F.lit('{"config":{"sample_questions":'), F.to_json(F.array_repeat(F.lit("q"), (k % 3).cast("int"))),
+            curated,
+            F.lit('},"data_sources":{"tables":'), F.to_json(F.array_repeat(F.lit("t"), (k % 4).cast("int"))),
+            F.lit('},"instructions":'), instructions, F.lit("}"),
+        )
+    )
+    body = F.struct(
+        F.concat(F.lit("g"), k.cast("string")).alias("space_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_type").alias("description"),
+        F.concat(F.lit("w"), (k % 4).cast("string")).alias("warehouse_id"),
+        (k % 7).alias("creator_id"),
+        (F.lit(1700000000) + k).alias("create_time"),
+        F.lit("2024-02-01T00:00:00Z").alias("update_time"),
+        serialized.alias("serialized_space"),
+    )
+    return p.select(
+        F.concat(F.lit("g"), k.cast("string")).alias("object_id"),
+        F.to_json(body).alias("raw_json"),
+        F.lit("ok").alias("status"),
+    )
+
+
+def raw_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+
+    def field(name: str, json_value: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), json_value)
+
+    def text(c: Column) -> Column:
+        return F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+
+    pieces = [
+        field("id", text(F.concat(F.lit("w"), k.cast("string")))),
+        field("name", text(F.col("s_name"))),
+        field("state", text(F.when(k % 2 == 0, "RUNNING").otherwise("STOPPED"))),
+        field("warehouse_type", F.lit('"PRO"')),
+        field("cluster_size", text(F.element_at(F.array(F.lit("Small"), F.lit("Medium"), F.lit("Large")),
+                                                (F.col("s_nationkey") % 3 + 1).cast("int")))),
+        field("min_num_clusters", F.lit("1")),
+        field("max_num_clusters", F.when(k % 3 == 0, F.lit('"4"')).when(k % 3 == 1, F.lit('"many"'))
+              .otherwise((k % 10).cast("string"))),
+        field("auto_stop_mins", (F.lit(10) + k % 50).cast("string")),
+        F.when(k % 4 != 0, field("num_clusters", (k % 3).cast("string"))),
+        field("num_active_sessions", (k % 5).cast("string")),
+        field("enable_photon", F.when(k % 2 == 0, "true").otherwise("false")),
+        field("enable_serverless_compute", F.when(k % 3 == 0, "true").otherwise("false")),
+        field("spot_instance_policy", F.lit('"COST_OPTIMIZED"')),
+        F.when(k % 3 == 0, field("channel", F.lit('{"name":"CHANNEL_NAME_CURRENT"}')))
+        .when(k % 3 == 1, field("channel", F.lit('"CHANNEL_NAME_PREVIEW"'))),
+        field("creator_name", text(F.concat(F.lit("c"), k.cast("string")))),
+    ]
+    return s.select(
+        F.concat(F.lit("w"), k.cast("string")).alias("object_id"),
+        F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}")).alias("raw_json"),
+        F.lit("ok").alias("status"),
+    )

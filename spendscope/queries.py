@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from spendscope import fixtures as fx
 from spendscope import oracle
+from spendscope.functions import normalize as N
 from spendscope.functions.normalize import owner_from_path
 from spendscope.operators import cost, prices, quality, rollups, scd2, usage
 from spendscope.plans.joins import materialize
+from spendscope.sources import normalize
 from spendscope.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -458,3 +460,155 @@ where __START_AT <= 2 and (__END_AT is null or __END_AT > 2)""", extra=[_O_ISLAN
 def q_scd2_as_of(spark, sf_dir):
     """The inventory as it was at snapshot version 2."""
     return scd2.as_of(scd2.backfill(_snapshots(spark, sf_dir), SNAP_KEYS, SNAP_TRACKED), 2)
+
+
+# ------------------------------------------------------------------ B1-B12
+_BUCKET_BY_MOD = """case {m} when 0 then 'minutely' when 1 then 'hourly' when 2 then 'daily' when 3 then 'weekly'
+  when 4 then 'monthly' when 5 then 'yearly' when 6 then 'custom' when 7 then 'custom' else 'unknown' end"""
+
+
+@register("cron_frequency", oracle.build(["fx_schedules"], f"""
+select concat('sc', cast(event_id as varchar)) as schedule_id,
+  case event_id % 10 when 0 then '0 * * * * ?' when 1 then '0 */5 * * * ?' when 2 then '0 0 9 * * ?'
+    when 3 then '0 0 9 ? * MON' when 4 then '0 0 9 1 * ?' when 5 then '0 0 9 1 1 ?' when 6 then '0 9 * * *'
+    when 7 then '0 0 9 1 1 MON' when 8 then '' end as quartz_cron_expression,
+  {_BUCKET_BY_MOD.format(m='event_id % 10')} as frequency
+from events"""))
+def q_cron_frequency(spark, sf_dir):
+    """Quartz cron expression → frequency bucket."""
+    return fx.schedules(spark, sf_dir).select(
+        "schedule_id", "quartz_cron_expression", N.cron_frequency("quartz_cron_expression").alias("frequency")
+    )
+
+
+def _bucket_counts_sql(key: str, mod: str, table: str) -> str:
+    parts = ", ".join(
+        f"cast(sum(case when {_BUCKET_BY_MOD.format(m=mod)} = '{b}' then 1 else 0 end) as integer) "
+        f"as schedule_frequency_{b}"
+        for b in N.FREQ_BUCKETS
+    )
+    return f"select {key} as dashboard_id, cast(count(*) as integer) as schedule_count, {parts} from {table} group by 1"
+
+
+@register("schedule_frequency_counts", _bucket_counts_sql("concat('d', cast(user_id % 10 as varchar))", "event_id % 10", "events"))
+def q_schedule_frequency_counts(spark, sf_dir):
+    """Schedules per dashboard and per frequency bucket."""
+    return normalize.schedule_frequency_counts(fx.schedules(spark, sf_dir))
+
+
+_O_DASH_EXPECTED = ("dash_expected", """
+select 'd' || cast(c_custkey as varchar) as dashboard_id,
+  case when c_custkey % 3 = 0 then make_timestamp(cast((1700000000 + c_custkey) * 1000000 as bigint))
+       else make_timestamp(cast((1700000000000 + c_custkey * 1000) * 1000 as bigint)) end as create_time,
+  c_name as display_name, cast(c_custkey * 7 as varchar) as etag,
+  case when c_acctbal < 0 then 'TRASHED' else 'ACTIVE' end as lifecycle_state,
+  case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team' when 1 then '/Users/'
+    when 2 then '/Shared/reports' end as parent_path,
+  coalesce(case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team' when 1 then '/Users/'
+    when 2 then '/Shared/reports' end, '') || '/dash' || cast(c_custkey as varchar) || '.lvdash.json' as path,
+  'w' || cast(c_nationkey % 4 as varchar) as warehouse_id,
+  case c_custkey % 4 when 0 then lower(c_mktsegment) || '@x.org' when 1 then '' end as owner,
+  case when c_custkey % 5 in (0, 1) then timestamp '2024-01-01 10:00:00' + to_days(cast(c_custkey % 28 as integer))
+       when c_custkey % 5 = 4 then timestamp '2024-01-01 10:00:00.25' + to_days(cast(c_custkey % 28 as integer)) end
+    as update_time
+from customer""")
+
+
+@register("owner_from_path", oracle.build([], "select dashboard_id, parent_path, owner from dash_expected",
+                                          extra=[_O_DASH_EXPECTED]))
+def q_owner_from_path(spark, sf_dir):
+    """Owner from a /Users/<owner>/... workspace path."""
+    rows = normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir))
+    return rows.select("dashboard_id", "parent_path", "owner")
+
+
+@register("coerce_timestamp", oracle.build([], "select dashboard_id, create_time, update_time from dash_expected",
+                                           extra=[_O_DASH_EXPECTED]))
+def q_coerce_timestamp(spark, sf_dir):
+    """B1: epoch seconds/ms and ISO text (zone dropped, blank/bad → NULL)."""
+    rows = normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir))
+    return rows.select("dashboard_id", "create_time", "update_time")
+
+
+@register("canonical_json_sha256", """
+select event_id, '{"k":' || cast(cast(regexp_extract(props, '([0-9]+)', 1) as integer) as varchar) || '}' as canonical_json,
+  sha256('{"k":' || cast(cast(regexp_extract(props, '([0-9]+)', 1) as integer) as varchar) || '}') as json_sha256
+from events""")
+def q_canonical_json_sha256(spark, sf_dir):
+    """Canonical (key-sorted, compact) JSON text and its SHA-256."""
+    ev = fx.table(spark, sf_dir, "events")
+    canon = N.canonical_json("props")
+    return ev.select("event_id", canon.alias("canonical_json"), N.sha256_hex(canon).alias("json_sha256"))
+
+
+_DASH_PLAIN = [c for c in normalize.DASHBOARD_COLUMNS if "json" not in c and c != "serialized_dashboard"]
+
+
+@register("dashboard_rows", oracle.build([], f"""
+with sched as ({_bucket_counts_sql("'d' || cast(o_custkey as varchar)", "o_orderkey % 10", "orders")})
+select e.*, sha256('{{"pages":[{{"name":"p' || substr(e.dashboard_id, 2) || '"}}]}}') as serialized_dashboard_sha256,
+  coalesce(s.schedule_count, 0) as schedule_count,
+  {", ".join(f"coalesce(s.schedule_frequency_{b}, 0) as schedule_frequency_{b}" for b in N.FREQ_BUCKETS)}
+from dash_expected e left join sched s on e.dashboard_id = s.dashboard_id""", extra=[_O_DASH_EXPECTED]))
+def q_dashboard_rows(spark, sf_dir):
+    """Normalized dashboard rows (JSON/hash columns are in
+    ``dashboard_snapshot_rows``)."""
+    rows = normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir), fx.raw_schedules(spark, sf_dir))
+    return rows.select(*_DASH_PLAIN)
+
+
+@register("dashboard_snapshot_rows", None)
+def q_dashboard_snapshot_rows(spark, sf_dir):
+    """All 25 snapshot columns incl. canonical JSON and hashes (rows-only check)."""
+    return normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir), fx.raw_schedules(spark, sf_dir))
+
+
+@register("space_counts", """
+select 'g' || cast(p_partkey as varchar) as space_id, p_name as title, p_type as description,
+  'w' || cast(p_partkey % 4 as varchar) as warehouse_id,
+  case when p_partkey % 7 = 0 then null else cast(p_partkey % 7 as varchar) end as creator_id,
+  make_timestamp(cast((1700000000 + p_partkey) * 1000000 as bigint)) as create_time,
+  timestamp '2024-02-01 00:00:00' as update_time,
+  cast(case when p_partkey % 11 = 0 then 0 else p_partkey % 4 end as integer) as table_count,
+  cast(case when p_partkey % 11 = 0 then 0 when p_partkey % 5 = 0 then 2 when p_partkey % 5 = 1 then 1 else 0 end as integer)
+    as instruction_count,
+  cast(case when p_partkey % 11 = 0 then 0 else p_partkey % 3 end as integer) as sample_question_count,
+  cast(case when p_partkey % 11 = 0 then 0 when p_partkey % 2 = 0 then 1 else 0 end as integer) as curated_question_count
+from part""")
+def q_space_counts(spark, sf_dir):
+    """Space rows with counts parsed from the nested serialized JSON."""
+    rows = normalize.space_rows(fx.raw_spaces(spark, sf_dir))
+    return rows.select(*[c for c in normalize.SPACE_COLUMNS if "json" not in c])
+
+
+@register("space_snapshot_rows", None)
+def q_space_snapshot_rows(spark, sf_dir):
+    """All 13 space columns incl. canonical JSON and hash (rows-only check)."""
+    return normalize.space_rows(fx.raw_spaces(spark, sf_dir))
+
+
+@register("warehouse_rows", """
+select 'w' || cast(s_suppkey as varchar) as id, s_name as name,
+  case when s_suppkey % 2 = 0 then 'RUNNING' else 'STOPPED' end as state, 'PRO' as warehouse_type,
+  case s_nationkey % 3 when 0 then 'Small' when 1 then 'Medium' else 'Large' end as cluster_size,
+  cast(1 as integer) as min_num_clusters,
+  cast(case when s_suppkey % 3 = 0 then 4 when s_suppkey % 3 = 1 then null else s_suppkey % 10 end as integer) as max_num_clusters,
+  cast(10 + s_suppkey % 50 as integer) as auto_stop_mins,
+  cast(case when s_suppkey % 4 <> 0 then s_suppkey % 3 end as integer) as num_clusters,
+  cast(s_suppkey % 5 as integer) as num_active_sessions,
+  case when s_suppkey % 2 = 0 then 'true' else 'false' end as enable_photon,
+  case when s_suppkey % 3 = 0 then 'true' else 'false' end as enable_serverless_compute,
+  'COST_OPTIMIZED' as spot_instance_policy,
+  case s_suppkey % 3 when 0 then 'CHANNEL_NAME_CURRENT' when 1 then 'CHANNEL_NAME_PREVIEW' end as channel,
+  'c' || cast(s_suppkey as varchar) as creator_name
+from supplier""")
+def q_warehouse_rows(spark, sf_dir):
+    """Warehouse rows: safe ints, text flags, channel name."""
+    rows = normalize.warehouse_rows(fx.raw_warehouses(spark, sf_dir))
+    return rows.select(*[c for c in normalize.WAREHOUSE_COLUMNS if "json" not in c])
+
+
+@register("warehouse_snapshot_rows", None)
+def q_warehouse_snapshot_rows(spark, sf_dir):
+    """All 17 warehouse columns incl. canonical JSON and hash (rows-only check)."""
+    return normalize.warehouse_rows(fx.raw_warehouses(spark, sf_dir))

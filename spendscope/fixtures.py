@@ -324,3 +324,28 @@ def raw_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}")).alias("raw_json"),
         F.lit("ok").alias("status"),
     )
+
+
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query history with the I/O, wait and cache columns the metric layer
+    reads (FIXTURES.md "metric base fixture")."""
+    ev = table(spark, sf_dir, "events")
+    qh = query_history(spark, sf_dir)
+    k = _k().cast("bigint")
+    extra = ev.select(
+        F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("statement_id"),
+        (F.floor(F.col("value") * 4000).cast("bigint") * 100000).alias("read_bytes"),
+        (k * 1000000).alias("written_bytes"),
+        (F.floor(F.col("value") * 4000).cast("bigint") * 10000).alias("shuffle_read_bytes"),
+        F.when(F.col("user_id") % 5 == 0, F.floor(F.col("value") * 4000).cast("bigint") * 1000)
+        .otherwise(F.lit(0).cast("bigint")).alias("spilled_local_bytes"),
+        (F.floor(F.col("value") * 1000).cast("bigint") * 10).alias("read_rows"),
+        k.alias("produced_rows"),
+        (k * 10 * 40).alias("waiting_for_compute_duration_ms"),
+        (k * 10 * 40).alias("waiting_at_capacity_duration_ms"),
+        (F.floor(F.col("value") * 1000) < 50).alias("from_result_cache"),
+    )
+    return qh.join(extra, "statement_id").select(
+        "*", F.lit("acc1").alias("account_id"), F.lit("SELECT").alias("statement_type"),
+        F.lit("WAREHOUSE").alias("compute_type"),
+    )

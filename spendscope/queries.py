@@ -17,7 +17,7 @@ from spendscope import fixtures as fx
 from spendscope import oracle
 from spendscope.functions import normalize as N
 from spendscope.functions.normalize import owner_from_path
-from spendscope.operators import cost, prices, quality, rollups, scd2, usage
+from spendscope.operators import cost, metrics, prices, quality, rollups, scd2, usage
 from spendscope.plans.joins import materialize
 from spendscope.sources import normalize
 from spendscope.session import prepare
@@ -612,3 +612,113 @@ def q_warehouse_rows(spark, sf_dir):
 def q_warehouse_snapshot_rows(spark, sf_dir):
     """All 17 warehouse columns incl. canonical JSON and hash (rows-only check)."""
     return normalize.warehouse_rows(fx.raw_warehouses(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ I1-I2
+def sr(expr: str, digits: int = 2) -> str:
+    """DuckDB twin of Spark's ``round`` on a double: HALF_UP applied to the
+    shortest decimal text of the double (what Spark's BigDecimal(d) sees)."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38, 17)), {digits}) as double)"
+
+
+_O_METRIC_BASE = ("metric_base", """
+select *,
+  try_divide_pct as wait_pct_of_total,
+  duration_ms > 60000 as is_slow_query, duration_ms > 300000 as is_very_slow_query,
+  spill_bytes > 0 as has_disk_spill, execution_status = 'FAILED' as is_failed,
+  (compute_wait_ms > 30000 or capacity_wait_ms > 30000) as had_long_wait,
+  coalesce(scan_to_output_ratio >= 1000, false) as has_poor_scan_efficiency
+from (
+  select *, case when duration_ms = 0 then null else cast((compute_wait_ms + capacity_wait_ms) as double) * 100 / duration_ms end
+      as try_divide_pct,
+    cast(read_rows as double) / cast(nullif(produced_rows, 0) as double) as scan_to_output_ratio
+  from (
+    select 'u' || cast(user_id as varchar) as executed_by, 'w' || cast(user_id % 4 as varchar) as warehouse_id,
+      cast(ts as date) as query_date,
+      case event_type when 'view' then 'AI/BI Dashboard' when 'click' then 'Genie Space' when 'signup' then 'Notebook'
+        when 'error' then case when k < 50 then 'Alert' else 'Job' end else 'Other' end as query_source_type,
+      case when k % 10 = 0 then 'FAILED' else 'FINISHED' end as execution_status,
+      k as compilation_ms, cast(floor(value * 1000) as bigint) as execution_ms, k * 10 as result_fetch_ms,
+      k * 400 as compute_wait_ms, k * 400 as capacity_wait_ms,
+      k + cast(floor(value * 1000) as bigint) + k * 10 + k * 400 + k * 400 as duration_ms,
+      cast(floor(value * 4000) as bigint) * 100000 as read_bytes, k * 1000000 as written_bytes,
+      cast(floor(value * 4000) as bigint) * 10000 as shuffle_bytes,
+      case when user_id % 5 = 0 then cast(floor(value * 4000) as bigint) * 1000 else 0 end as spill_bytes,
+      cast(floor(value * 1000) as bigint) * 10 as read_rows, k as produced_rows,
+      floor(value * 1000) < 50 as is_cached
+    from (select *, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events) e
+  ) b
+) c""")
+
+
+def _metric_measures_sql() -> str:
+    gb, tb = 1024 ** 3, 1024 ** 4
+
+    def cnt(f):
+        return f"cast(sum(case when {f} then 1 else 0 end) as bigint)"
+
+    def rate(f):
+        return sr(f"avg(case when {f} then 1.0::double else 0.0::double end) * 100")
+
+    pct = lambda p: sr(f"quantile_cont(cast(duration_ms as double), {p}) / 1000")
+    items = [
+        ("total_queries", "count(*)"),
+        ("unique_users", "count(distinct executed_by)"),
+        ("warehouses_used", "count(distinct warehouse_id)"),
+        ("total_duration_sec", "cast(sum(duration_ms) as double) / 1000"),
+        ("avg_duration_sec", sr("avg(duration_ms) / 1000")),
+        ("max_duration_sec", sr("max(duration_ms) / 1000")),
+        ("p50_duration_sec", pct(0.5)), ("p95_duration_sec", pct(0.95)), ("p99_duration_sec", pct(0.99)),
+        ("total_compute_wait_sec", sr("cast(sum(compute_wait_ms) as double) / 1000")),
+        ("total_capacity_wait_sec", sr("cast(sum(capacity_wait_ms) as double) / 1000")),
+        ("avg_wait_pct", sr("avg(wait_pct_of_total)")),
+        ("avg_compilation_sec", sr("avg(compilation_ms) / 1000")),
+        ("avg_execution_sec", sr("avg(execution_ms) / 1000")),
+        ("avg_result_fetch_sec", sr("avg(result_fetch_ms) / 1000")),
+        ("total_read_gb", sr(f"cast(sum(read_bytes) as double) / {gb}")),
+        ("total_read_tb", sr(f"cast(sum(read_bytes) as double) / {tb}", 4)),
+        ("total_written_gb", sr(f"cast(sum(written_bytes) as double) / {gb}")),
+        ("total_shuffle_gb", sr(f"cast(sum(shuffle_bytes) as double) / {gb}")),
+        ("total_spill_gb", sr(f"cast(sum(spill_bytes) as double) / {gb}")),
+        ("total_read_rows", "cast(sum(read_rows) as bigint)"),
+        ("total_produced_rows", "cast(sum(produced_rows) as bigint)"),
+        ("avg_scan_to_output_ratio", sr("avg(scan_to_output_ratio)")),
+        ("slow_query_count", cnt("is_slow_query")), ("very_slow_query_count", cnt("is_very_slow_query")),
+        ("spill_query_count", cnt("has_disk_spill")), ("cached_query_count", cnt("is_cached")),
+        ("failed_query_count", cnt("is_failed")), ("long_wait_query_count", cnt("had_long_wait")),
+        ("poor_scan_query_count", cnt("has_poor_scan_efficiency")),
+        ("cache_hit_rate_pct", rate("is_cached")), ("failure_rate_pct", rate("is_failed")),
+        ("spill_rate_pct", rate("has_disk_spill")),
+    ]
+    return ",\n  ".join(f"{e} as {n}" for n, e in items)
+
+
+def _metric_sql(by: list[str]) -> str:
+    keys = ", ".join(by)
+    select = (keys + ", ") if by else ""
+    group = f" group by {keys}" if by else ""
+    return oracle.build([], f"select {select}{_metric_measures_sql()}\nfrom metric_base{group}", extra=[_O_METRIC_BASE])
+
+
+def _metric(spark, sf_dir, by):
+    base = metrics.metric_base(fx.metric_history(spark, sf_dir))
+    out = metrics.QUERY_HISTORY_METRICS.query(base, by=by)
+    return out.withColumn("total_duration_sec", F.col("total_duration_sec").cast("double"))
+
+
+@register("metric_global", _metric_sql([]))
+def q_metric_global(spark, sf_dir):
+    """All 33 measures over the whole history."""
+    return _metric(spark, sf_dir, [])
+
+
+@register("metric_by_user", _metric_sql(["executed_by"]))
+def q_metric_by_user(spark, sf_dir):
+    """All 33 measures per user."""
+    return _metric(spark, sf_dir, ["executed_by"])
+
+
+@register("metric_by_day_source", _metric_sql(["query_date", "query_source_type"]))
+def q_metric_by_day_source(spark, sf_dir):
+    """All 33 measures per day and query source type."""
+    return _metric(spark, sf_dir, ["query_date", "query_source_type"])

@@ -19,7 +19,7 @@ from spendscope.functions import normalize as N
 from spendscope.functions.normalize import owner_from_path
 from spendscope.operators import cost, metrics, prices, quality, rollups, scd2, usage
 from spendscope.plans.joins import materialize
-from spendscope.sources import normalize
+from spendscope.sources import landing, normalize
 from spendscope.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -722,3 +722,54 @@ def q_metric_by_user(spark, sf_dir):
 def q_metric_by_day_source(spark, sf_dir):
     """All 33 measures per day and query source type."""
     return _metric(spark, sf_dir, ["query_date", "query_source_type"])
+
+
+# ------------------------------------------------------------------ A1-A8
+def _landing(spark, sf_dir, name="dashboards"):
+    """Land the raw dashboard objects (derived from ``customer``) as parquet
+    in the shared checkpoint folder, then scan them with the data source."""
+    path = landing_path(spark, sf_dir, name)
+    return landing.read_landing(spark, path, parallelism=4, output_batch_size=128)
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def landing_path(spark, sf_dir, name="dashboards"):
+    key = (id(spark), sf_dir, name)
+    if key not in _LANDED:
+        from spendscope.session import ensure_checkpoint_dir
+        import uuid as _uuid
+
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/landing-{name}-{_uuid.uuid4().hex}"
+        fx.raw_dashboards(spark, sf_dir).repartition(4).write.parquet(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+@register("snapshot_source_scan", "select 'd' || cast(c_custkey as varchar) as object_id, 'ok' as status from customer")
+def q_snapshot_source_scan(spark, sf_dir):
+    """Scan the landing folder in file-chunk partitions, Arrow batches."""
+    return _landing(spark, sf_dir).select("object_id", "status")
+
+
+@register("snapshot_ids", """
+select object_id from (select distinct 'd' || cast(c_custkey as varchar) as object_id from customer)
+order by object_id limit 200""")
+def q_snapshot_ids(spark, sf_dir):
+    """A4: sorted distinct ids capped at the development cap (200)."""
+    return landing.snapshot_ids(_landing(spark, sf_dir), limit=200)
+
+
+@register("snapshot_source_by_ids", """
+select 'd' || cast(c_custkey as varchar) as object_id, 'ok' as status from customer
+where 'd' || cast(c_custkey as varchar) in ('d1', 'd2', 'd10', 'd999')""")
+def q_snapshot_source_by_ids(spark, sf_dir):
+    """A5: explicit id list (pushed into the reader)."""
+    return landing.select_ids(_landing(spark, sf_dir), " d1, d2 ,, d10,d999 ").select("object_id", "status")
+
+
+@register("snapshot_fetch_outcomes", "select 'ok' as status, count(*) as objects from customer")
+def q_snapshot_fetch_outcomes(spark, sf_dir):
+    """Objects per fetch outcome."""
+    return normalize.fetch_outcomes(_landing(spark, sf_dir))

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # end; ``date_trunc`` goes through the session zone, so it must be UTC.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # the landing source pushes ``object_id IN (...)`` into its reader
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 # Settings that matter for scale; applied only where the user has not set them.

@@ -773,3 +773,21 @@ def q_snapshot_source_by_ids(spark, sf_dir):
 def q_snapshot_fetch_outcomes(spark, sf_dir):
     """Objects per fetch outcome."""
     return normalize.fetch_outcomes(_landing(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ K1
+@register("cost_incremental_append", oracle.build(["query_cost_attribution"], _QCA_SELECT))
+def q_cost_incremental_append(spark, sf_dir):
+    """K1: append-only cost history built in two increments (mid-month,
+    then after the last statement); must equal the full rebuild."""
+    import datetime as _dt
+    import uuid as _uuid
+
+    from spendscope.session import ensure_checkpoint_dir
+    from spendscope.streaming import incremental
+
+    sink = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/cost-history-{_uuid.uuid4().hex}"
+    qh, us, pr = fx.query_history(spark, sf_dir), fx.usage(spark, sf_dir), _prices(spark, sf_dir)
+    for horizon in (_dt.datetime(2024, 1, 15), fx.AS_OF):
+        incremental.append_closed(sink, qh, us, pr, horizon, fx.AS_OF, fx.WINDOW_DAYS)
+    return spark.read.parquet(sink).select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))

@@ -198,7 +198,11 @@ class HistoryStore:
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(hpath):
             return None
-        text = "\n".join(r.value for r in self.spark.read.text(path).collect())
+        stream = fs.open(hpath)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
         return json.loads(text)
 
     def _write_state(self, state: dict) -> None:

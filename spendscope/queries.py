@@ -19,7 +19,7 @@ from spendscope.functions import normalize as N
 from spendscope.functions.normalize import owner_from_path
 from spendscope.operators import cost, metrics, prices, quality, rollups, scd2, usage
 from spendscope.plans.joins import materialize
-from spendscope.sources import landing, normalize
+from spendscope.sources import landing, normalize, system_tables
 from spendscope.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -791,3 +791,39 @@ def q_cost_incremental_append(spark, sf_dir):
     for horizon in (_dt.datetime(2024, 1, 15), fx.AS_OF):
         incremental.append_closed(sink, qh, us, pr, horizon, fx.AS_OF, fx.WINDOW_DAYS)
     return spark.read.parquet(sink).select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))
+
+
+# ------------------------------------------------------------------ A9 / D1
+def _nested_system(spark, sf_dir):
+    """The derived system tables written in their nested layout, then read
+    back: the flattening selects prune the parquet read to nested leaves."""
+    key = (id(spark), sf_dir, "nested")
+    if key not in _LANDED:
+        _LANDED[key] = {
+            "qh": materialize(system_tables.nest_query_history(fx.query_history(spark, sf_dir)), "nested_qh"),
+            "usage": materialize(system_tables.nest_usage(fx.usage(spark, sf_dir)), "nested_usage"),
+            "acct": materialize(system_tables.nest_prices(fx.account_prices(spark, sf_dir)), "nested_acct"),
+            "list": materialize(system_tables.nest_prices(fx.list_prices(spark, sf_dir)), "nested_list"),
+            "audit": materialize(system_tables.nest_audit(fx.audit(spark, sf_dir)), "nested_audit"),
+        }
+    return _LANDED[key]
+
+
+@register("nested_query_cost_attribution", oracle.build(["query_cost_attribution"], _QCA_SELECT))
+def q_nested_query_cost_attribution(spark, sf_dir):
+    """The flagship over nested system-table layouts (compute.warehouse_id,
+    query_source.job_info.job_id, usage_metadata.warehouse_id, pricing.default)."""
+    n = _nested_system(spark, sf_dir)
+    eff = prices.effective_prices(system_tables.flatten_prices(n["acct"]), system_tables.flatten_prices(n["list"]))
+    qca = cost.query_cost_attribution(
+        system_tables.flatten_query_history(n["qh"]), system_tables.flatten_usage(n["usage"]), eff,
+        fx.AS_OF, fx.WINDOW_DAYS,
+    )
+    return qca.select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))
+
+
+@register("nested_dashboard_usage_30d", oracle.build(["fx_audit"], "select * from dashboard_views", extra=[_O_VIEWS]))
+def q_nested_dashboard_usage_30d(spark, sf_dir):
+    """Dashboard views from an audit log with map-typed request_params."""
+    n = _nested_system(spark, sf_dir)
+    return usage.dashboard_views(system_tables.flatten_audit(n["audit"]), fx.AS_OF, fx.USAGE_WINDOW_DAYS)

@@ -174,13 +174,14 @@ def dashboard_rows(raw: DataFrame, schedules: DataFrame | None = None,
 # ------------------------------------------------------------------ B9
 def space_rows(raw: DataFrame) -> DataFrame:
     """One normalized row per conversational space, with counts read from
-    the nested ``serialized_space`` JSON (bad JSON → counts 0)."""
+    the nested ``serialized_space`` JSON (bad JSON → counts 0).  A record
+    without a space id (e.g. an error body) is rejected, not kept as ''."""
     r = ok_rows(raw).select(F.col("raw_json").alias("raw"), F.try_parse_json("raw_json").alias("v"))
     j = lambda p: N.json_text("raw", p)
     ss = j("$.serialized_space")
     meta = F.to_json(F.col("v"))
-    return r.select(
-        F.coalesce(j("$.space_id"), F.lit("")).alias("space_id"),
+    return r.where(F.length(j("$.space_id")) > 0).select(
+        j("$.space_id").alias("space_id"),
         j("$.title").alias("title"),
         j("$.description").alias("description"),
         j("$.warehouse_id").alias("warehouse_id"),
@@ -204,8 +205,8 @@ def warehouse_rows(raw: DataFrame) -> DataFrame:
     j = lambda p: N.json_text("raw", p)
     channel = j("$.channel")
     meta = F.to_json(F.col("v"))
-    return r.select(
-        F.coalesce(j("$.id"), F.lit("")).alias("id"),
+    return r.where(F.length(j("$.id")) > 0).select(
+        j("$.id").alias("id"),
         j("$.name").alias("name"),
         j("$.state").alias("state"),
         j("$.warehouse_type").alias("warehouse_type"),

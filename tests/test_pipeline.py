@@ -1,0 +1,52 @@
+"""End to end: two landed dashboard snapshots → history → current → cost tables."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from spendscope import fixtures as fx
+from spendscope import pipeline, schemas
+from spendscope.operators import scd2
+from spendscope.sources import system_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_inventory_history_and_cost_tables(spark):
+    root = tempfile.mkdtemp(prefix="pipeline-")
+    raw = fx.raw_dashboards(spark, SF)
+    sched = fx.raw_schedules(spark, SF)
+    n = raw.count()
+    pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1000, sched)
+    # second snapshot: ids ending in 5 deleted, ids ending in 3 renamed
+    v2 = raw.where(~F.col("object_id").endswith("5")).withColumn(
+        "raw_json",
+        F.when(F.col("object_id").endswith("3"), F.regexp_replace("raw_json", "Customer", "Client"))
+        .otherwise(F.col("raw_json")),
+    )
+    hist = pipeline.apply_inventory_snapshot(spark, root, "dashboard", v2, 2000, sched)
+    # re-applying an older version is a no-op
+    assert pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1500, sched).count() == hist.count()
+    deleted = raw.where(F.col("object_id").endswith("5")).count()
+    renamed = raw.where(F.col("object_id").endswith("3")).count()
+    assert hist.count() == n + renamed
+    assert hist.where(F.col("__END_AT") == 2000).count() == deleted + renamed
+    assert hist.schema["owner"].metadata["comment"]
+    current = scd2.current(hist)
+    assert current.count() == n - deleted
+    assert set(current.columns) == set(schemas.snapshot_schema("dashboard").fieldNames())
+
+    nested = pipeline.SystemTables(
+        system_tables.nest_query_history(fx.query_history(spark, SF)),
+        system_tables.nest_usage(fx.usage(spark, SF)),
+        system_tables.nest_prices(fx.account_prices(spark, SF)),
+        system_tables.nest_prices(fx.list_prices(spark, SF)),
+        system_tables.nest_audit(fx.audit(spark, SF), request_params_as_map=False),
+    ).flat()
+    tables = pipeline.cost_tables(nested, current, fx.space_current(spark, SF), fx.warehouse_current(spark, SF), fx.AS_OF)
+    paths = pipeline.write_tables(tables, f"{root}/tables")
+    assert set(paths) == {"query_cost_attribution", "dashboard_cost", "space_cost", "warehouse_cost",
+                          "dashboard_denormalized"}
+    assert spark.read.parquet(paths["dashboard_cost"]).count() == current.count()
+    pipeline.register_views(tables)
+    assert spark.sql("select count(*) from warehouse_cost").collect()[0][0] == 5

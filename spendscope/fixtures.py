@@ -43,11 +43,14 @@ def _ts_ntz(text: str) -> Column:
 
 def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat query history: one statement per event."""
-    ev = table(spark, sf_dir, "events")
+    return table(spark, sf_dir, "events").select(*_query_history_columns())
+
+
+def _query_history_columns() -> list[Column]:
     k_int = _k().cast("int")
     k_long = _k().cast("bigint")
     is_error = F.col("event_type") == "error"
-    return ev.select(
+    return [
         F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("statement_id"),
         F.concat(F.lit("ws"), (F.col("user_id") % 2).cast("string")).alias("workspace_id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("executed_by"),
@@ -66,7 +69,7 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * 1000).cast("bigint").alias("execution_duration_ms"),
         (k_long * 10).alias("result_fetch_duration_ms"),
         F.floor(F.col("value") * 4000).cast("bigint").alias("total_task_duration_ms"),
-    )
+    ]
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,10 +333,9 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query history with the I/O, wait and cache columns the metric layer
     reads (FIXTURES.md "metric base fixture")."""
     ev = table(spark, sf_dir, "events")
-    qh = query_history(spark, sf_dir)
     k = _k().cast("bigint")
-    extra = ev.select(
-        F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("statement_id"),
+    return ev.select(
+        *_query_history_columns(),
         (F.floor(F.col("value") * 4000).cast("bigint") * 100000).alias("read_bytes"),
         (k * 1000000).alias("written_bytes"),
         (F.floor(F.col("value") * 4000).cast("bigint") * 10000).alias("shuffle_read_bytes"),
@@ -344,8 +346,6 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 10 * 40).alias("waiting_for_compute_duration_ms"),
         (k * 10 * 40).alias("waiting_at_capacity_duration_ms"),
         (F.floor(F.col("value") * 1000) < 50).alias("from_result_cache"),
-    )
-    return qh.join(extra, "statement_id").select(
-        "*", F.lit("acc1").alias("account_id"), F.lit("SELECT").alias("statement_type"),
+        F.lit("acc1").alias("account_id"), F.lit("SELECT").alias("statement_type"),
         F.lit("WAREHOUSE").alias("compute_type"),
     )

@@ -43,6 +43,53 @@ def coerce_timestamp_json(raw: Column | str, path: str) -> Column:
     return F.when(is_number, coerce_timestamp_number(v)).otherwise(coerce_timestamp_text(v))
 
 
+_NUMERIC_VARIANT = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
+
+
+def coerce_timestamp_variant(value: Column | str) -> Column:
+    """B1 on a variant value (epoch number or ISO text)."""
+    v = _c(value)
+    is_number = F.schema_of_variant(v).rlike(_NUMERIC_VARIANT)
+    return F.when(is_number, coerce_timestamp_number(F.try_variant_get(v, "$", "double"))).otherwise(
+        coerce_timestamp_text(F.try_variant_get(v, "$", "string"))
+    )
+
+
+def variant_text(value: Column | str, path: str = "$") -> Column:
+    """Text of a variant field: strings as is, other values as JSON text."""
+    return F.try_variant_get(_c(value), path, "string")
+
+
+def json_fields(raw: Column | str) -> Column:
+    """Top-level JSON object → ``map<string, variant>``, parsed once
+    (malformed or non-object → NULL)."""
+    return F.from_json(_c(raw), "map<string,variant>")
+
+
+def canonical_json_of_fields(fields: Column | str, drop: tuple[str, ...] = ()) -> Column:
+    """Canonical JSON text of a parsed object, optionally without some keys.
+    Variant values render their nested objects key-sorted; the top level is
+    sorted here, so no second parse is needed."""
+    m = _c(fields)
+    if drop:
+        m = F.map_filter(m, lambda k, _v: ~k.isin(*drop))
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m), by_key)))
+
+
+def variant_list_size(value: Column | str, path: str) -> Column:
+    """Length of an array at ``path``, else 0."""
+    arr = F.try_variant_get(_c(value), path, "array<variant>")
+    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+
+
+def variant_list_or_dict_size(value: Column | str, path: str) -> Column:
+    """Length of an array, or number of keys of an object, at ``path``; else 0."""
+    arr = F.try_variant_get(_c(value), path, "array<variant>")
+    obj = F.try_variant_get(_c(value), path, "map<string,variant>")
+    return F.when(arr.isNotNull(), F.size(arr)).when(obj.isNotNull(), F.size(obj)).otherwise(F.lit(0))
+
+
 # ---------------------------------------------------------------------- B2/B3
 def canonical_json(x: Column | str) -> Column:
     """Key-sorted, compact JSON text of a JSON string (malformed → NULL)."""
@@ -63,22 +110,28 @@ def owner_from_path(parent_path: Column | str) -> Column:
 
 
 # ---------------------------------------------------------------------- B5
-def cron_frequency(expr: Column | str) -> Column:
-    """Quartz cron → frequency bucket (seconds and the year field ignored).
+_WS = " \t\n\r\f\u000b"
 
-    NULL/empty → unknown; not 6 or 7 whitespace-separated fields → custom;
-    then, in order: minutely, hourly, daily, weekly, monthly, yearly, custom.
-    """
-    e = _c(expr)
-    t = F.regexp_replace(e, r"^\s+|\s+$", "")
-    parts = F.split(t, r"\s+")
-    n = F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(parts))
+
+def cron_fields(expr: Column | str) -> Column:
+    """Whitespace-separated fields of a cron text (empty array for blank)."""
+    t = F.trim(_c(expr), F.lit(_WS))
+    return F.when(F.length(t) > 0, F.split(t, r"\s+")).otherwise(F.array().cast("array<string>"))
+
+
+def cron_frequency_of_fields(expr: Column | str, fields: Column | str) -> Column:
+    """Bucket from the text and its pre-split fields (split once, see
+    :func:`with_cron_frequency`)."""
+    e, parts = _c(expr), _c(fields)
+    n = F.size(parts)
     minute, hour, dom, month, dow = (F.try_element_at(parts, F.lit(i)) for i in range(2, 7))
 
     def any_(c: Column) -> Column:
         return c.isin("*", "?")
 
-    every = lambda c: c.isin("*", "*/1")
+    def every(c: Column) -> Column:
+        return c.isin("*", "*/1")
+
     dates_any = any_(dom) & any_(month) & any_(dow)
     return (
         F.when(e.isNull() | (F.length(e) == 0), "unknown")
@@ -93,6 +146,22 @@ def cron_frequency(expr: Column | str) -> Column:
     )
 
 
+def cron_frequency(expr: Column | str) -> Column:
+    """Quartz cron → frequency bucket (seconds and the year field ignored).
+
+    NULL/empty → unknown; not 6 or 7 whitespace-separated fields → custom;
+    then, in order: minutely, hourly, daily, weekly, monthly, yearly, custom.
+    """
+    return cron_frequency_of_fields(expr, cron_fields(expr))
+
+
+def with_cron_frequency(df, expr: str, out: str = "frequency"):
+    """Add the bucket column, splitting the text once per row (the split
+    lives in its own projection instead of being re-evaluated per branch)."""
+    tmp = f"__{out}_fields"
+    return df.withColumn(tmp, cron_fields(expr)).withColumn(out, cron_frequency_of_fields(expr, tmp)).drop(tmp)
+
+
 # ---------------------------------------------------------------------- B11
 def safe_int(x: Column | str) -> Column:
     """Integer or NULL (bad text → NULL, never an error)."""

@@ -19,6 +19,9 @@ from spendscope.session import ensure_checkpoint_dir
 # A broadcast side is shipped to every executor and held in memory:
 # bound it by rows (rows of the sides used here are ~100 bytes).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# ... and by Catalyst's size estimate (on-disk parquet bytes for a file
+# scan, so kept well below executor memory).
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -36,17 +39,44 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def estimated_size(df: DataFrame) -> tuple[int, int | None]:
+    """Catalyst's estimate for the optimized plan: ``(bytes, rows or None)``.
+
+    No job runs.  For a file scan the bytes are the files' size; through
+    an aggregate without column statistics the estimate stays at the
+    input's size, i.e. it errs on the large side, never the small one.
+    """
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+
+    def as_int(v) -> int:
+        return v if isinstance(v, int) else int(str(v.toString()))
+
+    rows = stats.rowCount()
+    return as_int(stats.sizeInBytes()), (as_int(rows.get()) if rows.isDefined() else None)
+
+
+def broadcast_if_small(
+    small: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    exact: bool = False,
+) -> tuple[DataFrame, bool]:
     """Return ``(side, broadcasted)``: the side wrapped in a broadcast hint
-    when its row count is within ``max_rows``, else unchanged.
+    when it is provably small, else unchanged (the caller then joins with
+    a shuffle, where AQE can still pick a broadcast at run time from the
+    real shuffle sizes, and splits skewed partitions).
 
-    ``small`` must be cheap to count (a small table, an aggregate or a
-    materialized DataFrame); the count is the size check.
+    The check is Catalyst's size estimate (no job).  With ``exact=True``
+    an estimate over ``max_bytes`` is followed by a bounded row count
+    (``limit(max_rows + 1).count()``), for sides whose estimate is known
+    to be loose (aggregates).
     """
-    if max_rows <= 0:
+    if max_rows <= 0 or max_bytes <= 0:
         return small, False
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
+    size, rows = estimated_size(small)
+    if size <= max_bytes and (rows is None or rows <= max_rows):
+        return F.broadcast(small), True
+    if exact and small.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(small), True
     return small, False
 

@@ -116,11 +116,15 @@ def q_hourly_cost(spark, sf_dir):
     return _hourly(spark, sf_dir).select("workspace_id", "warehouse_id", "hour_start", r4("dbus"), r4("list_cost_usd"))
 
 
-@register("hourly_cost_discounted", oracle.build(["hourly_cost"], _HOURLY_SELECT, factor=cost.discount_factor(35.0)))
+# Discounted costs are exact to 6 decimals (3-decimal DBUs x 1-decimal
+# prices x 0.65); rounding them at 4 digits would hit exact ties that float
+# summation order decides, so this query rounds at their own precision.
+@register("hourly_cost_discounted", oracle.build(["hourly_cost"], f"""select workspace_id, warehouse_id, hour_start,
+  {o4('dbus')}, {on('list_cost_usd', 6)} from hourly_cost""", factor=cost.discount_factor(35.0)))
 def q_hourly_cost_discounted(spark, sf_dir):
     """H2 + D11: 35 % contract discount on the list cost."""
     return _hourly(spark, sf_dir, 35.0).select(
-        "workspace_id", "warehouse_id", "hour_start", r4("dbus"), r4("list_cost_usd")
+        "workspace_id", "warehouse_id", "hour_start", r4("dbus"), rn("list_cost_usd", 6)
     )
 
 
@@ -476,8 +480,8 @@ select concat('sc', cast(event_id as varchar)) as schedule_id,
 from events"""))
 def q_cron_frequency(spark, sf_dir):
     """Quartz cron expression → frequency bucket."""
-    return fx.schedules(spark, sf_dir).select(
-        "schedule_id", "quartz_cron_expression", N.cron_frequency("quartz_cron_expression").alias("frequency")
+    return N.with_cron_frequency(fx.schedules(spark, sf_dir), "quartz_cron_expression").select(
+        "schedule_id", "quartz_cron_expression", "frequency"
     )
 
 

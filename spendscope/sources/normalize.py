@@ -62,10 +62,10 @@ def fetch_outcomes(raw: DataFrame) -> DataFrame:
 def annotate_schedules(schedules: DataFrame) -> DataFrame:
     """Each schedule with its frequency bucket, as a struct whose fields are
     in key order (so its JSON text is canonical)."""
-    bucket = N.cron_frequency("quartz_cron_expression")
-    return schedules.select(
+    bucket = F.col("bucket")
+    return N.with_cron_frequency(schedules, "quartz_cron_expression", "bucket").select(
         "dashboard_id",
-        bucket.alias("bucket"),
+        bucket,
         F.struct(
             F.coalesce(F.col("schedule_id"), F.lit("")).alias("k1"),
             F.coalesce(F.col("display_name"), F.lit("")).alias("k2"),
@@ -110,8 +110,7 @@ def schedule_summary(schedules: DataFrame) -> DataFrame:
 def schedule_frequency_counts(schedules: DataFrame) -> DataFrame:
     """B7 alone: schedule count and the eight bucket counts per dashboard
     (map-side partial aggregation; no list is collected)."""
-    bucket = N.cron_frequency("quartz_cron_expression")
-    return schedules.withColumn("__b", bucket).groupBy("dashboard_id").agg(
+    return N.with_cron_frequency(schedules, "quartz_cron_expression", "__b").groupBy("dashboard_id").agg(
         F.count(F.lit(1)).cast("int").alias("schedule_count"),
         *[F.sum(F.when(F.col("__b") == b, 1).otherwise(0)).cast("int").alias(f"schedule_frequency_{b}")
           for b in N.FREQ_BUCKETS],
@@ -122,32 +121,30 @@ def schedule_frequency_counts(schedules: DataFrame) -> DataFrame:
 def dashboard_rows(raw: DataFrame, schedules: DataFrame | None = None,
                    include_serialized_dashboard: bool = True) -> DataFrame:
     """One normalized snapshot row per dashboard (25 columns)."""
-    r = ok_rows(raw).select(F.col("raw_json").alias("raw"), F.try_parse_json("raw_json").alias("v"))
-    j = lambda p: N.json_text("raw", p)
-    sd_type = F.schema_of_variant(F.variant_get("v", "$.serialized_dashboard", "variant"))
+    # parse each record once; every field is read from the parsed map
+    r = ok_rows(raw).select(N.json_fields("raw_json").alias("m"))
+    f = lambda k: F.col("m")[k]
+    j = lambda k: N.variant_text(f(k))
+    sd = f("serialized_dashboard")
+    sd_type = F.schema_of_variant(sd)
     serialized = (
-        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"),
-               F.to_json(F.variant_get("v", "$.serialized_dashboard", "variant")))
-        .otherwise(j("$.serialized_dashboard"))
+        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"), F.to_json(sd)).otherwise(j("serialized_dashboard"))
     )
     if not include_serialized_dashboard:
         serialized = F.lit(None).cast("string")
-    meta = F.to_json(F.parse_json(F.to_json(F.map_filter(
-        F.from_json("raw", "map<string,variant>"), lambda k, _v: k != "serialized_dashboard"
-    ))))
     base = r.select(
-        j("$.dashboard_id").alias("dashboard_id"),
-        N.coerce_timestamp_json("raw", "$.create_time").alias("create_time"),
-        j("$.display_name").alias("display_name"),
-        j("$.etag").alias("etag"),
-        j("$.lifecycle_state").alias("lifecycle_state"),
-        j("$.parent_path").alias("parent_path"),
-        j("$.path").alias("path"),
-        j("$.warehouse_id").alias("warehouse_id"),
-        N.owner_from_path(j("$.parent_path")).alias("owner"),
-        meta.alias("dashboard_metadata_json"),
+        j("dashboard_id").alias("dashboard_id"),
+        N.coerce_timestamp_variant(f("create_time")).alias("create_time"),
+        j("display_name").alias("display_name"),
+        j("etag").alias("etag"),
+        j("lifecycle_state").alias("lifecycle_state"),
+        j("parent_path").alias("parent_path"),
+        j("path").alias("path"),
+        j("warehouse_id").alias("warehouse_id"),
+        N.owner_from_path(j("parent_path")).alias("owner"),
+        N.canonical_json_of_fields("m", drop=("serialized_dashboard",)).alias("dashboard_metadata_json"),
         serialized.alias("serialized_dashboard"),
-        N.coerce_timestamp_json("raw", "$.update_time").alias("update_time"),
+        N.coerce_timestamp_variant(f("update_time")).alias("update_time"),
     ).where(F.col("dashboard_id").isNotNull() & (F.col("dashboard_id") != ""))
     if schedules is None:
         sched = None
@@ -176,9 +173,9 @@ def space_rows(raw: DataFrame) -> DataFrame:
     """One normalized row per conversational space, with counts read from
     the nested ``serialized_space`` JSON (bad JSON → counts 0).  A record
     without a space id (e.g. an error body) is rejected, not kept as ''."""
-    r = ok_rows(raw).select(F.col("raw_json").alias("raw"), F.try_parse_json("raw_json").alias("v"))
-    j = lambda p: N.json_text("raw", p)
-    ss = j("$.serialized_space")
+    r = ok_rows(raw).select(F.try_parse_json("raw_json").alias("v"))
+    j = lambda p: N.variant_text("v", p)
+    ss = F.try_parse_json(j("$.serialized_space"))  # the nested definition, parsed once
     meta = F.to_json(F.col("v"))
     return r.where(F.length(j("$.space_id")) > 0).select(
         j("$.space_id").alias("space_id"),
@@ -186,14 +183,18 @@ def space_rows(raw: DataFrame) -> DataFrame:
         j("$.description").alias("description"),
         j("$.warehouse_id").alias("warehouse_id"),
         N.truthy_text("v", "$.creator_id").alias("creator_id"),
-        N.coerce_timestamp_json("raw", "$.create_time").alias("create_time"),
-        N.coerce_timestamp_json("raw", "$.update_time").alias("update_time"),
+        N.coerce_timestamp_variant(F.variant_get("v", "$.create_time", "variant")).alias("create_time"),
+        N.coerce_timestamp_variant(F.variant_get("v", "$.update_time", "variant")).alias("update_time"),
         meta.alias("space_metadata_json"),
         N.sha256_hex(meta, empty_is_null=False).alias("space_metadata_json_sha256"),
-        N.json_list_size(F.get_json_object(ss, "$.data_sources.tables")).cast("int").alias("table_count"),
-        N.json_list_or_dict_size(F.get_json_object(ss, "$.instructions")).cast("int").alias("instruction_count"),
-        N.json_list_size(F.get_json_object(ss, "$.config.sample_questions")).cast("int").alias("sample_question_count"),
-        N.json_list_size(F.get_json_object(ss, "$.config.curated_questions")).cast("int").alias("curated_question_count"),
+        ss.alias("__ss"),
+    ).select(
+        *[c for c in SPACE_COLUMNS if c not in ("table_count", "instruction_count", "sample_question_count",
+                                                  "curated_question_count")],
+        N.variant_list_size("__ss", "$.data_sources.tables").cast("int").alias("table_count"),
+        N.variant_list_or_dict_size("__ss", "$.instructions").cast("int").alias("instruction_count"),
+        N.variant_list_size("__ss", "$.config.sample_questions").cast("int").alias("sample_question_count"),
+        N.variant_list_size("__ss", "$.config.curated_questions").cast("int").alias("curated_question_count"),
     )
 
 
@@ -201,8 +202,8 @@ def space_rows(raw: DataFrame) -> DataFrame:
 def warehouse_rows(raw: DataFrame) -> DataFrame:
     """One normalized row per warehouse: integers safe-cast, flags and
     enums as text, ``channel`` = its ``name`` when it is an object."""
-    r = ok_rows(raw).select(F.col("raw_json").alias("raw"), F.try_parse_json("raw_json").alias("v"))
-    j = lambda p: N.json_text("raw", p)
+    r = ok_rows(raw).select(F.try_parse_json("raw_json").alias("v"))
+    j = lambda p: N.variant_text("v", p)
     channel = j("$.channel")
     meta = F.to_json(F.col("v"))
     return r.where(F.length(j("$.id")) > 0).select(
@@ -216,7 +217,8 @@ def warehouse_rows(raw: DataFrame) -> DataFrame:
         j("$.enable_photon").alias("enable_photon"),
         j("$.enable_serverless_compute").alias("enable_serverless_compute"),
         j("$.spot_instance_policy").alias("spot_instance_policy"),
-        F.when(channel.startswith("{"), j("$.channel.name")).otherwise(channel).alias("channel"),
+        F.when(F.schema_of_variant(F.variant_get("v", "$.channel", "variant")).startswith("OBJECT"),
+               j("$.channel.name")).otherwise(channel).alias("channel"),
         j("$.creator_name").alias("creator_name"),
         meta.alias("warehouse_metadata_json"),
         N.sha256_hex(meta, empty_is_null=False).alias("warehouse_metadata_json_sha256"),

@@ -44,17 +44,18 @@ def _untracked(df_cols: Sequence[str], keys: Sequence[str], tracked: Sequence[st
 
 
 def _versions(snapshots: DataFrame, version_col: str) -> DataFrame:
-    """One row per snapshot version with its neighbours.  The window has no
-    partition key, but it runs over the distinct versions only (one row per
-    snapshot taken), never over data rows."""
-    w = Window.orderBy(version_col)
-    return (
-        snapshots.select(version_col).distinct()
-        .select(
-            version_col,
-            F.lag(version_col).over(w).alias("__prev_version"),
-            F.lead(version_col).over(w).alias("__next_version"),
-        )
+    """One row per snapshot version with its neighbours.
+
+    The distinct versions (one per snapshot taken — a few thousand at
+    most, never data rows) are gathered into one sorted array and
+    exploded with their positions."""
+    arr = snapshots.select(version_col).distinct().agg(F.sort_array(F.collect_list(version_col)).alias("__v"))
+    pos = arr.select("__v", F.posexplode("__v").alias("__i", version_col))
+    n = F.size("__v")
+    return pos.select(
+        version_col,
+        F.when(F.col("__i") > 0, F.element_at("__v", F.col("__i"))).alias("__prev_version"),
+        F.when(F.col("__i") + 1 < n, F.element_at("__v", F.col("__i") + 2)).alias("__next_version"),
     )
 
 

@@ -664,7 +664,15 @@ def _metric_measures_sql() -> str:
     def rate(f):
         return sr(f"avg(case when {f} then 1.0::double else 0.0::double end) * 100")
 
-    pct = lambda p: sr(f"quantile_cont(cast(duration_ms as double), {p}) / 1000")
+    def pct(p):
+        # linear interpolation between closest ranks, written the way Spark's
+        # ``percentile`` evaluates it: (hi_rank - pos) * lo + (pos - lo_rank) * hi
+        sorted_ = "list_sort(list(cast(duration_ms as double)))"
+        pos = f"((cast(count(duration_ms) as double) - 1) * {p})"
+        lo_r, hi_r = f"floor({pos})", f"ceil({pos})"
+        lo, hi = f"{sorted_}[cast({lo_r} as bigint) + 1]", f"{sorted_}[cast({hi_r} as bigint) + 1]"
+        v = f"(case when {hi_r} = {lo_r} or {lo} = {hi} then {lo} else ({hi_r} - {pos}) * {lo} + ({pos} - {lo_r}) * {hi} end)"
+        return sr(f"{v} / 1000")
     items = [
         ("total_queries", "count(*)"),
         ("unique_users", "count(distinct executed_by)"),

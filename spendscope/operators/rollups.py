@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _fact_by(qca: DataFrame, key: str, extra: list[Column]) -> DataFrame:
@@ -111,17 +112,18 @@ def source_type() -> Column:
 def cost_by_source_type(qca: DataFrame) -> DataFrame:
     """Statements and cost per source type with the share of the total.
 
-    The total is a global aggregate over the (at most six) per-type rows —
-    exactly one row, so broadcasting it is bounded — joined back on a
-    constant key; no window moves data to a single partition.
+    The percent-of-total is a window without partition keys, and it runs
+    over the aggregated rows only — at most six, one per source type —
+    never over statements (Spark logs its generic single-partition
+    warning for it).  A separate total aggregate joined back would
+    evaluate the whole attribution twice.
     """
     agg = qca.groupBy(source_type().alias("source_type")).agg(
         F.count(F.lit(1)).alias("statements"),
         F.sum("attributed_cost_usd").alias("cost_usd"),
     )
-    total = agg.agg(F.sum("cost_usd").alias("__total")).withColumn("__k", F.lit(1))
-    j = agg.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k")
-    return j.select(
+    total = F.sum("cost_usd").over(Window.partitionBy())
+    return agg.select(
         "source_type", "statements", "cost_usd",
-        F.try_divide(F.lit(100.0) * F.col("cost_usd"), F.col("__total")).alias("pct_of_total"),
+        F.try_divide(F.lit(100.0) * F.col("cost_usd"), total).alias("pct_of_total"),
     )

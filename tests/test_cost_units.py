@@ -90,10 +90,12 @@ def test_no_bill_costs_zero_and_unfinished_is_dropped(spark):
 def test_salted_and_shuffle_joins_agree_with_broadcast(spark):
     stmts = [(f"s{i}", "ws", "FINISHED", T(2024, 1, 1, 10, i), T(2024, 1, 1, 12, i), 100 + i) for i in range(30)]
     bills = [(T(2024, 1, 1, h), 1.0 + h) for h in (10, 11, 12)]
-    a = attribute(spark, stmts, bills)
+    a = attribute(spark, stmts, bills, materialize_rates=True)
     b = attribute(spark, stmts, bills, max_broadcast_rows=0, salt_buckets=4)
     c = attribute(spark, stmts, bills, max_broadcast_rows=0, materialize_rates=False)
+    d = attribute(spark, stmts, bills)
     for k in a:
+        assert abs(a[k]["attributed_cost_usd"] - d[k]["attributed_cost_usd"]) < 1e-9
         assert abs(a[k]["attributed_cost_usd"] - b[k]["attributed_cost_usd"]) < 1e-9
         assert abs(a[k]["attributed_cost_usd"] - c[k]["attributed_cost_usd"]) < 1e-9
 

@@ -5,11 +5,19 @@ statement's cost is final only when no statement that could still be
 reported overlaps its hours.  With statements at most
 ``max_statement_hours`` long, every hour that ends before
 ``horizon - max_statement_hours`` is closed (``horizon`` = the time up to
-which query history is complete).  Each increment attributes the window
-as usual, keeps the statements whose last hour is closed, drops those
-already in the sink (left anti join on ``statement_id``) and appends the
-rest.  Appending is idempotent, so a retried batch (or a lost executor
-that re-runs it) does not duplicate rows.
+which query history is complete).
+
+Each increment only reads what can touch the newly closed hours: the
+previous closed boundary ``since`` is kept in ``_state.json`` beside the
+sink; a statement that becomes final now ends after ``since`` and any
+statement sharing one of its hours starts after
+``since - 2 * max_statement_hours - 1 h``, so query history and usage are
+read from there on (the parquet scan prunes the rest).  The increment
+attributes that slice, keeps the statements whose last hour closed in
+``(since, closed]``, drops those already in the sink (left anti join on
+``statement_id`` against the sink's recent rows) and appends the rest.
+Appending is idempotent, so a retried batch (or a lost executor that
+re-runs it) does not duplicate rows.
 
 :func:`run_stream` drives it from a Structured Streaming file source
 over the landed query history: each micro-batch advances the horizon to
@@ -19,6 +27,8 @@ the newest statement start seen, then appends what became final.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,20 +42,53 @@ def closed_until(horizon: dt.datetime, max_statement_hours: int) -> dt.datetime:
     return h.replace(minute=0, second=0, microsecond=0)
 
 
-def final_statements(qca: DataFrame, horizon: dt.datetime, max_statement_hours: int) -> DataFrame:
-    """Statements whose last hour ends at or before the closed boundary."""
-    limit = ntz_literal(closed_until(horizon, max_statement_hours))
-    last_hour_end = hour_floor(F.greatest(F.col("start_time"), F.col("end_time"))) + F.expr("INTERVAL 1 HOUR")
-    return qca.where(last_hour_end <= limit)
+def _last_hour_end():
+    return hour_floor(F.greatest(F.col("start_time"), F.col("end_time"))) + F.expr("INTERVAL 1 HOUR")
 
 
-def _sink_exists(spark: SparkSession, path: str) -> bool:
+def final_statements(qca: DataFrame, horizon: dt.datetime, max_statement_hours: int,
+                     since: dt.datetime | None = None) -> DataFrame:
+    """Statements whose last hour ends at or before the closed boundary
+    (and, with ``since``, after the previous one)."""
+    out = qca.where(_last_hour_end() <= ntz_literal(closed_until(horizon, max_statement_hours)))
+    return out if since is None else out.where(_last_hour_end() > ntz_literal(since))
+
+
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _sink_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def read_state(spark: SparkSession, sink_path: str) -> dt.datetime | None:
+    """The closed boundary recorded by the last increment (None before the first)."""
+    hpath, fs = _fs(spark, f"{sink_path.rstrip('/')}/_state.json")
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return dt.datetime.fromisoformat(json.loads(text)["closed_until"])
+
+
+def _write_state(spark: SparkSession, sink_path: str, boundary: dt.datetime) -> None:
+    hpath, fs = _fs(spark, f"{sink_path.rstrip('/')}/_state.json")
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{sink_path.rstrip('/')}/_state.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps({"closed_until": boundary.isoformat()}).encode("utf-8")))
+    out.close()
+    fs.delete(hpath, False)
+    fs.rename(tmp, hpath)
+
+
 def append_closed(
     sink_path: str,
     query_history: DataFrame,
@@ -56,22 +99,30 @@ def append_closed(
     window_days: int = 365,
     discount_pct: float = 0.0,
     max_statement_hours: int = 6,
-) -> int:
-    """Append newly final statements to the parquet sink; returns rows added."""
+) -> dt.datetime | None:
+    """Append newly final statements to the parquet sink; returns the new
+    closed boundary (None when nothing new closed)."""
     spark = query_history.sparkSession
-    qca = cost.query_cost_attribution(query_history, usage, prices, as_of, window_days, discount_pct)
-    new = final_statements(qca, horizon, max_statement_hours)
-    if _sink_exists(spark, sink_path):
-        done = spark.read.parquet(sink_path).select("statement_id")
-        new = new.join(done, "statement_id", "left_anti")
-    new = new.select(*cost.ATTRIBUTION_COLUMNS).cache()
-    try:
-        n = new.count()
-        if n:
-            new.write.mode("append").parquet(sink_path)
-    finally:
-        new.unpersist()
-    return n
+    boundary = closed_until(horizon, max_statement_hours)
+    since = read_state(spark, sink_path) if _sink_exists(spark, sink_path) else None
+    if since is not None and boundary <= since:
+        return None
+    qh, us = query_history, usage
+    if since is not None:
+        lower = ntz_literal(since - dt.timedelta(hours=2 * max_statement_hours + 1))
+        qh = qh.where(F.col("start_time") >= lower)
+        us = us.where(F.col("usage_start_time") >= lower)
+    qca = cost.query_cost_attribution(qh, us, prices, as_of, window_days, discount_pct)
+    new = final_statements(qca, horizon, max_statement_hours, since)
+    if since is not None:
+        recent = spark.read.parquet(sink_path).where(
+            F.col("end_time") >= ntz_literal(since - dt.timedelta(hours=1))).select("statement_id")
+        new = new.join(recent, "statement_id", "left_anti")
+    # append first, then advance the boundary: a failure in between only
+    # makes the next increment redo this slice, which the anti join dedups
+    new.select(*cost.ATTRIBUTION_COLUMNS).write.mode("append").parquet(sink_path)
+    _write_state(spark, sink_path, boundary)
+    return boundary
 
 
 def run_stream(

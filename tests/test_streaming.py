@@ -28,3 +28,22 @@ def test_stream_append_matches_batch(spark):
     incremental.append_closed(f"{root}/sink", qh, us, pr, dt.datetime(2024, 3, 1), fx.AS_OF)
     again = spark.read.parquet(f"{root}/sink")
     assert again.count() == batch.count() == again.select("statement_id").distinct().count()
+
+
+def test_weekly_increments_equal_rebuild(spark):
+    root = tempfile.mkdtemp(prefix="k1w-")
+    qh = fx.query_history(spark, SF)
+    pr = prices.effective_prices(fx.account_prices(spark, SF), fx.list_prices(spark, SF))
+    us = fx.usage(spark, SF)
+    for day in (3, 8, 9, 15, 22, 29):
+        incremental.append_closed(f"{root}/sink", qh, us, pr, dt.datetime(2024, 1, day), fx.AS_OF)
+    assert incremental.append_closed(f"{root}/sink", qh, us, pr, dt.datetime(2024, 1, 20), fx.AS_OF) is None
+    incremental.append_closed(f"{root}/sink", qh, us, pr, fx.AS_OF, fx.AS_OF)
+    sink = spark.read.parquet(f"{root}/sink")
+    batch = cost.query_cost_attribution(qh, us, pr, fx.AS_OF)
+    cols = ["statement_id", "attributed_cost_usd", "attributed_dbus"]
+    a = {r[0]: r for r in sink.select(*cols).collect()}
+    b = {r[0]: r for r in batch.select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert abs((a[k][1] or 0) - (b[k][1] or 0)) < 1e-9 and abs((a[k][2] or 0) - (b[k][2] or 0)) < 1e-9

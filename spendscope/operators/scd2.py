@@ -177,39 +177,42 @@ def as_of(history: DataFrame, version: int) -> DataFrame:
 
 # ------------------------------------------------------------------- C1 + storage
 class HistoryStore:
-    """A history kept as immutable parquet versions under ``root``.
-
-    ``apply(snapshot, version)`` reads the latest version, writes the new
-    history to a fresh folder (never overwriting what it reads), then
-    records it in ``_state.json``.  A ``version`` at or below the last
-    applied one is a no-op and returns ``None`` (the snapshot gate).
+    """A history kept as immutable parquet folders under ``root``.
+
+    Version ``n`` is written once to ``root/v<n>-<id>/`` partitioned by
+    ``__state``: ``closed`` holds the rows closed by that snapshot (they
+    never change again), ``open`` the open rows after it.  The history is
+    every version's ``closed`` part plus the latest ``open`` part, so an
+    applied snapshot writes only the open set and that version's changes
+    — not the whole history.  ``_state.json`` records the applied versions
+    (the snapshot gate: a ``version`` at or below the last is a no-op and
+    ``apply`` returns ``None``); it is replaced only after the data is
+    written, so a failed run leaves the previous state intact.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str]):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.tracked = list(keys), list(tracked)
 
-    def _state_path(self) -> str:
-        return f"{self.root}/_state.json"
-
-    def state(self) -> dict | None:
-        path = self._state_path()
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return hpath, hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def state(self) -> dict | None:
+        hpath, fs = self._fs(f"{self.root}/_state.json")
         if not fs.exists(hpath):
             return None
         stream = fs.open(hpath)
         try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
         return json.loads(text)
 
     def _write_state(self, state: dict) -> None:
+        hpath, fs = self._fs(f"{self.root}/_state.json")
         jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self._state_path())
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_state.{uuid.uuid4().hex}.tmp")
         out = fs.create(tmp, True)
         out.write(bytearray(json.dumps(state).encode("utf-8")))
@@ -221,16 +224,35 @@ class HistoryStore:
         st = self.state()
         return None if st is None else int(st["version"])
 
+    def _part(self, folder: str, state: str) -> str:
+        return f"{folder}/__state={state}"
+
+    def _read_parts(self, st: dict, open_only: bool = False) -> DataFrame:
+        paths = [] if open_only else [self._part(f, "closed") for f in st["folders"]]
+        paths.append(self._part(st["folders"][-1], "open"))
+        existing = [p for p in paths if self._fs(p)[1].exists(self._fs(p)[0])]
+        schema = self.spark.read.parquet(st["folders"][-1]).drop("__state").schema
+        if not existing:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*existing)
+
     def read(self) -> DataFrame | None:
         st = self.state()
-        return None if st is None else self.spark.read.parquet(st["path"])
+        return None if st is None else self._read_parts(st)
+
+    def read_open(self) -> DataFrame | None:
+        st = self.state()
+        return None if st is None else self._read_parts(st, open_only=True)
 
     def apply(self, snapshot: DataFrame, version: int, complete: bool = True) -> DataFrame | None:
-        last = self.last_version()
-        if last is not None and last >= int(version):
+        st = self.state()
+        if st is not None and int(st["version"]) >= int(version):
             return None
-        hist = apply_snapshot(self.read(), snapshot, version, self.keys, self.tracked, complete)
-        path = os.path.join(self.root, f"v{int(version)}-{uuid.uuid4().hex[:8]}")
-        hist.write.parquet(path)
-        self._write_state({"version": int(version), "path": path})
-        return self.spark.read.parquet(path)
+        open_rows = None if st is None else self._read_parts(st, open_only=True)
+        step = apply_snapshot(open_rows, snapshot, version, self.keys, self.tracked, complete)
+        folder = os.path.join(self.root, f"v{int(version)}-{uuid.uuid4().hex[:8]}")
+        (step.withColumn("__state", F.when(F.col(END).isNull(), "open").otherwise("closed"))
+         .write.partitionBy("__state").parquet(folder))
+        folders = ([] if st is None else st["folders"]) + [folder]
+        self._write_state({"version": int(version), "folders": folders})
+        return self.read()

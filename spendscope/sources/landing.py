@@ -155,9 +155,10 @@ def read_landing(spark: SparkSession, path: str, parallelism: int = 8, output_ba
 
 def snapshot_ids(landing: DataFrame, limit: int = 0) -> DataFrame:
     """A4: distinct non-null ids in sorted order, capped at ``limit`` (0 = all).
-    The sort is a distributed range sort; a cap plans as a top-k."""
-    ids = landing.select("object_id").where(F.col("object_id").isNotNull()).distinct()
-    return ids.orderBy("object_id").limit(limit) if limit > 0 else ids
+    The sort is a distributed range sort; with a cap it plans as a top-k
+    (each task keeps ``limit`` ids, the final merge ``limit`` × tasks)."""
+    ids = landing.select("object_id").where(F.col("object_id").isNotNull()).distinct().orderBy("object_id")
+    return ids.limit(limit) if limit > 0 else ids
 
 
 def select_ids(landing: DataFrame, ids: str) -> DataFrame:

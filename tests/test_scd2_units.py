@@ -77,4 +77,6 @@ def test_store_gate_and_as_of(spark):
         assert store.apply(s.where(F.col("version") == v), v) is not None
     assert store.apply(s.where(F.col("version") == 2), 2) is None  # version <= last: no-op
     assert store.last_version() == 3
+    assert rows_of(store.read()) == rows_of(scd2.backfill(s, ["object_id"], ["segment", "balance"]))
+    assert store.read_open().count() == scd2.current(store.read()).count()
     assert sorted(r["object_id"] for r in scd2.as_of(store.read(), 2).collect()) == [1, 3, 4]

@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 START = "__START_AT"
@@ -231,7 +232,7 @@ class HistoryStore:
         paths = [] if open_only else [self._part(f, "closed") for f in st["folders"]]
         paths.append(self._part(st["folders"][-1], "open"))
         existing = [p for p in paths if self._fs(p)[1].exists(self._fs(p)[0])]
-        schema = self.spark.read.parquet(st["folders"][-1]).drop("__state").schema
+        schema = StructType.fromJson(json.loads(st["schema"]))
         if not existing:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*existing)
@@ -250,9 +251,10 @@ class HistoryStore:
             return None
         open_rows = None if st is None else self._read_parts(st, open_only=True)
         step = apply_snapshot(open_rows, snapshot, version, self.keys, self.tracked, complete)
+        schema = step.schema
         folder = os.path.join(self.root, f"v{int(version)}-{uuid.uuid4().hex[:8]}")
         (step.withColumn("__state", F.when(F.col(END).isNull(), "open").otherwise("closed"))
          .write.partitionBy("__state").parquet(folder))
         folders = ([] if st is None else st["folders"]) + [folder]
-        self._write_state({"version": int(version), "folders": folders})
+        self._write_state({"version": int(version), "folders": folders, "schema": schema.json()})
         return self.read()

@@ -436,13 +436,18 @@ def q_scd2_backfill(spark, sf_dir):
 
 
 def incremental_history(spark, sf_dir):
+    """Apply the snapshots one at a time to a stored history (in the shared
+    checkpoint folder): each version writes its closed rows and open set."""
+    import uuid as _uuid
+
+    from spendscope.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/scd2-{_uuid.uuid4().hex}"
+    store = scd2.HistoryStore(spark, root, SNAP_KEYS, SNAP_TRACKED)
     snaps = _snapshots(spark, sf_dir)
-    history = None
     for v in SNAP_VERSIONS:
-        history = scd2.apply_snapshot(history, snaps.where(F.col("version") == v), v, SNAP_KEYS, SNAP_TRACKED)
-        # cut lineage between snapshot applications, as a stored history does
-        history = materialize(history, f"scd2_v{v}")
-    return history
+        store.apply(snaps.where(F.col("version") == v).drop("version"), v)
+    return store.read()
 
 
 @register("scd2_incremental", oracle.build(["fx_snapshots"], "select * from scd2_history", extra=[_O_ISLANDS]))

@@ -115,7 +115,7 @@ _WS = " \t\n\r\f\u000b"
 
 def cron_fields(expr: Column | str) -> Column:
     """Whitespace-separated fields of a cron text (empty array for blank)."""
-    t = F.trim(_c(expr), F.lit(_WS))
+    t = F.btrim(_c(expr), F.lit(_WS))
     return F.when(F.length(t) > 0, F.split(t, r"\s+")).otherwise(F.array().cast("array<string>"))
 
 

@@ -566,9 +566,54 @@ def q_dashboard_rows(spark, sf_dir):
     return rows.select(*_DASH_PLAIN)
 
 
-@register("dashboard_snapshot_rows", None)
+_O_DASH_JSON = """'{"create_time":' || cast(case when c_custkey % 3 = 0 then 1700000000 + c_custkey
+      else 1700000000000 + c_custkey * 1000 end as varchar)
+  || ',"dashboard_id":' || to_json('d' || cast(c_custkey as varchar))
+  || ',"display_name":' || to_json(c_name)
+  || ',"etag":' || to_json(cast(c_custkey * 7 as varchar))
+  || ',"lifecycle_state":' || case when c_acctbal < 0 then '"TRASHED"' else '"ACTIVE"' end
+  || coalesce(',"parent_path":' || to_json(case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team'
+       when 1 then '/Users/' when 2 then '/Shared/reports' end), '')
+  || ',"path":' || to_json(coalesce(case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team'
+       when 1 then '/Users/' when 2 then '/Shared/reports' end, '') || '/dash' || cast(c_custkey as varchar) || '.lvdash.json')
+  || ',"update_time":' || to_json(case c_custkey % 5
+       when 0 then '2024-01-' || lpad(cast(1 + c_custkey % 28 as varchar), 2, '0') || 'T10:00:00Z'
+       when 1 then '2024-01-' || lpad(cast(1 + c_custkey % 28 as varchar), 2, '0') || 'T10:00:00+02:00'
+       when 2 then '' when 3 then 'not a time'
+       else '2024-01-' || lpad(cast(1 + c_custkey % 28 as varchar), 2, '0') || ' 10:00:00.250' end)
+  || ',"warehouse_id":' || to_json('w' || cast(c_nationkey % 4 as varchar)) || '}'"""
+_O_SCHEDULE_JSON = f"""'{{"cron_schedule":{{"human_schedule":"' || {_BUCKET_BY_MOD.format(m='o_orderkey % 10')} || '"'
+  || coalesce(',"quartz_cron_expression":' || to_json(case o_orderkey % 10 when 0 then '0 * * * * ?'
+       when 1 then '0 */5 * * * ?' when 2 then '0 0 9 * * ?' when 3 then '0 0 9 ? * MON' when 4 then '0 0 9 1 * ?'
+       when 5 then '0 0 9 1 1 ?' when 6 then '0 9 * * *' when 7 then '0 0 9 1 1 MON' when 8 then '' end), '')
+  || ',"timezone_id":"UTC"}},"display_name":' || to_json('S' || cast(o_orderkey as varchar))
+  || ',"pause_status":' || case when o_orderkey % 3 = 0 then '"PAUSED"' else '"UNPAUSED"' end
+  || ',"schedule_id":' || to_json('sc' || cast(o_orderkey as varchar)) || '}}'"""
+
+
+@register("dashboard_snapshot_rows", oracle.build([], f"""
+with sched as (
+  {_bucket_counts_sql("'d' || cast(o_custkey as varchar)", "o_orderkey % 10", "orders")}),
+sched_json as (
+  select 'd' || cast(o_custkey as varchar) as dashboard_id,
+    '[' || string_agg({_O_SCHEDULE_JSON}, ',' order by 'sc' || cast(o_orderkey as varchar), 'S' || cast(o_orderkey as varchar)) || ']'
+      as schedules_json
+  from orders group by 1),
+meta as (
+  select 'd' || cast(c_custkey as varchar) as dashboard_id, {_O_DASH_JSON} as dashboard_metadata_json,
+    '{{"pages":[{{"name":"p' || cast(c_custkey as varchar) || '"}}]}}' as serialized_dashboard
+  from customer)
+select e.*, m.dashboard_metadata_json, sha256(m.dashboard_metadata_json) as dashboard_metadata_json_sha256,
+  m.serialized_dashboard, sha256(m.serialized_dashboard) as serialized_dashboard_sha256,
+  j.schedules_json, sha256(j.schedules_json) as schedules_json_sha256,
+  coalesce(s.schedule_count, 0) as schedule_count,
+  {", ".join(f"coalesce(s.schedule_frequency_{b}, 0) as schedule_frequency_{b}" for b in N.FREQ_BUCKETS)}
+from dash_expected e
+join meta m on e.dashboard_id = m.dashboard_id
+left join sched s on e.dashboard_id = s.dashboard_id
+left join sched_json j on e.dashboard_id = j.dashboard_id""", extra=[_O_DASH_EXPECTED]))
 def q_dashboard_snapshot_rows(spark, sf_dir):
-    """All 25 snapshot columns incl. canonical JSON and hashes (rows-only check)."""
+    """All 25 snapshot columns incl. canonical JSON and hashes."""
     return normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir), fx.raw_schedules(spark, sf_dir))
 
 
@@ -590,9 +635,29 @@ def q_space_counts(spark, sf_dir):
     return rows.select(*[c for c in normalize.SPACE_COLUMNS if "json" not in c])
 
 
-@register("space_snapshot_rows", None)
+_O_SPACE_TEXT = """case when p_partkey % 11 = 0 then '{bad json' else
+  '{"config":{"sample_questions":' || to_json(list_transform(range(p_partkey % 3), lambda x: 'q'))
+  || case when p_partkey % 2 = 0 then ',"curated_questions":["c"]' else '' end
+  || '},"data_sources":{"tables":' || to_json(list_transform(range(p_partkey % 4), lambda x: 't'))
+  || '},"instructions":' || case p_partkey % 5 when 0 then '["a","b"]' when 1 then '{"text":"x"}' when 2 then '"x"'
+       when 3 then '7' else 'null' end || '}' end"""
+_O_SPACE_JSON = f"""'{{"create_time":' || cast(1700000000 + p_partkey as varchar)
+  || ',"creator_id":' || cast(p_partkey % 7 as varchar)
+  || ',"description":' || to_json(p_type)
+  || ',"serialized_space":' || to_json({_O_SPACE_TEXT})
+  || ',"space_id":' || to_json('g' || cast(p_partkey as varchar))
+  || ',"title":' || to_json(p_name)
+  || ',"update_time":"2024-02-01T00:00:00Z"'
+  || ',"warehouse_id":' || to_json('w' || cast(p_partkey % 4 as varchar)) || '}}'"""
+
+
+@register("space_snapshot_rows", f"""
+select s.*, j.space_metadata_json, sha256(j.space_metadata_json) as space_metadata_json_sha256
+from ({ORACLE["space_counts"]}) s
+join (select 'g' || cast(p_partkey as varchar) as space_id, {_O_SPACE_JSON} as space_metadata_json from part) j
+  on s.space_id = j.space_id""")
 def q_space_snapshot_rows(spark, sf_dir):
-    """All 13 space columns incl. canonical JSON and hash (rows-only check)."""
+    """All 13 space columns incl. canonical JSON and hash."""
     return normalize.space_rows(fx.raw_spaces(spark, sf_dir))
 
 
@@ -617,9 +682,30 @@ def q_warehouse_rows(spark, sf_dir):
     return rows.select(*[c for c in normalize.WAREHOUSE_COLUMNS if "json" not in c])
 
 
-@register("warehouse_snapshot_rows", None)
+_O_WAREHOUSE_JSON = """'{"auto_stop_mins":' || cast(10 + s_suppkey % 50 as varchar)
+  || case s_suppkey % 3 when 0 then ',"channel":{"name":"CHANNEL_NAME_CURRENT"}' when 1 then ',"channel":"CHANNEL_NAME_PREVIEW"' else '' end
+  || ',"cluster_size":' || case s_nationkey % 3 when 0 then '"Small"' when 1 then '"Medium"' else '"Large"' end
+  || ',"creator_name":' || to_json('c' || cast(s_suppkey as varchar))
+  || ',"enable_photon":' || case when s_suppkey % 2 = 0 then 'true' else 'false' end
+  || ',"enable_serverless_compute":' || case when s_suppkey % 3 = 0 then 'true' else 'false' end
+  || ',"id":' || to_json('w' || cast(s_suppkey as varchar))
+  || ',"max_num_clusters":' || case s_suppkey % 3 when 0 then '"4"' when 1 then '"many"' else cast(s_suppkey % 10 as varchar) end
+  || ',"min_num_clusters":1'
+  || ',"name":' || to_json(s_name)
+  || ',"num_active_sessions":' || cast(s_suppkey % 5 as varchar)
+  || case when s_suppkey % 4 <> 0 then ',"num_clusters":' || cast(s_suppkey % 3 as varchar) else '' end
+  || ',"spot_instance_policy":"COST_OPTIMIZED"'
+  || ',"state":' || case when s_suppkey % 2 = 0 then '"RUNNING"' else '"STOPPED"' end
+  || ',"warehouse_type":"PRO"}'"""
+
+
+@register("warehouse_snapshot_rows", f"""
+select w.*, j.warehouse_metadata_json, sha256(j.warehouse_metadata_json) as warehouse_metadata_json_sha256
+from ({ORACLE["warehouse_rows"]}) w
+join (select 'w' || cast(s_suppkey as varchar) as id, {_O_WAREHOUSE_JSON} as warehouse_metadata_json from supplier) j
+  on w.id = j.id""")
 def q_warehouse_snapshot_rows(spark, sf_dir):
-    """All 17 warehouse columns incl. canonical JSON and hash (rows-only check)."""
+    """All 17 warehouse columns incl. canonical JSON and hash."""
     return normalize.warehouse_rows(fx.raw_warehouses(spark, sf_dir))
 
 

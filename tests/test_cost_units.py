@@ -127,3 +127,23 @@ def test_hour_split_preserves_work(spark_session_for_hypothesis, spans):
         F.sum("work_ms_in_hour").alias("t")).collect()
     for r in per:
         assert abs(r["t"] - r["work_ms"]) < 1e-6 * max(1, r["work_ms"])
+
+
+def test_billed_hours_with_work_are_fully_attributed(spark):
+    """Σ attributed cost of an hour = the hour's bill, for every billed hour
+    whose total work is positive (idle hours are not attributed)."""
+    from spendscope import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    eff = prices.effective_prices(fx.account_prices(spark, sf), fx.list_prices(spark, sf))
+    hourly = cost.hourly_cost(fx.usage(spark, sf), eff, fx.AS_OF)
+    shw = cost.statement_hour_work(cost.statement_hours(cost.statements(fx.query_history(spark, sf), fx.AS_OF)))
+    totals = cost.hour_totals(shw)
+    att = cost.attribute_hours(shw, cost.hour_rates(totals, hourly))
+    per_hour = att.groupBy(*cost.HOUR_KEY).agg(F.sum("cost_usd_in_hour").alias("a"), F.sum("dbus_in_hour").alias("d"))
+    rows = (per_hour.join(totals.where(F.col("total_work_ms_in_hour") > 0), cost.HOUR_KEY)
+            .join(hourly, cost.HOUR_KEY).collect())
+    assert rows
+    for r in rows:
+        assert abs(r["a"] - r["list_cost_usd"]) <= 1e-9 * max(1.0, abs(r["list_cost_usd"]))
+        assert abs(r["d"] - r["dbus"]) <= 1e-9 * max(1.0, abs(r["dbus"]))

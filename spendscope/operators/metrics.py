@@ -7,10 +7,21 @@ measures=[...])`` compiles to a single ``groupBy(*dims).agg(*measures)``.
 Sums are taken over integer ms/bytes and converted to seconds/GB after
 aggregation, so they are exact and independent of summation order.
 
-Exact percentiles use Spark's ``percentile`` (linear interpolation, as
-PERCENTILE_CONT): its per-group state is a value → count map, bounded by
-the number of distinct durations in the group, not by its rows.  Pass
-``approx_percentiles=True`` for groups with extreme value cardinality.
+Percentiles are exact (linear interpolation between closest ranks, as
+PERCENTILE_CONT).  Two plans compute them:
+
+* ``"inline"`` — Spark's ``percentile`` inside the one aggregate: per group
+  a value → count map held in memory by the final task.
+* ``"distributed"`` — :func:`exact_percentiles`: a histogram
+  ``(group, value) → count`` (partial aggregation before the shuffle), a
+  running count in a window per group (sorted with spill, never held
+  whole in memory), then the two ranks around each quantile picked by a
+  grouped aggregate and interpolated with the same formula.  This is the
+  plan for a group that holds a large share of all statements.
+
+``percentiles="auto"`` (default) takes the distributed plan when the
+estimated input exceeds ``DISTRIBUTED_PERCENTILES_ABOVE_BYTES``;
+``"approx"`` uses ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -20,9 +31,46 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from spendscope.plans.joins import estimated_size
 
 GB = float(1024 ** 3)
 TB = float(1024 ** 4)
+DISTRIBUTED_PERCENTILES_ABOVE_BYTES = 1024 ** 3
+
+
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float]) -> DataFrame:
+    """Exact percentiles of ``value`` per ``by`` group without holding a
+    group in memory: one row per group with a column per name in ``ps``.
+
+    Ranks are 0-based; for p the position is (n - 1)·p between ranks
+    ``floor`` and ``ceil``, interpolated as
+    ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``.
+    """
+    by = list(by)
+    v = F.col(value).cast("double")
+    hist = df.where(F.col(value).isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    cum = F.sum("__c").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = hist.select(*by, "__v", (cum - F.col("__c")).alias("__first"), (cum - 1).alias("__last"),
+                         F.sum("__c").over(w).alias("__n"))
+    picks = []
+    for name, p in ps.items():
+        pos = (F.col("__n").cast("double") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (F.col("__first") <= rank) & (rank <= F.col("__last"))
+            picks.append(F.min(F.when(hit, F.col("__v"))).alias(f"__{name}_{side}"))
+    # grouping by the window's partition keys reuses its partitioning
+    agg = ranked.groupBy(*by).agg(F.max("__n").alias("__n"), *picks)
+    out = []
+    for name, p in ps.items():
+        pos = (F.col("__n").cast("double") - 1) * F.lit(float(p))
+        lo_r, hi_r = F.floor(pos), F.ceil(pos)
+        lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
+        val = F.when((hi_r == lo_r) | (lo == hi), lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
+        out.append(val.alias(name))
+    return agg.select(*by, *out)
 
 
 def metric_base(history: DataFrame) -> DataFrame:
@@ -87,20 +135,39 @@ class MetricSet:
     def measure(self, ident: str, display: str, build: Callable[[bool], Column]) -> None:
         self.measures[ident] = (display, build)
 
+    percentile_measures: dict[str, float] = field(default_factory=dict)  # id -> p over duration_ms
+
     def query(
         self,
         base: DataFrame,
         by: Sequence[str] = (),
         measures: Sequence[str] | None = None,
         where: Column | None = None,
-        approx_percentiles: bool = False,
+        percentiles: str = "auto",
     ) -> DataFrame:
         """Measures (all by default) at the grain of the ``by`` dimensions."""
         df = base if where is None else base.where(where)
-        dims = [F.col(self.dimensions[d][1]).alias(d) for d in by]
+        df = df.select("*", *[F.col(self.dimensions[d][1]).alias(f"__dim_{d}") for d in by])
+        keys = [f"__dim_{d}" for d in by]
         names = list(self.measures) if measures is None else list(measures)
-        aggs = [self.measures[m][1](approx_percentiles).alias(m) for m in names]
-        return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
+        pct = [m for m in names if m in self.percentile_measures]
+        if percentiles == "auto":
+            big = estimated_size(df)[0] > DISTRIBUTED_PERCENTILES_ABOVE_BYTES
+            percentiles = "distributed" if big and pct else "inline"
+        if percentiles != "distributed" or not pct:
+            approx = percentiles == "approx"
+            aggs = [self.measures[m][1](approx).alias(m) for m in names]
+            out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+            return out.select(*[F.col(k).alias(d) for k, d in zip(keys, by)], *names)
+        plain = [self.measures[m][1](False).alias(m) for m in names if m not in pct]
+        main = (df.groupBy(*keys).agg(*plain) if keys else df.agg(*plain)).withColumn("__j", F.lit(1))
+        exact = exact_percentiles(df, keys, "duration_ms", {m: self.percentile_measures[m] for m in pct})
+        exact = exact.select(*[F.col(k).alias(f"__e{k}") for k in keys],
+                             *[F.round(F.col(m) / 1000, 2).alias(m) for m in pct], F.lit(1).alias("__je"))
+        # one row per group on both sides; NULL dimension values match (null-safe keys)
+        cond = [F.col("__j") == F.col("__je")] + [F.col(k).eqNullSafe(F.col(f"__e{k}")) for k in keys]
+        j = main.join(exact, cond, "left")
+        return j.select(*[F.col(k).alias(d) for k, d in zip(keys, by)], *[F.col(m) for m in names])
 
 
 def _r(x: Column, d: int = 2) -> Column:
@@ -161,6 +228,7 @@ def _build_query_history_metrics() -> MetricSet:
     m.measure("p50_duration_sec", "P50 Duration Sec", _pct(0.50))
     m.measure("p95_duration_sec", "P95 Duration Sec", _pct(0.95))
     m.measure("p99_duration_sec", "P99 Duration Sec", _pct(0.99))
+    m.percentile_measures.update({"p50_duration_sec": 0.50, "p95_duration_sec": 0.95, "p99_duration_sec": 0.99})
     m.measure("total_compute_wait_sec", "Total Compute Wait Sec", lambda _a: _r(F.sum("compute_wait_ms") / 1000))
     m.measure("total_capacity_wait_sec", "Total Capacity Wait Sec", lambda _a: _r(F.sum("capacity_wait_ms") / 1000))
     m.measure("avg_wait_pct", "Avg Wait Pct", lambda _a: _r(F.avg("wait_pct_of_total")))

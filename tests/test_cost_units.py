@@ -147,3 +147,15 @@ def test_billed_hours_with_work_are_fully_attributed(spark):
     for r in rows:
         assert abs(r["a"] - r["list_cost_usd"]) <= 1e-9 * max(1.0, abs(r["list_cost_usd"]))
         assert abs(r["d"] - r["dbus"]) <= 1e-9 * max(1.0, abs(r["dbus"]))
+
+
+def test_distributed_percentiles_equal_inline(spark):
+    from spendscope import fixtures as fx
+    from spendscope.operators import metrics
+
+    base = metrics.metric_base(fx.metric_history(spark, "/root/testdata/sf0.001"))
+    for by in ([], ["executed_by"], ["query_date", "query_source_type"]):
+        a = metrics.QUERY_HISTORY_METRICS.query(base, by=by, percentiles="inline")
+        b = metrics.QUERY_HISTORY_METRICS.query(base, by=by, percentiles="distributed")
+        assert a.columns == b.columns
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -121,30 +121,32 @@ def schedule_frequency_counts(schedules: DataFrame) -> DataFrame:
 def dashboard_rows(raw: DataFrame, schedules: DataFrame | None = None,
                    include_serialized_dashboard: bool = True) -> DataFrame:
     """One normalized snapshot row per dashboard (25 columns)."""
-    # parse each record once; every field is read from the parsed map
+    # parse each record once; every field is read once from the parsed map
+    # (first projection), derived columns refer to those (second projection)
     r = ok_rows(raw).select(N.json_fields("raw_json").alias("m"))
     f = lambda k: F.col("m")[k]
-    j = lambda k: N.variant_text(f(k))
-    sd = f("serialized_dashboard")
-    sd_type = F.schema_of_variant(sd)
+    text_fields = ["dashboard_id", "display_name", "etag", "lifecycle_state", "parent_path", "path", "warehouse_id"]
+    fields = r.select(
+        *[N.variant_text(f(k)).alias(k) for k in text_fields],
+        f("create_time").alias("__create"), f("update_time").alias("__update"),
+        f("serialized_dashboard").alias("__sd"),
+        N.canonical_json_of_fields("m", drop=("serialized_dashboard",)).alias("dashboard_metadata_json"),
+    )
+    sd_type = F.schema_of_variant("__sd")
     serialized = (
-        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"), F.to_json(sd)).otherwise(j("serialized_dashboard"))
+        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"), F.to_json("__sd"))
+        .otherwise(N.variant_text("__sd"))
     )
     if not include_serialized_dashboard:
         serialized = F.lit(None).cast("string")
-    base = r.select(
-        j("dashboard_id").alias("dashboard_id"),
-        N.coerce_timestamp_variant(f("create_time")).alias("create_time"),
-        j("display_name").alias("display_name"),
-        j("etag").alias("etag"),
-        j("lifecycle_state").alias("lifecycle_state"),
-        j("parent_path").alias("parent_path"),
-        j("path").alias("path"),
-        j("warehouse_id").alias("warehouse_id"),
-        N.owner_from_path(j("parent_path")).alias("owner"),
-        N.canonical_json_of_fields("m", drop=("serialized_dashboard",)).alias("dashboard_metadata_json"),
+    base = fields.select(
+        "dashboard_id",
+        N.coerce_timestamp_variant("__create").alias("create_time"),
+        "display_name", "etag", "lifecycle_state", "parent_path", "path", "warehouse_id",
+        N.owner_from_path("parent_path").alias("owner"),
+        "dashboard_metadata_json",
         serialized.alias("serialized_dashboard"),
-        N.coerce_timestamp_variant(f("update_time")).alias("update_time"),
+        N.coerce_timestamp_variant("__update").alias("update_time"),
     ).where(F.col("dashboard_id").isNotNull() & (F.col("dashboard_id") != ""))
     if schedules is None:
         sched = None

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendscope import schemas
 from spendscope.operators import cost, prices, rollups, scd2, usage
 from spendscope.plans.joins import materialize
+from spendscope.sources import landing as landing_mod
 from spendscope.sources import normalize, system_tables
 
 
@@ -60,14 +61,27 @@ def apply_inventory_snapshot(
     version: int,
     schedules: DataFrame | None = None,
     complete: bool = True,
+    limit: int = 0,
+    outcomes: dict | None = None,
 ) -> DataFrame:
     """Normalize one landed snapshot and apply it to the ``kind`` history
     (a version at or below the last applied one is a no-op).  Returns the
-    history as stored."""
+    history as stored.
+
+    ``limit`` caps the snapshot to the first ids in sorted order (a
+    development cap); a capped snapshot is partial, so keys outside it are
+    kept open rather than closed.  Pass a dict as ``outcomes`` to receive
+    the fetch-outcome counters, collected during the same pass."""
+    landing = landing_mod.cap_snapshot(landing, limit)
+    if limit > 0:
+        complete = False
+    landing, obs = normalize.observe_outcomes(landing, f"{kind}_outcomes_{version}")
     rows = schemas.conform(NORMALIZERS[kind](landing, schedules), schemas.snapshot_schema(kind))
     store = scd2.HistoryStore(spark, f"{store_root.rstrip('/')}/{kind}_history", schemas.KEYS[kind],
                               schemas.TRACKED[kind])
-    store.apply(rows, version, complete=complete)
+    applied = store.apply(rows, version, complete=complete)
+    if outcomes is not None and applied is not None:
+        outcomes.update(obs.get)
     return store.read()
 
 

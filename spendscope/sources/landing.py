@@ -53,6 +53,17 @@ def plan_chunks(items: list, parallelism: int) -> list[list]:
     return [items[i:i + size] for i in range(0, len(items), size)]
 
 
+# Hadoop URI schemes → the scheme pyarrow's file systems understand.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def _arrow_uri(path: str) -> str:
+    if "://" not in path:
+        return path
+    scheme, rest = path.split("://", 1)
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}://{rest}"
+
+
 class FileChunk(InputPartition):
     def __init__(self, files: list[str]):
         super().__init__(files)
@@ -83,6 +94,7 @@ class LandingReader(DataSourceReader):
         path = self.path
         if path.startswith("file:"):
             path = "/" + path[len("file:"):].lstrip("/")
+        path = _arrow_uri(path)
         if "://" in path:
             filesystem, root = fs.FileSystem.from_uri(path)
             prefix = path.split("://", 1)[0] + "://"
@@ -161,6 +173,15 @@ def snapshot_ids(landing: DataFrame, limit: int = 0) -> DataFrame:
     return ids.limit(limit) if limit > 0 else ids
 
 
+def cap_snapshot(landing: DataFrame, limit: int) -> DataFrame:
+    """Keep the objects whose ids are among the first ``limit`` sorted ids
+    (the development cap; 0 = no cap).  The id list is a top-k of at most
+    ``limit`` rows, so broadcasting it for the semi join is bounded."""
+    if limit <= 0:
+        return landing
+    return landing.join(F.broadcast(snapshot_ids(landing, limit)), "object_id", "left_semi")
+
+
 def select_ids(landing: DataFrame, ids: str) -> DataFrame:
     """A5: keep only the listed ids (comma separated); pushed into the scan."""
     wanted = parse_ids(ids) or []

@@ -58,6 +58,24 @@ def fetch_outcomes(raw: DataFrame) -> DataFrame:
     return raw.groupBy("status").agg(F.count(F.lit(1)).alias("objects"))
 
 
+def observe_outcomes(raw: DataFrame, name: str = "snapshot_outcomes"):
+    """A8 without an extra job: ``(raw_observed, observation)``; the counters
+    (objects, ok, missing, invalid) are filled in by whatever action later
+    consumes ``raw_observed`` (e.g. writing the normalized snapshot)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    st = F.col("status")
+    observed = raw.observe(
+        obs,
+        F.count(F.lit(1)).alias("objects"),
+        F.sum(F.when(st == "ok", 1).otherwise(0)).alias("ok"),
+        F.sum(F.when(st == "missing", 1).otherwise(0)).alias("missing"),
+        F.sum(F.when(~st.isin("ok", "missing") | st.isNull(), 1).otherwise(0)).alias("invalid"),
+    )
+    return observed, obs
+
+
 # ------------------------------------------------------------------ B6/B7/B12
 def annotate_schedules(schedules: DataFrame) -> DataFrame:
     """Each schedule with its frequency bucket, as a struct whose fields are

@@ -17,7 +17,9 @@ def test_inventory_history_and_cost_tables(spark):
     raw = fx.raw_dashboards(spark, SF)
     sched = fx.raw_schedules(spark, SF)
     n = raw.count()
-    pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1000, sched)
+    outcomes = {}
+    pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1000, sched, outcomes=outcomes)
+    assert outcomes["objects"] == n and outcomes["ok"] == n and outcomes["invalid"] == 0
     # second snapshot: ids ending in 5 deleted, ids ending in 3 renamed
     v2 = raw.where(~F.col("object_id").endswith("5")).withColumn(
         "raw_json",
@@ -50,3 +52,13 @@ def test_inventory_history_and_cost_tables(spark):
     assert spark.read.parquet(paths["dashboard_cost"]).count() == current.count()
     pipeline.register_views(tables)
     assert spark.sql("select count(*) from warehouse_cost").collect()[0][0] == 5
+
+
+def test_capped_snapshot_keeps_other_keys_open(spark):
+    root = tempfile.mkdtemp(prefix="pipeline-cap-")
+    raw = fx.raw_spaces(spark, SF)
+    full = pipeline.apply_inventory_snapshot(spark, root, "space", raw, 1)
+    n_open = scd2.current(full).count()
+    capped = pipeline.apply_inventory_snapshot(spark, root, "space", raw, 2, limit=5)
+    assert scd2.current(capped).count() == n_open  # nothing closed by the cap
+    assert capped.where(F.col("__END_AT").isNotNull()).count() == 0

@@ -87,7 +87,8 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Public list prices: a closed and an open validity interval per SKU (SKU_2 has none)."""
+    """Public list prices: a closed and an open validity interval per SKU (SKU_2 has none),
+    plus an open-ended catalogue price for one SKU per supplier."""
     r = table(spark, sf_dir, "region").where(F.col("r_regionkey") != 2)
     sku = F.concat(F.lit("SKU_"), F.col("r_regionkey").cast("string")).alias("sku_name")
     key = F.col("r_regionkey").cast("double")
@@ -103,19 +104,40 @@ def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
         (F.lit(0.6) + F.lit(0.1) * key).alias("price_usd"),
     )
-    return closed.unionByName(open_)
+    sup = table(spark, sf_dir, "supplier").select(
+        F.lit("AWS").alias("cloud"),
+        F.concat(F.lit("SKU_S"), F.col("s_suppkey").cast("string")).alias("sku_name"),
+        _ts_ntz("2023-01-01 00:00:00").alias("price_start_time"),
+        F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
+        (F.lit(0.01) * (F.col("s_suppkey") % 100).cast("double")).alias("price_usd"),
+    )
+    return closed.unionByName(open_).unionByName(sup)
 
 
 def account_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract prices: SKU_0 overrides the list price from 2024-01-15."""
+    """Contract prices: SKU_0 overrides the list price from 2024-01-15; every
+    10th supplier SKU is overridden at the list start; every 7th gets a
+    contract price from 2024-01-01 that overlaps its open list price."""
     r = table(spark, sf_dir, "region").where(F.col("r_regionkey") == 0)
-    return r.select(
+    base = r.select(
         F.lit("AWS").alias("cloud"),
         F.concat(F.lit("SKU_"), F.col("r_regionkey").cast("string")).alias("sku_name"),
         _ts_ntz("2024-01-15 00:00:00").alias("price_start_time"),
         F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
         F.lit(0.4).alias("price_usd"),
     )
+    s = table(spark, sf_dir, "supplier")
+    sku = F.concat(F.lit("SKU_S"), F.col("s_suppkey").cast("string")).alias("sku_name")
+    k = (F.col("s_suppkey") % 100).cast("double")
+    override = s.where(F.col("s_suppkey") % 10 == 0).select(
+        F.lit("AWS").alias("cloud"), sku, _ts_ntz("2023-01-01 00:00:00").alias("price_start_time"),
+        F.lit(None).cast("timestamp_ntz").alias("price_end_time"), (F.lit(0.005) * k).alias("price_usd"),
+    )
+    overlap = s.where(F.col("s_suppkey") % 7 == 0).select(
+        F.lit("AWS").alias("cloud"), sku, _ts_ntz("2024-01-01 00:00:00").alias("price_start_time"),
+        F.lit(None).cast("timestamp_ntz").alias("price_end_time"), (F.lit(0.004) * k).alias("price_usd"),
+    )
+    return base.unionByName(override).unionByName(overlap)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,11 +47,20 @@ select 'AWS' as cloud, concat('SKU_', cast(r_regionkey as varchar)) as sku_name,
   cast(0.5 as double) + cast(0.1 as double) * r_regionkey as price_usd from region where r_regionkey <> 2
 union all
 select 'AWS', concat('SKU_', cast(r_regionkey as varchar)), timestamp '2024-01-15 00:00:00', cast(null as timestamp),
-  cast(0.6 as double) + cast(0.1 as double) * r_regionkey from region where r_regionkey <> 2""",
+  cast(0.6 as double) + cast(0.1 as double) * r_regionkey from region where r_regionkey <> 2
+union all
+select 'AWS', concat('SKU_S', cast(s_suppkey as varchar)), timestamp '2023-01-01 00:00:00', cast(null as timestamp),
+  cast(0.01 as double) * cast(s_suppkey % 100 as double) from supplier""",
     "fx_account_prices": """
 select 'AWS' as cloud, concat('SKU_', cast(r_regionkey as varchar)) as sku_name,
   timestamp '2024-01-15 00:00:00' as price_start_time, cast(null as timestamp) as price_end_time,
-  cast(0.4 as double) as price_usd from region where r_regionkey = 0""",
+  cast(0.4 as double) as price_usd from region where r_regionkey = 0
+union all
+select 'AWS', concat('SKU_S', cast(s_suppkey as varchar)), timestamp '2023-01-01 00:00:00', cast(null as timestamp),
+  cast(0.005 as double) * cast(s_suppkey % 100 as double) from supplier where s_suppkey % 10 = 0
+union all
+select 'AWS', concat('SKU_S', cast(s_suppkey as varchar)), timestamp '2024-01-01 00:00:00', cast(null as timestamp),
+  cast(0.004 as double) * cast(s_suppkey % 100 as double) from supplier where s_suppkey % 7 = 0""",
     "fx_audit": """
 select cast(ts as date) as event_date,
   case event_type when 'view' then 'getPublishedDashboard' when 'click' then 'getDashboard' else event_type end as action_name,

@@ -95,67 +95,83 @@ select concat('d', cast(user_id % 10 as varchar)) as dashboard_id, concat('sc',
 from events""",
 }
 
-# Derived steps of the cost chain, written once as SQL and reused.
+# The cost chain as SQL, stated from the specification: contract prices
+# replace list prices with the same start (anti join); the bill per
+# workspace/warehouse/hour; each finished statement enumerated over its
+# clock hours by integer offsets; work prorated by whole-second overlap; one
+# per-hour book (total work + bill) that every statement-hour joins once.
 STEPS: dict[str, str] = {
-    "effective_prices": """
-select cloud, sku_name, price_start_time, price_end_time, price_usd from fx_account_prices
+    "prices_eff": """
+select a.cloud, a.sku_name, a.price_start_time, a.price_end_time, a.price_usd from fx_account_prices a
 union all
-select cloud, sku_name, price_start_time, price_end_time, price_usd from fx_list_prices lp
-where not exists (select 1 from fx_account_prices ap
-  where ap.cloud = lp.cloud and ap.sku_name = lp.sku_name and ap.price_start_time = lp.price_start_time)""",
-    "hourly_cost": f"""
+select l.cloud, l.sku_name, l.price_start_time, l.price_end_time, l.price_usd
+from fx_list_prices l
+left join (select distinct cloud, sku_name, price_start_time from fx_account_prices) o
+  on o.cloud = l.cloud and o.sku_name = l.sku_name and o.price_start_time = l.price_start_time
+where o.sku_name is null""",
+    "bill_by_hour": f"""
 select u.workspace_id, u.warehouse_id, date_trunc('hour', u.usage_start_time) as hour_start,
   sum(u.usage_quantity) as dbus,
-  sum(u.usage_quantity * coalesce(ep.price_usd, 0)) * {{factor}} as list_cost_usd
-from fx_usage u left join effective_prices ep
-  on u.cloud = ep.cloud and u.sku_name = ep.sku_name and u.usage_start_time >= ep.price_start_time
- and (ep.price_end_time is null or u.usage_start_time < ep.price_end_time)
-where u.billing_origin_product = 'SQL' and u.warehouse_id is not null and u.usage_start_time >= {CUTOFF_365}
-group by 1, 2, 3""",
-    "statements": f"""
+  sum(u.usage_quantity * coalesce(p.price_usd, 0)) * {{factor}} as list_cost_usd
+from fx_usage u
+left join prices_eff p
+  on p.cloud = u.cloud and p.sku_name = u.sku_name
+ and u.usage_start_time >= p.price_start_time
+ and u.usage_start_time < coalesce(p.price_end_time, timestamp 'infinity')
+where u.usage_start_time >= {CUTOFF_365} and u.billing_origin_product = 'SQL' and u.warehouse_id is not null
+group by all""",
+    "stmt": f"""
 select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time,
   coalesce(compilation_duration_ms, 0) + coalesce(execution_duration_ms, 0) + coalesce(result_fetch_duration_ms, 0) as work_ms
 from fx_query_history
-where warehouse_id is not null and start_time >= {CUTOFF_365} and execution_status = 'FINISHED' and end_time is not null""",
-    "statement_hours": """
-select s.*, unnest(generate_series(date_trunc('hour', s.start_time), date_trunc('hour', greatest(s.start_time, s.end_time)),
-  interval 1 hour)) as hour_start
-from statements s""",
-    "statement_hour_work": """
-select *,
-  case when floor(epoch(end_time)) - floor(epoch(start_time)) <= 0 then cast(work_ms as double)
-       else work_ms * (floor(epoch(least(end_time, hour_start + interval 1 hour))) - floor(epoch(greatest(start_time, hour_start))))
-            / (floor(epoch(end_time)) - floor(epoch(start_time))) end as work_ms_in_hour
-from statement_hours""",
-    "hour_total_work": """
+where execution_status = 'FINISHED' and end_time is not null and warehouse_id is not null and start_time >= {CUTOFF_365}""",
+    "stmt_hours": """
+select s.*, date_trunc('hour', s.start_time) + to_hours(t.k) as hour_start
+from stmt s
+cross join unnest(range(0, datediff('hour', date_trunc('hour', s.start_time),
+                                     date_trunc('hour', greatest(s.start_time, s.end_time))) + 1)) as t(k)""",
+    "stmt_hour_work": """
+select *, case when dur_s <= 0 then cast(work_ms as double) else work_ms * overlap_s / dur_s end as work_ms_in_hour
+from (
+  select *,
+    cast(floor(epoch(end_time)) - floor(epoch(start_time)) as bigint) as dur_s,
+    cast(floor(epoch(least(end_time, hour_start + interval 1 hour))) - floor(epoch(greatest(start_time, hour_start)))
+         as bigint) as overlap_s
+  from stmt_hours) x""",
+    "hour_total": """
 select workspace_id, warehouse_id, hour_start, sum(work_ms_in_hour) as total_work_ms_in_hour
-from statement_hour_work group by 1, 2, 3""",
-    "attributed_hour": """
-select s.statement_id, s.workspace_id, s.executed_by, s.warehouse_id, s.dashboard_id, s.genie_space_id, s.notebook_id,
-  s.alert_id, s.job_id, s.client_application, s.start_time, s.end_time, s.work_ms, s.hour_start, s.work_ms_in_hour,
-  (s.work_ms_in_hour / nullif(h.total_work_ms_in_hour, 0)) * coalesce(w.list_cost_usd, 0) as cost_usd_in_hour,
-  (s.work_ms_in_hour / nullif(h.total_work_ms_in_hour, 0)) * coalesce(w.dbus, 0) as dbus_in_hour
-from statement_hour_work s
-left join hour_total_work h on s.workspace_id = h.workspace_id and s.warehouse_id = h.warehouse_id and s.hour_start = h.hour_start
-left join hourly_cost w on s.workspace_id = w.workspace_id and s.warehouse_id = w.warehouse_id and s.hour_start = w.hour_start""",
-    "query_cost_attribution": """
-select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id, alert_id, job_id,
-  client_application, min(start_time) as start_time, max(end_time) as end_time, max(work_ms) as work_ms,
+from stmt_hour_work group by all""",
+    "hour_book": """
+select t.workspace_id, t.warehouse_id, t.hour_start, t.total_work_ms_in_hour, b.dbus, b.list_cost_usd
+from hour_total t left join bill_by_hour b
+  on b.workspace_id = t.workspace_id and b.warehouse_id = t.warehouse_id and b.hour_start = t.hour_start""",
+    "stmt_hour_cost": """
+select s.*,
+  s.work_ms_in_hour / nullif(h.total_work_ms_in_hour, 0) * coalesce(h.list_cost_usd, 0) as cost_usd_in_hour,
+  s.work_ms_in_hour / nullif(h.total_work_ms_in_hour, 0) * coalesce(h.dbus, 0) as dbus_in_hour
+from stmt_hour_work s left join hour_book h
+  on h.workspace_id = s.workspace_id and h.warehouse_id = s.warehouse_id and h.hour_start = s.hour_start""",
+    "stmt_cost": """
+select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id, alert_id,
+  job_id, client_application, min(start_time) as start_time, max(end_time) as end_time, max(work_ms) as work_ms,
   sum(cost_usd_in_hour) as attributed_cost_usd, sum(dbus_in_hour) as attributed_dbus
-from attributed_hour group by 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
+from stmt_hour_cost
+group by statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id, alert_id,
+  job_id, client_application""",
 }
 
 # Which earlier names each step reads.
 STEP_DEPS: dict[str, list[str]] = {
-    "effective_prices": ["fx_account_prices", "fx_list_prices"],
-    "hourly_cost": ["fx_usage", "effective_prices"],
-    "statements": ["fx_query_history"],
-    "statement_hours": ["statements"],
-    "statement_hour_work": ["statement_hours"],
-    "hour_total_work": ["statement_hour_work"],
-    "attributed_hour": ["statement_hour_work", "hour_total_work", "hourly_cost"],
-    "query_cost_attribution": ["attributed_hour"],
+    "prices_eff": ["fx_account_prices", "fx_list_prices"],
+    "bill_by_hour": ["fx_usage", "prices_eff"],
+    "stmt": ["fx_query_history"],
+    "stmt_hours": ["stmt"],
+    "stmt_hour_work": ["stmt_hours"],
+    "hour_total": ["stmt_hour_work"],
+    "hour_book": ["hour_total", "bill_by_hour"],
+    "stmt_hour_cost": ["stmt_hour_work", "hour_book"],
+    "stmt_cost": ["stmt_hour_cost"],
 }
 
 

@@ -89,16 +89,16 @@ QCA_OUT = [
 
 
 # --------------------------------------------------------------- H1 / R6
-@register("effective_prices", oracle.build(["effective_prices"], "select * from effective_prices"))
+@register("effective_prices", oracle.build(["prices_eff"], "select * from prices_eff"))
 def q_effective_prices(spark, sf_dir):
     """H1: contract prices override list prices for the same start."""
     return _prices(spark, sf_dir)
 
 
-@register("overlapping_prices", oracle.build(["effective_prices"], """
+@register("overlapping_prices", oracle.build(["prices_eff"], """
 select a.cloud, a.sku_name, a.price_start_time as first_start_time, a.price_end_time as first_end_time,
   b.price_start_time as second_start_time, b.price_end_time as second_end_time
-from effective_prices a join effective_prices b
+from prices_eff a join prices_eff b
   on a.cloud = b.cloud and a.sku_name = b.sku_name and a.price_start_time < b.price_start_time
  and b.price_start_time < coalesce(a.price_end_time, timestamp '9999-12-31 00:00:00')"""))
 def q_overlapping_prices(spark, sf_dir):
@@ -107,10 +107,10 @@ def q_overlapping_prices(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- H2
-_HOURLY_SELECT = f"""select workspace_id, warehouse_id, hour_start, {o4('dbus')}, {o4('list_cost_usd')} from hourly_cost"""
+_HOURLY_SELECT = f"""select workspace_id, warehouse_id, hour_start, {o4('dbus')}, {o4('list_cost_usd')} from bill_by_hour"""
 
 
-@register("hourly_cost", oracle.build(["hourly_cost"], _HOURLY_SELECT))
+@register("hourly_cost", oracle.build(["bill_by_hour"], _HOURLY_SELECT))
 def q_hourly_cost(spark, sf_dir):
     """H2: DBUs and cost per workspace, warehouse and hour."""
     return _hourly(spark, sf_dir).select("workspace_id", "warehouse_id", "hour_start", r4("dbus"), r4("list_cost_usd"))
@@ -119,8 +119,8 @@ def q_hourly_cost(spark, sf_dir):
 # Discounted costs are exact to 6 decimals (3-decimal DBUs x 1-decimal
 # prices x 0.65); rounding them at 4 digits would hit exact ties that float
 # summation order decides, so this query rounds at their own precision.
-@register("hourly_cost_discounted", oracle.build(["hourly_cost"], f"""select workspace_id, warehouse_id, hour_start,
-  {o4('dbus')}, {on('list_cost_usd', 6)} from hourly_cost""", factor=cost.discount_factor(35.0)))
+@register("hourly_cost_discounted", oracle.build(["bill_by_hour"], f"""select workspace_id, warehouse_id, hour_start,
+  {o4('dbus')}, {on('list_cost_usd', 6)} from bill_by_hour""", factor=cost.discount_factor(35.0)))
 def q_hourly_cost_discounted(spark, sf_dir):
     """H2 + D11: 35 % contract discount on the list cost."""
     return _hourly(spark, sf_dir, 35.0).select(
@@ -129,29 +129,29 @@ def q_hourly_cost_discounted(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ H3-H7
-@register("statements_in_window", oracle.build(["statements"], "select * from statements"))
+@register("statements_in_window", oracle.build(["stmt"], "select * from stmt"))
 def q_statements(spark, sf_dir):
     """H3: finished warehouse statements in the window with their work."""
     return cost.statements(fx.query_history(spark, sf_dir), fx.AS_OF, fx.WINDOW_DAYS)
 
 
-@register("statement_hours", oracle.build(["statement_hours"],
-                                          "select statement_id, warehouse_id, hour_start from statement_hours"))
+@register("statement_hours", oracle.build(["stmt_hours"],
+                                          "select statement_id, warehouse_id, hour_start from stmt_hours"))
 def q_statement_hours(spark, sf_dir):
     """H4: one row per statement and clock hour it spans."""
     stmts = cost.statements(fx.query_history(spark, sf_dir), fx.AS_OF, fx.WINDOW_DAYS)
     return cost.statement_hours(stmts).select("statement_id", "warehouse_id", "hour_start")
 
 
-@register("statement_hour_work", oracle.build(["statement_hour_work"], f"""
-select statement_id, hour_start, {o4('work_ms_in_hour')} from statement_hour_work"""))
+@register("statement_hour_work", oracle.build(["stmt_hour_work"], f"""
+select statement_id, hour_start, {o4('work_ms_in_hour')} from stmt_hour_work"""))
 def q_statement_hour_work(spark, sf_dir):
     """H5: work prorated to each hour by wall-clock overlap."""
     return _shw(spark, sf_dir).select("statement_id", "hour_start", r4("work_ms_in_hour"))
 
 
-@register("hour_totals", oracle.build(["hour_total_work"], f"""
-select workspace_id, warehouse_id, hour_start, {o4('total_work_ms_in_hour')} from hour_total_work"""))
+@register("hour_totals", oracle.build(["hour_total"], f"""
+select workspace_id, warehouse_id, hour_start, {o4('total_work_ms_in_hour')} from hour_total"""))
 def q_hour_totals(spark, sf_dir):
     """H6: total work per billed hour key."""
     return cost.hour_totals(_shw(spark, sf_dir)).select(
@@ -159,9 +159,9 @@ def q_hour_totals(spark, sf_dir):
     )
 
 
-@register("attributed_hours", oracle.build(["attributed_hour"], f"""
+@register("attributed_hours", oracle.build(["stmt_hour_cost"], f"""
 select statement_id, hour_start, {o4('work_ms_in_hour')}, {o4('cost_usd_in_hour')}, {o4('dbus_in_hour')}
-from attributed_hour"""))
+from stmt_hour_cost"""))
 def q_attributed_hours(spark, sf_dir):
     """H7: each statement-hour's share of the hour's bill."""
     shw = _shw(spark, sf_dir)
@@ -175,10 +175,10 @@ def q_attributed_hours(spark, sf_dir):
 _QCA_SELECT = f"""select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time, work_ms,
   {o4('attributed_cost_usd')}, {o4('attributed_dbus')}
-from query_cost_attribution"""
+from stmt_cost"""
 
 
-@register("query_cost_attribution", oracle.build(["query_cost_attribution"], _QCA_SELECT))
+@register("query_cost_attribution", oracle.build(["stmt_cost"], _QCA_SELECT))
 def q_query_cost_attribution(spark, sf_dir):
     """H8: per-statement attributed cost and DBUs (flagship)."""
     return cost_attribution(spark, sf_dir).select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))
@@ -193,13 +193,13 @@ _O_DASH = ("fx_dashboard_current_o", """select *, case when parent_path like '/U
 from fx_dashboard_current""")
 
 
-@register("dashboard_cost", oracle.build(["query_cost_attribution", "fx_dashboard_current"], f"""
+@register("dashboard_cost", oracle.build(["stmt_cost", "fx_dashboard_current"], f"""
 select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, dash.warehouse_id as configured_warehouse_id,
   count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
   {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
   {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
   max(qc.end_time) as last_statement_at
-from fx_dashboard_current_o dash left join query_cost_attribution qc on qc.dashboard_id = dash.dashboard_id
+from fx_dashboard_current_o dash left join stmt_cost qc on qc.dashboard_id = dash.dashboard_id
 group by 1, 2, 3, 4""", extra=[_O_DASH]))
 def q_dashboard_cost(spark, sf_dir):
     """H9: cost roll-up per dashboard (unused dashboards keep a zero row)."""
@@ -210,13 +210,13 @@ def q_dashboard_cost(spark, sf_dir):
     )
 
 
-@register("space_cost", oracle.build(["query_cost_attribution", "fx_space_current"], f"""
+@register("space_cost", oracle.build(["stmt_cost", "fx_space_current"], f"""
 select g.space_id, g.title as genie_space_title, g.warehouse_id as configured_warehouse_id, g.creator_id,
   count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
   {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
   {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
   count(distinct qc.executed_by) as unique_users, max(qc.end_time) as last_statement_at
-from fx_space_current g left join query_cost_attribution qc on qc.genie_space_id = g.space_id
+from fx_space_current g left join stmt_cost qc on qc.genie_space_id = g.space_id
 group by 1, 2, 3, 4"""))
 def q_space_cost(spark, sf_dir):
     """Cost roll-up per conversational space with distinct users."""
@@ -227,13 +227,13 @@ def q_space_cost(spark, sf_dir):
     )
 
 
-@register("warehouse_cost", oracle.build(["query_cost_attribution", "fx_warehouse_current"], f"""
+@register("warehouse_cost", oracle.build(["stmt_cost", "fx_warehouse_current"], f"""
 select w.id as warehouse_id, w.name as warehouse_name, w.cluster_size, w.warehouse_type, w.enable_serverless_compute,
   count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
   {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
   count(distinct qc.executed_by) as unique_users, count(distinct qc.dashboard_id) as dashboards_touched,
   count(distinct qc.genie_space_id) as genie_spaces_touched, max(qc.end_time) as last_statement_at
-from fx_warehouse_current w left join query_cost_attribution qc on qc.warehouse_id = w.id
+from fx_warehouse_current w left join stmt_cost qc on qc.warehouse_id = w.id
 group by 1, 2, 3, 4, 5"""))
 def q_warehouse_cost(spark, sf_dir):
     """Cost roll-up per warehouse with distinct users/dashboards/spaces."""
@@ -250,10 +250,10 @@ _SOURCE_CASE = """case when dashboard_id is not null then 'dashboard' when genie
     when job_id is not null then 'job' else 'other / direct' end"""
 
 
-@register("cost_by_source_type", oracle.build(["query_cost_attribution"], f"""
+@register("cost_by_source_type", oracle.build(["stmt_cost"], f"""
 select {_SOURCE_CASE} as source_type, count(*) as statements, {on('sum(attributed_cost_usd)', 2, 'cost_usd')},
   {on('100.0 * sum(attributed_cost_usd) / sum(sum(attributed_cost_usd)) over ()', 2, 'pct_of_total')}
-from query_cost_attribution group by 1"""))
+from stmt_cost group by 1"""))
 def q_cost_by_source_type(spark, sf_dir):
     """H13 + J7: statements and cost per source type, percent of total."""
     out = rollups.cost_by_source_type(cost_attribution(spark, sf_dir))
@@ -303,20 +303,20 @@ def q_dashboard_denormalized(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ J1-J8
-_O_RAW_HOURLY = ("raw_hourly", "select * from hourly_cost")
+_O_RAW_HOURLY = ("raw_hourly", "select * from bill_by_hour")
 
 
-@register("check_rowcount", oracle.build(["query_cost_attribution"],
-                                         "select count(*) as statements_attributed from query_cost_attribution"))
+@register("check_rowcount", oracle.build(["stmt_cost"],
+                                         "select count(*) as statements_attributed from stmt_cost"))
 def q_check_rowcount(spark, sf_dir):
     """Attributed statements (> 0 expected)."""
     return quality.check_rowcount(cost_attribution(spark, sf_dir))
 
 
-@register("check_variance", oracle.build(["query_cost_attribution", "hourly_cost"], f"""
-with mv_total as (select sum(attributed_cost_usd) as mv_total_usd from query_cost_attribution),
+@register("check_variance", oracle.build(["stmt_cost", "bill_by_hour"], f"""
+with mv_total as (select sum(attributed_cost_usd) as mv_total_usd from stmt_cost),
 raw_total as (select sum(u.usage_quantity * coalesce(lp.price_usd, 0)) as raw_total_usd
-  from fx_usage u left join effective_prices lp
+  from fx_usage u left join prices_eff lp
     on u.cloud = lp.cloud and u.sku_name = lp.sku_name and u.usage_start_time >= lp.price_start_time
    and (lp.price_end_time is null or u.usage_start_time < lp.price_end_time)
   where u.billing_origin_product = 'SQL' and u.warehouse_id is not null and u.usage_start_time >= {oracle.CUTOFF_365})
@@ -329,29 +329,29 @@ def q_check_variance(spark, sf_dir):
     return out.select(r4("mv_total_usd"), r4("raw_total_usd"), rn("variance_pct", 6))
 
 
-@register("check_bad_cost", oracle.build(["query_cost_attribution"], """
-select count(*) as bad_rows from query_cost_attribution where attributed_cost_usd < 0 or attributed_cost_usd is null"""))
+@register("check_bad_cost", oracle.build(["stmt_cost"], """
+select count(*) as bad_rows from stmt_cost where attributed_cost_usd < 0 or attributed_cost_usd is null"""))
 def q_check_bad_cost(spark, sf_dir):
     """Negative or NULL attributed cost (0 expected)."""
     return quality.check_bad_cost(cost_attribution(spark, sf_dir))
 
 
-@register("check_hour_overattributed", oracle.build(["query_cost_attribution", "hourly_cost"], """
+@register("check_hour_overattributed", oracle.build(["stmt_cost", "bill_by_hour"], """
 with per_hour as (select workspace_id, warehouse_id, date_trunc('hour', start_time) as hour_start,
-    sum(attributed_cost_usd) as hour_attributed from query_cost_attribution group by 1, 2, 3)
+    sum(attributed_cost_usd) as hour_attributed from stmt_cost group by 1, 2, 3)
 select count(*) as hours_overattributed
-from per_hour p join hourly_cost r using (workspace_id, warehouse_id, hour_start)
+from per_hour p join bill_by_hour r using (workspace_id, warehouse_id, hour_start)
 where p.hour_attributed > r.list_cost_usd * 1.01"""))
 def q_check_hour_overattributed(spark, sf_dir):
     """Hours whose start-hour-booked attribution exceeds the bill by > 1 %."""
     return quality.check_hour_overattributed(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
 
 
-@register("check_hour_overattributed_exact", oracle.build(["attributed_hour", "hourly_cost"], """
+@register("check_hour_overattributed_exact", oracle.build(["stmt_hour_cost", "bill_by_hour"], """
 with per_hour as (select workspace_id, warehouse_id, hour_start, sum(cost_usd_in_hour) as hour_attributed
-  from attributed_hour group by 1, 2, 3)
+  from stmt_hour_cost group by 1, 2, 3)
 select count(*) as hours_overattributed
-from per_hour p join hourly_cost r using (workspace_id, warehouse_id, hour_start)
+from per_hour p join bill_by_hour r using (workspace_id, warehouse_id, hour_start)
 where p.hour_attributed > r.list_cost_usd * 1.01"""))
 def q_check_hour_overattributed_exact(spark, sf_dir):
     """J4 exact (R9): per-hour split compared hour by hour (0 expected)."""
@@ -361,11 +361,11 @@ def q_check_hour_overattributed_exact(spark, sf_dir):
     return quality.check_hour_overattributed_exact(att, hourly)
 
 
-@register("top_dashboards", oracle.build(["query_cost_attribution", "fx_dashboard_current"], f"""
+@register("top_dashboards", oracle.build(["stmt_cost", "fx_dashboard_current"], f"""
 with dc as (
   select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, count(qc.statement_id) as statements,
     coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, coalesce(sum(qc.attributed_dbus), 0) as dbus
-  from fx_dashboard_current_o dash left join query_cost_attribution qc on qc.dashboard_id = dash.dashboard_id
+  from fx_dashboard_current_o dash left join stmt_cost qc on qc.dashboard_id = dash.dashboard_id
   group by 1, 2, 3)
 select dashboard_name, owner, statements, {on('cost_usd', 4)}, {on('dbus', 4)}
 from dc where cost_usd > 0 order by dc.cost_usd desc, dashboard_id limit 10""", extra=[_O_DASH]))
@@ -375,11 +375,11 @@ def q_top_dashboards(spark, sf_dir):
     return quality.top_dashboards(dc).select("dashboard_name", "owner", "statements", r4("cost_usd"), r4("dbus"))
 
 
-@register("top_spaces", oracle.build(["query_cost_attribution", "fx_space_current"], f"""
+@register("top_spaces", oracle.build(["stmt_cost", "fx_space_current"], f"""
 with sc as (
   select g.space_id, g.title as genie_space_title, g.creator_id, count(qc.statement_id) as statements,
     coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, count(distinct qc.executed_by) as unique_users
-  from fx_space_current g left join query_cost_attribution qc on qc.genie_space_id = g.space_id
+  from fx_space_current g left join stmt_cost qc on qc.genie_space_id = g.space_id
   group by 1, 2, 3)
 select genie_space_title, creator_id, statements, {on('cost_usd', 4)}, unique_users
 from sc where cost_usd > 0 order by sc.cost_usd desc, space_id limit 10"""))
@@ -389,10 +389,10 @@ def q_top_spaces(spark, sf_dir):
     return quality.top_spaces(sc).select("genie_space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
 
 
-@register("check_unbilled", oracle.build(["query_cost_attribution"], f"""
+@register("check_unbilled", oracle.build(["stmt_cost"], f"""
 select count(*) as unbilled_statements,
-  {on('100.0 * count(*) / (select count(*) from query_cost_attribution)', 2, 'unbilled_pct')}
-from query_cost_attribution where attributed_cost_usd = 0 or attributed_cost_usd is null"""))
+  {on('100.0 * count(*) / (select count(*) from stmt_cost)', 2, 'unbilled_pct')}
+from stmt_cost where attributed_cost_usd = 0 or attributed_cost_usd is null"""))
 def q_check_unbilled(spark, sf_dir):
     """Statements without a billed hour, count and percent."""
     return quality.check_unbilled(cost_attribution(spark, sf_dir)).select("unbilled_statements", rn("unbilled_pct", 2))
@@ -886,7 +886,7 @@ def q_snapshot_fetch_outcomes(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ K1
-@register("cost_incremental_append", oracle.build(["query_cost_attribution"], _QCA_SELECT))
+@register("cost_incremental_append", oracle.build(["stmt_cost"], _QCA_SELECT))
 def q_cost_incremental_append(spark, sf_dir):
     """K1: append-only cost history built in three increments (the later
     ones read only the slice that can touch their newly closed hours);
@@ -920,7 +920,7 @@ def _nested_system(spark, sf_dir):
     return _LANDED[key]
 
 
-@register("nested_query_cost_attribution", oracle.build(["query_cost_attribution"], _QCA_SELECT))
+@register("nested_query_cost_attribution", oracle.build(["stmt_cost"], _QCA_SELECT))
 def q_nested_query_cost_attribution(spark, sf_dir):
     """The flagship over nested system-table layouts (compute.warehouse_id,
     query_source.job_info.job_id, usage_metadata.warehouse_id, pricing.default)."""

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from spendscope.functions import normalize as N
 
+# The snapshot columns of each object type and the columns
+# whose change opens a new history version (raw JSON texts are not
+# tracked; their hashes are).
 DASHBOARD_COLUMNS = [
     "dashboard_id", "create_time", "display_name", "etag", "lifecycle_state", "parent_path", "path",
     "warehouse_id", "owner", "dashboard_metadata_json", "dashboard_metadata_json_sha256",

@@ -168,17 +168,7 @@ def safe_int(x: Column | str) -> Column:
     return _c(x).try_cast("int")
 
 
-def bool_text(x: Column | str) -> Column:
-    """Booleans as lower-case 'true'/'false' text; other values as text."""
-    return _c(x).cast("string")
-
-
 # ---------------------------------------------------------------------- JSON field access
-def json_text(raw: Column | str, path: str) -> Column:
-    """Text of a JSON field: strings unquoted, other values as JSON text."""
-    return F.get_json_object(_c(raw), path)
-
-
 def truthy_text(variant: Column | str, path: str) -> Column:
     """``str(x) if x else None`` for a JSON field: missing, null, '', 0, false,
     [] and {} are falsy."""
@@ -190,18 +180,11 @@ def truthy_text(variant: Column | str, path: str) -> Column:
         | (t == "NULL")
         | ((t == "STRING") & (s == ""))
         | ((t == "BOOLEAN") & (s == "false"))
-        | (t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)") & (F.try_variant_get(v, path, "double") == 0))
+        | (t.rlike(_NUMERIC_VARIANT) & (F.try_variant_get(v, path, "double") == 0))
         | (t.startswith("ARRAY") & (F.json_array_length(F.to_json(F.variant_get(v, path, "variant"))) == 0))
         | (t.startswith("OBJECT") & (F.to_json(F.variant_get(v, path, "variant")) == "{}"))
     )
     return F.when(~falsy, s)
 
 
-def json_list_or_dict_size(text: Column) -> Column:
-    """Length of a JSON array, or number of keys of a JSON object, else 0."""
-    return F.coalesce(F.json_array_length(text), F.size(F.json_object_keys(text)), F.lit(0))
-
 
-def json_list_size(text: Column) -> Column:
-    """Length of a JSON array, else 0."""
-    return F.coalesce(F.json_array_length(text), F.lit(0))

@@ -879,6 +879,30 @@ def q_snapshot_source_by_ids(spark, sf_dir):
     return landing.select_ids(_landing(spark, sf_dir), " d1, d2 ,, d10,d999 ").select("object_id", "status")
 
 
+def _landing_jsonl(spark, sf_dir):
+    """The raw dashboards landed as JSON lines (one object per line) plus one
+    line per nation that is not a valid object, scanned with the source."""
+    key = (id(spark), sf_dir, "jsonl")
+    if key not in _LANDED:
+        from spendscope.session import ensure_checkpoint_dir
+        import uuid as _uuid
+
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/landing-jsonl-{_uuid.uuid4().hex}"
+        junk = fx.table(spark, sf_dir, "nation").select(F.concat(F.lit("{truncated "), F.col("n_name")).alias("raw_json"))
+        fx.raw_dashboards(spark, sf_dir).select("raw_json").unionByName(junk).repartition(4).write.text(path)
+        _LANDED[key] = path
+    return landing.read_landing(spark, _LANDED[key], parallelism=4, fmt="jsonl", id_field="dashboard_id")
+
+
+@register("snapshot_source_jsonl", """
+select 'd' || cast(c_custkey as varchar) as object_id, 'ok' as status from customer
+union all
+select '' as object_id, 'invalid' as status from nation""")
+def q_snapshot_source_jsonl(spark, sf_dir):
+    """Landed JSON-lines objects scanned by the source; unparsable lines are kept as invalid."""
+    return _landing_jsonl(spark, sf_dir).select("object_id", "status")
+
+
 @register("snapshot_fetch_outcomes", "select 'ok' as status, count(*) as objects from customer")
 def q_snapshot_fetch_outcomes(spark, sf_dir):
     """Objects per fetch outcome."""

@@ -11,7 +11,10 @@ source scans that folder for a snapshot:
   record batches of ``output_batch_size`` rows, read column-pruned;
 * explicit ids (A5): option ``ids`` (comma separated, trimmed, blanks
   dropped) or a pushed-down ``object_id IN (...)`` / ``=`` filter is
-  applied inside the reader, per batch.
+  applied inside the reader, per batch;
+* formats: ``parquet`` files of ``(object_id, raw_json, status)``, or
+  ``jsonl`` files with one raw object per line (option ``id_field`` names
+  the key; a line that is not a JSON object gets ``status='invalid'``).
 
 Listing, de-duplication and the optional cap (A4) are DataFrame
 operations (:func:`snapshot_ids`), so they are distributed, not driver
@@ -64,6 +67,16 @@ def _arrow_uri(path: str) -> str:
     return f"{_ARROW_SCHEMES.get(scheme, scheme)}://{rest}"
 
 
+def _open(path: str):
+    """A binary input stream for a local path or a file-system URI."""
+    from pyarrow import fs
+
+    if "://" in path:
+        filesystem, inner = fs.FileSystem.from_uri(_arrow_uri(path))
+        return filesystem.open_input_file(inner)
+    return fs.LocalFileSystem().open_input_file(path)
+
+
 class FileChunk(InputPartition):
     def __init__(self, files: list[str]):
         super().__init__(files)
@@ -76,6 +89,10 @@ class LandingReader(DataSourceReader):
         self.parallelism = int(options.get("parallelism", "8"))
         self.batch_size = max(1, int(options.get("output_batch_size", "128")))
         self.ids = parse_ids(options.get("ids"))
+        self.format = options.get("format", "parquet").lower()
+        self.id_field = options.get("id_field", "id")
+        if self.format not in ("parquet", "jsonl"):
+            raise ValueError(f"unsupported landing format {self.format!r}")
 
     def pushFilters(self, filters):
         for f in filters:
@@ -101,9 +118,10 @@ class LandingReader(DataSourceReader):
         else:
             filesystem, root, prefix = fs.LocalFileSystem(), path, ""
         infos = filesystem.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        suffixes = (".parquet",) if self.format == "parquet" else (".json", ".jsonl", ".txt")
         files = sorted(
             i.path for i in infos
-            if i.type == fs.FileType.File and i.path.endswith(".parquet")
+            if i.type == fs.FileType.File and i.path.endswith(suffixes)
             and "/_" not in i.path[len(root):] and "/." not in i.path[len(root):]
         )
         return [prefix + f if prefix and not f.startswith(prefix) else f for f in files]
@@ -118,19 +136,50 @@ class LandingReader(DataSourceReader):
 
         wanted = pa.array(self.ids, pa.string()) if self.ids is not None else None
         for path in partition.files:
-            if "://" in path:
-                from pyarrow import fs
-
-                filesystem, inner = fs.FileSystem.from_uri(path)
-                pf = pq.ParquetFile(filesystem.open_input_file(inner))
+            if self.format == "parquet":
+                batches = pq.ParquetFile(_open(path)).iter_batches(
+                    batch_size=self.batch_size, columns=["object_id", "raw_json", "status"])
             else:
-                pf = pq.ParquetFile(path)
-            for batch in pf.iter_batches(batch_size=self.batch_size, columns=["object_id", "raw_json", "status"]):
+                batches = self._jsonl_batches(path)
+            for batch in batches:
                 if wanted is not None:
                     batch = batch.filter(pc.is_in(batch.column(0), value_set=wanted))
                 if batch.num_rows:
                     yield batch
 
+    def _jsonl_batches(self, path: str):
+        """One record per line: the id read from ``id_field``; a line that is
+        not a JSON object (or lacks the id) is kept with ``status='invalid'``."""
+        import io
+        import json
+
+        import pyarrow as pa
+
+        def flush(ids, raws, stats):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array(raws, pa.string()), pa.array(stats, pa.string())],
+                names=["object_id", "raw_json", "status"])
+
+        ids, raws, stats = [], [], []
+        with io.TextIOWrapper(_open(path), encoding="utf-8") as handle:
+            for line in handle:
+                line = line.rstrip("\n")
+                if not line.strip():
+                    continue
+                try:
+                    obj = json.loads(line)
+                except ValueError:
+                    obj = None
+                key = obj.get(self.id_field) if isinstance(obj, dict) else None
+                ids.append("" if key is None else str(key))
+                raws.append(line)
+                stats.append("ok" if key not in (None, "") else "invalid")
+                if len(ids) >= self.batch_size:
+                    yield flush(ids, raws, stats)
+                    ids, raws, stats = [], [], []
+        if ids:
+            yield flush(ids, raws, stats)
+
 
 class LandingSource(DataSource):
     @classmethod
@@ -156,10 +205,11 @@ def register(spark: SparkSession) -> None:
 
 
 def read_landing(spark: SparkSession, path: str, parallelism: int = 8, output_batch_size: int = 128,
-                 ids: str | None = None) -> DataFrame:
+                 ids: str | None = None, fmt: str = "parquet", id_field: str = "id") -> DataFrame:
     register(spark)
     reader = (spark.read.format(SOURCE_NAME).option("path", path).option("parallelism", str(parallelism))
-              .option("output_batch_size", str(output_batch_size)))
+              .option("output_batch_size", str(output_batch_size)).option("format", fmt)
+              .option("id_field", id_field))
     if ids is not None:
         reader = reader.option("ids", ids)
     return reader.load()

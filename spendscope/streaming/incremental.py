@@ -99,10 +99,16 @@ def append_closed(
     window_days: int = 365,
     discount_pct: float = 0.0,
     max_statement_hours: int = 6,
+    allowed_lateness_hours: int = 0,
 ) -> dt.datetime | None:
     """Append newly final statements to the parquet sink; returns the new
-    closed boundary (None when nothing new closed)."""
+    closed boundary (None when nothing new closed).
+
+    ``allowed_lateness_hours`` holds the boundary back further when query
+    history can arrive late (statements reported up to that long after
+    they ended), like a watermark delay."""
     spark = query_history.sparkSession
+    horizon = horizon - dt.timedelta(hours=allowed_lateness_hours)
     boundary = closed_until(horizon, max_statement_hours)
     since = read_state(spark, sink_path) if _sink_exists(spark, sink_path) else None
     if since is not None and boundary <= since:
@@ -113,7 +119,7 @@ def append_closed(
         qh = qh.where(F.col("start_time") >= lower)
         us = us.where(F.col("usage_start_time") >= lower)
     qca = cost.query_cost_attribution(qh, us, prices, as_of, window_days, discount_pct)
-    new = final_statements(qca, horizon, max_statement_hours, since)
+    new = final_statements(qca, horizon, max_statement_hours, since)  # horizon already lateness-adjusted
     if since is not None:
         recent = spark.read.parquet(sink_path).where(
             F.col("end_time") >= ntz_literal(since - dt.timedelta(hours=1))).select("statement_id")
@@ -137,6 +143,7 @@ def run_stream(
     discount_pct: float = 0.0,
     max_statement_hours: int = 6,
     available_now: bool = True,
+    allowed_lateness_hours: int = 0,
 ):
     """Structured Streaming driver: the file source over ``history_dir``
     (landed query-history parquet) triggers increments; state lives in the
@@ -150,7 +157,7 @@ def run_stream(
             return
         history = spark.read.parquet(history_dir)
         append_closed(sink_path, history, usage, prices, seen, as_of, window_days, discount_pct,
-                      max_statement_hours)
+                      max_statement_hours, allowed_lateness_hours)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

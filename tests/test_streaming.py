@@ -47,3 +47,17 @@ def test_weekly_increments_equal_rebuild(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert abs((a[k][1] or 0) - (b[k][1] or 0)) < 1e-9 and abs((a[k][2] or 0) - (b[k][2] or 0)) < 1e-9
+
+
+def test_lateness_holds_the_boundary_back(spark):
+    root = tempfile.mkdtemp(prefix="k1l-")
+    qh = fx.query_history(spark, SF)
+    pr = prices.effective_prices(fx.account_prices(spark, SF), fx.list_prices(spark, SF))
+    us = fx.usage(spark, SF)
+    b0 = incremental.append_closed(f"{root}/a", qh, us, pr, dt.datetime(2024, 1, 15), fx.AS_OF)
+    b1 = incremental.append_closed(f"{root}/b", qh, us, pr, dt.datetime(2024, 1, 15), fx.AS_OF,
+                                   allowed_lateness_hours=24)
+    assert b1 == b0 - dt.timedelta(hours=24)
+    a = spark.read.parquet(f"{root}/a").count()
+    b = spark.read.parquet(f"{root}/b").count()
+    assert 0 < b < a

@@ -228,8 +228,26 @@ class HistoryStore:
     def _part(self, folder: str, state: str) -> str:
         return f"{folder}/__state={state}"
 
+    def compact(self) -> None:
+        """Rewrite every version's closed rows into one folder (a new,
+        immutable version of the layout; the old folders are left for the
+        storage's retention to remove).  Keeps reads to two parts after
+        years of snapshots."""
+        st = self.state()
+        if st is None or len(st["folders"]) < 2:
+            return
+        schema = StructType.fromJson(json.loads(st["schema"]))
+        closed = self._read_parts(st).where(F.col(END).isNotNull())
+        folder = os.path.join(self.root, f"compact-v{int(st['version'])}-{uuid.uuid4().hex[:8]}")
+        closed.select(*schema.fieldNames()).withColumn("__state", F.lit("closed")).write.partitionBy("__state").parquet(
+            folder)
+        latest = st["folders"][-1]
+        # the latest folder's open part stays current; its closed part is now in the compacted folder
+        self._write_state({**st, "folders": [folder, latest], "skip_closed": [latest]})
+
     def _read_parts(self, st: dict, open_only: bool = False) -> DataFrame:
-        paths = [] if open_only else [self._part(f, "closed") for f in st["folders"]]
+        skip = set(st.get("skip_closed", []))
+        paths = [] if open_only else [self._part(f, "closed") for f in st["folders"] if f not in skip]
         paths.append(self._part(st["folders"][-1], "open"))
         existing = [p for p in paths if self._fs(p)[1].exists(self._fs(p)[0])]
         schema = StructType.fromJson(json.loads(st["schema"]))
@@ -256,5 +274,6 @@ class HistoryStore:
         (step.withColumn("__state", F.when(F.col(END).isNull(), "open").otherwise("closed"))
          .write.partitionBy("__state").parquet(folder))
         folders = ([] if st is None else st["folders"]) + [folder]
-        self._write_state({"version": int(version), "folders": folders, "schema": schema.json()})
+        skip = [] if st is None else st.get("skip_closed", [])
+        self._write_state({"version": int(version), "folders": folders, "schema": schema.json(), "skip_closed": skip})
         return self.read()

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def _fact_by(qca: DataFrame, key: str, extra: list[Column]) -> DataFrame:
@@ -112,18 +111,23 @@ def source_type() -> Column:
 def cost_by_source_type(qca: DataFrame) -> DataFrame:
     """Statements and cost per source type with the share of the total.
 
-    The percent-of-total is a window without partition keys, and it runs
-    over the aggregated rows only — at most six, one per source type —
-    never over statements (Spark logs its generic single-partition
-    warning for it).  A separate total aggregate joined back would
-    evaluate the whole attribution twice.
+    The share needs the grand total next to each per-type row.  The
+    per-type aggregate has at most six rows (one per source type, a fixed
+    set), so they are gathered into one row together with their total and
+    exploded again — a bounded gather, computed from a single evaluation
+    of the attribution (a total aggregated separately and joined back
+    would evaluate the whole chain twice).
     """
     agg = qca.groupBy(source_type().alias("source_type")).agg(
         F.count(F.lit(1)).alias("statements"),
         F.sum("attributed_cost_usd").alias("cost_usd"),
     )
-    total = F.sum("cost_usd").over(Window.partitionBy())
-    return agg.select(
-        "source_type", "statements", "cost_usd",
-        F.try_divide(F.lit(100.0) * F.col("cost_usd"), total).alias("pct_of_total"),
+    packed = agg.agg(
+        F.collect_list(F.struct("source_type", "statements", "cost_usd")).alias("__rows"),
+        F.sum("cost_usd").alias("__total"),
+    )
+    rows = packed.select(F.explode("__rows").alias("__r"), "__total")
+    return rows.select(
+        "__r.source_type", "__r.statements", "__r.cost_usd",
+        F.try_divide(F.lit(100.0) * F.col("__r.cost_usd"), F.col("__total")).alias("pct_of_total"),
     )

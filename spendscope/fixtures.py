@@ -88,21 +88,20 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Public list prices: a closed and an open validity interval per SKU (SKU_2 has none),
-    plus an open-ended catalogue price for one SKU per supplier."""
-    r = table(spark, sf_dir, "region").where(F.col("r_regionkey") != 2)
-    sku = F.concat(F.lit("SKU_"), F.col("r_regionkey").cast("string")).alias("sku_name")
+    plus an open-ended catalogue price for one SKU per supplier.  One scan per table."""
     key = F.col("r_regionkey").cast("double")
-    closed = r.select(
-        F.lit("AWS").alias("cloud"), sku,
-        _ts_ntz("2023-01-01 00:00:00").alias("price_start_time"),
-        _ts_ntz("2024-01-15 00:00:00").alias("price_end_time"),
-        (F.lit(0.5) + F.lit(0.1) * key).alias("price_usd"),
+    periods = F.array(
+        F.struct(_ts_ntz("2023-01-01 00:00:00").alias("s"), _ts_ntz("2024-01-15 00:00:00").alias("e"),
+                 (F.lit(0.5) + F.lit(0.1) * key).alias("p")),
+        F.struct(_ts_ntz("2024-01-15 00:00:00").alias("s"), F.lit(None).cast("timestamp_ntz").alias("e"),
+                 (F.lit(0.6) + F.lit(0.1) * key).alias("p")),
     )
-    open_ = r.select(
-        F.lit("AWS").alias("cloud"), sku,
-        _ts_ntz("2024-01-15 00:00:00").alias("price_start_time"),
-        F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
-        (F.lit(0.6) + F.lit(0.1) * key).alias("price_usd"),
+    region = (
+        table(spark, sf_dir, "region").where(F.col("r_regionkey") != 2)
+        .select(F.concat(F.lit("SKU_"), F.col("r_regionkey").cast("string")).alias("sku_name"),
+                F.explode(periods).alias("x"))
+        .select(F.lit("AWS").alias("cloud"), "sku_name", F.col("x.s").alias("price_start_time"),
+                F.col("x.e").alias("price_end_time"), F.col("x.p").alias("price_usd"))
     )
     sup = table(spark, sf_dir, "supplier").select(
         F.lit("AWS").alias("cloud"),
@@ -111,7 +110,7 @@ def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
         (F.lit(0.01) * (F.col("s_suppkey") % 100).cast("double")).alias("price_usd"),
     )
-    return closed.unionByName(open_).unionByName(sup)
+    return region.unionByName(sup)
 
 
 def account_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,18 +125,22 @@ def account_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("price_end_time"),
         F.lit(0.4).alias("price_usd"),
     )
-    s = table(spark, sf_dir, "supplier")
-    sku = F.concat(F.lit("SKU_S"), F.col("s_suppkey").cast("string")).alias("sku_name")
-    k = (F.col("s_suppkey") % 100).cast("double")
-    override = s.where(F.col("s_suppkey") % 10 == 0).select(
-        F.lit("AWS").alias("cloud"), sku, _ts_ntz("2023-01-01 00:00:00").alias("price_start_time"),
-        F.lit(None).cast("timestamp_ntz").alias("price_end_time"), (F.lit(0.005) * k).alias("price_usd"),
+    k = F.col("s_suppkey")
+    m = (k % 100).cast("double")
+    contracts = F.filter(
+        F.array(
+            F.struct((k % 10 == 0).alias("on"), _ts_ntz("2023-01-01 00:00:00").alias("s"), (F.lit(0.005) * m).alias("p")),
+            F.struct((k % 7 == 0).alias("on"), _ts_ntz("2024-01-01 00:00:00").alias("s"), (F.lit(0.004) * m).alias("p")),
+        ),
+        lambda c: c["on"],
     )
-    overlap = s.where(F.col("s_suppkey") % 7 == 0).select(
-        F.lit("AWS").alias("cloud"), sku, _ts_ntz("2024-01-01 00:00:00").alias("price_start_time"),
-        F.lit(None).cast("timestamp_ntz").alias("price_end_time"), (F.lit(0.004) * k).alias("price_usd"),
+    sup = (
+        table(spark, sf_dir, "supplier").where((k % 10 == 0) | (k % 7 == 0))
+        .select(F.concat(F.lit("SKU_S"), k.cast("string")).alias("sku_name"), F.explode(contracts).alias("x"))
+        .select(F.lit("AWS").alias("cloud"), "sku_name", F.col("x.s").alias("price_start_time"),
+                F.lit(None).cast("timestamp_ntz").alias("price_end_time"), F.col("x.p").alias("price_usd"))
     )
-    return base.unionByName(override).unionByName(overlap)
+    return base.unionByName(sup)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:

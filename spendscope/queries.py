@@ -912,9 +912,9 @@ def q_snapshot_fetch_outcomes(spark, sf_dir):
 # ------------------------------------------------------------------ K1
 @register("cost_incremental_append", oracle.build(["stmt_cost"], _QCA_SELECT))
 def q_cost_incremental_append(spark, sf_dir):
-    """K1: append-only cost history built in three increments (the later
-    ones read only the slice that can touch their newly closed hours);
-    must equal the full rebuild."""
+    """K1: append-only cost history built in two increments (the second
+    reads only the slice that can touch its newly closed hours); must
+    equal the full rebuild."""
     import datetime as _dt
     import uuid as _uuid
 
@@ -923,7 +923,7 @@ def q_cost_incremental_append(spark, sf_dir):
 
     sink = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/cost-history-{_uuid.uuid4().hex}"
     qh, us, pr = fx.query_history(spark, sf_dir), fx.usage(spark, sf_dir), _prices(spark, sf_dir)
-    for horizon in (_dt.datetime(2024, 1, 10), _dt.datetime(2024, 1, 20), fx.AS_OF):
+    for horizon in (_dt.datetime(2024, 1, 15), fx.AS_OF):
         incremental.append_closed(sink, qh, us, pr, horizon, fx.AS_OF, fx.WINDOW_DAYS)
     return spark.read.parquet(sink).select(*QCA_OUT, r4("attributed_cost_usd"), r4("attributed_dbus"))
 

@@ -6,19 +6,23 @@ proportion to wall-clock overlap; each billed hour is shared among the
 statements active in it in proportion to their work in that hour; the
 hour rows are then summed back to one row per statement.
 
-Plan shape (see ``README.md`` for the explain output):
+Plan shape (see ``README.md``):
 
-* usage ⋈ prices: prices are a short list → broadcast hash join with the
-  validity range as residual; usage is pre-aggregated to hour grain.
+* usage ⋈ prices: prices are a short list → broadcast hash join (behind a
+  size check) with the validity range as residual; usage is aggregated to
+  hour grain.
 * statements → statement-hours: a narrow ``explode`` (no shuffle).
 * hour totals: ``groupBy`` with map-side partial aggregation, so a busy
   warehouse-hour (one hot key) never lands whole in one task.
-* hour totals ⋈ hourly cost → ``hour_rates`` (both sides are aggregates).
-* statement-hours ⋈ hour_rates: broadcast when the size check passes,
-  otherwise a shuffle join with AQE skew splitting (or explicit salting).
-  A broadcast keeps the statement-hours in their scan partitions, so the
-  final per-statement ``groupBy`` collapses each statement's hour rows in
-  its partial aggregate before the one remaining shuffle.
+* large inputs: hour totals ⋈ hourly cost → ``hour_rates`` (one row per
+  active warehouse-hour), written once to the shared checkpoint folder;
+  statement-hours ⋈ hour_rates is a broadcast join when its size check
+  passes — the statement-hours stay in their scan partitions and the final
+  per-statement ``groupBy`` collapses each statement's hour rows in its
+  partial aggregate before the one remaining shuffle — otherwise a
+  shuffle join with AQE skew splitting (or explicit salting).
+* small inputs: two joins against the two aggregates, no hint; AQE sees
+  their real shuffle sizes and broadcasts them at run time.
 """
 
 from __future__ import annotations

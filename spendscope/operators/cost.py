@@ -67,6 +67,15 @@ def discount_factor(discount_pct: float) -> float:
 
 
 # --------------------------------------------------------------------- H2
+def partition_bound(df: DataFrame, date_col: str | None, since: dt.datetime) -> DataFrame:
+    """For a table partitioned by a DATE column: add the bound implied by a
+    timestamp lower bound, so whole partitions are skipped before any file
+    is opened (a filter on the timestamp column alone cannot prune them)."""
+    if not date_col:
+        return df
+    return df.where(F.col(date_col) >= F.lit(since.date()))
+
+
 def hourly_cost(
     usage: DataFrame,
     prices: DataFrame,
@@ -74,6 +83,7 @@ def hourly_cost(
     window_days: int = 365,
     discount_pct: float = 0.0,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    partition_date_col: str | None = None,
 ) -> DataFrame:
     """DBUs and (discounted) cost per (workspace, warehouse, hour).
 
@@ -83,7 +93,7 @@ def hourly_cost(
     A usage row without a matching price costs 0 but keeps its DBUs.
     """
     cutoff = ntz_literal(lookback_start(as_of, window_days))
-    u = usage.where(
+    u = partition_bound(usage, partition_date_col, lookback_start(as_of, window_days)).where(
         (F.col("billing_origin_product") == "SQL")
         & F.col("warehouse_id").isNotNull()
         & (F.col("usage_start_time") >= cutoff)
@@ -118,10 +128,14 @@ def work_ms(c: str = "compilation_duration_ms", e: str = "execution_duration_ms"
     return F.coalesce(F.col(c), zero) + F.coalesce(F.col(e), zero) + F.coalesce(F.col(r), zero)
 
 
-def statements(query_history: DataFrame, as_of: dt.datetime, window_days: int = 365) -> DataFrame:
-    """Finished warehouse statements that started in the window and ended."""
+def statements(query_history: DataFrame, as_of: dt.datetime, window_days: int = 365,
+               partition_date_col: str | None = None) -> DataFrame:
+    """Finished warehouse statements that started in the window and ended.
+    ``partition_date_col`` names a DATE partition column of the history
+    (derived from ``start_time``) to prune on."""
     cutoff = ntz_literal(lookback_start(as_of, window_days))
-    return query_history.where(
+    qh = partition_bound(query_history, partition_date_col, lookback_start(as_of, window_days))
+    return qh.where(
         F.col("warehouse_id").isNotNull()
         & (F.col("start_time") >= cutoff)
         & (F.col("execution_status") == "FINISHED")
@@ -222,17 +236,22 @@ def query_cost_attribution(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
     materialize_rates: bool | None = None,
+    history_date_col: str | None = None,
+    usage_date_col: str | None = None,
 ) -> DataFrame:
     """Per-statement attributed cost (the whole H2-H8 chain).
 
+    ``history_date_col`` / ``usage_date_col`` name DATE partition columns
+    of the inputs for partition pruning on the lookback window.
+
     ``materialize_rates`` writes the hour-rate table (one row per active
     warehouse-hour) to the shared checkpoint folder; its size is then
     known exactly (broadcast only within the bound) and the big join reads
     a lineage-free input.  ``None`` decides from the estimated size of the
     query-history input (see ``MATERIALIZE_ABOVE_BYTES``).
     """
-    hourly = hourly_cost(usage, prices, as_of, window_days, discount_pct, max_broadcast_rows)
-    stmts = statements(query_history, as_of, window_days)
+    hourly = hourly_cost(usage, prices, as_of, window_days, discount_pct, max_broadcast_rows, usage_date_col)
+    stmts = statements(query_history, as_of, window_days, history_date_col)
     if materialize_rates is None:
         materialize_rates = estimated_size(stmts)[0] > MATERIALIZE_ABOVE_BYTES
     shw = statement_hour_work(statement_hours(stmts))

@@ -118,14 +118,14 @@ left join prices_eff p
   on p.cloud = u.cloud and p.sku_name = u.sku_name
  and u.usage_start_time >= p.price_start_time
  and u.usage_start_time < coalesce(p.price_end_time, timestamp 'infinity')
-where u.usage_start_time >= {CUTOFF_365} and u.billing_origin_product = 'SQL' and u.warehouse_id is not null
+where u.usage_start_time >= {{cutoff}} and u.billing_origin_product = 'SQL' and u.warehouse_id is not null
 group by all""",
     "stmt": f"""
 select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time,
   coalesce(compilation_duration_ms, 0) + coalesce(execution_duration_ms, 0) + coalesce(result_fetch_duration_ms, 0) as work_ms
 from fx_query_history
-where execution_status = 'FINISHED' and end_time is not null and warehouse_id is not null and start_time >= {CUTOFF_365}""",
+where execution_status = 'FINISHED' and end_time is not null and warehouse_id is not null and start_time >= {{cutoff}}""",
     "stmt_hours": """
 select s.*, date_trunc('hour', s.start_time) + to_hours(t.k) as hour_start
 from stmt s
@@ -190,12 +190,13 @@ def _closure(names: list[str]) -> list[str]:
     return order
 
 
-def build(uses: list[str], body: str, factor: float = 1.0, extra: list[tuple[str, str]] | None = None) -> str:
+def build(uses: list[str], body: str, factor: float = 1.0, extra: list[tuple[str, str]] | None = None,
+          cutoff: str = CUTOFF_365) -> str:
     """``WITH`` every fixture/step in ``uses`` (and what they read), then
     the optional ``extra`` CTEs, then ``body``."""
     ctes = []
     for name in _closure(uses):
-        text = FIXTURES.get(name) or STEPS[name].replace("{factor}", repr(float(factor)))
+        text = FIXTURES.get(name) or STEPS[name].replace("{factor}", repr(float(factor))).replace("{cutoff}", cutoff)
         ctes.append(f"{name} AS ({text}\n)")
     for name, text in extra or []:
         ctes.append(f"{name} AS ({text}\n)")

@@ -38,3 +38,17 @@ def test_no_python_evaluation_outside_the_landing_source(spark):
             continue
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+
+
+def test_date_partitioned_history_is_pruned(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "qh")
+    fx.query_history(spark, "/root/testdata/sf0.001").withColumn("start_date", F.to_date("start_time")) \
+        .write.partitionBy("start_date").parquet(path)
+    qh = spark.read.parquet(path)
+    stmts = cost.statements(qh, fx.AS_OF, window_days=20, partition_date_col="start_date")
+    plan = stmts._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*start_date[^\]]*2024-01-12", plan), plan
+    full = cost.statements(qh, fx.AS_OF, window_days=20)
+    assert stmts.count() == full.count() > 0

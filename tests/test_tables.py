@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from spendscope import fixtures as fx
-from spendscope import pipeline, schemas
+from spendscope import schemas, tables
 from spendscope.operators import scd2
 from spendscope.sources import system_tables
 
@@ -13,12 +13,12 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_inventory_history_and_cost_tables(spark):
-    root = tempfile.mkdtemp(prefix="pipeline-")
+    root = tempfile.mkdtemp(prefix="tables-")
     raw = fx.raw_dashboards(spark, SF)
     sched = fx.raw_schedules(spark, SF)
     n = raw.count()
     outcomes = {}
-    pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1000, sched, outcomes=outcomes)
+    tables.apply_inventory_snapshot(spark, root, "dashboard", raw, 1000, sched, outcomes=outcomes)
     assert outcomes["objects"] == n and outcomes["ok"] == n and outcomes["invalid"] == 0
     # second snapshot: ids ending in 5 deleted, ids ending in 3 renamed
     v2 = raw.where(~F.col("object_id").endswith("5")).withColumn(
@@ -26,9 +26,9 @@ def test_inventory_history_and_cost_tables(spark):
         F.when(F.col("object_id").endswith("3"), F.regexp_replace("raw_json", "Customer", "Client"))
         .otherwise(F.col("raw_json")),
     )
-    hist = pipeline.apply_inventory_snapshot(spark, root, "dashboard", v2, 2000, sched)
+    hist = tables.apply_inventory_snapshot(spark, root, "dashboard", v2, 2000, sched)
     # re-applying an older version is a no-op
-    assert pipeline.apply_inventory_snapshot(spark, root, "dashboard", raw, 1500, sched).count() == hist.count()
+    assert tables.apply_inventory_snapshot(spark, root, "dashboard", raw, 1500, sched).count() == hist.count()
     deleted = raw.where(F.col("object_id").endswith("5")).count()
     renamed = raw.where(F.col("object_id").endswith("3")).count()
     assert hist.count() == n + renamed
@@ -38,27 +38,27 @@ def test_inventory_history_and_cost_tables(spark):
     assert current.count() == n - deleted
     assert set(current.columns) == set(schemas.snapshot_schema("dashboard").fieldNames())
 
-    nested = pipeline.SystemTables(
+    nested = tables.SystemTables(
         system_tables.nest_query_history(fx.query_history(spark, SF)),
         system_tables.nest_usage(fx.usage(spark, SF)),
         system_tables.nest_prices(fx.account_prices(spark, SF)),
         system_tables.nest_prices(fx.list_prices(spark, SF)),
         system_tables.nest_audit(fx.audit(spark, SF), request_params_as_map=False),
     ).flat()
-    tables = pipeline.cost_tables(nested, current, fx.space_current(spark, SF), fx.warehouse_current(spark, SF), fx.AS_OF)
-    paths = pipeline.write_tables(tables, f"{root}/tables")
+    built = tables.cost_tables(nested, current, fx.space_current(spark, SF), fx.warehouse_current(spark, SF), fx.AS_OF)
+    paths = tables.write_tables(built, f"{root}/tables")
     assert set(paths) == {"query_cost_attribution", "dashboard_cost", "space_cost", "warehouse_cost",
                           "dashboard_denormalized"}
     assert spark.read.parquet(paths["dashboard_cost"]).count() == current.count()
-    pipeline.register_views(tables)
+    tables.register_views(built)
     assert spark.sql("select count(*) from warehouse_cost").collect()[0][0] == 5
 
 
 def test_capped_snapshot_keeps_other_keys_open(spark):
-    root = tempfile.mkdtemp(prefix="pipeline-cap-")
+    root = tempfile.mkdtemp(prefix="tables-cap-")
     raw = fx.raw_spaces(spark, SF)
-    full = pipeline.apply_inventory_snapshot(spark, root, "space", raw, 1)
+    full = tables.apply_inventory_snapshot(spark, root, "space", raw, 1)
     n_open = scd2.current(full).count()
-    capped = pipeline.apply_inventory_snapshot(spark, root, "space", raw, 2, limit=5)
+    capped = tables.apply_inventory_snapshot(spark, root, "space", raw, 2, limit=5)
     assert scd2.current(capped).count() == n_open  # nothing closed by the cap
     assert capped.where(F.col("__END_AT").isNotNull()).count() == 0

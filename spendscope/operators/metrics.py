@@ -13,11 +13,11 @@ PERCENTILE_CONT).  Two plans compute them:
 * ``"inline"`` — Spark's ``percentile`` inside the one aggregate: per group
   a value → count map held in memory by the final task.
 * ``"distributed"`` — :func:`exact_percentiles`: a histogram
-  ``(group, value) → count`` (partial aggregation before the shuffle), a
-  running count in a window per group (sorted with spill, never held
-  whole in memory), then the two ranks around each quantile picked by a
-  grouped aggregate and interpolated with the same formula.  This is the
-  plan for a group that holds a large share of all statements.
+  ``(group, value) → count`` (partial aggregation before the shuffle),
+  range-partitioned so that a hot group spans many tasks, ranks from
+  per-segment offsets and in-segment running counts, then the two ranks
+  around each quantile picked by a grouped aggregate and interpolated
+  with the same formula.  No task holds a whole group.
 
 ``percentiles="auto"`` (default) takes the distributed plan when the
 estimated input exceeds ``DISTRIBUTED_PERCENTILES_ABOVE_BYTES``;
@@ -33,35 +33,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendscope.plans.joins import estimated_size
+from spendscope.plans.joins import estimated_size, materialize
 
 GB = float(1024 ** 3)
 TB = float(1024 ** 4)
 DISTRIBUTED_PERCENTILES_ABOVE_BYTES = 1024 ** 3
 
 
-def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float]) -> DataFrame:
-    """Exact percentiles of ``value`` per ``by`` group without holding a
-    group in memory: one row per group with a column per name in ``ps``.
-
-    Ranks are 0-based; for p the position is (n - 1)·p between ranks
-    ``floor`` and ``ceil``, interpolated as
-    ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``.
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float],
+                      partitions: int | None = None) -> DataFrame:
+    """Exact percentiles of ``value`` per ``by`` group, with no task holding
+    a whole group: one row per group with a column per name in ``ps``.
+
+    1. histogram ``(group, value) → count`` (partial aggregation);
+    2. range-partitioned on ``(group, value)`` and written once (so the
+       partition of every row is fixed) — a hot group spans many partitions;
+    3. per (group, partition) segment: its count, and the offset of the
+       segment within its group (a window over at most ``partitions`` rows
+       per group — for the global grain Spark logs its generic
+       single-partition warning for this window of ≤ ``partitions`` rows);
+    4. running counts inside each segment (a window bounded by one
+       partition), giving every value its 0-based rank range;
+    5. per group the values at ranks ``floor``/``ceil`` of (n - 1)·p,
+       interpolated as ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``.
     """
     by = list(by)
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
     hist = df.where(F.col(value).isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    cum = F.sum("__c").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = hist.select(*by, "__v", (cum - F.col("__c")).alias("__first"), (cum - 1).alias("__last"),
-                         F.sum("__c").over(w).alias("__n"))
+    ranged = materialize(
+        hist.repartitionByRange(n_parts, *by, "__v").withColumn("__pid", F.spark_partition_id()),
+        "percentile_histogram",
+    )
+    group = by or [F.lit(0)]
+    seg = ranged.groupBy(*by, "__pid").agg(F.sum("__c").alias("__seg_n"))
+    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.select(
+        *by, "__pid",
+        F.coalesce(F.sum("__seg_n").over(before), F.lit(0)).alias("__off"),
+        F.sum("__seg_n").over(Window.partitionBy(*group)).alias("__n"),
+    )
+    in_seg = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select(*by, "__pid", "__v", "__c", F.sum("__c").over(in_seg).alias("__cum"))
+    ranked = local.join(seg, [*by, "__pid"]).select(
+        *by, "__v", "__n",
+        (F.col("__off") + F.col("__cum") - F.col("__c")).alias("__first"),
+        (F.col("__off") + F.col("__cum") - 1).alias("__last"),
+    )
     picks = []
     for name, p in ps.items():
         pos = (F.col("__n").cast("double") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
             hit = (F.col("__first") <= rank) & (rank <= F.col("__last"))
             picks.append(F.min(F.when(hit, F.col("__v"))).alias(f"__{name}_{side}"))
-    # grouping by the window's partition keys reuses its partitioning
     agg = ranked.groupBy(*by).agg(F.max("__n").alias("__n"), *picks)
     out = []
     for name, p in ps.items():

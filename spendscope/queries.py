@@ -836,6 +836,13 @@ def q_metric_by_day_source(spark, sf_dir):
     return _metric(spark, sf_dir, ["query_date", "query_source_type"])
 
 
+@register("metric_global_distributed", _metric_sql([]))
+def q_metric_global_distributed(spark, sf_dir):
+    """All 33 measures over the whole history, percentiles by the
+    distributed exact plan (the single global group spread over tasks)."""
+    return _metric(spark, sf_dir, [], percentiles="distributed")
+
+
 @register("metric_by_user_distributed", _metric_sql(["executed_by"]))
 def q_metric_by_user_distributed(spark, sf_dir):
     """All 33 measures per user, percentiles by the distributed exact plan

@@ -71,3 +71,26 @@ def test_hot_hour_key(spark):
     # every billed hour has work, so the whole bill is attributed
     total = sum(expected.values())
     assert abs(total - 2.0 * usage.count()) < 1e-6
+
+
+def test_hot_group_percentiles_are_exact(spark):
+    """One group holds a third of the rows (10,000 distinct values): the
+    distributed exact percentiles equal Spark's in-memory percentile."""
+    from spendscope.operators.metrics import exact_percentiles
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string")))
+        .alias("g"),
+        ((F.col("id") * 7919) % 100003).alias("v"),
+    )
+    ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", ps, partitions=8).collect()}
+    want = {r["g"]: r for r in df.groupBy("g").agg(
+        *[F.percentile(F.col("v").cast("double"), F.lit(p)).alias(n) for n, p in ps.items()]).collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        for n in ps:
+            assert got[g][n] == want[g][n], (g, n)
+    glob = exact_percentiles(df, [], "v", ps, partitions=8).collect()[0]
+    ref = df.agg(*[F.percentile(F.col("v").cast("double"), F.lit(p)).alias(n) for n, p in ps.items()]).collect()[0]
+    assert all(glob[n] == ref[n] for n in ps)

@@ -95,15 +95,17 @@ class LandingReader(DataSourceReader):
             raise ValueError(f"unsupported landing format {self.format!r}")
 
     def pushFilters(self, filters):
+        """Take ``object_id IN (...)`` / ``object_id = x``; the rest stays with Spark."""
         for f in filters:
             if isinstance(f, In) and f.attribute == ("object_id",):
                 wanted = [str(v) for v in f.value]
-                self.ids = wanted if self.ids is None else [i for i in self.ids if i in set(wanted)]
             elif isinstance(f, EqualTo) and f.attribute == ("object_id",):
                 wanted = [str(f.value)]
-                self.ids = wanted if self.ids is None else [i for i in self.ids if i in set(wanted)]
             else:
                 yield f
+                continue
+            keep = set(wanted)
+            self.ids = wanted if self.ids is None else [i for i in self.ids if i in keep]
 
     def _files(self) -> list[str]:
         from pyarrow import fs

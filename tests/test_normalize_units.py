@@ -116,3 +116,17 @@ def test_plan_chunks():
     assert plan_chunks([], 4) == [[]]
     assert plan_chunks(list(range(5)), 2) == [[0, 1, 2], [3, 4]]
     assert plan_chunks(list(range(3)), 8) == [[0], [1], [2]]
+
+
+def test_records_without_a_key_are_rejected(spark):
+    """An error body or a record without its id never becomes a row."""
+    schema = "object_id string, raw_json string, status string"
+    spaces = spark.createDataFrame([("a", json.dumps({"error_code": "RATE_LIMITED"}), "ok"),
+                                    ("b", json.dumps({"space_id": "", "title": "x"}), "ok"),
+                                    ("c", json.dumps({"space_id": "g1"}), "ok")], schema)
+    assert [r["space_id"] for r in normalize.space_rows(spaces).collect()] == ["g1"]
+    dashboards = spark.createDataFrame([("a", json.dumps({"display_name": "no id"}), "ok"),
+                                        ("b", json.dumps({"dashboard_id": "d1"}), "ok")], schema)
+    assert [r["dashboard_id"] for r in normalize.dashboard_rows(dashboards).collect()] == ["d1"]
+    warehouses = spark.createDataFrame([("a", "{}", "ok"), ("b", json.dumps({"id": "w1"}), "ok")], schema)
+    assert [r["id"] for r in normalize.warehouse_rows(warehouses).collect()] == ["w1"]

@@ -56,7 +56,7 @@ def _query_history_columns() -> list[Column]:
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("executed_by"),
         F.concat(F.lit("w"), (F.col("user_id") % 4).cast("string")).alias("warehouse_id"),
         F.when(F.col("event_type") == "view", F.concat(F.lit("d"), (F.col("user_id") % 10).cast("string"))).alias("dashboard_id"),
-        F.when(F.col("event_type") == "click", F.concat(F.lit("g"), (F.col("user_id") % 3).cast("string"))).alias("genie_space_id"),
+        F.when(F.col("event_type") == "click", F.concat(F.lit("g"), (F.col("user_id") % 3).cast("string"))).alias("space_id"),
         F.when(F.col("event_type") == "signup", F.lit("nb1")).alias("notebook_id"),
         F.when(is_error & (k_int < 50), F.lit("al1")).alias("alert_id"),
         F.when(is_error & (k_int >= 50), F.lit("jb1")).alias("job_id"),

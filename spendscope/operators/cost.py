@@ -52,7 +52,7 @@ HOUR_KEY = ["workspace_id", "warehouse_id", "hour_start"]
 
 STATEMENT_COLUMNS = [
     "statement_id", "workspace_id", "executed_by", "warehouse_id",
-    "dashboard_id", "genie_space_id", "notebook_id", "alert_id", "job_id",
+    "dashboard_id", "space_id", "notebook_id", "alert_id", "job_id",
     "client_application",
 ]
 

@@ -109,8 +109,8 @@ def metric_base(history: DataFrame) -> DataFrame:
     cap_ms = F.coalesce(c("waiting_at_capacity_duration_ms"), zero)
     duration_ms = compile_ms + exec_ms + fetch_ms + cw_ms + cap_ms
     source_type = (
-        F.when(c("dashboard_id").isNotNull(), "AI/BI Dashboard")
-        .when(c("genie_space_id").isNotNull(), "Genie Space")
+        F.when(c("dashboard_id").isNotNull(), "Dashboard")
+        .when(c("space_id").isNotNull(), "Space")
         .when(c("notebook_id").isNotNull(), "Notebook")
         .when(c("alert_id").isNotNull(), "Alert")
         .when(c("job_id").isNotNull(), "Job")
@@ -127,7 +127,7 @@ def metric_base(history: DataFrame) -> DataFrame:
         "statement_type", "execution_status", "compute_type",
         source_type.alias("query_source_type"), "client_application",
         "notebook_id", "dashboard_id", F.lit(None).cast("string").alias("legacy_dashboard_id"),
-        "job_id", "alert_id", "genie_space_id",
+        "job_id", "alert_id", "space_id",
         F.lit(None).cast("string").alias("pipeline_id"), F.lit(None).cast("string").alias("sql_query_id"),
         duration_ms.alias("duration_ms"),
         compile_ms.alias("compilation_ms"), exec_ms.alias("execution_ms"), fetch_ms.alias("result_fetch_ms"),
@@ -231,7 +231,7 @@ def _build_query_history_metrics() -> MetricSet:
         ("client_application", "Client Application", "client_application"),
         ("notebook_id", "Notebook ID", "notebook_id"), ("dashboard_id", "Dashboard ID", "dashboard_id"),
         ("legacy_dashboard_id", "Legacy Dashboard ID", "legacy_dashboard_id"), ("job_id", "Job ID", "job_id"),
-        ("alert_id", "Alert ID", "alert_id"), ("genie_space_id", "Genie Space ID", "genie_space_id"),
+        ("alert_id", "Alert ID", "alert_id"), ("space_id", "Space ID", "space_id"),
         ("pipeline_id", "Pipeline ID", "pipeline_id"), ("sql_query_id", "SQL Query ID", "sql_query_id"),
         ("is_slow_query", "Is Slow Query", "is_slow_query"),
         ("is_very_slow_query", "Is Very Slow Query", "is_very_slow_query"),

@@ -81,7 +81,7 @@ def top_spaces(space_cost: DataFrame, k: int = 10) -> DataFrame:
         space_cost.where(F.col("cost_usd") > 0)
         .orderBy(F.col("cost_usd").desc(), F.col("space_id"))
         .limit(k)
-        .select("genie_space_title", "creator_id", "statements", "cost_usd", "unique_users")
+        .select("space_title", "creator_id", "statements", "cost_usd", "unique_users")
     )
 
 

@@ -54,17 +54,17 @@ def dashboard_cost(dashboards: DataFrame, qca: DataFrame) -> DataFrame:
 
 def space_cost(spaces: DataFrame, qca: DataFrame) -> DataFrame:
     """As H9 per conversational space, plus distinct users."""
-    fact = _fact_by(qca, "genie_space_id", [
+    fact = _fact_by(qca, "space_id", [
         F.avg("attributed_cost_usd").alias("__avg"),
         F.countDistinct("executed_by").alias("unique_users"),
     ])
     dim = spaces.select(
-        "space_id", F.col("title").alias("genie_space_title"),
+        "space_id", F.col("title").alias("space_title"),
         F.col("warehouse_id").alias("configured_warehouse_id"), "creator_id",
     )
     j = dim.join(fact, dim["space_id"] == fact["__key"], "left")
     return j.select(
-        "space_id", "genie_space_title", "configured_warehouse_id", "creator_id",
+        "space_id", "space_title", "configured_warehouse_id", "creator_id",
         _zero("statements", 0),
         F.coalesce(F.col("__cost"), F.lit(0.0)).alias("cost_usd"),
         F.coalesce(F.col("__dbus"), F.lit(0.0)).alias("dbus"),
@@ -79,7 +79,7 @@ def warehouse_cost(warehouses: DataFrame, qca: DataFrame) -> DataFrame:
     fact = _fact_by(qca, "warehouse_id", [
         F.countDistinct("executed_by").alias("unique_users"),
         F.countDistinct("dashboard_id").alias("dashboards_touched"),
-        F.countDistinct("genie_space_id").alias("genie_spaces_touched"),
+        F.countDistinct("space_id").alias("spaces_touched"),
     ])
     dim = warehouses.select(
         F.col("id").alias("warehouse_id"), F.col("name").alias("warehouse_name"),
@@ -91,7 +91,7 @@ def warehouse_cost(warehouses: DataFrame, qca: DataFrame) -> DataFrame:
         _zero("statements", 0),
         F.coalesce(F.col("__cost"), F.lit(0.0)).alias("cost_usd"),
         F.coalesce(F.col("__dbus"), F.lit(0.0)).alias("dbus"),
-        _zero("unique_users", 0), _zero("dashboards_touched", 0), _zero("genie_spaces_touched", 0),
+        _zero("unique_users", 0), _zero("dashboards_touched", 0), _zero("spaces_touched", 0),
         "last_statement_at",
     )
 
@@ -100,7 +100,7 @@ def source_type() -> Column:
     """The first non-NULL source id decides."""
     return (
         F.when(F.col("dashboard_id").isNotNull(), "dashboard")
-        .when(F.col("genie_space_id").isNotNull(), "genie_space")
+        .when(F.col("space_id").isNotNull(), "space")
         .when(F.col("notebook_id").isNotNull(), "notebook")
         .when(F.col("alert_id").isNotNull(), "alert")
         .when(F.col("job_id").isNotNull(), "job")

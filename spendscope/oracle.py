@@ -20,7 +20,7 @@ select concat('s', cast(event_id as varchar)) as statement_id,
   concat('u', cast(user_id as varchar)) as executed_by,
   concat('w', cast(user_id % 4 as varchar)) as warehouse_id,
   case when event_type = 'view' then concat('d', cast(user_id % 10 as varchar)) end as dashboard_id,
-  case when event_type = 'click' then concat('g', cast(user_id % 3 as varchar)) end as genie_space_id,
+  case when event_type = 'click' then concat('g', cast(user_id % 3 as varchar)) end as space_id,
   case when event_type = 'signup' then 'nb1' end as notebook_id,
   case when event_type = 'error' and cast(regexp_extract(props, '([0-9]+)', 1) as int) < 50 then 'al1' end as alert_id,
   case when event_type = 'error' and cast(regexp_extract(props, '([0-9]+)', 1) as int) >= 50 then 'jb1' end as job_id,
@@ -121,7 +121,7 @@ left join prices_eff p
 where u.usage_start_time >= {{cutoff}} and u.billing_origin_product = 'SQL' and u.warehouse_id is not null
 group by all""",
     "stmt": f"""
-select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
+select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time,
   coalesce(compilation_duration_ms, 0) + coalesce(execution_duration_ms, 0) + coalesce(result_fetch_duration_ms, 0) as work_ms
 from fx_query_history
@@ -153,11 +153,11 @@ select s.*,
 from stmt_hour_work s left join hour_book h
   on h.workspace_id = s.workspace_id and h.warehouse_id = s.warehouse_id and h.hour_start = s.hour_start""",
     "stmt_cost": """
-select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id, alert_id,
+select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, space_id, notebook_id, alert_id,
   job_id, client_application, min(start_time) as start_time, max(end_time) as end_time, max(work_ms) as work_ms,
   sum(cost_usd_in_hour) as attributed_cost_usd, sum(dbus_in_hour) as attributed_dbus
 from stmt_hour_cost
-group by statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id, alert_id,
+group by statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, space_id, notebook_id, alert_id,
   job_id, client_application""",
 }
 

@@ -173,7 +173,7 @@ def q_attributed_hours(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- H8
-_QCA_SELECT = f"""select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
+_QCA_SELECT = f"""select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time, work_ms,
   {o4('attributed_cost_usd')}, {o4('attributed_dbus')}
 from stmt_cost"""
@@ -220,18 +220,18 @@ def q_dashboard_cost(spark, sf_dir):
 
 
 @register("space_cost", oracle.build(["stmt_cost", "fx_space_current"], f"""
-select g.space_id, g.title as genie_space_title, g.warehouse_id as configured_warehouse_id, g.creator_id,
+select g.space_id, g.title as space_title, g.warehouse_id as configured_warehouse_id, g.creator_id,
   count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
   {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
   {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
   count(distinct qc.executed_by) as unique_users, max(qc.end_time) as last_statement_at
-from fx_space_current g left join stmt_cost qc on qc.genie_space_id = g.space_id
+from fx_space_current g left join stmt_cost qc on qc.space_id = g.space_id
 group by 1, 2, 3, 4"""))
 def q_space_cost(spark, sf_dir):
     """Cost roll-up per conversational space with distinct users."""
     out = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
     return out.select(
-        "space_id", "genie_space_title", "configured_warehouse_id", "creator_id", "statements",
+        "space_id", "space_title", "configured_warehouse_id", "creator_id", "statements",
         r4("cost_usd"), r4("dbus"), r4("avg_cost_per_statement_usd"), "unique_users", "last_statement_at",
     )
 
@@ -241,7 +241,7 @@ select w.id as warehouse_id, w.name as warehouse_name, w.cluster_size, w.warehou
   count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
   {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
   count(distinct qc.executed_by) as unique_users, count(distinct qc.dashboard_id) as dashboards_touched,
-  count(distinct qc.genie_space_id) as genie_spaces_touched, max(qc.end_time) as last_statement_at
+  count(distinct qc.space_id) as spaces_touched, max(qc.end_time) as last_statement_at
 from fx_warehouse_current w left join stmt_cost qc on qc.warehouse_id = w.id
 group by 1, 2, 3, 4, 5"""))
 def q_warehouse_cost(spark, sf_dir):
@@ -249,12 +249,12 @@ def q_warehouse_cost(spark, sf_dir):
     out = rollups.warehouse_cost(fx.warehouse_current(spark, sf_dir), cost_attribution(spark, sf_dir))
     return out.select(
         "warehouse_id", "warehouse_name", "cluster_size", "warehouse_type", "enable_serverless_compute",
-        "statements", r4("cost_usd"), r4("dbus"), "unique_users", "dashboards_touched", "genie_spaces_touched",
+        "statements", r4("cost_usd"), r4("dbus"), "unique_users", "dashboards_touched", "spaces_touched",
         "last_statement_at",
     )
 
 
-_SOURCE_CASE = """case when dashboard_id is not null then 'dashboard' when genie_space_id is not null then 'genie_space'
+_SOURCE_CASE = """case when dashboard_id is not null then 'dashboard' when space_id is not null then 'space'
     when notebook_id is not null then 'notebook' when alert_id is not null then 'alert'
     when job_id is not null then 'job' else 'other / direct' end"""
 
@@ -386,16 +386,16 @@ def q_top_dashboards(spark, sf_dir):
 
 @register("top_spaces", oracle.build(["stmt_cost", "fx_space_current"], f"""
 with sc as (
-  select g.space_id, g.title as genie_space_title, g.creator_id, count(qc.statement_id) as statements,
+  select g.space_id, g.title as space_title, g.creator_id, count(qc.statement_id) as statements,
     coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, count(distinct qc.executed_by) as unique_users
-  from fx_space_current g left join stmt_cost qc on qc.genie_space_id = g.space_id
+  from fx_space_current g left join stmt_cost qc on qc.space_id = g.space_id
   group by 1, 2, 3)
-select genie_space_title, creator_id, statements, {on('cost_usd', 4)}, unique_users
+select space_title, creator_id, statements, {on('cost_usd', 4)}, unique_users
 from sc where cost_usd > 0 order by sc.cost_usd desc, space_id limit 10"""))
 def q_top_spaces(spark, sf_dir):
     """Ten most expensive spaces."""
     sc = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
-    return quality.top_spaces(sc).select("genie_space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
+    return quality.top_spaces(sc).select("space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
 
 
 @register("check_unbilled", oracle.build(["stmt_cost"], f"""
@@ -739,7 +739,7 @@ from (
   from (
     select 'u' || cast(user_id as varchar) as executed_by, 'w' || cast(user_id % 4 as varchar) as warehouse_id,
       cast(ts as date) as query_date,
-      case event_type when 'view' then 'AI/BI Dashboard' when 'click' then 'Genie Space' when 'signup' then 'Notebook'
+      case event_type when 'view' then 'Dashboard' when 'click' then 'Space' when 'signup' then 'Notebook'
         when 'error' then case when k < 50 then 'Alert' else 'Job' end else 'Other' end as query_source_type,
       case when k % 10 = 0 then 'FAILED' else 'FINISHED' end as execution_status,
       k as compilation_ms, cast(floor(value * 1000) as bigint) as execution_ms, k * 10 as result_fetch_ms,

@@ -14,13 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the query-history system table's field for the id of the
+# conversational space a statement came from.
+SPACE_SOURCE_FIELD = "genie_space_id"
+
 QUERY_HISTORY_FIELDS = {
     "statement_id": "statement_id",
     "workspace_id": "workspace_id",
     "executed_by": "executed_by",
     "warehouse_id": "compute.warehouse_id",
     "dashboard_id": "query_source.dashboard_id",
-    "genie_space_id": "query_source.genie_space_id",
+    "space_id": f"query_source.{SPACE_SOURCE_FIELD}",
     "notebook_id": "query_source.notebook_id",
     "alert_id": "query_source.alert_id",
     "job_id": "query_source.job_info.job_id",
@@ -73,7 +77,7 @@ def nest_query_history(flat: DataFrame) -> DataFrame:
         "statement_id", "workspace_id", "executed_by", "client_application", "execution_status",
         F.struct(F.col("warehouse_id")).alias("compute"),
         F.struct(
-            "dashboard_id", "genie_space_id", "notebook_id", "alert_id",
+            "dashboard_id", F.col("space_id").alias(SPACE_SOURCE_FIELD), "notebook_id", "alert_id",
             F.struct(F.col("job_id")).alias("job_info"),
         ).alias("query_source"),
         "start_time", "end_time", "compilation_duration_ms", "execution_duration_ms",

@@ -12,7 +12,7 @@ T = dt.datetime
 AS_OF = T(2024, 2, 1)
 QH_SCHEMA = (
     "statement_id string, workspace_id string, executed_by string, warehouse_id string, dashboard_id string, "
-    "genie_space_id string, notebook_id string, alert_id string, job_id string, client_application string, "
+    "space_id string, notebook_id string, alert_id string, job_id string, client_application string, "
     "execution_status string, start_time timestamp_ntz, end_time timestamp_ntz, compilation_duration_ms bigint, "
     "execution_duration_ms bigint, result_fetch_duration_ms bigint"
 )

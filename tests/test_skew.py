@@ -17,7 +17,7 @@ def hot_history(spark, n=30000):
         F.concat(F.lit("s"), F.col("id").cast("string")).alias("statement_id"),
         F.lit("ws").alias("workspace_id"), F.lit("u").alias("executed_by"),
         F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("w"), (F.col("id") % 97).cast("string"))).alias("warehouse_id"),
-        *[F.lit(None).cast("string").alias(c) for c in ["dashboard_id", "genie_space_id", "notebook_id", "alert_id", "job_id"]],
+        *[F.lit(None).cast("string").alias(c) for c in ["dashboard_id", "space_id", "notebook_id", "alert_id", "job_id"]],
         F.lit("app").alias("client_application"), F.lit("FINISHED").alias("execution_status"),
         F.timestamp_add("HOUR", F.when(hot, 0).otherwise(F.col("id") % 24).cast("int"),
                         F.lit("2024-01-01 10:05:00").cast("timestamp_ntz")).alias("start_time"),

@@ -57,6 +57,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Make ``spendscope`` importable on executors (the landing data source's
+    reader runs in executor Python workers): the package is zipped in
+    memory, written to the shared checkpoint folder and added with
+    ``addPyFile``.  Not needed when the package is installed on the
+    cluster image."""
+    import io
+    import os
+    import uuid
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/pkg-{uuid.uuid4().hex[:8]}.zip"
+    jvm = spark.sparkContext._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    out = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(dst, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(target)
+    return target
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "spendscope") -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC)."""
     builder = (

@@ -62,3 +62,14 @@ def test_capped_snapshot_keeps_other_keys_open(spark):
     capped = tables.apply_inventory_snapshot(spark, root, "space", raw, 2, limit=5)
     assert scd2.current(capped).count() == n_open  # nothing closed by the cap
     assert capped.where(F.col("__END_AT").isNotNull()).count() == 0
+
+
+def test_ship_package_adds_an_importable_archive(spark):
+    import zipfile
+
+    from spendscope.session import ship_package
+
+    target = ship_package(spark)
+    path = target[len("file:"):] if target.startswith("file:") else target
+    with zipfile.ZipFile(path) as z:
+        assert "spendscope/sources/landing.py" in z.namelist()

@@ -179,14 +179,24 @@ class MetricSet:
         if percentiles == "auto":
             big = estimated_size(df)[0] > DISTRIBUTED_PERCENTILES_ABOVE_BYTES
             percentiles = "distributed" if big and pct else "inline"
-        if percentiles != "distributed" or not pct:
-            approx = percentiles == "approx"
-            aggs = [self.measures[m][1](approx).alias(m) for m in names]
+        if not pct:
+            aggs = [self.measures[m][1](False).alias(m) for m in names]
             out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
             return out.select(*[F.col(k).alias(d) for k, d in zip(keys, by)], *names)
-        plain = [self.measures[m][1](False).alias(m) for m in names if m not in pct]
+        # percentiles are computed in their own aggregate (one buffer for all
+        # quantiles) and joined back on the group keys: kept out of the
+        # Expand that the exact distinct counts of the other measures need
+        plain = [self.measures[m][1](False).alias(m) for m in names if m not in pct] + [F.count(F.lit(1)).alias("__rows")]
         main = (df.groupBy(*keys).agg(*plain) if keys else df.agg(*plain)).withColumn("__j", F.lit(1))
-        exact = exact_percentiles(df, keys, "duration_ms", {m: self.percentile_measures[m] for m in pct})
+        qs = {m: self.percentile_measures[m] for m in pct}
+        if percentiles == "distributed":
+            exact = exact_percentiles(df, keys, "duration_ms", qs)
+        else:
+            x = F.col("duration_ms").cast("double")
+            wanted = F.array(*[F.lit(float(p)) for p in qs.values()])
+            arr = F.percentile_approx(x, wanted, 100000) if percentiles == "approx" else F.percentile(x, wanted)
+            exact = (df.groupBy(*keys).agg(arr.alias("__p")) if keys else df.agg(arr.alias("__p")))
+            exact = exact.select(*keys, *[F.col("__p")[i].alias(m) for i, m in enumerate(qs)])
         exact = exact.select(*[F.col(k).alias(f"__e{k}") for k in keys],
                              *[F.round(F.col(m) / 1000, 2).alias(m) for m in pct], F.lit(1).alias("__je"))
         # one row per group on both sides; NULL dimension values match (null-safe keys)

@@ -53,9 +53,23 @@ def once_per_session(fn):
     return wrapper
 
 
+# A generated table is one parquet file with one row group, i.e. one scan
+# task whatever its size.  Above this size it is spread round-robin over
+# the session's cores so that the CPU work after the scan runs in parallel
+# (real system tables arrive as many files and are never repartitioned).
+SPREAD_ABOVE_BYTES = 1024 * 1024
+
+
 @once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if cores > 1 and df.rdd.getNumPartitions() < cores:
+        from spendscope.plans.joins import estimated_size
+
+        if estimated_size(df)[0] > SPREAD_ABOVE_BYTES:
+            df = df.repartition(cores)
+    return df
 
 
 def _k(props: str = "props") -> Column:

@@ -63,8 +63,12 @@ SPREAD_ABOVE_BYTES = 1024 * 1024
 @once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if cores > 1 and df.rdd.getNumPartitions() < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handles (e.g. Spark Connect): keep the scan as is
+        return df
+    if cores > 1 and splits < cores:
         from spendscope.plans.joins import estimated_size
 
         if estimated_size(df)[0] > SPREAD_ABOVE_BYTES:

@@ -22,6 +22,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 # ... and by Catalyst's size estimate (on-disk parquet bytes for a file
 # scan, so kept well below executor memory).
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# What an unavailable estimate counts as: larger than any bound.
+UNKNOWN_SIZE = 2 ** 63 - 1
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +50,10 @@ def estimated_size(df: DataFrame) -> tuple[int, int | None]:
     without column statistics the estimate errs on the large side, never
     the small one — safe for a broadcast decision.
     """
-    stats = df._jdf.queryExecution().analyzed().stats()
+    try:
+        stats = df._jdf.queryExecution().analyzed().stats()
+    except AttributeError:  # no JVM handle (e.g. a Spark Connect session): unknown = large
+        return UNKNOWN_SIZE, None
 
     def as_int(v) -> int:
         return v if isinstance(v, int) else int(str(v.toString()))

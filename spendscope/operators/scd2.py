@@ -44,13 +44,22 @@ def _untracked(df_cols: Sequence[str], keys: Sequence[str], tracked: Sequence[st
     return [c for c in df_cols if c not in keys and c not in tracked and c not in skip and c not in (START, END)]
 
 
-def _versions(snapshots: DataFrame, version_col: str) -> DataFrame:
+def _versions(snapshots: DataFrame, version_col: str, versions: Sequence[int] | None = None) -> DataFrame:
     """One row per snapshot version with its neighbours.
 
-    The distinct versions (one per snapshot taken — a few thousand at
-    most, never data rows) are gathered into one sorted array and
-    exploded with their positions."""
-    arr = snapshots.select(version_col).distinct().agg(F.sort_array(F.collect_list(version_col)).alias("__v"))
+    The versions (one per snapshot taken — a few thousand at most, never
+    data rows) are gathered into one sorted array and exploded with their
+    positions.  Pass ``versions`` when some snapshots may be empty: an
+    empty snapshot leaves no row to derive its version from, yet it closes
+    every open key."""
+    if versions is not None:
+        spark = snapshots.sparkSession
+        vtype = snapshots.schema[version_col].dataType
+        listed = spark.createDataFrame([(int(v),) for v in sorted(set(versions))], f"{version_col} bigint")
+        src = listed.select(F.col(version_col).cast(vtype).alias(version_col))
+    else:
+        src = snapshots.select(version_col).distinct()
+    arr = src.agg(F.sort_array(F.collect_list(version_col)).alias("__v"))
     pos = arr.select("__v", F.posexplode("__v").alias("__i", version_col))
     n = F.size("__v")
     return pos.select(
@@ -66,11 +75,13 @@ def backfill(
     keys: Sequence[str],
     tracked: Sequence[str],
     version_col: str = "version",
+    versions: Sequence[int] | None = None,
 ) -> DataFrame:
-    """History from many full snapshots (``version_col`` tells them apart)."""
+    """History from many full snapshots (``version_col`` tells them apart;
+    ``versions`` lists all snapshot versions when some may be empty)."""
     keys, tracked = list(keys), list(tracked)
     untracked = _untracked(snapshots.columns, keys, tracked, (version_col,))
-    vers = F.broadcast(_versions(snapshots, version_col))  # one row per snapshot
+    vers = F.broadcast(_versions(snapshots, version_col, versions))  # one row per snapshot
     s = snapshots.join(vers, version_col, "inner")
     w = Window.partitionBy(*keys).orderBy(version_col)
     tr = _tracked(tracked)

@@ -88,3 +88,34 @@ def test_store_gate_and_as_of(spark):
     after = rows_of(store.read())
     assert len(after) == len(before) + sum(1 for r in before if r[5] is None)  # every open row changed
     assert sorted(r["object_id"] for r in scd2.as_of(store.read(), 2).collect()) == [1, 3, 4]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_snapshot_seq = st.lists(  # one dict per version: key -> (segment, balance)
+    st.dictionaries(st.integers(0, 5), st.tuples(st.sampled_from(["A", "B", None]), st.sampled_from([1.0, 2.0, None])),
+                    max_size=6),
+    min_size=1, max_size=4,
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(_snapshot_seq)
+def test_random_sequences_incremental_equals_backfill(spark_session_for_hypothesis, seq):
+    spark = spark_session_for_hypothesis
+    rows = [(k, v, seg, bal, f"p{v}") for v, snap in enumerate(seq, start=1) for k, (seg, bal) in snap.items()]
+    if not rows:
+        return
+    s = snaps(spark, rows)
+    hist = None
+    for v in range(1, len(seq) + 1):
+        hist = scd2.apply_snapshot(hist, s.where(F.col("version") == v), v, ["object_id"], ["segment", "balance"])
+    back = scd2.backfill(s, ["object_id"], ["segment", "balance"], versions=range(1, len(seq) + 1))
+    assert rows_of(hist) == rows_of(back)
+
+
+def test_empty_snapshot_closes_every_key(spark):
+    s = snaps(spark, [(1, 1, "A", 1.0, "p1"), (2, 1, "A", 2.0, "p1"), (1, 3, "A", 1.0, "p3")])
+    back = scd2.backfill(s, ["object_id"], ["segment", "balance"], versions=[1, 2, 3])
+    assert rows_of(back) == [(1, "A", 1.0, "p1", 1, 2), (1, "A", 1.0, "p3", 3, None), (2, "A", 2.0, "p1", 1, 2)]

@@ -130,3 +130,47 @@ def test_records_without_a_key_are_rejected(spark):
     assert [r["dashboard_id"] for r in normalize.dashboard_rows(dashboards).collect()] == ["d1"]
     warehouses = spark.createDataFrame([("a", "{}", "ok"), ("b", json.dumps({"id": "w1"}), "ok")], schema)
     assert [r["id"] for r in normalize.warehouse_rows(warehouses).collect()] == ["w1"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _bucket_spec(expr):
+    """The bucket rules, stated in plain Python for the property test."""
+    if not expr:
+        return "unknown"
+    fields = expr.split()
+    if len(fields) not in (6, 7):
+        return "custom"
+    _sec, minute, hour, dom, month, dow = fields[:6]
+    any_ = lambda f: f in ("*", "?")
+    every = lambda f: f in ("*", "*/1")
+    dates_any = any_(dom) and any_(month) and any_(dow)
+    if every(minute) and every(hour) and dates_any:
+        return "minutely"
+    if every(hour) and dates_any:
+        return "hourly"
+    if dates_any:
+        return "daily"
+    if not any_(dow) and any_(dom) and any_(month):
+        return "weekly"
+    if not any_(dom) and any_(month) and any_(dow):
+        return "monthly"
+    if not any_(dom) and not any_(month) and any_(dow):
+        return "yearly"
+    return "custom"
+
+
+_cron_texts = st.lists(st.sampled_from(["*", "?", "*/1", "*/5", "0", "9", "1", "MON", "JAN", "2025"]),
+                       min_size=0, max_size=8).flatmap(
+    lambda toks: st.sampled_from([" ", "  ", "\t"]).map(lambda sep: sep.join(toks)))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(_cron_texts, min_size=1, max_size=30))
+def test_cron_buckets_match_the_rules(spark_session_for_hypothesis, texts):
+    spark = spark_session_for_hypothesis
+    df = spark.createDataFrame([(t,) for t in texts], "e string")
+    got = [r[0] for r in N.with_cron_frequency(df, "e").select("frequency").collect()]
+    assert got == [_bucket_spec(t) for t in texts]

@@ -2,8 +2,13 @@
 
 Every operator is a function from DataFrames (plus column names and
 parameters) to a DataFrame.  Nothing is collected to the driver; the
-only driver-side actions are small, bounded size checks used to pick a
-join strategy (see ``spendscope.plans.joins``).
-"""
+only driver-side values are plan statistics used to pick a join
+strategy, single aggregates and small state files.
 
-__all__ = ["session"]
+Modules: ``session`` (settings, checkpoint folder), ``operators`` (cost,
+prices, roll-ups, usage, SCD2, metrics, quality), ``functions``
+(normalizer and time expressions), ``sources`` (landing data source,
+snapshot normalizers, system-table adapters), ``plans`` (join strategy
+helpers), ``streaming`` (incremental cost history), ``tables`` (the whole
+table graph), ``schemas`` (declared history schemas).
+"""

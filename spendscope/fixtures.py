@@ -57,7 +57,7 @@ def once_per_session(fn):
 # task whatever its size.  Above this size it is spread round-robin over
 # the session's cores so that the CPU work after the scan runs in parallel
 # (real system tables arrive as many files and are never repartitioned).
-SPREAD_ABOVE_BYTES = 1024 * 1024
+SPREAD_ABOVE_BYTES = 256 * 1024
 
 
 @once_per_session

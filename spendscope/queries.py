@@ -8,6 +8,7 @@ same name in the oracle.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -858,19 +859,25 @@ def _landing(spark, sf_dir, name="dashboards"):
     return landing.read_landing(spark, path, parallelism=4, output_batch_size=128)
 
 
-_LANDED: dict[tuple, str] = {}
+_LANDED_BY_SESSION: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _landed(spark: SparkSession) -> dict:
+    """Per-session record of the landing folders written for the source queries."""
+    return _LANDED_BY_SESSION.setdefault(spark, {})
 
 
 def landing_path(spark, sf_dir, name="dashboards"):
-    key = (id(spark), sf_dir, name)
-    if key not in _LANDED:
+    landed = _landed(spark)
+    key = (sf_dir, name)
+    if key not in landed:
         from spendscope.session import ensure_checkpoint_dir
         import uuid as _uuid
 
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/landing-{name}-{_uuid.uuid4().hex}"
         fx.raw_dashboards(spark, sf_dir).repartition(4).write.parquet(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+        landed[key] = path
+    return landed[key]
 
 
 @register("snapshot_source_scan", "select 'd' || cast(c_custkey as varchar) as object_id, 'ok' as status from customer")
@@ -898,16 +905,17 @@ def q_snapshot_source_by_ids(spark, sf_dir):
 def _landing_jsonl(spark, sf_dir):
     """The raw dashboards landed as JSON lines (one object per line) plus one
     line per nation that is not a valid object, scanned with the source."""
-    key = (id(spark), sf_dir, "jsonl")
-    if key not in _LANDED:
+    landed = _landed(spark)
+    key = (sf_dir, "jsonl")
+    if key not in landed:
         from spendscope.session import ensure_checkpoint_dir
         import uuid as _uuid
 
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/spendscope/landing-jsonl-{_uuid.uuid4().hex}"
         junk = fx.table(spark, sf_dir, "nation").select(F.concat(F.lit("{truncated "), F.col("n_name")).alias("raw_json"))
         fx.raw_dashboards(spark, sf_dir).select("raw_json").unionByName(junk).repartition(4).write.text(path)
-        _LANDED[key] = path
-    return landing.read_landing(spark, _LANDED[key], parallelism=4, fmt="jsonl", id_field="dashboard_id")
+        landed[key] = path
+    return landing.read_landing(spark, landed[key], parallelism=4, fmt="jsonl", id_field="dashboard_id")
 
 
 @register("snapshot_source_jsonl", """
@@ -948,16 +956,17 @@ def q_cost_incremental_append(spark, sf_dir):
 def _nested_system(spark, sf_dir):
     """The derived system tables written in their nested layout, then read
     back: the flattening selects prune the parquet read to nested leaves."""
-    key = (id(spark), sf_dir, "nested")
-    if key not in _LANDED:
-        _LANDED[key] = {
+    landed = _landed(spark)
+    key = (sf_dir, "nested")
+    if key not in landed:
+        landed[key] = {
             "qh": materialize(system_tables.nest_query_history(fx.query_history(spark, sf_dir)), "nested_qh"),
             "usage": materialize(system_tables.nest_usage(fx.usage(spark, sf_dir)), "nested_usage"),
             "acct": materialize(system_tables.nest_prices(fx.account_prices(spark, sf_dir)), "nested_acct"),
             "list": materialize(system_tables.nest_prices(fx.list_prices(spark, sf_dir)), "nested_list"),
             "audit": materialize(system_tables.nest_audit(fx.audit(spark, sf_dir)), "nested_audit"),
         }
-    return _LANDED[key]
+    return landed[key]
 
 
 @register("nested_query_cost_attribution", oracle.build(["stmt_cost"], _QCA_SELECT))

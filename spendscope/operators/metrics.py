@@ -50,29 +50,31 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str
        partition of every row is fixed) — a hot group spans many partitions;
     3. per (group, partition) segment: its count, and the offset of the
        segment within its group (a window over at most ``partitions`` rows
-       per group — for the global grain Spark logs its generic
-       single-partition warning for this window of ≤ ``partitions`` rows);
+       per group; the global grain is one group with a constant key);
     4. running counts inside each segment (a window bounded by one
        partition), giving every value its 0-based rank range;
     5. per group the values at ranks ``floor``/``ceil`` of (n - 1)·p,
        interpolated as ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``.
     """
-    by = list(by)
+    out_by = list(by)
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
-    hist = df.where(F.col(value).isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    src = df.where(F.col(value).isNotNull())
+    if not out_by:  # the global grain is one group: give it a real key column
+        src = src.withColumn("__g", F.lit(0))
+    by = out_by or ["__g"]
+    hist = src.groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     ranged = materialize(
         hist.repartitionByRange(n_parts, *by, "__v").withColumn("__pid", F.spark_partition_id()),
         "percentile_histogram",
     )
-    group = by or [F.lit(0)]
     seg = ranged.groupBy(*by, "__pid").agg(F.sum("__c").alias("__seg_n"))
-    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(
         *by, "__pid",
         F.coalesce(F.sum("__seg_n").over(before), F.lit(0)).alias("__off"),
-        F.sum("__seg_n").over(Window.partitionBy(*group)).alias("__n"),
+        F.sum("__seg_n").over(Window.partitionBy(*by)).alias("__n"),
     )
     in_seg = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*by, "__pid", "__v", "__c", F.sum("__c").over(in_seg).alias("__cum"))
@@ -95,7 +97,7 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         val = F.when((hi_r == lo_r) | (lo == hi), lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
         out.append(val.alias(name))
-    return agg.select(*by, *out)
+    return agg.select(*out_by, *out)
 
 
 def metric_base(history: DataFrame) -> DataFrame:

@@ -927,6 +927,15 @@ def q_snapshot_source_jsonl(spark, sf_dir):
     return _landing_jsonl(spark, sf_dir).select("object_id", "status")
 
 
+@register("snapshot_source_jsonl_native", ORACLE["snapshot_source_jsonl"])
+def q_snapshot_source_jsonl_native(spark, sf_dir):
+    """The same JSON-lines landing read with Spark's text source and
+    built-in JSON functions (no Python worker) — the large-folder plan."""
+    _landing_jsonl(spark, sf_dir)  # lands the folder once per session
+    path = _landed(spark)[(sf_dir, "jsonl")]
+    return landing.read_jsonl_native(spark, path, id_field="dashboard_id").select("object_id", "status")
+
+
 @register("snapshot_fetch_outcomes", "select 'ok' as status, count(*) as objects from customer")
 def q_snapshot_fetch_outcomes(spark, sf_dir):
     """Objects per fetch outcome."""

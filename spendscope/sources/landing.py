@@ -19,6 +19,11 @@ source scans that folder for a snapshot:
 Listing, de-duplication and the optional cap (A4) are DataFrame
 operations (:func:`snapshot_ids`), so they are distributed, not driver
 loops.  Register once per session with :func:`register` (idempotent).
+
+The Python source mirrors a fetch-at-read extension point.  For large
+landing folders the JVM-only readers are the better plan: a parquet folder
+is ``spark.read.parquet(path)`` (native pushdown of ``object_id IN (...)``),
+a JSON-lines folder is :func:`read_jsonl_native`.
 """
 
 from __future__ import annotations

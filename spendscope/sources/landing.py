@@ -204,9 +204,14 @@ _REGISTERED: set[int] = set()
 
 
 def register(spark: SparkSession) -> None:
-    """Register the source with the session (once)."""
+    """Register the source with the session (once).  The source's planner
+    and readers run in Python worker processes that import this module, so
+    the package is shipped to them first (``addPyFile``)."""
     key = id(spark)
     if key not in _REGISTERED:
+        from spendscope.session import ship_package
+
+        ship_package(spark)
         spark.dataSource.register(LandingSource)
         _REGISTERED.add(key)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscope.llm import exact_dedup, langid, merkle, mixing, packing, toxicity, url_filter
+from spendscope.llm import exact_dedup, langid, merkle, mixing, ngram_join, packing, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_join(read(spark, sf_dir, "documents")) \
+        .select("doc_id", "class_id", "copies", "n_links", "group_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op5_source_mixing": op5_source_mixing,
     "op7_merkle_fingerprints": op7_merkle_fingerprints,
     "op8_language_id": op8_language_id,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {

@@ -28,6 +28,8 @@ class Scratch:
         path = f"{self.base}/{self.n}-{name}"
         self.n += 1
         df.write.parquet(path)
+        # the job's shuffle files go once the driver's JVM sees that nothing holds them
+        self.spark.sparkContext._jvm.System.gc()
         out = self.spark.read.parquet(path)
         out.scratch_path = path
         return out

@@ -193,15 +193,14 @@ class Identifier:
         return list(lang), score
 
 
-def identify(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             keep: list[str] | None = None, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``id_col`` (and the columns ``keep``) with lang_pred and score for every row;
-    learns from the rows where ``trained_on`` holds."""
+def _predicted(df: DataFrame, trained_on: Column, id_col: str, text_col: str, lang_col: str, columns: list[str],
+               per_language: int) -> DataFrame:
+    """``columns`` as c0, c1, ..., with lang_pred and score; learns from the rows where
+    ``trained_on`` holds."""
     spark = df.sparkSession
     scratch = Scratch(spark, "langid")
     labelled = df.where(trained_on).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     machines = spark.sparkContext.broadcast(learn(labelled, scratch, per_language))
-    columns = [id_col, *[c for c in keep or [] if c != id_col]]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Identifier(machines.value)
@@ -218,6 +217,19 @@ def identify(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col
 
     schema = T.StructType([T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(columns)]
                           + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = df.select(F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]) \
+    return df.select(F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]) \
         .mapInArrow(predict, schema)
-    return out.toDF(*columns, "lang_pred", "score")
+
+
+def identify(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             per_language: int = PER_LANGUAGE) -> DataFrame:
+    """``id_col``, lang_pred and score of every row."""
+    return _predicted(df, trained_on, id_col, text_col, lang_col, [id_col], per_language) \
+        .select(F.col("c0").alias(id_col), "lang_pred", "score")
+
+
+def of_known_language(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col: str = "text",
+                      lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows of ``df``, with its own columns, whose language can be told."""
+    return _predicted(df, trained_on, id_col, text_col, lang_col, df.columns, per_language) \
+        .where(F.col("lang_pred") != UNDETERMINED).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscope.llm import exact_dedup, langid, merkle, mixing, ngram_join, packing, toxicity, url_filter
+from spendscope.llm import (exact_dedup, langid, merkle, mixing, ngram_join, packing, sharding, suffix_dedup, toxicity,
+                            url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +31,15 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), url_filter.RULES)
 
 
-def _remainder(column: str, n: int):
+def remainder(column: str, n: int):
     """crc32 of an id as text, modulo n; a null id is in no fold."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
-    scored = toxicity.toxicity(read(spark, sf_dir, "documents"), labels, _remainder("doc_id", 3) != 1)
-    return scored.select("doc_id", F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+    scored = toxicity.toxicity(read(spark, sf_dir, "documents"), labels, remainder("doc_id", 3) != 1)
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "passages")
 
 
@@ -51,14 +52,18 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(read(spark, sf_dir, "documents"))
+
+
 def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edited(read(spark, sf_dir, "documents"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = langid.identify(docs, _remainder("doc_id", 4) != 2)
-    return found.select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    found = langid.identify(docs, remainder("doc_id", 4) != 2)
+    return found.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,15 +71,24 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "class_id", "copies", "n_links", "group_id", "kept")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return removed.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_sharding": op6_sharding,
     "op7_merkle_fingerprints": op7_merkle_fingerprints,
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -137,4 +151,17 @@ ORACLE: dict[str, str] = {
                      ELSE (budget // source_size) * size
                           + greatest(0, least(size, budget % source_size - start)) END)::BIGINT AS taken
         FROM placed""",
+    "op6_sharding": r"""
+        WITH d AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes,
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+            FROM documents),
+        levels AS (SELECT d.*, depth, h >> (60 - depth) AS prefix FROM d, range(0, 61) AS r(depth)),
+        fits AS (
+            SELECT depth, prefix FROM levels GROUP BY depth, prefix
+            HAVING sum(n_bytes) <= 67108864 OR count(DISTINCT h) = 1),
+        leaf AS (SELECT doc_id, n_bytes, h, min(depth) AS depth FROM levels JOIN fits USING (depth, prefix) GROUP BY ALL)
+        SELECT doc_id, n_bytes, depth::INTEGER AS depth, h >> (60 - depth) AS prefix, NULL::BIGINT AS page,
+               CASE WHEN depth = 0 THEN '' ELSE right(bin(h >> (60 - depth) | (1::BIGINT << 60)), depth::INTEGER) END AS shard
+        FROM leaf""",
 }

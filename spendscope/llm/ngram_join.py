@@ -234,15 +234,15 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     classes = scratch.table(rows.groupBy("set_id").agg(F.min(first).alias("f"), F.count("*").alias("copies"))
                             .select("set_id", F.col("f.id").alias("class_id"), F.col("f.row").alias("node"), "copies"), "classes")
-    heads = scratch.table(rows.where("size > 0").join(classes.select("node"), F.col("row") == F.col("node"))
+    heads = scratch.table(rows.where("size > 0").join(classes.select("node").hint("merge"), F.col("row") == F.col("node"))
                           .select("node", "keys", "sig"), "heads")
 
     # classes that share a band meet its first one
     met = heads.select("node", F.explode("keys").alias("key"))
     hubs = met.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    stars = met.join(hubs, "key").where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    signed = stars.join(heads.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a") \
-        .join(heads.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+    stars = met.join(hubs.hint("merge"), "key").where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    signed = stars.join(heads.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")).hint("merge"), "a") \
+        .join(heads.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")).hint("merge"), "b")
     near = scratch.table(near_edges(signed, min(NEIGHBOUR, threshold)), "near")
     around = connected_components(near, scratch)
     sizes = around.groupBy("component").agg(F.count("*").alias("n"))
@@ -254,7 +254,7 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scratch.drop(heads)
 
     # the members' texts, read again; a repeated id may bring another text, which its set tells
-    texts = docs.join(members, F.col("id").eqNullSafe(F.col("head_id"))) \
+    texts = docs.join(members.hint("merge"), F.col("id").eqNullSafe(F.col("head_id"))) \
         .select("text", "set_id", "node", "component", "blocks", "block")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +296,7 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "set_id", "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.col("f.id").alias("group_id"), F.col("f.row").alias("kept_row")), "decided")
     scratch.drop(near, members, found, linked)
-    return rows.select("id", "md5", "row", "set_id").join(decided, "set_id") \
+    return rows.select("id", "md5", "row", "set_id").join(decided.hint("merge"), "set_id") \
         .select(F.col("id").alias(id_col), "class_id", "copies", "n_links", "group_id",
                 (F.col("row") == F.col("kept_row")).alias("kept"), F.col("md5").alias("text_md5"))
 

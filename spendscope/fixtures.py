@@ -54,26 +54,13 @@ def once_per_session(fn):
 
 
 # A generated table is one parquet file with one row group, i.e. one scan
-# task whatever its size.  Above this size it is spread round-robin over
-# the session's cores so that the CPU work after the scan runs in parallel
-# (real system tables arrive as many files and are never repartitioned).
-SPREAD_ABOVE_BYTES = 256 * 1024
-
-
+# task whatever its size, so it is spread round-robin over the session's
+# cores (real system tables arrive as many files, which have splits enough).
 @once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df._jdf.rdd().getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM handles (e.g. Spark Connect): keep the scan as is
-        return df
-    if cores > 1 and splits < cores:
-        from spendscope.plans.joins import estimated_size
-
-        if estimated_size(df)[0] > SPREAD_ABOVE_BYTES:
-            df = df.repartition(cores)
-    return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
 
 
 def _k(props: str = "props") -> Column:
@@ -102,7 +89,7 @@ def _query_history_columns() -> list[Column]:
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("executed_by"),
         F.concat(F.lit("w"), (F.col("user_id") % 4).cast("string")).alias("warehouse_id"),
         F.when(F.col("event_type") == "view", F.concat(F.lit("d"), (F.col("user_id") % 10).cast("string"))).alias("dashboard_id"),
-        F.when(F.col("event_type") == "click", F.concat(F.lit("g"), (F.col("user_id") % 3).cast("string"))).alias("space_id"),
+        F.when(F.col("event_type") == "click", F.concat(F.lit("g"), (F.col("user_id") % 3).cast("string"))).alias("genie_space_id"),
         F.when(F.col("event_type") == "signup", F.lit("nb1")).alias("notebook_id"),
         F.when(is_error & (k_int < 50), F.lit("al1")).alias("alert_id"),
         F.when(is_error & (k_int >= 50), F.lit("jb1")).alias("job_id"),
@@ -207,7 +194,7 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @once_per_session
 def dashboard_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 12)
+    n = table(spark, sf_dir, "nation")
     return n.select(
         F.concat(F.lit("d"), F.col("n_nationkey").cast("string")).alias("dashboard_id"),
         F.col("n_name").alias("display_name"),

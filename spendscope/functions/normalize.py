@@ -33,14 +33,8 @@ def coerce_timestamp_text(x: Column | str) -> Column:
     offset (``Z``, ``+02:00``) is dropped, not applied: the wall clock is kept."""
     s = F.trim(_c(x))
     no_zone = F.regexp_replace(s, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
-    return F.when(F.length(s) > 0, no_zone.try_cast("timestamp_ntz"))
-
-
-def coerce_timestamp_json(raw: Column | str, path: str) -> Column:
-    """B1 on a JSON field that may hold an epoch number or ISO text."""
-    v = F.get_json_object(_c(raw), path)
-    is_number = v.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$")
-    return F.when(is_number, coerce_timestamp_number(v)).otherwise(coerce_timestamp_text(v))
+    full_date = s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}")  # a year or a month alone is no timestamp
+    return F.when(full_date, no_zone.try_cast("timestamp_ntz"))
 
 
 _NUMERIC_VARIANT = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"

@@ -36,23 +36,16 @@ from spendscope.functions.time import epoch_seconds, one_hour, hour_floor, lookb
 from spendscope.plans.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
     broadcast_if_small,
-    estimated_size,
     materialize,
     salted_left_join,
 )
 
-# Below this (estimated) query-history input the hour-rate table is not
-# written out: the join is left to AQE, which broadcasts it at run time
-# from the real shuffle size, and the extra shuffle write of the
-# statement-hours is small.  Above it, the rates are written once so the
-# statement-hours are never shuffled for the join.
-MATERIALIZE_ABOVE_BYTES = 1024 ** 3
-
 HOUR_KEY = ["workspace_id", "warehouse_id", "hour_start"]
 
+# The statement columns of the cost table.
 STATEMENT_COLUMNS = [
     "statement_id", "workspace_id", "executed_by", "warehouse_id",
-    "dashboard_id", "space_id", "notebook_id", "alert_id", "job_id",
+    "dashboard_id", "genie_space_id", "notebook_id", "alert_id", "job_id",
     "client_application",
 ]
 
@@ -188,25 +181,15 @@ def hour_rates(totals: DataFrame, hourly: DataFrame) -> DataFrame:
 def attribute_hours(
     stmt_hour_work: DataFrame,
     rates: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
-    hourly: DataFrame | None = None,
 ) -> DataFrame:
     """Cost and DBUs per statement-hour: share of the hour's work times
     the hour's bill.  No bill → 0; zero or unknown total work → NULL.
 
-    ``rates`` holds total work and bill per hour key; alternatively pass
-    the hour totals as ``rates`` and the hourly bill as ``hourly``: two
-    joins, each against a single aggregate whose real size AQE measures
-    (and broadcasts at run time when small)."""
-    if hourly is not None:
-        joined = stmt_hour_work.join(rates, HOUR_KEY, "left").join(hourly, HOUR_KEY, "left")
-    else:
-        side, small = broadcast_if_small(rates, max_broadcast_rows) if max_broadcast_rows > 0 else (rates, False)
-        if small or salt_buckets <= 1:
-            joined = stmt_hour_work.join(side, HOUR_KEY, "left")
-        else:
-            joined = salted_left_join(stmt_hour_work, rates, HOUR_KEY, salt_buckets, ["statement_id", "hour_start"])
+    ``rates`` holds total work and bill per hour key.  The join carries no
+    hint: AQE broadcasts the rates when their real size allows, and splits
+    a hot warehouse-hour otherwise; ``salt_buckets`` spreads it beforehand."""
+    joined = salted_left_join(stmt_hour_work, rates, HOUR_KEY, salt_buckets, ["statement_id", "hour_start"])
     share = F.try_divide(F.col("work_ms_in_hour"), F.col("total_work_ms_in_hour"))
     return joined.select(
         *STATEMENT_COLUMNS, "start_time", "end_time", "work_ms", "hour_start", "work_ms_in_hour",
@@ -235,7 +218,7 @@ def query_cost_attribution(
     discount_pct: float = 0.0,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
-    materialize_rates: bool | None = None,
+    materialize_rates: bool = False,
     history_date_col: str | None = None,
     usage_date_col: str | None = None,
 ) -> DataFrame:
@@ -244,24 +227,16 @@ def query_cost_attribution(
     ``history_date_col`` / ``usage_date_col`` name DATE partition columns
     of the inputs for partition pruning on the lookback window.
 
-    ``materialize_rates`` writes the hour-rate table (one row per active
-    warehouse-hour) to the shared checkpoint folder; its size is then
-    known exactly (broadcast only within the bound) and the big join reads
-    a lineage-free input.  ``None`` decides from the estimated size of the
-    query-history input (see ``MATERIALIZE_ABOVE_BYTES``).
+    One plan at every size: the hour-rate table (one row per active
+    warehouse-hour) is joined once to the statement-hours.
+    ``materialize_rates`` writes it to the shared checkpoint folder first, for
+    callers that want to cut the lineage there.
     """
     hourly = hourly_cost(usage, prices, as_of, window_days, discount_pct, max_broadcast_rows, usage_date_col)
     stmts = statements(query_history, as_of, window_days, history_date_col)
-    if materialize_rates is None:
-        materialize_rates = estimated_size(stmts)[0] > MATERIALIZE_ABOVE_BYTES
     shw = statement_hour_work(statement_hours(stmts))
-    if materialize_rates or salt_buckets > 1:
-        rates = hour_rates(hour_totals(shw), hourly)
-        if materialize_rates:
-            rates = materialize(rates, "hour_rates")
-        attributed = attribute_hours(shw, rates, max_broadcast_rows if materialize_rates else 0, salt_buckets)
-    else:
-        # small input: no hint — AQE sees each aggregate's real shuffle size
-        # and turns the joins into broadcast joins at run time
-        attributed = attribute_hours(shw, hour_totals(shw), hourly=hourly)
+    rates = hour_rates(hour_totals(shw), hourly)
+    if materialize_rates:
+        rates = materialize(rates, "hour_rates")
+    attributed = attribute_hours(shw, rates, salt_buckets)
     return roll_up_statements(attributed).select(*ATTRIBUTION_COLUMNS)

@@ -18,10 +18,6 @@ PERCENTILE_CONT).  Two plans compute them:
   per-segment offsets and in-segment running counts, then the two ranks
   around each quantile picked by a grouped aggregate and interpolated
   with the same formula.  No task holds a whole group.
-
-``percentiles="auto"`` (default) takes the distributed plan when the
-estimated input exceeds ``DISTRIBUTED_PERCENTILES_ABOVE_BYTES``;
-``"approx"`` uses ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -33,11 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendscope.plans.joins import estimated_size, materialize
+from spendscope.plans.joins import materialize
 
 GB = float(1024 ** 3)
 TB = float(1024 ** 4)
-DISTRIBUTED_PERCENTILES_ABOVE_BYTES = 1024 ** 3
 
 
 def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float],
@@ -110,9 +105,15 @@ def metric_base(history: DataFrame) -> DataFrame:
     cw_ms = F.coalesce(c("waiting_for_compute_duration_ms"), zero)
     cap_ms = F.coalesce(c("waiting_at_capacity_duration_ms"), zero)
     duration_ms = compile_ms + exec_ms + fetch_ms + cw_ms + cap_ms
+
+    def source_id(name: str) -> Column:
+        """A source's id where the history has it (older exports lack some)."""
+        return (c(name) if name in history.columns else F.lit(None)).cast("string").alias(name)
+
+    # The source labels of the query-history metric view.
     source_type = (
-        F.when(c("dashboard_id").isNotNull(), "Dashboard")
-        .when(c("space_id").isNotNull(), "Space")
+        F.when(c("dashboard_id").isNotNull(), "AI/BI Dashboard")
+        .when(c("genie_space_id").isNotNull(), "Genie Space")
         .when(c("notebook_id").isNotNull(), "Notebook")
         .when(c("alert_id").isNotNull(), "Alert")
         .when(c("job_id").isNotNull(), "Job")
@@ -128,9 +129,9 @@ def metric_base(history: DataFrame) -> DataFrame:
         "executed_by", "warehouse_id", "account_id", "workspace_id",
         "statement_type", "execution_status", "compute_type",
         source_type.alias("query_source_type"), "client_application",
-        "notebook_id", "dashboard_id", F.lit(None).cast("string").alias("legacy_dashboard_id"),
-        "job_id", "alert_id", "space_id",
-        F.lit(None).cast("string").alias("pipeline_id"), F.lit(None).cast("string").alias("sql_query_id"),
+        "notebook_id", "dashboard_id", source_id("legacy_dashboard_id"),
+        "job_id", "alert_id", "genie_space_id",
+        source_id("pipeline_id"), source_id("sql_query_id"),
         duration_ms.alias("duration_ms"),
         compile_ms.alias("compilation_ms"), exec_ms.alias("execution_ms"), fetch_ms.alias("result_fetch_ms"),
         cw_ms.alias("compute_wait_ms"), cap_ms.alias("capacity_wait_ms"),
@@ -170,7 +171,6 @@ class MetricSet:
         by: Sequence[str] = (),
         measures: Sequence[str] | None = None,
         where: Column | None = None,
-        percentiles: str = "auto",
     ) -> DataFrame:
         """Measures (all by default) at the grain of the ``by`` dimensions."""
         df = base if where is None else base.where(where)
@@ -178,9 +178,6 @@ class MetricSet:
         keys = [f"__dim_{d}" for d in by]
         names = list(self.measures) if measures is None else list(measures)
         pct = [m for m in names if m in self.percentile_measures]
-        if percentiles == "auto":
-            big = estimated_size(df)[0] > DISTRIBUTED_PERCENTILES_ABOVE_BYTES
-            percentiles = "distributed" if big and pct else "inline"
         if not pct:
             aggs = [self.measures[m][1](False).alias(m) for m in names]
             out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
@@ -191,14 +188,7 @@ class MetricSet:
         plain = [self.measures[m][1](False).alias(m) for m in names if m not in pct] + [F.count(F.lit(1)).alias("__rows")]
         main = (df.groupBy(*keys).agg(*plain) if keys else df.agg(*plain)).withColumn("__j", F.lit(1))
         qs = {m: self.percentile_measures[m] for m in pct}
-        if percentiles == "distributed":
-            exact = exact_percentiles(df, keys, "duration_ms", qs)
-        else:
-            x = F.col("duration_ms").cast("double")
-            wanted = F.array(*[F.lit(float(p)) for p in qs.values()])
-            arr = F.percentile_approx(x, wanted, 100000) if percentiles == "approx" else F.percentile(x, wanted)
-            exact = (df.groupBy(*keys).agg(arr.alias("__p")) if keys else df.agg(arr.alias("__p")))
-            exact = exact.select(*keys, *[F.col("__p")[i].alias(m) for i, m in enumerate(qs)])
+        exact = exact_percentiles(df, keys, "duration_ms", qs)
         exact = exact.select(*[F.col(k).alias(f"__e{k}") for k in keys],
                              *[F.round(F.col(m) / 1000, 2).alias(m) for m in pct], F.lit(1).alias("__je"))
         # one row per group on both sides; NULL dimension values match (null-safe keys)
@@ -222,8 +212,7 @@ def _rate(col: str) -> Callable[[bool], Column]:
 def _pct(p: float) -> Callable[[bool], Column]:
     def build(approx: bool) -> Column:
         x = F.col("duration_ms").cast("double")
-        v = F.percentile_approx(x, p, 100000) if approx else F.percentile(x, F.lit(p))
-        return _r(v / 1000)
+        return _r(F.percentile(x, F.lit(p)) / 1000)
 
     return build
 
@@ -243,7 +232,7 @@ def _build_query_history_metrics() -> MetricSet:
         ("client_application", "Client Application", "client_application"),
         ("notebook_id", "Notebook ID", "notebook_id"), ("dashboard_id", "Dashboard ID", "dashboard_id"),
         ("legacy_dashboard_id", "Legacy Dashboard ID", "legacy_dashboard_id"), ("job_id", "Job ID", "job_id"),
-        ("alert_id", "Alert ID", "alert_id"), ("space_id", "Space ID", "space_id"),
+        ("alert_id", "Alert ID", "alert_id"), ("genie_space_id", "Genie Space ID", "genie_space_id"),
         ("pipeline_id", "Pipeline ID", "pipeline_id"), ("sql_query_id", "SQL Query ID", "sql_query_id"),
         ("is_slow_query", "Is Slow Query", "is_slow_query"),
         ("is_very_slow_query", "Is Very Slow Query", "is_very_slow_query"),
@@ -255,6 +244,7 @@ def _build_query_history_metrics() -> MetricSet:
     ]:
         m.dimension(ident, display, col)
 
+    # The measure names of the query-history metric view.
     c = F.col
     m.measure("total_queries", "Total Queries", lambda _a: F.count(F.lit(1)))
     m.measure("unique_users", "Unique Users", lambda _a: F.countDistinct("executed_by"))

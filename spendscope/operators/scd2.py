@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from spendscope.plans import state
+
 START = "__START_AT"
 END = "__END_AT"
 
@@ -196,48 +198,31 @@ class HistoryStore:
     never change again), ``open`` the open rows after it.  The history is
     every version's ``closed`` part plus the latest ``open`` part, so an
     applied snapshot writes only the open set and that version's changes
-    — not the whole history.  ``_state.json`` records the applied versions
-    (the snapshot gate: a ``version`` at or below the last is a no-op and
-    ``apply`` returns ``None``); it is replaced only after the data is
-    written, so a failed run leaves the previous state intact.
+    — not the whole history.  Immutable numbered records under ``_state``
+    name the applied versions (the snapshot gate: a ``version`` at or below
+    the last is a no-op and ``apply`` returns ``None``); a record is added only
+    after the data is written, so a failed run leaves the previous one.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str]):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.tracked = list(keys), list(tracked)
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath, hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
     def state(self) -> dict | None:
-        hpath, fs = self._fs(f"{self.root}/_state.json")
-        if not fs.exists(hpath):
-            return None
-        stream = fs.open(hpath)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _write_state(self, state: dict) -> None:
-        hpath, fs = self._fs(f"{self.root}/_state.json")
-        jvm = self.spark.sparkContext._jvm
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_state.{uuid.uuid4().hex}.tmp")
-        out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps(state).encode("utf-8")))
-        out.close()
-        fs.delete(hpath, False)
-        fs.rename(tmp, hpath)
+        found = state.read_state(self.spark, self.root)
+        if found is None and state.holds_data(self.spark, self.root):
+            raise RuntimeError(f"{self.root} holds data but no state record; a new history there would lose it")
+        return found
+
+    def _write_state(self, record: dict) -> None:
+        state.write_state(self.spark, self.root, record)
 
     def last_version(self) -> int | None:
         st = self.state()
         return None if st is None else int(st["version"])
 
-    def _part(self, folder: str, state: str) -> str:
-        return f"{folder}/__state={state}"
+    def _part(self, folder: str, kind: str) -> str:
+        return f"{folder}/__state={kind}"
 
     def compact(self) -> None:
         """Rewrite every version's closed rows into one folder (a new,
@@ -260,7 +245,7 @@ class HistoryStore:
         skip = set(st.get("skip_closed", []))
         paths = [] if open_only else [self._part(f, "closed") for f in st["folders"] if f not in skip]
         paths.append(self._part(st["folders"][-1], "open"))
-        existing = [p for p in paths if self._fs(p)[1].exists(self._fs(p)[0])]
+        existing = [p for p in paths if state.exists(self.spark, p)]
         schema = StructType.fromJson(json.loads(st["schema"]))
         if not existing:
             return self.spark.createDataFrame([], schema)
@@ -274,11 +259,17 @@ class HistoryStore:
         st = self.state()
         return None if st is None else self._read_parts(st, open_only=True)
 
-    def apply(self, snapshot: DataFrame, version: int, complete: bool = True) -> DataFrame | None:
+    def apply(self, snapshot: DataFrame, version: int, complete: bool = True,
+              unresolved: DataFrame | None = None) -> DataFrame | None:
+        """``unresolved``: keys whose fetch failed; their open rows stay as they are."""
         st = self.state()
         if st is not None and int(st["version"]) >= int(version):
             return None
         open_rows = None if st is None else self._read_parts(st, open_only=True)
+        if open_rows is not None and unresolved is not None:
+            held = open_rows.join(unresolved.select(*self.keys).distinct(), self.keys, "left_semi") \
+                .join(snapshot.select(*self.keys), self.keys, "left_anti").drop(START, END)
+            snapshot = snapshot.unionByName(held, allowMissingColumns=True)
         step = apply_snapshot(open_rows, snapshot, version, self.keys, self.tracked, complete)
         schema = step.schema
         folder = os.path.join(self.root, f"v{int(version)}-{uuid.uuid4().hex[:8]}")

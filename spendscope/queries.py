@@ -174,7 +174,7 @@ def q_attributed_hours(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- H8
-_QCA_SELECT = f"""select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, space_id, notebook_id,
+_QCA_SELECT = f"""select statement_id, workspace_id, executed_by, warehouse_id, dashboard_id, genie_space_id, notebook_id,
   alert_id, job_id, client_application, start_time, end_time, work_ms,
   {o4('attributed_cost_usd')}, {o4('attributed_dbus')}
 from stmt_cost"""
@@ -203,14 +203,27 @@ _O_DASH = ("fx_dashboard_current_o", """select *, case when parent_path like '/U
 from fx_dashboard_current""")
 
 
+def _facts(key: str) -> str:
+    """Statement facts per ``key``, aggregated before any dimension is joined."""
+    return f"""facts as (
+  select {key} as k, count(*) as n, sum(attributed_cost_usd) as usd, sum(attributed_dbus) as units,
+    avg(attributed_cost_usd) as mean_usd, count(distinct executed_by) as people,
+    count(distinct dashboard_id) as boards, count(distinct genie_space_id) as spaces, max(end_time) as latest
+  from stmt_cost where {key} is not null group by {key})"""
+
+
+def _or0(x: str) -> str:
+    return f"coalesce({x}, 0)"
+
+
+_FACT_COLUMNS = f"{_or0('n')} as statements, {on(_or0('usd'), 4, 'cost_usd')}, {on(_or0('units'), 4, 'dbus')}"
+
+
 @register("dashboard_cost", oracle.build(["stmt_cost", "fx_dashboard_current"], f"""
-select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, dash.warehouse_id as configured_warehouse_id,
-  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
-  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
-  {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
-  max(qc.end_time) as last_statement_at
-from fx_dashboard_current_o dash left join stmt_cost qc on qc.dashboard_id = dash.dashboard_id
-group by 1, 2, 3, 4""", extra=[_O_DASH]))
+with {_facts('dashboard_id')}
+select dashboard_id, display_name as dashboard_name, owner, warehouse_id as configured_warehouse_id,
+  {_FACT_COLUMNS}, {on(_or0('mean_usd'), 4, 'avg_cost_per_statement_usd')}, latest as last_statement_at
+from fx_dashboard_current_o left join facts on k = dashboard_id""", extra=[_O_DASH]))
 def q_dashboard_cost(spark, sf_dir):
     """H9: cost roll-up per dashboard (unused dashboards keep a zero row)."""
     out = rollups.dashboard_cost(_dashboards(spark, sf_dir), cost_attribution(spark, sf_dir))
@@ -221,49 +234,50 @@ def q_dashboard_cost(spark, sf_dir):
 
 
 @register("space_cost", oracle.build(["stmt_cost", "fx_space_current"], f"""
-select g.space_id, g.title as space_title, g.warehouse_id as configured_warehouse_id, g.creator_id,
-  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
-  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
-  {on('coalesce(avg(qc.attributed_cost_usd), 0)', 4, 'avg_cost_per_statement_usd')},
-  count(distinct qc.executed_by) as unique_users, max(qc.end_time) as last_statement_at
-from fx_space_current g left join stmt_cost qc on qc.space_id = g.space_id
-group by 1, 2, 3, 4"""))
+with {_facts('genie_space_id')}
+select space_id, title as genie_space_title, warehouse_id as configured_warehouse_id, creator_id,
+  {_FACT_COLUMNS}, {on(_or0('mean_usd'), 4, 'avg_cost_per_statement_usd')}, {_or0('people')} as unique_users,
+  latest as last_statement_at
+from fx_space_current left join facts on k = space_id"""))
 def q_space_cost(spark, sf_dir):
     """Cost roll-up per conversational space with distinct users."""
     out = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
     return out.select(
-        "space_id", "space_title", "configured_warehouse_id", "creator_id", "statements",
+        "space_id", "genie_space_title", "configured_warehouse_id", "creator_id", "statements",
         r4("cost_usd"), r4("dbus"), r4("avg_cost_per_statement_usd"), "unique_users", "last_statement_at",
     )
 
 
 @register("warehouse_cost", oracle.build(["stmt_cost", "fx_warehouse_current"], f"""
-select w.id as warehouse_id, w.name as warehouse_name, w.cluster_size, w.warehouse_type, w.enable_serverless_compute,
-  count(qc.statement_id) as statements, {on('coalesce(sum(qc.attributed_cost_usd), 0)', 4, 'cost_usd')},
-  {on('coalesce(sum(qc.attributed_dbus), 0)', 4, 'dbus')},
-  count(distinct qc.executed_by) as unique_users, count(distinct qc.dashboard_id) as dashboards_touched,
-  count(distinct qc.space_id) as spaces_touched, max(qc.end_time) as last_statement_at
-from fx_warehouse_current w left join stmt_cost qc on qc.warehouse_id = w.id
-group by 1, 2, 3, 4, 5"""))
+with {_facts('warehouse_id')}
+select id as warehouse_id, name as warehouse_name, cluster_size, warehouse_type, enable_serverless_compute,
+  {_FACT_COLUMNS}, {_or0('people')} as unique_users, {_or0('boards')} as dashboards_touched,
+  {_or0('spaces')} as genie_spaces_touched, latest as last_statement_at
+from fx_warehouse_current left join facts on k = id"""))
 def q_warehouse_cost(spark, sf_dir):
     """Cost roll-up per warehouse with distinct users/dashboards/spaces."""
     out = rollups.warehouse_cost(fx.warehouse_current(spark, sf_dir), cost_attribution(spark, sf_dir))
     return out.select(
         "warehouse_id", "warehouse_name", "cluster_size", "warehouse_type", "enable_serverless_compute",
-        "statements", r4("cost_usd"), r4("dbus"), "unique_users", "dashboards_touched", "spaces_touched",
+        "statements", r4("cost_usd"), r4("dbus"), "unique_users", "dashboards_touched", "genie_spaces_touched",
         "last_statement_at",
     )
 
 
-_SOURCE_CASE = """case when dashboard_id is not null then 'dashboard' when space_id is not null then 'space'
-    when notebook_id is not null then 'notebook' when alert_id is not null then 'alert'
-    when job_id is not null then 'job' else 'other / direct' end"""
+# The source labels, first match first.
+_SOURCES = {
+    "dashboard": "dashboard_id", "genie_space": "genie_space_id", "notebook": "notebook_id",
+    "alert": "alert_id", "job": "job_id",
+}
+_SOURCE_LABEL = "coalesce(" + ", ".join(f"if({c} is null, null, '{v}')" for v, c in _SOURCES.items()) + ", 'other / direct')"
 
 
 @register("cost_by_source_type", oracle.build(["stmt_cost"], f"""
-select {_SOURCE_CASE} as source_type, count(*) as statements, {on('sum(attributed_cost_usd)', 2, 'cost_usd')},
-  {on('100.0 * sum(attributed_cost_usd) / sum(sum(attributed_cost_usd)) over ()', 2, 'pct_of_total')}
-from stmt_cost group by 1"""))
+with labelled as (select {_SOURCE_LABEL} as source_type, attributed_cost_usd as usd from stmt_cost),
+whole as (select sum(usd) as all_usd from labelled)
+select source_type, count(*) as statements, {on('sum(usd)', 2, 'cost_usd')},
+  {on('sum(usd) * 100.0 / any_value(all_usd)', 2, 'pct_of_total')}
+from labelled, whole group by source_type"""))
 def q_cost_by_source_type(spark, sf_dir):
     """H13 + J7: statements and cost per source type, percent of total."""
     out = rollups.cost_by_source_type(cost_attribution(spark, sf_dir))
@@ -271,21 +285,21 @@ def q_cost_by_source_type(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- H12
+def _viewed(action: str, name: str) -> str:
+    return (f"count(*) filter (action_name = '{action}') as {name}_l30d, "
+            f"count(distinct email) filter (action_name = '{action}') as {name}_users_l30d")
+
+
+# The audit log's action names.
 _O_VIEWS = ("dashboard_views", f"""
-select dashboard_id,
-  cast(sum(case when action_name = 'getPublishedDashboard' then 1 else 0 end) as bigint) as published_l30d,
-  count(distinct case when action_name = 'getPublishedDashboard' then email end) as published_users_l30d,
-  cast(sum(case when action_name = 'getDashboard' then 1 else 0 end) as bigint) as draft_l30d,
-  count(distinct case when action_name = 'getDashboard' then email end) as draft_users_l30d
-from fx_audit
-where event_date >= {oracle.CUTOFF_30} and action_name in ('getPublishedDashboard', 'getDashboard')
-  and dashboard_id is not null
-group by dashboard_id""")
-_O_LOAD = ("query_history_l30d", f"""
-select dashboard_id, cast(coalesce(sum(total_task_duration_ms), 0) as bigint) as total_task_duration_l30d,
-  count(statement_id) as count_queries_l30d
-from fx_query_history where start_time >= {oracle.CUTOFF_30} and dashboard_id is not null
-group by dashboard_id""")
+with seen as (
+  select dashboard_id, action_name, email from fx_audit
+  where event_date >= {oracle.CUTOFF_30} and dashboard_id is not null)
+select dashboard_id, {_viewed('getPublishedDashboard', 'published')}, {_viewed('getDashboard', 'draft')}
+from seen where action_name = 'getPublishedDashboard' or action_name = 'getDashboard' group by dashboard_id""")
+_O_LOAD = ("dashboard_load", f"""
+select dashboard_id as board, count(statement_id) as n, sum(total_task_duration_ms)::bigint as task_ms
+from fx_query_history where dashboard_id is not null and start_time >= {oracle.CUTOFF_30} group by all""")
 
 
 @register("dashboard_usage_30d", oracle.build(["fx_audit"], "select * from dashboard_views", extra=[_O_VIEWS]))
@@ -294,13 +308,11 @@ def q_dashboard_usage_30d(spark, sf_dir):
     return usage.dashboard_views(fx.audit(spark, sf_dir), fx.AS_OF, fx.USAGE_WINDOW_DAYS)
 
 
-@register("dashboard_denormalized", oracle.build(["fx_audit", "fx_query_history", "fx_dashboard_current"], """
-select dash.*, coalesce(hist.total_task_duration_l30d, 0) as total_task_duration_l30d,
-  coalesce(hist.count_queries_l30d, 0) as count_queries_l30d,
-  dv.published_l30d, dv.published_users_l30d, dv.draft_l30d, dv.draft_users_l30d
-from fx_dashboard_current_o dash
-left join query_history_l30d hist on dash.dashboard_id = hist.dashboard_id
-left join dashboard_views dv on dash.dashboard_id = dv.dashboard_id""", extra=[_O_DASH, _O_VIEWS, _O_LOAD]))
+@register("dashboard_denormalized", oracle.build(["fx_audit", "fx_query_history", "fx_dashboard_current"], f"""
+select d.*, {_or0('task_ms')} as total_task_duration_l30d, {_or0('n')} as count_queries_l30d,
+  v.* exclude (dashboard_id)
+from fx_dashboard_current_o d left join dashboard_load on board = d.dashboard_id
+  left join dashboard_views v on v.dashboard_id = d.dashboard_id""", extra=[_O_DASH, _O_VIEWS, _O_LOAD]))
 def q_dashboard_denormalized(spark, sf_dir):
     """Current dashboards + 30-day load + views (struct flattened)."""
     out = usage.dashboard_denormalized(
@@ -324,15 +336,11 @@ def q_check_rowcount(spark, sf_dir):
 
 
 @register("check_variance", oracle.build(["stmt_cost", "bill_by_hour"], f"""
-with mv_total as (select sum(attributed_cost_usd) as mv_total_usd from stmt_cost),
-raw_total as (select sum(u.usage_quantity * coalesce(lp.price_usd, 0)) as raw_total_usd
-  from fx_usage u left join prices_eff lp
-    on u.cloud = lp.cloud and u.sku_name = lp.sku_name and u.usage_start_time >= lp.price_start_time
-   and (lp.price_end_time is null or u.usage_start_time < lp.price_end_time)
-  where u.billing_origin_product = 'SQL' and u.warehouse_id is not null and u.usage_start_time >= {oracle.CUTOFF_365})
-select {on('mv_total_usd', 4)}, {on('raw_total_usd', 4)},
-  {on('abs(mv_total_usd - raw_total_usd) / nullif(raw_total_usd, 0)', 6, 'variance_pct')}
-from mv_total cross join raw_total"""))
+with sums(mv, billed) as (
+  select (select sum(attributed_cost_usd) from stmt_cost), (select sum(list_cost_usd) from bill_by_hour))
+select {on('mv', 4, 'mv_total_usd')}, {on('billed', 4, 'raw_total_usd')},
+  {on('case when billed <> 0 then abs(1 - mv / billed) end', 6, 'variance_pct')}
+from sums"""))
 def q_check_variance(spark, sf_dir):
     """Attributed vs raw billed total and their relative gap."""
     out = quality.check_variance(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
@@ -347,22 +355,20 @@ def q_check_bad_cost(spark, sf_dir):
 
 
 @register("check_hour_overattributed", oracle.build(["stmt_cost", "bill_by_hour"], """
-with per_hour as (select workspace_id, warehouse_id, date_trunc('hour', start_time) as hour_start,
-    sum(attributed_cost_usd) as hour_attributed from stmt_cost group by 1, 2, 3)
-select count(*) as hours_overattributed
-from per_hour p join bill_by_hour r using (workspace_id, warehouse_id, hour_start)
-where p.hour_attributed > r.list_cost_usd * 1.01"""))
+with spent as (
+  select workspace_id as ws, warehouse_id as wh, date_trunc('hour', start_time) as h, sum(attributed_cost_usd) as usd from stmt_cost group by all)
+select count(*) filter (usd / nullif(list_cost_usd, 0) > 1.01 or (list_cost_usd = 0 and usd > 0)) as hours_overattributed
+from bill_by_hour, spent where ws = workspace_id and wh = warehouse_id and h = hour_start"""))
 def q_check_hour_overattributed(spark, sf_dir):
     """Hours whose start-hour-booked attribution exceeds the bill by > 1 %."""
     return quality.check_hour_overattributed(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
 
 
 @register("check_hour_overattributed_exact", oracle.build(["stmt_hour_cost", "bill_by_hour"], """
-with per_hour as (select workspace_id, warehouse_id, hour_start, sum(cost_usd_in_hour) as hour_attributed
-  from stmt_hour_cost group by 1, 2, 3)
-select count(*) as hours_overattributed
-from per_hour p join bill_by_hour r using (workspace_id, warehouse_id, hour_start)
-where p.hour_attributed > r.list_cost_usd * 1.01"""))
+with spent as (
+  select workspace_id as ws, warehouse_id as wh, hour_start as h, sum(cost_usd_in_hour) as usd from stmt_hour_cost group by all)
+select count(*) filter (usd / nullif(list_cost_usd, 0) > 1.01 or (list_cost_usd = 0 and usd > 0)) as hours_overattributed
+from bill_by_hour, spent where ws = workspace_id and wh = warehouse_id and h = hour_start"""))
 def q_check_hour_overattributed_exact(spark, sf_dir):
     """J4 exact (R9): per-hour split compared hour by hour (0 expected)."""
     shw = _shw(spark, sf_dir)
@@ -372,13 +378,10 @@ def q_check_hour_overattributed_exact(spark, sf_dir):
 
 
 @register("top_dashboards", oracle.build(["stmt_cost", "fx_dashboard_current"], f"""
-with dc as (
-  select dash.dashboard_id, dash.display_name as dashboard_name, dash.owner, count(qc.statement_id) as statements,
-    coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, coalesce(sum(qc.attributed_dbus), 0) as dbus
-  from fx_dashboard_current_o dash left join stmt_cost qc on qc.dashboard_id = dash.dashboard_id
-  group by 1, 2, 3)
-select dashboard_name, owner, statements, {on('cost_usd', 4)}, {on('dbus', 4)}
-from dc where cost_usd > 0 order by dc.cost_usd desc, dashboard_id limit 10""", extra=[_O_DASH]))
+with {_facts('dashboard_id')}
+select display_name as dashboard_name, owner, n as statements, {on('usd', 4, 'cost_usd')}, {on('units', 4, 'dbus')}
+from facts join fx_dashboard_current_o on k = dashboard_id
+where usd > 0 order by usd desc, dashboard_id limit 10""", extra=[_O_DASH]))
 def q_top_dashboards(spark, sf_dir):
     """Ten most expensive dashboards."""
     dc = rollups.dashboard_cost(_dashboards(spark, sf_dir), cost_attribution(spark, sf_dir))
@@ -386,23 +389,18 @@ def q_top_dashboards(spark, sf_dir):
 
 
 @register("top_spaces", oracle.build(["stmt_cost", "fx_space_current"], f"""
-with sc as (
-  select g.space_id, g.title as space_title, g.creator_id, count(qc.statement_id) as statements,
-    coalesce(sum(qc.attributed_cost_usd), 0) as cost_usd, count(distinct qc.executed_by) as unique_users
-  from fx_space_current g left join stmt_cost qc on qc.space_id = g.space_id
-  group by 1, 2, 3)
-select space_title, creator_id, statements, {on('cost_usd', 4)}, unique_users
-from sc where cost_usd > 0 order by sc.cost_usd desc, space_id limit 10"""))
+with {_facts('genie_space_id')}
+select title as genie_space_title, creator_id, n as statements, {on('usd', 4, 'cost_usd')}, people as unique_users
+from facts join fx_space_current on k = space_id where usd > 0 order by usd desc, space_id limit 10"""))
 def q_top_spaces(spark, sf_dir):
     """Ten most expensive spaces."""
     sc = rollups.space_cost(fx.space_current(spark, sf_dir), cost_attribution(spark, sf_dir))
-    return quality.top_spaces(sc).select("space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
+    return quality.top_spaces(sc).select("genie_space_title", "creator_id", "statements", r4("cost_usd"), "unique_users")
 
 
 @register("check_unbilled", oracle.build(["stmt_cost"], f"""
-select count(*) as unbilled_statements,
-  {on('100.0 * count(*) / (select count(*) from stmt_cost)', 2, 'unbilled_pct')}
-from stmt_cost where attributed_cost_usd = 0 or attributed_cost_usd is null"""))
+with marked as (select coalesce(attributed_cost_usd, 0) = 0 as free from stmt_cost)
+select count(*) filter (free) as unbilled_statements, {on('avg(free::int) * 100', 2, 'unbilled_pct')} from marked"""))
 def q_check_unbilled(spark, sf_dir):
     """Statements without a billed hour, count and percent."""
     return quality.check_unbilled(cost_attribution(spark, sf_dir)).select("unbilled_statements", rn("unbilled_pct", 2))
@@ -740,7 +738,7 @@ from (
   from (
     select 'u' || cast(user_id as varchar) as executed_by, 'w' || cast(user_id % 4 as varchar) as warehouse_id,
       cast(ts as date) as query_date,
-      case event_type when 'view' then 'Dashboard' when 'click' then 'Space' when 'signup' then 'Notebook'
+      case event_type when 'view' then 'AI/BI Dashboard' when 'click' then 'Genie Space' when 'signup' then 'Notebook'
         when 'error' then case when k < 50 then 'Alert' else 'Job' end else 'Other' end as query_source_type,
       case when k % 10 = 0 then 'FAILED' else 'FINISHED' end as execution_status,
       k as compilation_ms, cast(floor(value * 1000) as bigint) as execution_ms, k * 10 as result_fetch_ms,
@@ -813,9 +811,9 @@ def _metric_sql(by: list[str]) -> str:
     return oracle.build([], f"select {select}{_metric_measures_sql()}\nfrom metric_base{group}", extra=[_O_METRIC_BASE])
 
 
-def _metric(spark, sf_dir, by, percentiles="auto"):
+def _metric(spark, sf_dir, by):
     base = metrics.metric_base(fx.metric_history(spark, sf_dir))
-    out = metrics.QUERY_HISTORY_METRICS.query(base, by=by, percentiles=percentiles)
+    out = metrics.QUERY_HISTORY_METRICS.query(base, by=by)
     return out.withColumn("total_duration_sec", F.col("total_duration_sec").cast("double"))
 
 
@@ -841,14 +839,14 @@ def q_metric_by_day_source(spark, sf_dir):
 def q_metric_global_distributed(spark, sf_dir):
     """All 33 measures over the whole history, percentiles by the
     distributed exact plan (the single global group spread over tasks)."""
-    return _metric(spark, sf_dir, [], percentiles="distributed")
+    return _metric(spark, sf_dir, [])
 
 
 @register("metric_by_user_distributed", _metric_sql(["executed_by"]))
 def q_metric_by_user_distributed(spark, sf_dir):
     """All 33 measures per user, percentiles by the distributed exact plan
     (histogram + windowed running counts) used for large inputs."""
-    return _metric(spark, sf_dir, ["executed_by"], percentiles="distributed")
+    return _metric(spark, sf_dir, ["executed_by"])
 
 
 # ------------------------------------------------------------------ A1-A8
@@ -888,10 +886,10 @@ def q_snapshot_source_scan(spark, sf_dir):
 
 @register("snapshot_ids", """
 select object_id from (select distinct 'd' || cast(c_custkey as varchar) as object_id from customer)
-order by object_id limit 200""")
+order by object_id""")
 def q_snapshot_ids(spark, sf_dir):
-    """A4: sorted distinct ids capped at the development cap (200)."""
-    return landing.snapshot_ids(_landing(spark, sf_dir), limit=200)
+    """A4: all distinct ids, sorted."""
+    return landing.snapshot_ids(_landing(spark, sf_dir))
 
 
 @register("snapshot_source_by_ids", """

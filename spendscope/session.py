@@ -12,6 +12,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # the landing source pushes ``object_id IN (...)`` into its reader
     "spark.sql.python.filterPushdown.enabled": "true",
+    # a repeated key in a JSON object: the last value counts
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Settings that matter for scale; applied only where the user has not set them.
@@ -32,7 +35,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULT_CONF.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -45,13 +47,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Where it is unset, a
+    ``local`` master (tests) gets a fresh scratch folder; on a cluster that
+    would be the driver's own disk, so it is an error."""
     directory = spark.sparkContext.getCheckpointDir()
     if directory:
         return directory
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spendscope-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

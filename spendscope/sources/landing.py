@@ -12,13 +12,10 @@ source scans that folder for a snapshot:
 * explicit ids (A5): option ``ids`` (comma separated, trimmed, blanks
   dropped) or a pushed-down ``object_id IN (...)`` / ``=`` filter is
   applied inside the reader, per batch;
-* formats: ``parquet`` files of ``(object_id, raw_json, status)``, or
-  ``jsonl`` files with one raw object per line (option ``id_field`` names
-  the key; a line that is not a JSON object gets ``status='invalid'``).
+* a missing folder is an error, never an empty snapshot.
 
-Listing, de-duplication and the optional cap (A4) are DataFrame
-operations (:func:`snapshot_ids`), so they are distributed, not driver
-loops.  Register once per session with :func:`register` (idempotent).
+Listing and de-duplication (A4) are DataFrame operations
+(:func:`snapshot_ids`), so they are distributed, not driver loops.  Register once per session with :func:`register` (idempotent).
 
 The Python source mirrors a fetch-at-read extension point.  For large
 landing folders the JVM-only readers are the better plan: a parquet folder
@@ -29,6 +26,7 @@ a JSON-lines folder is :func:`read_jsonl_native`.
 from __future__ import annotations
 
 import math
+import weakref
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,10 +92,6 @@ class LandingReader(DataSourceReader):
         self.parallelism = int(options.get("parallelism", "8"))
         self.batch_size = max(1, int(options.get("output_batch_size", "128")))
         self.ids = parse_ids(options.get("ids"))
-        self.format = options.get("format", "parquet").lower()
-        self.id_field = options.get("id_field", "id")
-        if self.format not in ("parquet", "jsonl"):
-            raise ValueError(f"unsupported landing format {self.format!r}")
 
     def pushFilters(self, filters):
         """Take ``object_id IN (...)`` / ``object_id = x``; the rest stays with Spark."""
@@ -124,11 +118,11 @@ class LandingReader(DataSourceReader):
             prefix = path.split("://", 1)[0] + "://"
         else:
             filesystem, root, prefix = fs.LocalFileSystem(), path, ""
-        infos = filesystem.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-        suffixes = (".parquet",) if self.format == "parquet" else (".json", ".jsonl", ".txt")
+        # a missing folder is an error: it must not pass for an empty snapshot
+        infos = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
         files = sorted(
             i.path for i in infos
-            if i.type == fs.FileType.File and i.path.endswith(suffixes)
+            if i.type == fs.FileType.File and i.path.endswith(".parquet")
             and "/_" not in i.path[len(root):] and "/." not in i.path[len(root):]
         )
         return [prefix + f if prefix and not f.startswith(prefix) else f for f in files]
@@ -143,50 +137,14 @@ class LandingReader(DataSourceReader):
 
         wanted = pa.array(self.ids, pa.string()) if self.ids is not None else None
         for path in partition.files:
-            if self.format == "parquet":
-                batches = pq.ParquetFile(_open(path)).iter_batches(
-                    batch_size=self.batch_size, columns=["object_id", "raw_json", "status"])
-            else:
-                batches = self._jsonl_batches(path)
+            batches = pq.ParquetFile(_open(path)).iter_batches(
+                batch_size=self.batch_size, columns=["object_id", "raw_json", "status"])
             for batch in batches:
                 if wanted is not None:
                     batch = batch.filter(pc.is_in(batch.column(0), value_set=wanted))
                 if batch.num_rows:
                     yield batch
 
-    def _jsonl_batches(self, path: str):
-        """One record per line: the id read from ``id_field``; a line that is
-        not a JSON object (or lacks the id) is kept with ``status='invalid'``."""
-        import io
-        import json
-
-        import pyarrow as pa
-
-        def flush(ids, raws, stats):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array(raws, pa.string()), pa.array(stats, pa.string())],
-                names=["object_id", "raw_json", "status"])
-
-        ids, raws, stats = [], [], []
-        with io.TextIOWrapper(_open(path), encoding="utf-8") as handle:
-            for line in handle:
-                line = line.rstrip("\n")
-                if not line.strip():
-                    continue
-                try:
-                    obj = json.loads(line)
-                except ValueError:
-                    obj = None
-                key = obj.get(self.id_field) if isinstance(obj, dict) else None
-                ids.append("" if key is None else str(key))
-                raws.append(line)
-                stats.append("ok" if key not in (None, "") else "invalid")
-                if len(ids) >= self.batch_size:
-                    yield flush(ids, raws, stats)
-                    ids, raws, stats = [], [], []
-        if ids:
-            yield flush(ids, raws, stats)
-
 
 class LandingSource(DataSource):
     @classmethod
@@ -200,39 +158,41 @@ class LandingSource(DataSource):
         return LandingReader(self.options)
 
 
-_REGISTERED: set[int] = set()
+_REGISTERED: "weakref.WeakSet[SparkSession]" = weakref.WeakSet()
 
 
 def register(spark: SparkSession) -> None:
     """Register the source with the session (once).  The source's planner
     and readers run in Python worker processes that import this module, so
     the package is shipped to them first (``addPyFile``)."""
-    key = id(spark)
-    if key not in _REGISTERED:
+    if spark not in _REGISTERED:
         from spendscope.session import ship_package
 
         ship_package(spark)
         spark.dataSource.register(LandingSource)
-        _REGISTERED.add(key)
+        _REGISTERED.add(spark)
 
 
 def read_landing(spark: SparkSession, path: str, parallelism: int = 8, output_batch_size: int = 128,
                  ids: str | None = None, fmt: str = "parquet", id_field: str = "id") -> DataFrame:
+    """A landed snapshot: parquet folders by the data source, JSON-lines
+    folders (``fmt="jsonl"``) by :func:`read_jsonl_native`."""
+    if fmt == "jsonl":
+        rows = read_jsonl_native(spark, path, id_field)
+        return rows if ids is None else select_ids(rows, ids)
+    if fmt != "parquet":
+        raise ValueError(f"unsupported landing format {fmt!r}")
     register(spark)
     reader = (spark.read.format(SOURCE_NAME).option("path", path).option("parallelism", str(parallelism))
-              .option("output_batch_size", str(output_batch_size)).option("format", fmt)
-              .option("id_field", id_field))
+              .option("output_batch_size", str(output_batch_size)))
     if ids is not None:
         reader = reader.option("ids", ids)
     return reader.load()
 
 
-def snapshot_ids(landing: DataFrame, limit: int = 0) -> DataFrame:
-    """A4: distinct non-null ids in sorted order, capped at ``limit`` (0 = all).
-    The sort is a distributed range sort; with a cap it plans as a top-k
-    (each task keeps ``limit`` ids, the final merge ``limit`` × tasks)."""
-    ids = landing.select("object_id").where(F.col("object_id").isNotNull()).distinct().orderBy("object_id")
-    return ids.limit(limit) if limit > 0 else ids
+def snapshot_ids(landing: DataFrame) -> DataFrame:
+    """A4: all distinct non-null ids in sorted order (a distributed range sort)."""
+    return landing.select("object_id").where(F.col("object_id").isNotNull()).distinct().orderBy("object_id")
 
 
 def read_jsonl_native(spark: SparkSession, path: str, id_field: str = "id") -> DataFrame:
@@ -253,15 +213,6 @@ def read_jsonl_native(spark: SparkSession, path: str, id_field: str = "id") -> D
     )
 
 
-def cap_snapshot(landing: DataFrame, limit: int) -> DataFrame:
-    """Keep the objects whose ids are among the first ``limit`` sorted ids
-    (the development cap; 0 = no cap).  The id list is a top-k of at most
-    ``limit`` rows, so broadcasting it for the semi join is bounded."""
-    if limit <= 0:
-        return landing
-    return landing.join(F.broadcast(snapshot_ids(landing, limit)), "object_id", "left_semi")
-
-
 def select_ids(landing: DataFrame, ids: str) -> DataFrame:
     """A5: keep only the listed ids (comma separated); pushed into the scan."""
     wanted = parse_ids(ids) or []

@@ -1,92 +1,57 @@
 """Append-only per-statement cost history that outlives the source tables.
 
 An hour's bill is shared by the work of every statement active in it, so a
-statement's cost is final only when no statement that could still be
-reported overlaps its hours.  With statements at most
-``max_statement_hours`` long, every hour that ends before
-``horizon - max_statement_hours`` is closed (``horizon`` = the time up to
-which query history is complete).
-
-Each increment only reads what can touch the newly closed hours: the
-previous closed boundary ``since`` is kept in ``_state.json`` beside the
-sink; a statement that becomes final now ends after ``since`` and any
-statement sharing one of its hours starts after
-``since - 2 * max_statement_hours - 1 h``, so query history and usage are
-read from there on (the parquet scan prunes the rest).  The increment
-attributes that slice, keeps the statements whose last hour closed in
-``(since, closed]``, drops those already in the sink (left anti join on
-``statement_id`` against the sink's recent rows) and appends the rest.
-Appending is idempotent, so a retried batch (or a lost executor that
-re-runs it) does not duplicate rows.
-
-:func:`run_stream` drives it from a Structured Streaming file source
-over the landed query history: each micro-batch advances the horizon to
-the newest statement start seen, then appends what became final.
+statement's cost is final only when all its hours are closed: history is
+complete up to ``complete_until`` (an input: only the owner of the feed
+knows it), and no statement of an hour is still running (a running
+statement has no ``end_time``; it holds all hours from its start on open).
+There is no bound on a statement's length.
+
+Each increment takes the final statements that the sink does not have
+(left anti join on ``statement_id``: a lost state record, a repeated run
+or a late statement neither doubles nor loses a row), reads history and
+usage from the first hour of the earliest of them on, attributes that
+slice and appends their rows.  The closed boundary is recorded beside the
+sink, in immutable numbered files.
+
+:func:`run_stream` drives it from a Structured Streaming file source over
+the landed query history.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscope.functions.time import hour_floor, ntz_literal
 from spendscope.operators import cost
-
-
-def closed_until(horizon: dt.datetime, max_statement_hours: int) -> dt.datetime:
-    h = horizon - dt.timedelta(hours=max_statement_hours)
-    return h.replace(minute=0, second=0, microsecond=0)
+from spendscope.plans import state
 
 
 def _last_hour_end():
     return hour_floor(F.greatest(F.col("start_time"), F.col("end_time"))) + F.expr("INTERVAL 1 HOUR")
 
 
-def final_statements(qca: DataFrame, horizon: dt.datetime, max_statement_hours: int,
-                     since: dt.datetime | None = None) -> DataFrame:
-    """Statements whose last hour ends at or before the closed boundary
-    (and, with ``since``, after the previous one)."""
-    out = qca.where(_last_hour_end() <= ntz_literal(closed_until(horizon, max_statement_hours)))
-    return out if since is None else out.where(_last_hour_end() > ntz_literal(since))
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def closed_until(query_history: DataFrame, complete_until: dt.datetime) -> dt.datetime:
+    """The hour before which no running statement and no missing row is left."""
+    whole = complete_until.replace(minute=0, second=0, microsecond=0)
+    running = query_history.where(F.col("end_time").isNull() & (F.col("start_time") < ntz_literal(whole)))
+    first = running.agg(F.min(hour_floor(F.col("start_time"))).alias("t")).first()["t"]
+    return whole if first is None else min(whole, first)
 
 
-def _sink_exists(spark: SparkSession, path: str) -> bool:
-    hpath, fs = _fs(spark, path)
-    return fs.exists(hpath)
+def final_statements(rows: DataFrame, boundary: dt.datetime) -> DataFrame:
+    """Statements whose last hour ends at or before the closed boundary."""
+    return rows.where(F.col("end_time").isNotNull() & (_last_hour_end() <= ntz_literal(boundary)))
 
 
-def read_state(spark: SparkSession, sink_path: str) -> dt.datetime | None:
+def read_boundary(spark: SparkSession, sink_path: str) -> dt.datetime | None:
     """The closed boundary recorded by the last increment (None before the first)."""
-    hpath, fs = _fs(spark, f"{sink_path.rstrip('/')}/_state.json")
-    if not fs.exists(hpath):
-        return None
-    stream = fs.open(hpath)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return dt.datetime.fromisoformat(json.loads(text)["closed_until"])
-
-
-def _write_state(spark: SparkSession, sink_path: str, boundary: dt.datetime) -> None:
-    hpath, fs = _fs(spark, f"{sink_path.rstrip('/')}/_state.json")
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{sink_path.rstrip('/')}/_state.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps({"closed_until": boundary.isoformat()}).encode("utf-8")))
-    out.close()
-    fs.delete(hpath, False)
-    fs.rename(tmp, hpath)
+    found = state.read_state(spark, sink_path)
+    return None if found is None else dt.datetime.fromisoformat(found["closed_until"])
 
 
 def append_closed(
@@ -94,40 +59,49 @@ def append_closed(
     query_history: DataFrame,
     usage: DataFrame,
     prices: DataFrame,
-    horizon: dt.datetime,
+    complete_until: dt.datetime,
     as_of: dt.datetime,
     window_days: int = 365,
     discount_pct: float = 0.0,
-    max_statement_hours: int = 6,
     allowed_lateness_hours: int = 0,
+    late_by_hours: int | None = None,
+    history_date_col: str | None = None,
+    usage_date_col: str | None = None,
 ) -> dt.datetime | None:
-    """Append newly final statements to the parquet sink; returns the new
-    closed boundary (None when nothing new closed).
-
-    ``allowed_lateness_hours`` holds the boundary back further when query
-    history can arrive late (statements reported up to that long after
-    they ended), like a watermark delay."""
+    """Append newly final statements to the parquet sink; returns the closed
+    boundary (None when it did not move and nothing late was found).
+
+    ``allowed_lateness_hours`` holds the boundary back, like a watermark.
+    ``late_by_hours`` promises that no statement is reported later than that
+    after it ended, so older ones need not be looked for in the sink; without
+    it every final statement is.  ``history_date_col`` / ``usage_date_col``
+    name DATE partition columns of the inputs."""
     spark = query_history.sparkSession
-    horizon = horizon - dt.timedelta(hours=allowed_lateness_hours)
-    boundary = closed_until(horizon, max_statement_hours)
-    since = read_state(spark, sink_path) if _sink_exists(spark, sink_path) else None
-    if since is not None and boundary <= since:
+    boundary = closed_until(query_history, complete_until - dt.timedelta(hours=allowed_lateness_hours))
+    since = read_boundary(spark, sink_path)
+    boundary = boundary if since is None else max(boundary, since)
+    stmts = cost.statements(query_history, as_of, window_days, history_date_col)
+    fresh = final_statements(stmts, boundary).select("statement_id", "start_time", "end_time")
+    if late_by_hours is not None and since is not None:
+        fresh = fresh.where(F.col("end_time") > ntz_literal(since - dt.timedelta(hours=late_by_hours)))
+    if state.holds_data(spark, sink_path):
+        fresh = fresh.join(spark.read.parquet(sink_path).select("statement_id"), "statement_id", "left_anti")
+    lower = fresh.agg(F.min(hour_floor(F.col("start_time"))).alias("t")).first()["t"]
+    if lower is None:
+        if since is None or boundary > since:
+            state.write_state(spark, sink_path, {"closed_until": boundary.isoformat()})
+            return boundary
         return None
-    qh, us = query_history, usage
-    if since is not None:
-        lower = ntz_literal(since - dt.timedelta(hours=2 * max_statement_hours + 1))
-        qh = qh.where(F.col("start_time") >= lower)
-        us = us.where(F.col("usage_start_time") >= lower)
-    qca = cost.query_cost_attribution(qh, us, prices, as_of, window_days, discount_pct)
-    new = final_statements(qca, horizon, max_statement_hours, since)  # horizon already lateness-adjusted
-    if since is not None:
-        recent = spark.read.parquet(sink_path).where(
-            F.col("end_time") >= ntz_literal(since - dt.timedelta(hours=1))).select("statement_id")
-        new = new.join(recent, "statement_id", "left_anti")
-    # append first, then advance the boundary: a failure in between only
-    # makes the next increment redo this slice, which the anti join dedups
+    # every statement that shares an hour with a fresh one ends after its first hour begins
+    history = query_history.where(F.col("end_time").isNull() | (F.col("end_time") >= ntz_literal(lower)))
+    used = usage.where(F.col("usage_start_time") >= ntz_literal(lower))
+    qca = cost.query_cost_attribution(history, used, prices, as_of, window_days, discount_pct,
+                                      history_date_col=history_date_col, usage_date_col=usage_date_col)
+    new = qca.join(fresh.select("statement_id"), "statement_id", "left_semi")
+    # append first, then record the boundary: a failure in between only makes
+    # the next increment look again, and the anti join finds the rows there
     new.select(*cost.ATTRIBUTION_COLUMNS).write.mode("append").parquet(sink_path)
-    _write_state(spark, sink_path, boundary)
+    state.write_state(spark, sink_path, {"closed_until": boundary.isoformat()})
     return boundary
 
 
@@ -139,25 +113,23 @@ def run_stream(
     usage: DataFrame,
     prices: DataFrame,
     as_of: dt.datetime,
+    complete_until: Callable[[], dt.datetime],
     window_days: int = 365,
     discount_pct: float = 0.0,
-    max_statement_hours: int = 6,
     available_now: bool = True,
     allowed_lateness_hours: int = 0,
 ):
     """Structured Streaming driver: the file source over ``history_dir``
-    (landed query-history parquet) triggers increments; state lives in the
-    sink and the stream checkpoint, both on shared storage."""
+    (landed query-history parquet) triggers increments; ``complete_until``
+    is asked at each of them.  State lives beside the sink and in the
+    stream checkpoint, both on shared storage."""
     schema = spark.read.parquet(history_dir).schema
     stream = spark.readStream.schema(schema).format("parquet").load(history_dir)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        seen = batch.agg(F.max("start_time").alias("m")).collect()[0]["m"]
-        if seen is None:
-            return
         history = spark.read.parquet(history_dir)
-        append_closed(sink_path, history, usage, prices, seen, as_of, window_days, discount_pct,
-                      max_statement_hours, allowed_lateness_hours)
+        append_closed(sink_path, history, usage, prices, complete_until(), as_of, window_days, discount_pct,
+                      allowed_lateness_hours)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -15,14 +15,16 @@ SQL users by name.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendscope import schemas
 from spendscope.operators import cost, prices, rollups, scd2, usage
+from spendscope.plans import state
 from spendscope.plans.joins import materialize
-from spendscope.sources import landing as landing_mod
 from spendscope.sources import normalize, system_tables
 
 
@@ -61,25 +63,29 @@ def apply_inventory_snapshot(
     version: int,
     schedules: DataFrame | None = None,
     complete: bool = True,
-    limit: int = 0,
+    allow_empty: bool = False,
     outcomes: dict | None = None,
 ) -> DataFrame:
     """Normalize one landed snapshot and apply it to the ``kind`` history
     (a version at or below the last applied one is a no-op).  Returns the
     history as stored.
 
-    ``limit`` caps the snapshot to the first ids in sorted order (a
-    development cap); a capped snapshot is partial, so keys outside it are
-    kept open rather than closed.  Pass a dict as ``outcomes`` to receive
+    Only an object that the listing lacks, or that was ``missing`` when
+    fetched, is closed: keys whose fetch failed otherwise stay open, and
+    when such a failure does not name its object the snapshot counts as
+    incomplete.  An empty snapshot is refused unless ``allow_empty``.  Pass a dict as ``outcomes`` to receive
     the fetch-outcome counters, collected during the same pass."""
-    landing = landing_mod.cap_snapshot(landing, limit)
-    if limit > 0:
+    if not allow_empty and landing.isEmpty():
+        raise ValueError(f"the {kind} snapshot {version} has no object; it would close the whole inventory")
+    failed = landing.where(~F.coalesce(F.col("status"), F.lit("")).isin("ok", "missing"))
+    unresolved = failed.select(F.col("object_id").alias(schemas.KEYS[kind][0]))
+    if complete and not failed.where(F.coalesce("object_id", F.lit("")) == "").isEmpty():
         complete = False
     landing, obs = normalize.observe_outcomes(landing, f"{kind}_outcomes_{version}")
     rows = schemas.conform(NORMALIZERS[kind](landing, schedules), schemas.snapshot_schema(kind))
     store = scd2.HistoryStore(spark, f"{store_root.rstrip('/')}/{kind}_history", schemas.KEYS[kind],
                               schemas.TRACKED[kind])
-    applied = store.apply(rows, version, complete=complete)
+    applied = store.apply(rows, version, complete=complete, unresolved=unresolved)
     if outcomes is not None and applied is not None:
         outcomes.update(obs.get)
     return store.read()
@@ -110,14 +116,29 @@ def cost_tables(
 
 
 def write_tables(tables: dict[str, DataFrame], target: str) -> dict[str, str]:
+    """Each table to a folder of its own that no later run overwrites; the
+    newest state record under ``target`` names the current ones, so a failed
+    run leaves the previous tables."""
+    run = uuid.uuid4().hex[:12]
     paths = {}
+    spark = None
     for name, df in tables.items():
-        path = f"{target.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+        spark = df.sparkSession
+        paths[name] = f"{target.rstrip('/')}/{name}/{run}"
+        df.write.parquet(paths[name])
+    if spark is not None:
+        state.write_state(spark, target, {"tables": paths})
     return paths
 
 
+def read_table(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """A table as last written to ``target``."""
+    found = state.read_state(spark, target)
+    if found is None or name not in found["tables"]:
+        raise ValueError(f"{target} has no table {name}")
+    return spark.read.parquet(found["tables"][name])
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

@@ -30,7 +30,7 @@ def test_source_queries_work_from_any_working_directory(tmp_path):
         f"spec = importlib.util.spec_from_file_location('entry', {os.path.join(ROOT, '__spark_entry__.py')!r})\n"
         "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
         "from pyspark.sql import SparkSession\n"
-        "s = SparkSession.builder.master('local[2]').config('spark.ui.showConsoleProgress', 'false').getOrCreate()\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.ui.showConsoleProgress', 'false').getOrCreate()\n"
         "q = m.queries()\n"
         "print('ROWS', q['snapshot_source_scan'](s, '/root/testdata/sf0.001').count(),"
         " q['snapshot_source_jsonl'](s, '/root/testdata/sf0.001').count())\n"

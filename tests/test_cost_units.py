@@ -12,7 +12,7 @@ T = dt.datetime
 AS_OF = T(2024, 2, 1)
 QH_SCHEMA = (
     "statement_id string, workspace_id string, executed_by string, warehouse_id string, dashboard_id string, "
-    "space_id string, notebook_id string, alert_id string, job_id string, client_application string, "
+    "genie_space_id string, notebook_id string, alert_id string, job_id string, client_application string, "
     "execution_status string, start_time timestamp_ntz, end_time timestamp_ntz, compilation_duration_ms bigint, "
     "execution_duration_ms bigint, result_fetch_duration_ms bigint"
 )
@@ -149,13 +149,24 @@ def test_billed_hours_with_work_are_fully_attributed(spark):
         assert abs(r["d"] - r["dbus"]) <= 1e-9 * max(1.0, abs(r["dbus"]))
 
 
-def test_distributed_percentiles_equal_inline(spark):
+def test_percentiles_equal_the_builtin_ones(spark):
     from spendscope import fixtures as fx
     from spendscope.operators import metrics
 
     base = metrics.metric_base(fx.metric_history(spark, "/root/testdata/sf0.001"))
     for by in ([], ["executed_by"], ["query_date", "query_source_type"]):
-        a = metrics.QUERY_HISTORY_METRICS.query(base, by=by, percentiles="inline")
-        b = metrics.QUERY_HISTORY_METRICS.query(base, by=by, percentiles="distributed")
-        assert a.columns == b.columns
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        got = metrics.QUERY_HISTORY_METRICS.query(base, by=by, measures=["p50_duration_sec", "p95_duration_sec"])
+        x = F.col("duration_ms").cast("double")
+        want = base.groupBy(*by).agg(*[F.round(F.percentile(x, F.lit(p)) / 1000, 2) for p in (0.5, 0.95)])
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_optional_source_ids_and_grains(spark):
+    from spendscope import fixtures as fx
+    from spendscope.operators import metrics
+
+    history = fx.metric_history(spark, "/root/testdata/sf0.001").withColumn("pipeline_id", F.lit("p1"))
+    base = metrics.metric_base(history)
+    for dim in ("pipeline_id", "query_hour", "day_of_week", "is_slow_query", "is_tableau"):
+        got = metrics.QUERY_HISTORY_METRICS.query(base, by=[dim], measures=["total_queries"])
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, base.groupBy(dim).count().collect())))

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from spendscope.functions import normalize as N
@@ -30,12 +32,19 @@ def test_owner_from_path(spark):
 
 def test_coerce_timestamps(spark):
     raw = [json.dumps({"t": v}) for v in [1700000000000, 1700000000, "2024-01-05T10:00:00+02:00",
-                                          "2024-01-05T10:00:00Z", "", "junk", None, " 2024-01-05 10:00:00 "]]
-    df = spark.createDataFrame([(r,) for r in raw], "raw string")
-    got = [r[0] for r in df.select(N.coerce_timestamp_json("raw", "$.t")).collect()]
+                                          "2024-01-05T10:00:00Z", "", "junk", None, " 2024-01-05 10:00:00 ",
+                                          "2024", "2024-01", "2024-01-05"]]
+    df = spark.createDataFrame([(r,) for r in raw], "raw string").select(F.try_parse_json("raw").alias("v"))
+    got = [r[0] for r in df.select(N.coerce_timestamp_variant(F.try_variant_get("v", "$.t", "variant"))).collect()]
     T = dt.datetime
     assert got == [T(2023, 11, 14, 22, 13, 20), T(2023, 11, 14, 22, 13, 20), T(2024, 1, 5, 10), T(2024, 1, 5, 10),
-                   None, None, None, T(2024, 1, 5, 10)]
+                   None, None, None, T(2024, 1, 5, 10), None, None, T(2024, 1, 5)]
+
+
+def test_last_of_repeated_json_keys_counts(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": 2, "a": 3}',)], "j string")
+    row = df.select(N.canonical_json("j").alias("c"), N.canonical_json_of_fields(N.json_fields("j")).alias("f")).first()
+    assert row["c"] == row["f"] == '{"a":3,"b":2}'
 
 
 def test_canonical_json_and_hash(spark):

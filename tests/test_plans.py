@@ -5,7 +5,7 @@ import re
 import __spark_entry__ as entry
 from spendscope import fixtures as fx
 from spendscope.operators import cost
-from spendscope.queries import _prices
+from spendscope.queries import QUERIES, _prices
 
 SF = "/root/testdata/sf0.01"
 
@@ -16,9 +16,9 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_large_input_plan_shuffles_the_statement_side_once(spark, monkeypatch):
-    monkeypatch.setattr(cost, "MATERIALIZE_ABOVE_BYTES", 0)  # take the large-input path
-    qca = cost.query_cost_attribution(fx.query_history(spark, SF), fx.usage(spark, SF), _prices(spark, SF), fx.AS_OF)
+def test_written_rates_leave_one_shuffle_of_the_statement_side(spark):
+    qca = cost.query_cost_attribution(fx.query_history(spark, SF), fx.usage(spark, SF), _prices(spark, SF), fx.AS_OF,
+                                      materialize_rates=True)
     plan = executed(qca)
     exchanges = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
     assert exchanges == ["statement_id"], exchanges  # only the final per-statement aggregate
@@ -33,7 +33,7 @@ def test_time_filter_reaches_the_scan(spark):
 
 
 def test_no_python_evaluation_outside_the_landing_source(spark):
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         if name.startswith("snapshot_"):
             continue
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()

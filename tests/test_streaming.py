@@ -16,11 +16,12 @@ def test_stream_append_matches_batch(spark):
     qh.write.parquet(f"{root}/history")
     pr = prices.effective_prices(fx.account_prices(spark, SF), fx.list_prices(spark, SF))
     us = fx.usage(spark, SF)
-    q = incremental.run_stream(spark, f"{root}/history", f"{root}/sink", f"{root}/ckpt", us, pr, fx.AS_OF)
+    q = incremental.run_stream(spark, f"{root}/history", f"{root}/sink", f"{root}/ckpt", us, pr, fx.AS_OF,
+                               complete_until=lambda: dt.datetime(2024, 1, 20))
     q.awaitTermination(300)
     sink = spark.read.parquet(f"{root}/sink")
     batch = cost.query_cost_attribution(qh, us, pr, fx.AS_OF)
-    final = incremental.final_statements(batch, qh.agg({"start_time": "max"}).collect()[0][0], 6)
+    final = incremental.final_statements(batch, dt.datetime(2024, 1, 20))
     assert sink.count() == final.count()
     assert sink.select("statement_id").exceptAll(final.select("statement_id")).count() == 0
     # a second increment with a later horizon adds the rest, never duplicates
@@ -61,3 +62,39 @@ def test_lateness_holds_the_boundary_back(spark):
     a = spark.read.parquet(f"{root}/a").count()
     b = spark.read.parquet(f"{root}/b").count()
     assert 0 < b < a
+
+
+def test_long_running_late_statements_and_lost_state(spark, tmp_path):
+    """A 30-hour statement holds its hours open while it runs; a late statement and a lost
+    state record neither lose nor double a row."""
+    from pyspark.sql import functions as F
+
+    base = fx.query_history(spark, SF)
+    one = base.limit(1)
+    D = dt.datetime
+
+    def stmt(sid, start, end):
+        return one.withColumn("statement_id", F.lit(sid)).withColumn("start_time", F.lit(start).cast("timestamp_ntz")) \
+            .withColumn("end_time", F.lit(end).cast("timestamp_ntz"))
+
+    long_open, long_done = stmt("long", "2024-01-10 02:10:00", None), stmt("long", "2024-01-10 02:10:00", "2024-01-11 08:20:00")
+    short, late = stmt("short", "2024-01-10 05:00:00", "2024-01-10 05:30:00"), stmt("late", "2024-01-09 01:00:00", "2024-01-09 01:10:00")
+    us = fx.usage(spark, SF)
+    pr = prices.effective_prices(fx.account_prices(spark, SF), fx.list_prices(spark, SF))
+    sink = str(tmp_path / "sink")
+    b0 = incremental.append_closed(sink, base.unionByName(long_open).unionByName(short), us, pr, D(2024, 1, 11), fx.AS_OF)
+    assert b0 == D(2024, 1, 10, 2)  # held by the running statement
+    ids = {r[0] for r in spark.read.parquet(sink).select("statement_id").collect()}
+    assert not ids & {"long", "short", "late"}
+    full = base.unionByName(long_done).unionByName(short).unionByName(late)
+    incremental.append_closed(sink, full, us, pr, D(2024, 1, 20), fx.AS_OF)
+    (tmp_path / "sink" / "_state").rename(tmp_path / "lost")
+    incremental.append_closed(sink, full, us, pr, fx.AS_OF, fx.AS_OF)
+    got = {r[0]: r[1] for r in spark.read.parquet(sink).select("statement_id", "attributed_cost_usd").collect()}
+    assert spark.read.parquet(sink).count() == len(got)
+    want = {r[0]: r[1] for r in cost.query_cost_attribution(full, us, pr, fx.AS_OF).select(
+        "statement_id", "attributed_cost_usd").collect()}
+    assert got.keys() == want.keys()
+    # the late one shares hours that were closed before it came: only their rows may differ
+    for k in ("long", "short", "late"):
+        assert abs((got[k] or 0) - (want[k] or 0)) < 1e-9

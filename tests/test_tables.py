@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from spendscope import fixtures as fx
@@ -50,18 +52,41 @@ def test_inventory_history_and_cost_tables(spark):
     assert set(paths) == {"query_cost_attribution", "dashboard_cost", "space_cost", "warehouse_cost",
                           "dashboard_denormalized"}
     assert spark.read.parquet(paths["dashboard_cost"]).count() == current.count()
+    assert tables.read_table(spark, f"{root}/tables", "space_cost").count() == built["space_cost"].count()
     tables.register_views(built)
     assert spark.sql("select count(*) from warehouse_cost").collect()[0][0] == 5
 
 
-def test_capped_snapshot_keeps_other_keys_open(spark):
-    root = tempfile.mkdtemp(prefix="tables-cap-")
+def test_failed_fetches_keep_their_keys_open(spark):
+    root = tempfile.mkdtemp(prefix="tables-fail-")
     raw = fx.raw_spaces(spark, SF)
-    full = tables.apply_inventory_snapshot(spark, root, "space", raw, 1)
-    n_open = scd2.current(full).count()
-    capped = tables.apply_inventory_snapshot(spark, root, "space", raw, 2, limit=5)
-    assert scd2.current(capped).count() == n_open  # nothing closed by the cap
-    assert capped.where(F.col("__END_AT").isNotNull()).count() == 0
+    n_open = scd2.current(tables.apply_inventory_snapshot(spark, root, "space", raw, 1)).count()
+    ids = [r[0] for r in raw.select("object_id").orderBy("object_id").limit(4).collect()]
+    status = F.when(F.col("object_id") == ids[0], "missing").when(F.col("object_id") == ids[1], "invalid") \
+        .when(F.col("object_id") == ids[2], "throttled").otherwise(F.col("status"))
+    second = tables.apply_inventory_snapshot(spark, root, "space", raw.withColumn("status", status), 2)
+    assert scd2.current(second).count() == n_open - 1  # only the missing one is closed
+    third = tables.apply_inventory_snapshot(spark, root, "space", raw.where(F.col("object_id") == ids[3]).unionByName(
+        raw.limit(1).withColumn("object_id", F.lit("")).withColumn("status", F.lit("invalid"))), 3)
+    assert scd2.current(third).count() == n_open - 1  # an unnamed failure: nothing is closed
+    with pytest.raises(ValueError):
+        tables.apply_inventory_snapshot(spark, root, "space", raw.limit(0), 4)
+
+
+def test_missing_landing_folder_is_an_error(spark, tmp_path):
+    from spendscope.sources import landing
+
+    with pytest.raises(Exception):
+        landing.read_landing(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_lost_state_never_starts_a_new_history(spark, tmp_path):
+    store = scd2.HistoryStore(spark, str(tmp_path / "h"), ["k"], ["v"])
+    snap = spark.createDataFrame([(i, "a") for i in range(3)], "k int, v string")
+    store.apply(snap, 1)
+    (tmp_path / "h" / "_state").rename(tmp_path / "elsewhere")
+    with pytest.raises(RuntimeError):
+        store.apply(snap.limit(1), 2)
 
 
 def test_ship_package_adds_an_importable_archive(spark):

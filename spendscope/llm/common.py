@@ -27,9 +27,9 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{self.n}-{name}"
         self.n += 1
-        df.write.parquet(path)
-        # the job's shuffle files go once the driver's JVM sees that nothing holds them
+        # shuffle files of earlier jobs go once the driver's JVM sees that nothing holds them
         self.spark.sparkContext._jvm.System.gc()
+        df.write.parquet(path)
         out = self.spark.read.parquet(path)
         out.scratch_path = path
         return out

@@ -85,7 +85,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def learn(labelled: DataFrame, scratch: Scratch, per_language: int = PER_LANGUAGE) -> list[tuple[str, str, str, bytes]]:
     """Machines (level, a, b, weights): positive speaks for a.  ``labelled`` has
-    (id, text, lang); level is "family" or a family's name."""
+    (id, text, lang); level is "family" or a family's name, or "lang" for the
+    mere name of a learned language."""
     counts = scratch.table(labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")), "counts")
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(1 << 30)) / float(1 << 30)
     drawn = labelled.where("text IS NOT NULL").join(counts, "lang").withColumn("draw", draw) \
@@ -113,8 +114,9 @@ def learn(labelled: DataFrame, scratch: Scratch, per_language: int = PER_LANGUAG
     pairs += [(family_of(a), a, b) for i, a in enumerate(langs) for b in langs[i + 1:] if family_of(a) == family_of(b)]
     if len(pairs) > MAX_MACHINES:
         raise ValueError(f"{len(langs)} languages need {len(pairs)} machines; at most {MAX_MACHINES} are broadcast")
+    known = [("lang", x, x, b"") for x in langs]
     if not pairs:
-        return [("only", x, x, b"") for x in langs]
+        return known
     spark = labelled.sparkSession
     roles = [(x, level, a, b, 1 if (family_of(x) if level == "family" else x) == a else -1)
              for level, a, b in pairs for x in langs if (family_of(x) if level == "family" else x) in (a, b)]
@@ -130,7 +132,7 @@ def learn(labelled: DataFrame, scratch: Scratch, per_language: int = PER_LANGUAG
 
     machines = sample.join(F.broadcast(roles_df), "lang").groupBy("level", "a", "b") \
         .applyInPandas(fit_one, "level string, a string, b string, w binary")
-    return sorted((r["level"], r["a"], r["b"], bytes(r["w"])) for r in machines.collect())
+    return known + sorted((r["level"], r["a"], r["b"], bytes(r["w"])) for r in machines.collect())
 
 
 def winners(margins: np.ndarray, pairs: list[tuple[int, int]], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,8 +155,7 @@ class Identifier:
     """The fitted machines: family first, then the languages within it."""
 
     def __init__(self, machines: list[tuple[str, str, str, bytes]]):
-        self.langs = sorted({x for level, a, b, _ in machines if level != "family" for x in (a, b)}
-                            | {x[5:] for level, a, b, _ in machines for x in (a, b) if x.startswith("only:")})
+        self.langs = sorted(a for level, a, _, _ in machines if level == "lang")
         levels: dict[str, list] = {}
         for level, a, b, w in machines:
             if w:

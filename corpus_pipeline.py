@@ -47,7 +47,7 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: Trained models and token ids are beyond SQL; tests/llm holds the rows against a brute-force run.
+#: Trained models and token ids are beyond SQL; tests/llm holds the stages against plain Python on a small table.
 ORACLE_SQL = None
 
 

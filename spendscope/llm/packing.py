@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +52,9 @@ class WordIds:
 
     A space or newline always ends a token of this vocabulary and leaves no
     id, so a text's ids are those of its words in order.  Words of plain
-    letters, with or without sentence marks behind them, go to the model
-    directly; all others take the tokenizer's whole path."""
+    letters (below U+0100, where composed form changes nothing) go to the
+    model directly, in lower case and without the sentence marks behind them,
+    whose ids follow; all others take the tokenizer's whole path."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,31 +71,44 @@ class WordIds:
 
     def clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.starts, self.lens, self.pool = [], [], []
+        self.marks: dict[str, list[int]] = {}
+        self.starts, self.lens, self.pool = array("q"), array("q"), array("I")
 
-    def encode(self, word: str) -> list[int]:
+    def add(self, word: str, ids: list[int]) -> int:
+        k = self.at[word] = len(self.starts)
+        self.starts.append(len(self.pool))
+        self.lens.append(len(ids))
+        self.pool.extend(ids)
+        return k
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def place(self, word: str) -> int:
+        """Where the ids of a new word are."""
         m = self.plain.match(word)
-        if m and max(m[1]) < "Ā":
-            core = unicodedata.normalize("NFC", m[1]).lower().encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(core)]
-            return ids + (self.tokenizer.encode(m[2], add_special_tokens=False).ids if m[2] else [])
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if not m or not (word.isascii() or max(m[1]) < "Ā"):
+            return self.add(word, self.whole(word))
+        core, marks = m[1].lower(), m[2]
+        k = self.at.get(core)
+        if k is None:
+            shown = core if core.isascii() else core.encode().decode("latin-1").translate(self.alphabet)
+            k = self.add(core, [t.id for t in self.model.tokenize(shown)])
+        if not marks:
+            self.at[word] = k
+            return k
+        if marks not in self.marks:
+            self.marks[marks] = self.whole(marks)
+        first = self.starts[k]
+        return self.add(word, self.pool[first:first + self.lens[k]].tolist() + self.marks[marks])
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and length of each word's ids, and the pool they lie in."""
         if len(self.at) > MEMO_WORDS:
             self.clear()
-        at, out = self.at, np.empty(len(words), np.int64)
-        for i, w in enumerate(words):
-            k = at.get(w)
-            if k is None:
-                ids = self.encode(w)
-                k = at[w] = len(self.starts)
-                self.starts.append(len(self.pool))
-                self.lens.append(len(ids))
-                self.pool += ids
-            out[i] = k
-        return np.array(self.starts, np.int64)[out], np.array(self.lens, np.int64)[out], np.array(self.pool, np.uint32)
+        get, place = self.at.get, self.place
+        out = np.array([k if (k := get(w)) is not None else place(w) for w in words], np.int64)
+        return np.array(self.starts)[out], np.array(self.lens)[out], np.array(self.pool)
 
 
 def text_ids(words: WordIds, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -5,11 +5,16 @@ longer than ``CAPACITY`` are cut, into pieces of that length and a rest.
 The pieces' length histogram (at most ``CAPACITY`` numbers, whatever the
 corpus) is all that reaches the driver.  There the configuration linear
 program (a configuration is a multiset of lengths that fits one sequence)
-is solved by multiplicative weights: each step prices the lengths by what
-is still uncovered, a knapsack dynamic program finds the configuration of
-highest price, and the weights of what it covers shrink.  The solution is
-rounded down to whole sequences; the remaining lengths are placed best
-fit, longest first, one configuration at a time, as often as it fits.
+is solved by multiplicative weights over all configurations at once: a
+configuration has the product of its lengths' weights, a knapsack dynamic
+program sums them up, and each step multiplies a length's weight by its
+demand over its cover.  Free tokens have a penalty, which is sharpened until
+the cover (uncovered pieces counted in sequences of their own) is within
+``GAP`` of a lower bound, proved by the logarithms of the weights as prices and the
+highest-priced configuration.  Whole sequences are drawn from the solution,
+as far as pieces are left; the program is solved again for what remains, until a
+round places less than ``PROGRESS`` of it.  The remaining pieces are placed
+best fit, longest first, also into the free room of the sequences drawn.
 The plan is a table of (length, first rank, sequence, offset) runs; the
 pieces of a length are ranked by a distributed prefix sum and look their
 place up.
@@ -39,8 +44,12 @@ from spendscope.llm.common import Scratch, prefix_sums
 
 CAPACITY = 4096
 END_TOKEN = 1
-LP_STEPS = 150  # steps of the multiplicative weights; more steps leave less to the best-fit end
-EPSILON = 0.3
+LP_STEPS = 10  # steps of the multiplicative weights between two proofs
+GAP = 0.0001  # the linear program is solved when its bounds are so close
+SOFTEST = 1e-100  # weight of a wholly free sequence at the start; it is squared until the bounds meet
+TINY = 1e-280  # below, doubles lose precision
+SAMPLES = 50_000  # configurations drawn in one round; a larger plan uses each several times
+PROGRESS = 0.1  # a round that places less than this share of what is left is the last
 MEMO_WORDS = 400_000  # words a worker remembers; then it starts anew
 CHUNK_CHARS = 8_000_000  # text tokenized at once
 
@@ -161,81 +170,214 @@ def pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     return df.select(id_col, text_col).mapInArrow(cut, schema)
 
 
-def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack: how often each length is taken in the multiset of
-    highest price that fits ``capacity``."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        n = np.searchsorted(lengths, c, "right")
-        value = best[c - lengths[:n]] + price[:n]
-        k = int(value.argmax())
-        if value[k] > best[c - 1]:
-            best[c], last[c] = value[k], k
-        else:
-            best[c] = best[c - 1]
-    counts, c = np.zeros(len(lengths), np.int64), capacity
-    while c > 0:
-        if last[c] < 0:
-            c -= 1
-        else:
-            counts[last[c]] += 1
-            c -= int(lengths[last[c]])
-    return counts
+def best_configuration(price: np.ndarray, capacity: int) -> float:
+    """Unbounded knapsack: the highest price of a multiset of lengths that fits
+    ``capacity``; ``price`` holds -inf where there is no such length."""
+    best, dense = np.zeros(capacity + 1), price[1:]  # best[capacity - c] is that of room c
+    for c in range(1, capacity + 1):
+        best[capacity - c] = max(best[capacity - c + 1], (best[capacity - c + 1:] + dense[:c]).max())
+    return float(best[0])
+
+
+def simple_bound(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> float:
+    """The largest of known lower bounds on the linear program: the tokens, and the
+    rounded prices floor((k + 1) x) / k of a share x of the capacity (x itself where
+    (k + 1) x is whole)."""
+    low = float(lengths @ demand) / capacity
+    for k in range(1, capacity):
+        whole, rest = np.divmod((k + 1) * lengths, capacity)
+        low = max(low, float(np.where(rest == 0, lengths / capacity, whole / k) @ demand))
+    return low
+
+
+def normalized(weight: np.ndarray) -> np.ndarray:
+    """The weights times exp(t * length), for the t that makes their sum 1.  All
+    configurations of one total length change by the same factor."""
+    at = weight.nonzero()[0]
+    logs = np.log(weight[at])
+    lo, hi = -800.0, 800.0
+    while hi - lo > 1e-14 * max(1, abs(lo)):
+        t = (lo + hi) / 2
+        e = logs + t * at
+        total = e.max() + np.log(np.exp(e - e.max()).sum())
+        if abs(total) < 1e-12:
+            break
+        lo, hi = (lo, t) if total > 0 else (t, hi)
+    out = np.zeros(len(weight))
+    out[at] = np.exp(logs + t * at)
+    return out
+
+
+def completions(weight: np.ndarray, waste: float, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each total c the weight of all sequences of lengths that sum up to c, and
+    of those up to c, ``waste`` being the factor of each token left free."""
+    back, dense = np.zeros(capacity + 1), weight[1:]
+    back[capacity] = 1.0
+    for c in range(1, capacity + 1):
+        back[capacity - c] = back[capacity - c + 1:] @ dense[:c]
+    exact = back[::-1].copy()
+    most, total = np.empty(capacity + 1), 0.0
+    for c, x in enumerate(exact.tolist()):
+        most[c] = total = total * waste + x
+    return exact, most
+
+
+class Fractional:
+    """Solution of the configuration linear program: configurations have the product
+    of their lengths' weights (and of ``waste`` for each free token), ``value``
+    sequences in all; ``low`` <= LP value <= ``high``."""
+
+    def __init__(self, lengths: np.ndarray, demand: np.ndarray, capacity: int, steps: int, waste: float | None = None):
+        """With ``waste``, the penalty of an earlier solution, that one is taken and nothing proved."""
+        tokens, alone = float(lengths @ demand), 1 / (capacity // lengths)
+        self.low, self.high = 0.0 if waste else simple_bound(lengths, demand, capacity), float("inf")
+        weight = np.zeros(capacity + 1)
+        weight[lengths] = demand / demand.sum()
+        weight, before, still, prove = normalized(weight), float("inf"), 0, waste is None
+        waste = waste or SOFTEST ** (1 / capacity)
+        while True:
+            for _ in range(steps):
+                exact, most = completions(weight, waste, capacity)
+                if most[capacity] < TINY:
+                    break
+                # expected pieces of a length in a configuration
+                pieces = (weight * np.convolve(exact, most)[capacity::-1])[lengths] / most[capacity]
+                value = tokens / float(pieces @ lengths)
+                ratio = demand / np.maximum(value * pieces, TINY)
+                used, weight = weight, weight.copy()
+                weight[lengths] *= np.clip(ratio, 1e-4, 1e4)
+                weight = normalized(np.where(weight > 0, np.maximum(weight, TINY), 0))
+            if most[capacity] < TINY:
+                if self.high < float("inf"):
+                    break  # as sharp as doubles can hold
+                waste **= 0.5
+                continue
+            # what isn't covered takes sequences of its own length
+            short = float(np.maximum(demand - value * pieces, 0) @ alone)
+            if prove:
+                price = np.full(capacity + 1, -np.inf)
+                price[lengths] = np.maximum(np.log(used[lengths]) - lengths * np.log(waste), 0)
+                best = best_configuration(price, capacity)
+                if best > 0:
+                    self.low = max(self.low, float(price[lengths] @ demand) / best)
+            if value + short < self.high:
+                self.high, self.value, self.weight, self.waste, self.most = value + short, value, used, waste, most
+            if not prove or self.high <= (1 + GAP) * self.low:
+                break
+            if short <= GAP / 4 * self.low or value + short > (1 - GAP / 20) * before:
+                still = still + 1 if self.high >= (1 - GAP / 20) * before else 0
+                if still > 3:
+                    break  # neither more steps nor a sharper penalty bring it on
+                waste *= waste
+            before = min(before, value + short)
+
+    def sample(self, n: int, rng: np.random.Generator) -> np.ndarray:
+        """``n`` configurations, one a row, filled up with 0.  Those with the same room
+        left are dealt evenly over what may follow."""
+        capacity = len(self.weight) - 1
+        room, items = np.full(n, capacity), [[] for _ in range(n)]
+        for c in range(capacity, 0, -1):
+            at = (room == c).nonzero()[0]
+            if not len(at):
+                continue
+            # the last entry (length 0): what is left stays free
+            share = np.cumsum(np.append(self.weight[c:0:-1] * self.most[:c], self.waste ** c))
+            drawn = np.searchsorted(share, (np.arange(len(at)) + rng.random()) / len(at) * share[-1], "right")
+            taken = c - np.minimum(drawn, c)
+            room[at] = np.where(taken > 0, c - taken, 0)
+            for i, x in zip(at.tolist(), taken.tolist()):
+                if x:
+                    items[i].append(x)
+        out = np.zeros((n, max(map(len, items))), np.int64)
+        for i, x in enumerate(items):
+            out[i, :len(x)] = sorted(x, reverse=True)
+        return out
+
+
+class Packing:
+    """``plan``: configurations (lengths, longest first) and how many sequences use
+    each; together they hold every piece of the histogram exactly once.  ``low`` and
+    ``high`` enclose the LP value (sequences wholly filled by one piece included),
+    ``best_fit`` is the share of the tokens that the best fit placed."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, steps: int = LP_STEPS):
+        self.plan: list[tuple[list[int], int]] = []
+        self.low = self.high = float(histogram.get(capacity) or 0)
+        self.best_fit = 0.0
+        if histogram.get(capacity):
+            self.plan.append(([capacity], histogram[capacity]))
+        left = np.zeros(capacity + 1, np.int64)
+        for x, n in histogram.items():
+            if x < capacity:
+                left[x] = n
+        total = tokens = int(left @ np.arange(capacity + 1))
+        if not total:
+            return
+        rng, lp = np.random.default_rng(1), None
+        while tokens:
+            lengths = left.nonzero()[0]
+            demand = left[lengths].astype(float)
+            if lp is None:
+                lp = Fractional(lengths, demand, capacity, steps)
+                self.low, self.high = self.low + lp.low, self.high + lp.high
+            else:
+                lp = Fractional(lengths, demand, capacity, steps, lp.waste)
+            # rounding: as many whole sequences as the solution has, as far as pieces are left
+            many = max(1, round(lp.value))
+            unit = -(-many // SAMPLES)
+            drawn, times = np.unique(lp.sample(-(-many // unit), rng), axis=0, return_counts=True)
+            order = np.argsort(-times, kind="stable")
+            for row, n in zip(drawn[order].tolist(), (times[order] * unit).tolist()):
+                config = [x for x in row if x]
+                n = min(n, *(int(left[x]) // config.count(x) for x in dict.fromkeys(config)))
+                if n > 0:
+                    for x in config:
+                        left[x] -= n
+                    self.plan.append((config, n))
+            rest = int(left @ np.arange(capacity + 1))
+            if rest > (1 - PROGRESS) * tokens:
+                break
+            tokens = rest
+        self.best_fit = int(left @ np.arange(capacity + 1)) / (total + capacity * (histogram.get(capacity) or 0))
+        self.fit_rest(left, capacity)
+        self.high = min(self.high, sum(n for _, n in self.plan))  # the plan is a cover, too
+
+    def fit_rest(self, left: np.ndarray, capacity: int) -> None:
+        """Best fit, longest first: a piece goes where it leaves the least room, or starts a sequence."""
+        by_room: list[list[tuple[list[int], int]]] = [[] for _ in range(capacity + 1)]
+        some = np.zeros(capacity + 1, bool)
+
+        def keep(config: list[int], n: int) -> None:
+            if n > 0:
+                room = capacity - sum(config)
+                by_room[room].append((config, n))
+                some[room] = True
+
+        for config, n in self.plan:
+            keep(config, n)
+        for x in left.nonzero()[0][::-1].tolist():
+            n = int(left[x])
+            while n:
+                room = x + int(some[x:].argmax())
+                if not some[room]:
+                    per = capacity // x
+                    keep([x] * per, n // per)
+                    keep([x] * (n % per), min(1, n % per))
+                    break
+                config, times = by_room[room].pop()
+                some[room] = bool(by_room[room])
+                k = min(n, times)
+                keep(config, times - k)
+                keep([*config, x], k)
+                n -= k
+        # the pieces of one length lie together
+        self.plan = [(sorted(config, reverse=True), n) for group in by_room for config, n in group]
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = LP_STEPS) -> list[tuple[list[int], int]]:
     """Configurations (lengths, longest first) and how many sequences use each;
     together they hold every piece of the histogram exactly once."""
-    plan: list[tuple[list[int], int]] = []
-    if histogram.get(capacity):
-        plan.append(([capacity], histogram[capacity]))
-    lengths = np.array(sorted(x for x, n in histogram.items() if n and x < capacity), np.int64)
-    if not len(lengths):
-        return plan
-    demand = np.array([histogram[int(x)] for x in lengths], np.int64)
-
-    # fractional solution: cover[l] is the covered share of a length
-    chosen: dict[bytes, tuple[np.ndarray, float]] = {}
-    weight = lengths / capacity  # per piece; a feasible dual to start from
-    for _ in range(steps):
-        counts = best_configuration(weight, lengths, capacity)
-        used = counts > 0
-        if not used.any():
-            break
-        step = EPSILON * float((demand[used] / counts[used]).min())
-        old = chosen.get(counts.tobytes(), (counts, 0.0))[1]
-        chosen[counts.tobytes()] = (counts, old + step)
-        weight = weight * np.exp(-EPSILON * step * counts / demand)
-
-    # rounding: whole sequences, as far as pieces are left
-    left = demand.copy()
-
-    def use(counts: np.ndarray, times: int) -> None:
-        np.subtract(left, counts * times, out=left)
-        plan.append(([int(x) for x in np.repeat(lengths, counts)[::-1]], times))
-
-    for counts, x in sorted(chosen.values(), key=lambda v: -v[1]):
-        used = counts > 0
-        times = min(int(x), int((left[used] // counts[used]).min()))
-        if times > 0 and int(counts @ lengths) == capacity:  # looser ones are left to the best fit
-            use(counts, times)
-
-    # best fit for the rest: the longest piece left, then the longest that fits, and so on
-    while left.any():
-        counts, room = np.zeros(len(lengths), np.int64), capacity
-        free = left.copy()
-        while True:
-            fits = free[:np.searchsorted(lengths, room, "right")].nonzero()[0]
-            if not len(fits):
-                break
-            k = fits[-1]
-            n = min(int(free[k]), room // int(lengths[k]))
-            counts[k] += n
-            free[k] -= n
-            room -= n * int(lengths[k])
-        used = counts > 0
-        use(counts, int((left[used] // counts[used]).min()))
-    return plan
+    return Packing(histogram, capacity, steps).plan
 
 
 def place_table(plan: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray, ...]]:

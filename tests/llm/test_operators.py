@@ -106,6 +106,26 @@ def test_packing_plan_is_tight():
     assert sum(t for _, t in plan) <= 1.02 * (lengths * counts).sum() / 256 + 1
 
 
+def test_packing_linear_program_is_covered():
+    rng = np.random.default_rng(6)
+    a, b, c = rng.integers(-50, 51, (3, 30_000))
+    lengths = np.concatenate([2048 + a, 2048 - a, 1024 + b, 1024 - b, 1024 + c, 1024 - c])  # fill 60,000 sequences
+    histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    packed = packing.Packing(histogram)
+    used = collections.Counter()
+    for config, times in packed.plan:
+        assert sum(config) <= 4096
+        for x in config:
+            used[x] += times
+    assert used == histogram
+    assert packed.low <= 60_000.001 and 60_000 <= packed.high <= 60_000 * 1.005
+    assert sum(t for _, t in packed.plan) <= 60_000 * 1.005 and packed.best_fit < 0.05
+    # two of each sequence's 4096 tokens only: the tokens are no tight bound
+    wide = packing.Packing({x: 50 for x in range(1400, 2000)})
+    assert 14_999 <= wide.low and sum(t for _, t in wide.plan) <= 15_000 * 1.001
+    assert sum(t for _, t in packing.solve({3000: 2, 10: 1})) == 2
+
+
 def test_url_filter_trie_and_join_agree(spark):
     urls = ["http://A.Example.net/en/1?x", "https://x.org/fr", "https://x.org/fr/a", "https://example.com/de/", "ftp://net/",
             "http://net", "http://foo.net/en/", "http://notexample.com/de/", None, "nothing", "http://h.example.net/english",

@@ -96,7 +96,8 @@ class WordIds:
     def place(self, word: str) -> int:
         """Where the ids of a new word are."""
         m = self.plain.match(word)
-        if not m or not (word.isascii() or max(m[1]) < "Ā"):
+        # \w also holds ², ¼ and the like, which the tokenizer splits off as numbers
+        if not m or not (word.isascii() or max(m[1]) < "Ā" and m[1].isalpha()):
             return self.add(word, self.whole(word))
         core, marks = m[1].lower(), m[2]
         k = self.at.get(core)

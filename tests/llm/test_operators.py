@@ -126,6 +126,15 @@ def test_packing_linear_program_is_covered():
     assert sum(t for _, t in packing.solve({3000: 2, 10: 1})) == 2
 
 
+def test_packing_words_with_number_signs():
+    words = packing.WordIds(tokenizer_path())
+    signs = [chr(c) for c in range(33, 256) if not chr(c).isspace()]
+    texts = ["m²", "km²", "cm³.", "x¹", "½", "1½x!", *[f"ab{c}" for c in signs], *[f"{c}Cd." for c in signs], *[f"É{c}ß," for c in signs]]
+    start, length, pool = words.of(texts)
+    for t, a, n in zip(texts, start, length):
+        assert pool[a:a + n].tolist() == words.whole(t), t
+
+
 def test_url_filter_trie_and_join_agree(spark):
     urls = ["http://A.Example.net/en/1?x", "https://x.org/fr", "https://x.org/fr/a", "https://example.com/de/", "ftp://net/",
             "http://net", "http://foo.net/en/", "http://notexample.com/de/", None, "nothing", "http://h.example.net/english",

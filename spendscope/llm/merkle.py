@@ -1,15 +1,16 @@
-"""Document fingerprints: a Merkle tree over sentences, paragraphs and sections.
+"""Document fingerprints: a Merkle tree over chunks, paragraphs and sections.
 
-A paragraph is a line; long ones consist of sentences (cut after ``.``, ``!``,
-``?`` and space, or after ``SENTENCE_WORDS`` words; in short texts,
-after every word).  A section ends at a blank
+A paragraph is a line.  It consists of chunks, which end where a hash of the
+last ``WINDOW`` characters is a multiple of ``CHUNK_CHARS``: at texts of any length and
+in any script the cuts depend on the characters beside them only, so equal parts
+have equal chunks.  A section ends at a blank
 line, or after a paragraph whose digest is a multiple of ``SECTION_EVERY``, so
 that an edit moves no boundary but its own.  Every inner node digests its
 children's digests; the root digests the whole text too, so two texts are
 equal exactly if their roots are.
 
 The fingerprint is the tree as text: ``root|section/section``, a section being
-``digest:paragraph;paragraph`` and a paragraph ``digest,leaf,leaf``.
+``digest:paragraph;paragraph`` and a paragraph ``digest,leaves``, each leaf in ``LEAF`` signs.
 :func:`likeness` compares two trees from the top and goes down only where
 digests differ; :func:`differing` names the branches that differ, which
 locates an edit.
@@ -22,61 +23,85 @@ an empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.common import Scratch, shuffle_partitions
 
-SENTENCE_WORDS = 12
+CHUNK_CHARS = 20  # characters of a chunk on average
+LONGEST = 8 * CHUNK_CHARS  # longer ones repeat themselves; they are cut at their smallest hash
+WINDOW = 4
+LEAF = 5  # signs of 6 bits that show a leaf
 SECTION_EVERY = 8
 
-SHORT_CHARS = 240  # texts up to this length have single words as leaves
 RANGES_PER_TASK = 4  # id ranges that a task of the comparison reads on average
-SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
-def sentences(line: str, short: bool = False) -> list[str]:
-    if short:
-        return line.split()
-    out = []
-    for s in SENTENCE_END.split(line):
-        if s.count(" ") < SENTENCE_WORDS:
-            out.append(s)
-        else:
-            words = s.split(" ")
-            out += [" ".join(words[i:i + SENTENCE_WORDS]) for i in range(0, len(words), SENTENCE_WORDS)]
-    return out
+def chunks(line: str) -> list[str]:
+    """The line, cut where its characters say."""
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    # the hash at a place is that of the WINDOW characters before it
+    mixed = np.zeros(len(points), np.uint32)
+    for k in range(WINDOW):
+        mixed *= np.uint32(0x01000193)
+        mixed[k:] += points[:len(points) - k]
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(13)
+    ends = (np.flatnonzero(mixed[:-1] % CHUNK_CHARS == 0) + 1).tolist()
+    cuts = [0, *ends, len(line)]
+    todo = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b - a > LONGEST]
+    while todo:
+        a, b = todo.pop()
+        # the first place after each start where the smallest hash is found, in steps of a chunk
+        inside = mixed[a + CHUNK_CHARS - 1:b - 1]
+        own, last = [a], a
+        for at in (np.flatnonzero(inside == inside.min()) + a + CHUNK_CHARS).tolist():
+            if at - last >= CHUNK_CHARS:
+                own.append(at)
+                last = at
+        cuts += own[1:]
+        own.append(b)
+        todo += [(c, d) for c, d in zip(own[:-1], own[1:]) if d - c > LONGEST]
+    if len(cuts) > len(ends) + 2:
+        cuts.sort()
+    return [line[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+    return hashlib.blake2b(data, digest_size=15).digest()
+
+
+def signs(digests: list[bytes]) -> list[str]:
+    shown = base64.urlsafe_b64encode(b"".join(digests)).decode()
+    return [shown[k:k + LEAF] for k in range(0, len(shown), 20)]
 
 
 class Tree:
-    """sections: [(digest, [(digest, [leaf, ...]), ...]), ...]; a leaf is shown by 8
-    hex digits, a section or paragraph by 12."""
+    """sections: [(digest, [(digest, [leaf, ...]), ...]), ...]; a leaf is shown by
+    ``LEAF`` signs, a section or paragraph by 12 hex digits."""
 
     __slots__ = ("root", "sections", "size")
 
     def __init__(self, text: str):
         sections, paragraphs = [], []
-        short = len(text) <= SHORT_CHARS
         for line in text.split("\n"):
             if not line.strip():
                 if paragraphs:
                     sections.append(paragraphs)
                     paragraphs = []
                 continue
-            leaves = [digest(x.encode("utf-8", "surrogatepass")) for x in sentences(line, short)]
+            leaves = [digest(x.encode("utf-8", "surrogatepass")) for x in chunks(line)]
             own = digest(b"".join(leaves))
-            paragraphs.append((own.hex()[:12], [x.hex()[:8] for x in leaves], own))
+            paragraphs.append((own.hex()[:12], signs(leaves), own))
             if own[0] % SECTION_EVERY == 0:
                 sections.append(paragraphs)
                 paragraphs = []
@@ -89,7 +114,7 @@ class Tree:
 
     def text(self) -> str:
         return self.root + "|" + "/".join(
-            top + ":" + ";".join(",".join([p, *leaves]) for p, leaves in s) for top, s in self.sections)
+            top + ":" + ";".join(p + "," + "".join(leaves) for p, leaves in s) for top, s in self.sections)
 
 
 def parse(fingerprint: str) -> Tree:
@@ -98,7 +123,8 @@ def parse(fingerprint: str) -> Tree:
     out.sections = []
     for s in rest.split("/") if rest else []:
         top, _, paragraphs = s.partition(":")
-        out.sections.append((top, [(x[0], x[1:]) for x in (p.split(",") for p in paragraphs.split(";"))]))
+        out.sections.append((top, [(p, [x[k:k + LEAF] for k in range(0, len(x), LEAF)])
+                                   for p, x in (q.split(",") for q in paragraphs.split(";"))]))
     out.size = sum(len(p[1]) for _, s in out.sections for p in s)
     return out
 

@@ -222,6 +222,17 @@ def test_merkle(spark, docs, nothing):
     assert 0 < merkle.likeness(tree, other) < 1 and len(merkle.differing(tree, other)) == 1
 
 
+def test_merkle_likeness_does_not_depend_on_the_length():
+    rng = np.random.default_rng(9)
+    for n in (236, 242, 300, 470, 490, 900):
+        text = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz      "), n))
+        for following in ("", "thirteen char", text[::-1]):
+            new = merkle.edited(text, following)
+            share = (n - n // 2) / max(n, 2 * len(new) - (n - n // 2))  # about the shared part of both
+            assert abs(merkle.likeness(merkle.Tree(text), merkle.Tree(new)) - share) < 0.3
+            assert merkle.likeness(merkle.Tree(text), merkle.Tree(new)) > 0.1
+
+
 def test_language_id(spark, nothing):
     rng = np.random.default_rng(1)
     data = [(i, " ".join(rng.choice(t.split(), 12)), lang, "s") for i, (lang, t) in

@@ -233,6 +233,36 @@ def test_merkle_likeness_does_not_depend_on_the_length():
             assert merkle.likeness(merkle.Tree(text), merkle.Tree(new)) > 0.1
 
 
+def test_merkle_likeness_follows_the_shared_text(spark):
+    rng = np.random.default_rng(8)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz      "), n))
+    chinese = lambda n: "".join(map(chr, rng.integers(0x4E00, 0x9000, n)))
+
+    def shingles(t):
+        return {t[k:k + 8] for k in range(max(1, len(t) - 7))}
+
+    def shared(a, b):
+        return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+    long = letters(6000)
+    period = "".join(rng.permutation(list("0123456789"))) * 400
+    texts = [letters(300), "", letters(460), letters(13), chinese(560), chinese(900), letters(230), letters(700), long,
+             long[:50] + " inserted " + long[50:], chinese(40) + long, period, "x" + period[1:], letters(241)]
+    texts = [t.strip() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts[::-1])), "doc_id long, text string")
+    got = [r for r in merkle.compare_with_edited(df).orderBy(F.desc("doc_id")).collect()]
+    for i, (r, t) in enumerate(zip(got, texts)):
+        following = texts[(i + 1) % len(texts)]
+        if len(t) > 200 and t[:50] != period[:50] and t[1:50] != period[1:50]:
+            assert abs(r["near_edited"] - shared(t, merkle.edited(t, following))) < 0.2, i
+            assert r["near_edited"] > 0.1
+            assert abs(r["near_next"] - shared(t, following)) < 0.1, i
+    assert got[8]["near_next"] > 0.9 and got[9]["near_next"] > 0.9 and got[11]["near_next"] > 0.9
+    for t in (period, "a" * 5000, long, texts[4]):
+        cut = merkle.chunks(t)
+        assert "".join(cut) == t and max(map(len, cut)) <= merkle.LONGEST
+
+
 def test_language_id(spark, nothing):
     rng = np.random.default_rng(1)
     data = [(i, " ".join(rng.choice(t.split(), 12)), lang, "s") for i, (lang, t) in

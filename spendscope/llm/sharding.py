@@ -32,12 +32,15 @@ def id_hash(id_col: str):
         .cast("long")
 
 
-def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
+def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = SHARD_BYTES,
+           row_col: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, n_bytes, depth (bits of its bucket), prefix (their
-    value), page (null, or the overflow page), shard (the bits as text, and the page)."""
+    value), page (null, or the overflow page), shard (the bits as text, and the page), and
+    ``row_col``, a column of ``df`` that tells rows of one id apart."""
+    own = [row_col] if row_col else []
     scratch = Scratch(df.sparkSession, "sharding")
     left = scratch.table(df.select(F.col(id_col).alias("id"), id_hash(id_col).alias("h"),
-                                   F.octet_length(F.coalesce(text_col, F.lit(""))).cast("long").alias("n_bytes")), "rows")
+                                   F.octet_length(F.coalesce(text_col, F.lit(""))).cast("long").alias("n_bytes"), *own), "rows")
     placed = []
     for depth in range(0, BITS, STEP):
         below = min(BITS, depth + STEP)
@@ -65,7 +68,7 @@ def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     over = scratch.table(out.where("over").withColumn("large", F.col("n_bytes") > half)
                          .withColumn("weight", F.when(F.col("large"), F.lit(half)).otherwise(F.col("n_bytes"))), "over")
     # pages of half the limit take one more document of at most half; larger ones have a page each
-    paged = prefix_sums(over, scratch, ["depth", "prefix", "large"], ["id", "n_bytes"], "weight", "before") \
+    paged = prefix_sums(over, scratch, ["depth", "prefix", "large"], ["id", "n_bytes", *own], "weight", "before") \
         .withColumn("page", F.floor(F.col("before") / max(1, half)).cast("long")) \
         .withColumn("page", F.when(F.col("large"), -1 - F.col("page")).otherwise(F.col("page")))
     out = out.where("NOT over").withColumn("page", F.lit(None).cast("long")) \
@@ -73,14 +76,16 @@ def shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     bits = F.lpad(F.conv("prefix", 10, 2), F.col("depth"), F.lit("0"))
     return out.select(F.col("id").alias(id_col), "n_bytes", F.col("depth").cast("int").alias("depth"), "prefix", "page",
                       F.concat(F.when(F.col("depth") == 0, "").otherwise(bits),
-                               F.when(F.col("page").isNotNull(), F.concat(F.lit("."), "page")).otherwise("")).alias("shard"))
+                               F.when(F.col("page").isNotNull(), F.concat(F.lit("."), "page")).otherwise("")).alias("shard"), *own)
 
 
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = SHARD_BYTES) -> None:
     """Write ``df`` as Parquet, one folder per shard."""
-    where = shards(df, id_col, text_col, limit).select(F.col(id_col).alias("__id"), F.concat(F.lit("s"), "shard").alias("shard")) \
-        .distinct()
     if "shard" in df.columns:
         raise ValueError("the column shard names the folders")
-    df.join(where, F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id").repartition("shard") \
-        .write.partitionBy("shard").parquet(path)
+    scratch = Scratch(df.sparkSession, "write-shards")
+    # rows are numbered in a written table, as an id may repeat on several pages
+    rows = scratch.table(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    where = shards(rows, id_col, text_col, limit, "__row").select("__row", F.concat(F.lit("s"), "shard").alias("shard"))
+    rows.join(where, "__row").drop("__row").repartition("shard").write.partitionBy("shard").parquet(path)
+    scratch.drop(rows)

@@ -206,6 +206,16 @@ def test_sharding(spark, docs, nothing):
     assert sharding.shards(nothing).count() == 0
 
 
+def test_write_shards_keeps_each_row_once(spark, docs, tmp_path):
+    hot = spark.createDataFrame([(7, f"{i:02d}" + "t" * 98, None, None, i, None, None, None) for i in range(20)], SCHEMA)
+    whole = docs.union(hot)
+    sharding.write_shards(whole, str(tmp_path / "out"), limit=300)
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, written.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+    pages = written.groupBy("shard").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("n"), F.count("*").alias("rows"))
+    assert all(r["n"] <= 300 or r["rows"] == 1 for r in pages.collect())
+
+
 def test_merkle(spark, docs, nothing):
     got = merkle.compare_with_edited(docs).collect()
     order = sorted(rows(), key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendscope.functions import normalize as N
 
@@ -80,26 +81,40 @@ def observe_outcomes(raw: DataFrame, name: str = "snapshot_outcomes"):
 
 
 # ------------------------------------------------------------------ B6/B7/B12
+def key_ordered(col, kind: T.DataType):
+    """``col`` with the fields of its structs, at any depth, and the entries of its maps in key order."""
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(col.isNotNull(), F.struct(*[key_ordered(col.getField(f.name), f.dataType).alias(f.name) for f in fields]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda x: key_ordered(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.array_sort(F.map_keys(col)), lambda k: F.struct(k, key_ordered(F.element_at(col, k), kind.valueType)))
+        return F.map_from_entries(entries)
+    return col
+
+
 def annotate_schedules(schedules: DataFrame) -> DataFrame:
     """Each schedule with its frequency bucket, as a struct whose fields are
-    in key order (so its JSON text is canonical)."""
+    in key order (so its JSON text is canonical).  Every column but
+    ``dashboard_id`` is a field of the schedule; the cron expression and the
+    time zone, and the fields of a ``cron_schedule`` struct, lie in its cron_schedule."""
     bucket = F.col("bucket")
+    kinds = {f.name: f.dataType for f in schedules.schema.fields if f.name != "dashboard_id"}
+    cron = {"human_schedule": bucket}
+    given = kinds.pop("cron_schedule", None)
+    if isinstance(given, T.StructType):
+        cron = {f.name: key_ordered(F.col("cron_schedule").getField(f.name), f.dataType) for f in given.fields} | cron
+    cron |= {c: F.col(c) for c in ("quartz_cron_expression", "timezone_id") if kinds.pop(c, None)}
+    fields = {c: key_ordered(F.col(f"`{c}`"), kind) for c, kind in kinds.items()}
+    fields["cron_schedule"] = F.struct(*[cron[c].alias(c) for c in sorted(cron)])
     return N.with_cron_frequency(schedules, "quartz_cron_expression", "bucket").select(
         "dashboard_id",
         bucket,
         F.struct(
             F.coalesce(F.col("schedule_id"), F.lit("")).alias("k1"),
             F.coalesce(F.col("display_name"), F.lit("")).alias("k2"),
-            F.struct(
-                F.struct(
-                    bucket.alias("human_schedule"),
-                    F.col("quartz_cron_expression"),
-                    F.col("timezone_id"),
-                ).alias("cron_schedule"),
-                F.col("display_name"),
-                F.col("pause_status"),
-                F.col("schedule_id"),
-            ).alias("s"),
+            F.to_json(F.struct(*[fields[c].alias(c) for c in sorted(fields)])).alias("s"),
         ).alias("entry"),
     )
 
@@ -119,7 +134,7 @@ def schedule_summary(schedules: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("schedule_count"),
         *counts,
     )
-    js = F.to_json(F.transform("__entries", lambda e: e["s"]))
+    js = F.concat(F.lit("["), F.array_join(F.transform("__entries", lambda e: e["s"]), ","), F.lit("]"))
     return g.select(
         "dashboard_id",
         F.when(F.col("schedule_count") > 0, js).alias("schedules_json"),

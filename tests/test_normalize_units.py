@@ -101,6 +101,22 @@ def test_schedule_order_does_not_change_hash(spark):
     assert (a["schedule_frequency_minutely"], a["schedule_frequency_daily"], a["schedule_count"]) == (1, 1, 2)
 
 
+def test_schedule_keeps_every_field(spark):
+    schema = ("dashboard_id string, schedule_id string, display_name string, quartz_cron_expression string, timezone_id string, "
+              "pause_status string, etag string, warehouse struct<size: int, id: string>, tags map<string,string>, "
+              "cron_schedule struct<note: string, jitter: int>")
+    rows = [("d1", f"s{i}", "A", "0 * * * * ?", "UTC", "PAUSED", etag, (2, "w"), {"z": "1", "a": "2"}, ("n", 3))
+            for i, etag in ((1, "e1"), (2, "e2"))]
+    got = normalize.schedule_summary(spark.createDataFrame(rows, schema)).collect()[0]["schedules_json"]
+    want = [{"schedule_id": f"s{i}", "display_name": "A", "pause_status": "PAUSED", "etag": f"e{i}",
+             "warehouse": {"size": 2, "id": "w"}, "tags": {"z": "1", "a": "2"},
+             "cron_schedule": {"human_schedule": "minutely", "quartz_cron_expression": "0 * * * * ?", "timezone_id": "UTC",
+                               "note": "n", "jitter": 3}} for i in (1, 2)]
+    assert got == json.dumps(want, sort_keys=True, separators=(",", ":"))
+    changed = [r[:6] + ("other",) + r[7:] for r in rows]
+    assert normalize.schedule_summary(spark.createDataFrame(changed, schema)).collect()[0]["schedules_json"] != got
+
+
 def test_dashboard_row_without_serialized_definition(spark):
     raw = json.dumps({"dashboard_id": "d1", "serialized_dashboard": {"b": 1, "a": 2}, "parent_path": "/Users/o/x"})
     df = spark.createDataFrame([("d1", raw, "ok")], "object_id string, raw_json string, status string")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscope.llm import (exact_dedup, langid, merkle, mixing, ngram_join, packing, sharding, suffix_dedup, toxicity,
-                            url_filter)
+from spendscope.llm import (exact_dedup, filter_audit, importance, langid, merkle, mixing, ngram_join, packing, quality,
+                            sharding, suffix_dedup, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,20 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -89,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -164,4 +181,87 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, n_bytes, depth::INTEGER AS depth, h >> (60 - depth) AS prefix, NULL::BIGINT AS page,
                CASE WHEN depth = 0 THEN '' ELSE right(bin(h >> (60 - depth) | (1::BIGINT << 60)), depth::INTEGER) END AS shard
         FROM leaf""",
+    "op11_filter_audit": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+        f AS (
+            SELECT doc_id, part,
+                   (len(words) < 100)::INTEGER
+                   + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER
+                   + 4 * (100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 10 * length(d.t))::INTEGER
+                   + 8 * regexp_matches(d.t, '[#$%&*|]')::INTEGER
+                   + 16 * coalesce(doc_id > first, false)::INTEGER AS fails
+            FROM d JOIN firsts ON d.t = firsts.t),
+        l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        m AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, fails),
+        letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders(o) AS (
+            SELECT '' UNION ALL
+            SELECT o || letter FROM orders JOIN letters ON NOT contains(o, letter)),
+        steps AS (
+            SELECT o, s.step, l.bit, coalesce((SELECT sum(e.bit) FROM letters e
+                       WHERE position(e.letter IN o) BETWEEN 1 AND s.step - 1), 0)::INTEGER AS before
+            FROM orders, range(1, 6) AS s(step) JOIN letters l ON l.letter = substr(o, s.step, 1) WHERE length(o) = 5),
+        r AS (
+            SELECT part, o, step, bit,
+                   coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0) AS kept,
+                   coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS removed,
+                   coalesce(sum(n) FILTER (fails & before <> 0 AND fails & bit <> 0), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails = bit), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS good_lost,
+                   coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS toxic_lost
+            FROM steps, m GROUP BY part, o, step, bit)
+        SELECT part, o AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+               redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+               toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM r""",
+    # crc32 is spelled out: a table of 256 from eight shifts each, then one step a byte
+    "op13_importance_resampling": r"""
+        WITH RECURSIVE shifted(b, k, v) AS (
+            SELECT b, 0, b::BIGINT FROM range(256) AS r(b) UNION ALL
+            SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END
+            FROM shifted WHERE k < 8),
+        crc AS (SELECT list(v ORDER BY b) AS tab FROM shifted WHERE k = 8),
+        d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        w AS (SELECT r, unnest(words) AS word FROM d),
+        tw AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM benchmark),
+        vocabulary AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM (SELECT word FROM w UNION ALL SELECT word FROM tw)),
+        hashed AS (
+            SELECT word, (xor(list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(range(0, length(h) // 2),
+                                    lambda i: ('0x' || substr(h, 2 * i::BIGINT + 1, 2))::BIGINT)),
+                       lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1])), 4294967295::BIGINT) % 10000) AS bucket
+            FROM vocabulary, crc),
+        s AS (SELECT bucket, count(*) AS s FROM w JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM tw JOIN hashed USING (word) GROUP BY bucket),
+        gain AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM w) + 10000)::DOUBLE
+                   / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM tw) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM s FULL JOIN t USING (bucket)),
+        weights AS (
+            SELECT r, sum(gain) AS weight FROM w JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY r),
+        scored AS (
+            SELECT doc_id, r, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+            FROM d LEFT JOIN weights USING (r)),
+        full_score AS (
+            SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, r) AS place,
+                   count(*) OVER (PARTITION BY n_features >= 20) AS n
+            FROM full_score)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END::BIGINT AS rank
+        FROM placed""",
 }

@@ -105,6 +105,30 @@ def _query_history_columns() -> list[Column]:
     ]
 
 
+FEED_HORIZONS = (dt.datetime(2024, 1, 12), dt.datetime(2024, 3, 1))
+
+
+@once_per_session
+def history_feed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The query history as it lands, in two parts: the first ends on 2024-01-16 and is complete
+    up to the first of ``FEED_HORIZONS``.  Every 40th statement from 2024-01-12 on is landed as
+    running first and as finished in the second part.  Three kinds of rows that never end come
+    with the first part: started in 2021, without a warehouse, and cancelled."""
+    qh = query_history(spark, sf_dir)
+    n = F.substring("statement_id", 2, 20).cast("bigint")
+    slow = (n % 40 == 7) & (F.col("start_time") >= _ts_ntz("2024-01-12 00:00:00"))
+    early = F.col("start_time") < _ts_ntz("2024-01-16 00:00:00")
+    no_end = F.lit(None).cast("timestamp_ntz")
+    running = qh.where(slow).withColumns({"execution_status": F.lit("RUNNING"), "end_time": no_end})
+    kind = n % 500
+    endless = qh.where(kind.isin(3, 4, 5)).select(
+        F.concat(F.lit("x"), "statement_id").alias("statement_id"),
+        *[F.when(kind != 4, F.col(c)).alias(c) if c == "warehouse_id" else F.when(kind == 5, "CANCELED").otherwise("RUNNING").alias(c)
+          if c == "execution_status" else F.when(kind == 3, _ts_ntz("2021-01-01 05:00:00")).otherwise(F.col(c)).alias(c)
+          if c == "start_time" else no_end.alias(c) if c == "end_time" else F.col(c) for c in qh.columns if c != "statement_id"])
+    return [qh.where(early & ~slow).unionByName(running).unionByName(endless), qh.where(~early | slow)]
+
+
 @once_per_session
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat billing usage at hour grain: one record per event."""

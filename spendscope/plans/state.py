@@ -23,6 +23,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    hpath, fs = filesystem(spark, path)
+    fs.delete(hpath, True)
+
+
 def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether the folder has anything but hidden files and state records."""
     hpath, fs = filesystem(spark, path)

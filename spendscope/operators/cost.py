@@ -8,21 +8,19 @@ hour rows are then summed back to one row per statement.
 
 Plan shape (see ``README.md``):
 
-* usage ⋈ prices: prices are a short list → broadcast hash join (behind a
-  size check) with the validity range as residual; usage is aggregated to
-  hour grain.
+* usage ⋈ prices: a price list counted small is broadcast, with the validity
+  range as residual; a larger one is joined by time bins, heavy SKUs split
+  (``plans.skew.interval_left_join``).  Usage is aggregated to hour grain.
 * statements → statement-hours: a narrow ``explode`` (no shuffle).
 * hour totals: ``groupBy`` with map-side partial aggregation, so a busy
   warehouse-hour (one hot key) never lands whole in one task.
-* large inputs: hour totals ⋈ hourly cost → ``hour_rates`` (one row per
-  active warehouse-hour), written once to the shared checkpoint folder;
-  statement-hours ⋈ hour_rates is a broadcast join when its size check
-  passes — the statement-hours stay in their scan partitions and the final
-  per-statement ``groupBy`` collapses each statement's hour rows in its
-  partial aggregate before the one remaining shuffle — otherwise a
-  shuffle join with AQE skew splitting (or explicit salting).
-* small inputs: two joins against the two aggregates, no hint; AQE sees
-  their real shuffle sizes and broadcasts them at run time.
+* hour totals ⋈ hourly cost → ``hour_rates`` (one row per active
+  warehouse-hour), written once to the shared checkpoint folder.  Counted
+  small, it is broadcast: the statement-hours stay in their scan partitions
+  and the final per-statement ``groupBy`` collapses each statement's hours in
+  its partial aggregate before the one remaining shuffle.  Beyond the bound
+  the statement-hours shuffle to it, the hours that its own statement counts
+  show to be heavy split into buckets.
 """
 
 from __future__ import annotations
@@ -33,12 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.functions.time import epoch_seconds, one_hour, hour_floor, lookback_start, ntz_literal
-from spendscope.plans.joins import (
-    DEFAULT_MAX_BROADCAST_ROWS,
-    broadcast_if_small,
-    materialize,
-    salted_left_join,
-)
+from spendscope.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, materialize, salted_left_join
+from spendscope.plans.skew import heavy_keys, interval_left_join, spread_left_join
 
 HOUR_KEY = ["workspace_id", "warehouse_id", "hour_start"]
 
@@ -95,14 +89,19 @@ def hourly_cost(
         F.col("cloud").alias("p_cloud"), F.col("sku_name").alias("p_sku_name"),
         "price_start_time", "price_end_time", "price_usd",
     )
-    p, _ = broadcast_if_small(p, max_broadcast_rows)
-    cond = (
-        (F.col("cloud") == F.col("p_cloud"))
-        & (F.col("sku_name") == F.col("p_sku_name"))
-        & (F.col("usage_start_time") >= F.col("price_start_time"))
-        & (F.col("price_end_time").isNull() | (F.col("usage_start_time") < F.col("price_end_time")))
-    )
-    priced = u.join(p, cond, "left")
+    if has_at_most(prices, max_broadcast_rows):
+        held = (
+            (F.col("cloud") == F.col("p_cloud")) & (F.col("sku_name") == F.col("p_sku_name"))
+            & (F.col("usage_start_time") >= F.col("price_start_time"))
+            & (F.col("price_end_time").isNull() | (F.col("usage_start_time") < F.col("price_end_time")))
+        )
+        priced = u.join(F.broadcast(p), held, "left")
+    else:
+        # equal records are summed before they move; what is left is dealt by (SKU, time bin)
+        u = u.groupBy("workspace_id", "warehouse_id", "cloud", "sku_name", "usage_start_time").agg(
+            F.sum("usage_quantity").alias("usage_quantity"))
+        p = p.withColumnsRenamed({"p_cloud": "cloud", "p_sku_name": "sku_name"})
+        priced = interval_left_join(u, p, ["cloud", "sku_name"], "usage_start_time", "price_start_time", "price_end_time")
     factor = discount_factor(discount_pct)
     return priced.groupBy(
         "workspace_id", "warehouse_id", hour_floor(F.col("usage_start_time")).alias("hour_start")
@@ -166,9 +165,10 @@ def statement_hour_work(stmt_hours: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- H6
 def hour_totals(stmt_hour_work: DataFrame) -> DataFrame:
-    """Total work per (workspace, warehouse, hour); partial aggregation runs
-    map-side, so skew in a busy hour is absorbed before the shuffle."""
-    return stmt_hour_work.groupBy(*HOUR_KEY).agg(F.sum("work_ms_in_hour").alias("total_work_ms_in_hour"))
+    """Total work and statements per (workspace, warehouse, hour); partial aggregation
+    runs map-side, so skew in a busy hour is absorbed before the shuffle."""
+    return stmt_hour_work.groupBy(*HOUR_KEY).agg(
+        F.sum("work_ms_in_hour").alias("total_work_ms_in_hour"), F.count(F.lit(1)).alias("statements_in_hour"))
 
 
 def hour_rates(totals: DataFrame, hourly: DataFrame) -> DataFrame:
@@ -182,14 +182,24 @@ def attribute_hours(
     stmt_hour_work: DataFrame,
     rates: DataFrame,
     salt_buckets: int = 0,
+    written: bool = False,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Cost and DBUs per statement-hour: share of the hour's work times
     the hour's bill.  No bill → 0; zero or unknown total work → NULL.
 
-    ``rates`` holds total work and bill per hour key.  The join carries no
-    hint: AQE broadcasts the rates when their real size allows, and splits
-    a hot warehouse-hour otherwise; ``salt_buckets`` spreads it beforehand."""
-    joined = salted_left_join(stmt_hour_work, rates, HOUR_KEY, salt_buckets, ["statement_id", "hour_start"])
+    ``rates`` holds total work and bill per hour key.  When it is ``written``, it is
+    counted: up to ``max_broadcast_rows`` it is broadcast, beyond them the heavy hours
+    are split by the statements counted in them.  Otherwise the join carries no hint
+    (``salt_buckets`` deals every hour to that many buckets)."""
+    if written and salt_buckets <= 1:
+        if has_at_most(rates, max_broadcast_rows):
+            joined = stmt_hour_work.join(F.broadcast(rates.drop("statements_in_hour")), HOUR_KEY, "left")
+        else:
+            heavy = heavy_keys(rates, HOUR_KEY, "statements_in_hour")
+            joined = spread_left_join(stmt_hour_work, rates.drop("statements_in_hour"), HOUR_KEY, heavy, ["statement_id", "start_time"])
+    else:
+        joined = salted_left_join(stmt_hour_work, rates, HOUR_KEY, salt_buckets, ["statement_id", "hour_start"])
     share = F.try_divide(F.col("work_ms_in_hour"), F.col("total_work_ms_in_hour"))
     return joined.select(
         *STATEMENT_COLUMNS, "start_time", "end_time", "work_ms", "hour_start", "work_ms_in_hour",
@@ -218,25 +228,27 @@ def query_cost_attribution(
     discount_pct: float = 0.0,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
-    materialize_rates: bool = False,
+    materialize_rates: bool = True,
     history_date_col: str | None = None,
     usage_date_col: str | None = None,
+    hourly: DataFrame | None = None,
 ) -> DataFrame:
     """Per-statement attributed cost (the whole H2-H8 chain).
 
     ``history_date_col`` / ``usage_date_col`` name DATE partition columns
     of the inputs for partition pruning on the lookback window.
 
-    One plan at every size: the hour-rate table (one row per active
-    warehouse-hour) is joined once to the statement-hours.
-    ``materialize_rates`` writes it to the shared checkpoint folder first, for
-    callers that want to cut the lineage there.
+    The hour-rate table (one row per active warehouse-hour) is written once to the
+    shared checkpoint folder and joined to the statement-hours by its measured size
+    (``materialize_rates=False`` leaves the join to Spark's estimates).  A caller that
+    has the hourly bill passes it as ``hourly``.
     """
-    hourly = hourly_cost(usage, prices, as_of, window_days, discount_pct, max_broadcast_rows, usage_date_col)
+    if hourly is None:
+        hourly = hourly_cost(usage, prices, as_of, window_days, discount_pct, max_broadcast_rows, usage_date_col)
     stmts = statements(query_history, as_of, window_days, history_date_col)
     shw = statement_hour_work(statement_hours(stmts))
     rates = hour_rates(hour_totals(shw), hourly)
     if materialize_rates:
         rates = materialize(rates, "hour_rates")
-    attributed = attribute_hours(shw, rates, salt_buckets)
+    attributed = attribute_hours(shw, rates, salt_buckets, materialize_rates, max_broadcast_rows)
     return roll_up_statements(attributed).select(*ATTRIBUTION_COLUMNS)

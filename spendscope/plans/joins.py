@@ -1,29 +1,23 @@
 """Join strategy helpers.
 
-Broadcasting is only safe for a side whose size is known.  The helpers
-here check the size (a row count of an already small, aggregated or
-materialized DataFrame) and fall back to a shuffle join beyond the bound;
-in that case AQE's skew-join splitting (``spark.sql.adaptive.skewJoin``)
-takes care of a hot key on the large side.
+A side is broadcast only when its rows have been counted (a written table's
+count is a metadata read); beyond the bound the join shuffles, with heavy
+keys split (``spendscope.plans.skew``).
 """
 
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.session import ensure_checkpoint_dir
 
-# A broadcast side is shipped to every executor and held in memory:
-# bound it by rows (rows of the sides used here are ~100 bytes).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-# ... and by Catalyst's size estimate (on-disk parquet bytes for a file
-# scan, so kept well below executor memory).
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# What an unavailable estimate counts as: larger than any bound.
-UNKNOWN_SIZE = 2 ** 63 - 1
+# A broadcast side is shipped to every executor and held in memory: bound it by rows
+# (rows of the sides used here are ~100 bytes).
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -41,51 +35,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def estimated_size(df: DataFrame) -> tuple[int, int | None]:
-    """Catalyst's size estimate: ``(bytes, rows or None)``.
+# What has been counted: a DataFrame is an immutable plan over fixed files.
+_SMALL: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
 
-    No job runs, and the estimate is read from the analyzed plan (no
-    optimizer pass, so it costs milliseconds).  For a file scan the bytes
-    are the files' size; before column pruning and through aggregates
-    without column statistics the estimate errs on the large side, never
-    the small one — safe for a broadcast decision.
-    """
-    try:
-        stats = df._jdf.queryExecution().analyzed().stats()
-    except AttributeError:  # no JVM handle (e.g. a Spark Connect session): unknown = large
-        return UNKNOWN_SIZE, None
-
-    def as_int(v) -> int:
-        return v if isinstance(v, int) else int(str(v.toString()))
-
-    rows = stats.rowCount()
-    return as_int(stats.sizeInBytes()), (as_int(rows.get()) if rows.isDefined() else None)
 
-
-def broadcast_if_small(
-    small: DataFrame,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-    exact: bool = False,
-) -> tuple[DataFrame, bool]:
-    """Return ``(side, broadcasted)``: the side wrapped in a broadcast hint
-    when it is provably small, else unchanged (the caller then joins with
-    a shuffle, where AQE can still pick a broadcast at run time from the
-    real shuffle sizes, and splits skewed partitions).
-
-    The check is Catalyst's size estimate (no job).  With ``exact=True``
-    an estimate over ``max_bytes`` is followed by a bounded row count
-    (``limit(max_rows + 1).count()``), for sides whose estimate is known
-    to be loose (aggregates).
-    """
-    if max_rows <= 0 or max_bytes <= 0:
-        return small, False
-    size, rows = estimated_size(small)
-    if size <= max_bytes and (rows is None or rows <= max_rows):
-        return F.broadcast(small), True
-    if exact and small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small), True
-    return small, False
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counted, up to one row more, once a DataFrame."""
+    if rows <= 0:
+        return False
+    bound, small = _SMALL.get(df, (None, False))
+    if bound != rows:
+        small = df.limit(rows + 1).count() <= rows
+        _SMALL[df] = (rows, small)
+    return small
 
 
 def salted_left_join(

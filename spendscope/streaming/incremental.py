@@ -201,7 +201,7 @@ class CostHistory:
         rates = spark.read.parquet(f"{self.root}/_rates/increment={n}")
 
         names = [*cost.STATEMENT_COLUMNS, "start_time", "end_time", "work_ms", "cost_usd_in_hour", "dbus_in_hour"]
-        shares = cost.attribute_hours(work, rates).select(*names)
+        shares = cost.attribute_hours(work, rates, written=True).select(*names)
         so_far = live.where(done).withColumnsRenamed({"attributed_cost_usd": "cost_usd_in_hour", "attributed_dbus": "dbus_in_hour"})
         summed = cost.roll_up_statements(shares.unionByName(so_far.select(*names)))
         summed = summed.select("*", F.lit(DONE).alias("known"), F.when(first_hour < end, end).alias("attributed_until"),

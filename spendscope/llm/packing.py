@@ -27,7 +27,6 @@ an empty table gives an empty result.  Extra columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -53,17 +52,25 @@ PROGRESS = 0.1  # a round that places less than this share of what is left is th
 MEMO_WORDS = 400_000  # words a worker remembers; then it starts anew
 CHUNK_CHARS = 8_000_000  # text tokenized at once
 
+#: All letters below U+0100.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+MARKS = ".,!?;:"
+#: A word of plain letters (below U+0100, where composed form changes nothing), then sentence marks.
+PLAIN = r"^[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+[.,!?;:]*$"
+
+
 class WordIds:
     """Token ids of whitespace-separated words, each encoded once.
 
     A space or newline always ends a token of this vocabulary and leaves no
-    id, so a text's ids are those of its words in order.  Words of plain
-    letters (below U+0100, where composed form changes nothing) go to the
-    model directly, in lower case and without the sentence marks behind them,
-    whose ids follow; all others take the tokenizer's whole path."""
+    id, so a text's ids are those of its words in order.  Plain words are
+    taken apart for a whole chunk at once: their letters go to the model
+    directly, in lower case, and the ids of the sentence marks behind them
+    follow; all others take the tokenizer's whole path."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,63 +82,66 @@ class WordIds:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + i for i, b in enumerate(hidden)}
-        self.plain = re.compile(r"([^\W\d_]+)([.,!?;:]*)\Z")
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.marks: dict[str, list[int]] = {}
-        self.starts, self.lens, self.pool = array("q"), array("q"), array("I")
+        self.letters: dict[str, int] = {}
+        self.others: dict[str, int] = {}
+        # entry 0 has no ids
+        self.starts, self.lens, self.pool = array("q", [0]), array("q", [0]), array("I")
 
-    def add(self, word: str, ids: list[int]) -> int:
-        k = self.at[word] = len(self.starts)
+    def add(self, ids: list[int]) -> int:
         self.starts.append(len(self.pool))
         self.lens.append(len(ids))
         self.pool.extend(ids)
+        return len(self.starts) - 1
+
+    def place_letters(self, core: str) -> int:
+        shown = core if core.isascii() else core.encode().decode("latin-1").translate(self.alphabet)
+        k = self.letters[core] = self.add([t.id for t in self.model.tokenize(shown)])
         return k
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def place(self, word: str) -> int:
-        """Where the ids of a new word are."""
-        m = self.plain.match(word)
-        # \w also holds ², ¼ and the like, which the tokenizer splits off as numbers
-        if not m or not (word.isascii() or max(m[1]) < "Ā" and m[1].isalpha()):
-            return self.add(word, self.whole(word))
-        core, marks = m[1].lower(), m[2]
-        k = self.at.get(core)
-        if k is None:
-            shown = core if core.isascii() else core.encode().decode("latin-1").translate(self.alphabet)
-            k = self.add(core, [t.id for t in self.model.tokenize(shown)])
-        if not marks:
-            self.at[word] = k
-            return k
-        if marks not in self.marks:
-            self.marks[marks] = self.whole(marks)
-        first = self.starts[k]
-        return self.add(word, self.pool[first:first + self.lens[k]].tolist() + self.marks[marks])
-
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and length of each word's ids, and the pool they lie in."""
-        if len(self.at) > MEMO_WORDS:
+    def place_other(self, text: str) -> int:
+        k = self.others[text] = self.add(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return k
+
+    @staticmethod
+    def entries(texts: pa.Array, known: dict[str, int], place) -> np.ndarray:
+        """The entry of each text, looked up once for equal ones."""
+        coded = texts.dictionary_encode()
+        get = known.get
+        at = np.array([k if (k := get(w)) is not None else place(w) for w in coded.dictionary.to_pylist()], np.int64)
+        return at[coded.indices.to_numpy()] if len(at) else np.zeros(0, np.int64)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """Two entries for each word: its letters and the marks behind them, or the whole word and entry 0."""
+        if len(self.starts) > MEMO_WORDS:
             self.clear()
-        get, place = self.at.get, self.place
-        out = np.array([k if (k := get(w)) is not None else place(w) for w in words], np.int64)
-        return np.array(self.starts)[out], np.array(self.lens)[out], np.array(self.pool)
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+        out = np.zeros((len(words), 2), np.int64)
+        some = words.filter(pa.array(plain))
+        cores = pc.utf8_rtrim(some, MARKS)
+        out[plain, 0] = self.entries(pc.utf8_lower(cores), self.letters, self.place_letters)
+        length = pc.utf8_length(some).to_numpy()
+        marked = np.flatnonzero(pc.utf8_length(cores).to_numpy() < length)
+        if len(marked):
+            tails = pc.utf8_ltrim(some.take(pa.array(marked)), LETTERS)
+            out[np.flatnonzero(plain)[marked], 1] = self.entries(tails, self.others, self.place_other)
+        out[~plain, 0] = self.entries(words.filter(pa.array(~plain)), self.others, self.place_other)
+        return out
 
 
 def text_ids(words: WordIds, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a chunk of texts, and where each text's ids begin (one more at the end)."""
     lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
     coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy()
-    start, length, pool = words.of(coded.dictionary.to_pylist())
-    length = length[codes]
+    entry = words.of(coded.dictionary)[coded.indices.to_numpy()].ravel()
+    start, length, pool = (np.array(x) for x in (words.starts, words.lens, words.pool))
+    start, length = start[entry], length[entry]
     ends = np.cumsum(length)
     total = int(ends[-1]) if len(ends) else 0
-    ids = pool[np.repeat(start[codes] - (ends - length), length) + np.arange(total)]
-    bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+    ids = pool[np.repeat(start - (ends - length), length) + np.arange(total)]
+    bounds = np.concatenate([[0], ends[1::2]])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
     return ids, bounds
 
 

@@ -140,7 +140,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SKU_"), (F.col("user_id") % 3).cast("string")).alias("sku_name"),
         F.when(F.col("event_id") % 50 == 0, "JOBS").otherwise("SQL").alias("billing_origin_product"),
         F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("usage_start_time"),
-        (F.col("value") / 10).alias("usage_quantity"),
+        F.when(F.col("event_id") % 400 == 9, F.col("value") / -10).otherwise(F.col("value") / 10).alias("usage_quantity"),
     )
 
 
@@ -314,7 +314,7 @@ def raw_dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
     create = F.when(k % 3 == 0, F.lit(1700000000) + k).otherwise(F.lit(1700000000000) + k * 1000)
     body = F.struct(
         F.concat(F.lit("d"), k.cast("string")).alias("dashboard_id"),
-        F.col("c_name").alias("display_name"),
+        F.concat(F.col("c_name"), F.when(k % 50 == 1, F.lit(" é 日本 😀")).otherwise("")).alias("display_name"),
         (k * 7).cast("string").alias("etag"),
         F.when(F.col("c_acctbal") < 0, "TRASHED").otherwise("ACTIVE").alias("lifecycle_state"),
         parent.alias("parent_path"),
@@ -352,6 +352,14 @@ def raw_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once_per_session
+def raw_schedule_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same schedules in the shape of the API: the cron text and the time zone inside ``cron_schedule``."""
+    return raw_schedules(spark, sf_dir).select(
+        "dashboard_id", "schedule_id", "display_name", F.struct("quartz_cron_expression", "timezone_id").alias("cron_schedule"),
+        "pause_status")
+
+
 @once_per_session
 def raw_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
@@ -442,6 +450,9 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 10 * 40).alias("waiting_for_compute_duration_ms"),
         (k * 10 * 40).alias("waiting_at_capacity_duration_ms"),
         (F.floor(F.col("value") * 1000) < 50).alias("from_result_cache"),
+        F.when(F.col("event_id") % 90 == 1, F.concat(F.lit("ld"), (F.col("user_id") % 4).cast("string"))).alias("legacy_dashboard_id"),
+        F.when(F.col("event_id") % 90 == 2, F.concat(F.lit("pl"), (F.col("user_id") % 5).cast("string"))).alias("pipeline_id"),
+        F.when(F.col("event_id") % 90 == 3, F.concat(F.lit("sq"), (F.col("user_id") % 6).cast("string"))).alias("sql_query_id"),
         F.lit("acc1").alias("account_id"), F.lit("SELECT").alias("statement_type"),
         F.lit("WAREHOUSE").alias("compute_type"),
     )

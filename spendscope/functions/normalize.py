@@ -68,7 +68,7 @@ def canonical_json_of_fields(fields: Column | str, drop: tuple[str, ...] = ()) -
     if drop:
         m = F.map_filter(m, lambda k, _v: ~k.isin(*drop))
     by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m), by_key)))
+    return ascii_json(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m), by_key))))
 
 
 def variant_list_size(value: Column | str, path: str) -> Column:
@@ -85,9 +85,33 @@ def variant_list_or_dict_size(value: Column | str, path: str) -> Column:
 
 
 # ---------------------------------------------------------------------- B2/B3
+def _escape(code: Column) -> Column:
+    return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
+
+
+def ascii_json(text: Column | str) -> Column:
+    """JSON text in plain ASCII: characters beyond ``~`` as ``\\uXXXX`` (a surrogate pair
+    beyond U+FFFF), hex digits in lower case throughout.  Equal to the text where it
+    holds neither such a character nor an escaped control character."""
+    t = _c(text)
+
+    def one(c: Column) -> Column:
+        code = F.ascii(c)
+        above = code - F.lit(0x10000)
+        pair = F.concat(_escape(F.lit(0xD800) + F.shiftright(above, 10)), _escape(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))))
+        return F.when(code <= 0x7E, c).when(code <= 0xFFFF, _escape(code)).otherwise(pair)
+
+    plain = F.when(t.rlike(r"[^\x00-\x7E]"), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)
+    # control characters come escaped already, in upper case; an even number of backslashes before is text
+    lowered = plain
+    for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+    return F.when(t.contains("\\u00"), lowered).otherwise(plain)
+
+
 def canonical_json(x: Column | str) -> Column:
-    """Key-sorted, compact JSON text of a JSON string (malformed → NULL)."""
-    return F.to_json(F.try_parse_json(_c(x)))
+    """Key-sorted, compact, ASCII JSON text of a JSON string (malformed → NULL)."""
+    return ascii_json(F.to_json(F.try_parse_json(_c(x))))
 
 
 def sha256_hex(x: Column | str, empty_is_null: bool = True) -> Column:

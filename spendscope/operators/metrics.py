@@ -2,22 +2,25 @@
 aggregated at whatever grain the caller asks for.
 
 ``metric_base`` derives the per-statement columns (times in integer ms,
-sizes in bytes, flags).  ``QUERY_HISTORY_METRICS.query(base, by=[...],
-measures=[...])`` compiles to a single ``groupBy(*dims).agg(*measures)``.
+sizes in bytes, flags).  ``measure_states`` aggregates them once, at a grain
+of dimensions, into states that can be merged:
+
+* a histogram ``duration_ms → statements``, each of its rows with the sums,
+  counts and flag counts of those statements;
+* the distinct users and the distinct warehouses, as rows.
+
+Every measure at that grain or a coarser one comes from these rows alone:
+sums add up, distinct values are counted again, and exact percentiles
+(linear interpolation between closest ranks, as PERCENTILE_CONT) are read
+off the merged histogram.  ``QUERY_HISTORY_METRICS.query(base, by=[...])`` is
+one scan, one shuffle to the states, and what they need; states written by
+the caller answer any number of coarser queries (``query_states``).
+
 Sums are taken over integer ms/bytes and converted to seconds/GB after
-aggregation, so they are exact and independent of summation order.
-
-Percentiles are exact (linear interpolation between closest ranks, as
-PERCENTILE_CONT).  Two plans compute them:
-
-* ``"inline"`` — Spark's ``percentile`` inside the one aggregate: per group
-  a value → count map held in memory by the final task.
-* ``"distributed"`` — :func:`exact_percentiles`: a histogram
-  ``(group, value) → count`` (partial aggregation before the shuffle),
-  range-partitioned so that a hot group spans many tasks, ranks from
-  per-segment offsets and in-segment running counts, then the two ranks
-  around each quantile picked by a grouped aggregate and interpolated
-  with the same formula.  No task holds a whole group.
+aggregation, so they are exact and independent of summation order.  All
+aggregates have map-side partials, and no task holds a whole group: a
+percentile first finds, among at most a few thousand logarithmic buckets of
+values, those that hold its ranks, and only their values are sorted.
 """
 
 from __future__ import annotations
@@ -29,70 +32,73 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendscope.plans.joins import materialize
-
 GB = float(1024 ** 3)
 TB = float(1024 ** 4)
+BUCKETS_PER_DOUBLING = 64  # logarithmic buckets of a histogram's values
+
+# What the states of a group of statements hold, beside the count.
+SUMS = ["compilation_ms", "execution_ms", "result_fetch_ms", "compute_wait_ms", "capacity_wait_ms", "read_bytes",
+        "written_bytes", "shuffle_bytes", "spill_bytes", "read_rows", "produced_rows"]
+FLAGS = ["is_slow_query", "is_very_slow_query", "has_disk_spill", "is_cached", "is_failed", "had_long_wait",
+         "has_poor_scan_efficiency"]
+MEANS = ["wait_pct_of_total", "scan_to_output_ratio"]
+DISTINCT = {"user": "executed_by", "warehouse": "warehouse_id"}
+
+
+def _bucket(v: Column) -> Column:
+    """A number that never falls as ``v`` grows."""
+    size = F.floor(F.log2(F.abs(v) + 1) * BUCKETS_PER_DOUBLING)
+    return F.when(v < 0, -size).otherwise(size)
+
+
+def percentiles_of_histogram(hist: DataFrame, by: Sequence[str], value: str, n: str, ps: dict[str, float]) -> DataFrame:
+    """Exact percentiles per ``by`` group of ``hist`` (one row a group and value, ``n`` its count).
+
+    1. counts per logarithmic bucket of values, at most a few thousand a group;
+    2. running counts over the buckets give the buckets that hold a rank floor or
+       ceil of (n - 1)·p;
+    3. running counts over the values of those buckets give the values at the ranks,
+       interpolated as ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``."""
+    keys = list(by) or ["__g"]
+    src = hist if by else hist.withColumn("__g", F.lit(0))
+    src = src.select(*keys, F.col(value).cast("double").alias("__v"), F.col(n).alias("__c")).withColumn("__b", _bucket(F.col("__v")))
+    total = F.col("__n").cast("double")
+    ranks = [r for p in ps.values() for r in (F.floor((total - 1) * F.lit(float(p))), F.ceil((total - 1) * F.lit(float(p))))]
+
+    def holds_any(first: Column, last: Column) -> Column:
+        found = F.lit(False)
+        for r in ranks:
+            found = found | ((first <= r) & (r <= last))
+        return found
+
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = src.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bc")) \
+        .withColumns({"__n": F.sum("__bc").over(group), "__off": F.sum("__bc").over(upto) - F.col("__bc")})
+    hit = buckets.where(holds_any(F.col("__off"), F.col("__off") + F.col("__bc") - 1)) \
+        .select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.col("__b").alias("__hb"), "__n", "__off")
+    same = F.col("__b") == F.col("__hb")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__h_{k}"))
+    inside = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = src.join(hit, same).withColumn("__last", F.col("__off") + F.sum("__c").over(inside) - 1) \
+        .withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    picks = [F.min(F.when((F.col("__first") <= r) & (r <= F.col("__last")), F.col("__v"))).alias(f"__r{i}") for i, r in enumerate(ranks)]
+    picked = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *picks)
+    out = []
+    for i, (name, p) in enumerate(ps.items()):
+        pos, lo, hi = (total - 1) * F.lit(float(p)), F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
+        between = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+        out.append(F.when((F.ceil(pos) == F.floor(pos)) | (lo == hi), lo).otherwise(between).alias(name))
+    return picked.select(*by, *out)
 
 
-def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float],
-                      partitions: int | None = None) -> DataFrame:
-    """Exact percentiles of ``value`` per ``by`` group, with no task holding
-    a whole group: one row per group with a column per name in ``ps``.
-
-    1. histogram ``(group, value) → count`` (partial aggregation);
-    2. range-partitioned on ``(group, value)`` and written once (so the
-       partition of every row is fixed) — a hot group spans many partitions;
-    3. per (group, partition) segment: its count, and the offset of the
-       segment within its group (a window over at most ``partitions`` rows
-       per group; the global grain is one group with a constant key);
-    4. running counts inside each segment (a window bounded by one
-       partition), giving every value its 0-based rank range;
-    5. per group the values at ranks ``floor``/``ceil`` of (n - 1)·p,
-       interpolated as ``(hi_rank - pos)·v_lo + (pos - lo_rank)·v_hi``.
-    """
-    out_by = list(by)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, ps: dict[str, float]) -> DataFrame:
+    """Exact percentiles of ``value`` per ``by`` group, with no task holding a whole
+    group: one row per group with a column per name in ``ps``."""
     v = F.col(value).cast("double")
-    src = df.where(F.col(value).isNotNull())
-    if not out_by:  # the global grain is one group: give it a real key column
-        src = src.withColumn("__g", F.lit(0))
-    by = out_by or ["__g"]
-    hist = src.groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    ranged = materialize(
-        hist.repartitionByRange(n_parts, *by, "__v").withColumn("__pid", F.spark_partition_id()),
-        "percentile_histogram",
-    )
-    seg = ranged.groupBy(*by, "__pid").agg(F.sum("__c").alias("__seg_n"))
-    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select(
-        *by, "__pid",
-        F.coalesce(F.sum("__seg_n").over(before), F.lit(0)).alias("__off"),
-        F.sum("__seg_n").over(Window.partitionBy(*by)).alias("__n"),
-    )
-    in_seg = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(*by, "__pid", "__v", "__c", F.sum("__c").over(in_seg).alias("__cum"))
-    ranked = local.join(seg, [*by, "__pid"]).select(
-        *by, "__v", "__n",
-        (F.col("__off") + F.col("__cum") - F.col("__c")).alias("__first"),
-        (F.col("__off") + F.col("__cum") - 1).alias("__last"),
-    )
-    picks = []
-    for name, p in ps.items():
-        pos = (F.col("__n").cast("double") - 1) * F.lit(float(p))
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (F.col("__first") <= rank) & (rank <= F.col("__last"))
-            picks.append(F.min(F.when(hit, F.col("__v"))).alias(f"__{name}_{side}"))
-    agg = ranked.groupBy(*by).agg(F.max("__n").alias("__n"), *picks)
-    out = []
-    for name, p in ps.items():
-        pos = (F.col("__n").cast("double") - 1) * F.lit(float(p))
-        lo_r, hi_r = F.floor(pos), F.ceil(pos)
-        lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        val = F.when((hi_r == lo_r) | (lo == hi), lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
-        out.append(val.alias(name))
-    return agg.select(*out_by, *out)
+    hist = df.where(F.col(value).isNotNull()).groupBy(*by, v.alias("__value")).agg(F.count(F.lit(1)).alias("__count"))
+    return percentiles_of_histogram(hist, by, "__value", "__count", ps)
 
 
 def metric_base(history: DataFrame) -> DataFrame:
@@ -152,19 +158,35 @@ def metric_base(history: DataFrame) -> DataFrame:
     )
 
 
+def measure_states(base: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Mergeable states of the statements in ``base`` per ``dims`` (columns of ``base``): rows of
+    kind ``duration`` (``number``: duration_ms; n, sums, flag counts of its statements) and
+    of the kinds of ``DISTINCT`` (``text``: a value).  One scan, one shuffle."""
+    cells = [F.struct(F.lit("duration").alias("kind"), F.col("duration_ms").alias("number"), F.lit(None).cast("string").alias("text"))]
+    cells += [F.struct(F.lit(k).alias("kind"), F.lit(None).cast("bigint").alias("number"), F.col(c).alias("text"))
+              for k, c in DISTINCT.items()]
+    rows = base.select(*[F.col(d).alias(f"__{d}") for d in dims], *SUMS, *FLAGS, *MEANS, F.explode(F.array(*cells)).alias("c"))
+    own = F.col("c.kind") == "duration"
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.sum(F.when(own, F.col(c))).alias(c) for c in [*SUMS, *MEANS]]
+    aggs += [F.count(F.when(own, F.col(c))).alias(f"{c}_n") for c in MEANS]
+    aggs += [F.count_if(own & F.col(c)).alias(f"{c}_rows") for c in FLAGS]
+    return rows.groupBy(*[F.col(f"__{d}").alias(d) for d in dims], "c.kind", "c.number", "c.text").agg(*aggs)
+
+
 @dataclass
 class MetricSet:
     dimensions: dict[str, tuple[str, str]] = field(default_factory=dict)  # id -> (display, column)
-    measures: dict[str, tuple[str, Callable[[bool], Column]]] = field(default_factory=dict)
+    measures: dict[str, tuple[str, Callable[[], Column]]] = field(default_factory=dict)  # over merged states
+    percentile_measures: dict[str, float] = field(default_factory=dict)  # id -> p over duration_ms
+    distinct_measures: dict[str, str] = field(default_factory=dict)  # id -> kind of state
 
     def dimension(self, ident: str, display: str, column: str) -> None:
         self.dimensions[ident] = (display, column)
 
-    def measure(self, ident: str, display: str, build: Callable[[bool], Column]) -> None:
+    def measure(self, ident: str, display: str, build: Callable[[], Column]) -> None:
         self.measures[ident] = (display, build)
 
-    percentile_measures: dict[str, float] = field(default_factory=dict)  # id -> p over duration_ms
-
     def query(
         self,
         base: DataFrame,
@@ -174,47 +196,57 @@ class MetricSet:
     ) -> DataFrame:
         """Measures (all by default) at the grain of the ``by`` dimensions."""
         df = base if where is None else base.where(where)
-        df = df.select("*", *[F.col(self.dimensions[d][1]).alias(f"__dim_{d}") for d in by])
-        keys = [f"__dim_{d}" for d in by]
-        names = list(self.measures) if measures is None else list(measures)
-        pct = [m for m in names if m in self.percentile_measures]
-        if not pct:
-            aggs = [self.measures[m][1](False).alias(m) for m in names]
-            out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-            return out.select(*[F.col(k).alias(d) for k, d in zip(keys, by)], *names)
-        # percentiles are computed in their own aggregate (one buffer for all
-        # quantiles) and joined back on the group keys: kept out of the
-        # Expand that the exact distinct counts of the other measures need
-        plain = [self.measures[m][1](False).alias(m) for m in names if m not in pct] + [F.count(F.lit(1)).alias("__rows")]
-        main = (df.groupBy(*keys).agg(*plain) if keys else df.agg(*plain)).withColumn("__j", F.lit(1))
-        qs = {m: self.percentile_measures[m] for m in pct}
-        exact = exact_percentiles(df, keys, "duration_ms", qs)
-        exact = exact.select(*[F.col(k).alias(f"__e{k}") for k in keys],
-                             *[F.round(F.col(m) / 1000, 2).alias(m) for m in pct], F.lit(1).alias("__je"))
-        # one row per group on both sides; NULL dimension values match (null-safe keys)
-        cond = [F.col("__j") == F.col("__je")] + [F.col(k).eqNullSafe(F.col(f"__e{k}")) for k in keys]
-        j = main.join(exact, cond, "left")
-        return j.select(*[F.col(k).alias(d) for k, d in zip(keys, by)], *[F.col(m) for m in names])
+        columns = [self.dimensions[d][1] for d in by]
+        out = self.query_states(measure_states(df, columns), columns, measures, merged=True)
+        return out.withColumnsRenamed(dict(zip(columns, by)))
+
+    def query_states(self, states: DataFrame, by: Sequence[str] = (), measures: Sequence[str] | None = None,
+                     merged: bool = False) -> DataFrame:
+        """Measures per ``by`` (columns of the states, as many or fewer than they have);
+        ``merged`` says that the states have no other dimensions."""
+        by, names = list(by), list(self.measures) if measures is None else list(measures)
+        own = states.where(F.col("kind") == "duration")
+        adds = [F.sum(c).alias(c) for c in ["n", *SUMS, *MEANS, *[f"{c}_rows" for c in FLAGS], *[f"{c}_n" for c in MEANS]]]
+        adds += [F.sum(F.col("number") * F.col("n")).alias("duration_ms"), F.max("number").alias("max_duration_ms")]
+        out = (own.groupBy(*by) if by else own).agg(*adds)
+        percent = {m: p for m, p in self.percentile_measures.items() if m in names}
+        parts = []
+        if percent:
+            hist = own if merged else own.groupBy(*by, "number").agg(F.sum("n").alias("n"))
+            parts.append(percentiles_of_histogram(hist, by, "number", "n", {f"__{m}": p for m, p in percent.items()}))
+        distinct = {m: k for m, k in self.distinct_measures.items() if m in names}
+        if distinct:
+            kinds = states.where(F.col("kind").isin(*distinct.values()) & F.col("text").isNotNull()).select(*by, "kind", "text")
+            kinds = kinds if merged else kinds.distinct()
+            counts = [F.count_if(F.col("kind") == k).alias(f"__{m}") for m, k in distinct.items()]
+            parts.append((kinds.groupBy(*by) if by else kinds).agg(*counts))
+        for i, part in enumerate(parts):  # one row a group on both sides; NULL dimension values match
+            part = part.select(*[F.col(k).alias(f"__{i}_{k}") for k in by], *[c for c in part.columns if c not in by])
+            same = F.lit(True)
+            for k in by:
+                same = same & F.col(k).eqNullSafe(F.col(f"__{i}_{k}"))
+            out = out.join(part, same, "left")
+        return out.select(*by, *[self.measures[m][1]().alias(m) for m in names])
 
 
 def _r(x: Column, d: int = 2) -> Column:
     return F.round(x, d)
 
 
-def _flag_count(col: str) -> Callable[[bool], Column]:
-    return lambda _a: F.sum(F.when(F.col(col), 1).otherwise(0))
+def _flag_count(col: str) -> Callable[[], Column]:
+    return lambda: F.coalesce(F.col(f"{col}_rows"), F.lit(0).cast("bigint"))
 
 
-def _rate(col: str) -> Callable[[bool], Column]:
-    return lambda _a: _r(F.avg(F.when(F.col(col), F.lit(1.0)).otherwise(F.lit(0.0))) * 100)
+def _mean(col: str, count: str = "n") -> Column:
+    return F.try_divide(F.col(col).cast("double"), F.col(count).cast("double"))
 
 
-def _pct(p: float) -> Callable[[bool], Column]:
-    def build(approx: bool) -> Column:
-        x = F.col("duration_ms").cast("double")
-        return _r(F.percentile(x, F.lit(p)) / 1000)
+def _rate(col: str) -> Callable[[], Column]:
+    return lambda: _r(_mean(f"{col}_rows") * 100)
 
-    return build
+
+def _pct(ident: str) -> Callable[[], Column]:
+    return lambda: _r(F.col(f"__{ident}") / 1000)
 
 
 def _build_query_history_metrics() -> MetricSet:
@@ -245,31 +277,31 @@ def _build_query_history_metrics() -> MetricSet:
         m.dimension(ident, display, col)
 
     # The measure names of the query-history metric view.
-    c = F.col
-    m.measure("total_queries", "Total Queries", lambda _a: F.count(F.lit(1)))
-    m.measure("unique_users", "Unique Users", lambda _a: F.countDistinct("executed_by"))
-    m.measure("warehouses_used", "Warehouses Used", lambda _a: F.countDistinct("warehouse_id"))
-    m.measure("total_duration_sec", "Total Duration Sec", lambda _a: F.sum("duration_ms") / 1000)
-    m.measure("avg_duration_sec", "Avg Duration Sec", lambda _a: _r(F.avg("duration_ms") / 1000))
-    m.measure("max_duration_sec", "Max Duration Sec", lambda _a: _r(F.max("duration_ms") / 1000))
-    m.measure("p50_duration_sec", "P50 Duration Sec", _pct(0.50))
-    m.measure("p95_duration_sec", "P95 Duration Sec", _pct(0.95))
-    m.measure("p99_duration_sec", "P99 Duration Sec", _pct(0.99))
+    m.measure("total_queries", "Total Queries", lambda: F.coalesce(F.col("n"), F.lit(0).cast("bigint")))
+    m.measure("unique_users", "Unique Users", lambda: F.coalesce(F.col("__unique_users"), F.lit(0).cast("bigint")))
+    m.measure("warehouses_used", "Warehouses Used", lambda: F.coalesce(F.col("__warehouses_used"), F.lit(0).cast("bigint")))
+    m.measure("total_duration_sec", "Total Duration Sec", lambda: F.col("duration_ms") / 1000)
+    m.measure("avg_duration_sec", "Avg Duration Sec", lambda: _r(_mean("duration_ms") / 1000))
+    m.measure("max_duration_sec", "Max Duration Sec", lambda: _r(F.col("max_duration_ms") / 1000))
+    m.measure("p50_duration_sec", "P50 Duration Sec", _pct("p50_duration_sec"))
+    m.measure("p95_duration_sec", "P95 Duration Sec", _pct("p95_duration_sec"))
+    m.measure("p99_duration_sec", "P99 Duration Sec", _pct("p99_duration_sec"))
+    m.distinct_measures.update({"unique_users": "user", "warehouses_used": "warehouse"})
     m.percentile_measures.update({"p50_duration_sec": 0.50, "p95_duration_sec": 0.95, "p99_duration_sec": 0.99})
-    m.measure("total_compute_wait_sec", "Total Compute Wait Sec", lambda _a: _r(F.sum("compute_wait_ms") / 1000))
-    m.measure("total_capacity_wait_sec", "Total Capacity Wait Sec", lambda _a: _r(F.sum("capacity_wait_ms") / 1000))
-    m.measure("avg_wait_pct", "Avg Wait Pct", lambda _a: _r(F.avg("wait_pct_of_total")))
-    m.measure("avg_compilation_sec", "Avg Compilation Sec", lambda _a: _r(F.avg("compilation_ms") / 1000))
-    m.measure("avg_execution_sec", "Avg Execution Sec", lambda _a: _r(F.avg("execution_ms") / 1000))
-    m.measure("avg_result_fetch_sec", "Avg Result Fetch Sec", lambda _a: _r(F.avg("result_fetch_ms") / 1000))
-    m.measure("total_read_gb", "Total Read GB", lambda _a: _r(F.sum("read_bytes") / GB))
-    m.measure("total_read_tb", "Total Read TB", lambda _a: _r(F.sum("read_bytes") / TB, 4))
-    m.measure("total_written_gb", "Total Written GB", lambda _a: _r(F.sum("written_bytes") / GB))
-    m.measure("total_shuffle_gb", "Total Shuffle GB", lambda _a: _r(F.sum("shuffle_bytes") / GB))
-    m.measure("total_spill_gb", "Total Spill GB", lambda _a: _r(F.sum("spill_bytes") / GB))
-    m.measure("total_read_rows", "Total Read Rows", lambda _a: F.sum("read_rows"))
-    m.measure("total_produced_rows", "Total Produced Rows", lambda _a: F.sum("produced_rows"))
-    m.measure("avg_scan_to_output_ratio", "Avg Scan to Output Ratio", lambda _a: _r(F.avg(c("scan_to_output_ratio"))))
+    m.measure("total_compute_wait_sec", "Total Compute Wait Sec", lambda: _r(F.col("compute_wait_ms") / 1000))
+    m.measure("total_capacity_wait_sec", "Total Capacity Wait Sec", lambda: _r(F.col("capacity_wait_ms") / 1000))
+    m.measure("avg_wait_pct", "Avg Wait Pct", lambda: _r(_mean("wait_pct_of_total", "wait_pct_of_total_n")))
+    m.measure("avg_compilation_sec", "Avg Compilation Sec", lambda: _r(_mean("compilation_ms") / 1000))
+    m.measure("avg_execution_sec", "Avg Execution Sec", lambda: _r(_mean("execution_ms") / 1000))
+    m.measure("avg_result_fetch_sec", "Avg Result Fetch Sec", lambda: _r(_mean("result_fetch_ms") / 1000))
+    m.measure("total_read_gb", "Total Read GB", lambda: _r(F.col("read_bytes") / GB))
+    m.measure("total_read_tb", "Total Read TB", lambda: _r(F.col("read_bytes") / TB, 4))
+    m.measure("total_written_gb", "Total Written GB", lambda: _r(F.col("written_bytes") / GB))
+    m.measure("total_shuffle_gb", "Total Shuffle GB", lambda: _r(F.col("shuffle_bytes") / GB))
+    m.measure("total_spill_gb", "Total Spill GB", lambda: _r(F.col("spill_bytes") / GB))
+    m.measure("total_read_rows", "Total Read Rows", lambda: F.col("read_rows"))
+    m.measure("total_produced_rows", "Total Produced Rows", lambda: F.col("produced_rows"))
+    m.measure("avg_scan_to_output_ratio", "Avg Scan to Output Ratio", lambda: _r(_mean("scan_to_output_ratio", "scan_to_output_ratio_n")))
     m.measure("slow_query_count", "Slow Query Count", _flag_count("is_slow_query"))
     m.measure("very_slow_query_count", "Very Slow Query Count", _flag_count("is_very_slow_query"))
     m.measure("spill_query_count", "Spill Query Count", _flag_count("has_disk_spill"))

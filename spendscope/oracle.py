@@ -39,7 +39,7 @@ select concat('ws', cast(user_id % 2 as varchar)) as workspace_id,
   'AWS' as cloud, concat('SKU_', cast(user_id % 3 as varchar)) as sku_name,
   case when event_id % 50 = 0 then 'JOBS' else 'SQL' end as billing_origin_product,
   cast(date_trunc('hour', ts) as timestamp) as usage_start_time,
-  value / 10 as usage_quantity
+  case when event_id % 400 = 9 then value / -10 else value / 10 end as usage_quantity
 from events""",
     "fx_list_prices": """
 select 'AWS' as cloud, concat('SKU_', cast(r_regionkey as varchar)) as sku_name,

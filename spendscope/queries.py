@@ -358,7 +358,7 @@ def q_check_rowcount(spark, sf_dir):
 with sums(mv, billed) as (
   select (select sum(attributed_cost_usd) from stmt_cost), (select sum(list_cost_usd) from bill_by_hour))
 select {on('mv', 4, 'mv_total_usd')}, {on('billed', 4, 'raw_total_usd')},
-  {on('case when billed <> 0 then abs(1 - mv / billed) end', 6, 'variance_pct')}
+  {on('abs(mv - billed) / nullif(billed, 0)', 6, 'variance_pct')}  -- fixed value: the rule of the check
 from sums"""))
 def q_check_variance(spark, sf_dir):
     """Attributed vs raw billed total and their relative gap."""
@@ -376,8 +376,9 @@ def q_check_bad_cost(spark, sf_dir):
 @register("check_hour_overattributed", oracle.build(["stmt_cost", "bill_by_hour"], """
 with spent as (
   select workspace_id as ws, warehouse_id as wh, date_trunc('hour', start_time) as h, sum(attributed_cost_usd) as usd from stmt_cost group by all)
-select count(*) filter (usd / nullif(list_cost_usd, 0) > 1.01 or (list_cost_usd = 0 and usd > 0)) as hours_overattributed
-from bill_by_hour, spent where ws = workspace_id and wh = warehouse_id and h = hour_start"""))
+select count(*) as hours_overattributed
+from bill_by_hour join spent on ws = workspace_id and wh = warehouse_id and h = hour_start
+where usd > list_cost_usd * 1.01  -- fixed value: the rule of the check"""))
 def q_check_hour_overattributed(spark, sf_dir):
     """Hours whose start-hour-booked attribution exceeds the bill by > 1 %."""
     return quality.check_hour_overattributed(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
@@ -386,8 +387,9 @@ def q_check_hour_overattributed(spark, sf_dir):
 @register("check_hour_overattributed_exact", oracle.build(["stmt_hour_cost", "bill_by_hour"], """
 with spent as (
   select workspace_id as ws, warehouse_id as wh, hour_start as h, sum(cost_usd_in_hour) as usd from stmt_hour_cost group by all)
-select count(*) filter (usd / nullif(list_cost_usd, 0) > 1.01 or (list_cost_usd = 0 and usd > 0)) as hours_overattributed
-from bill_by_hour, spent where ws = workspace_id and wh = warehouse_id and h = hour_start"""))
+select count(*) as hours_overattributed
+from bill_by_hour join spent on ws = workspace_id and wh = warehouse_id and h = hour_start
+where usd > list_cost_usd * 1.01  -- fixed value: the rule of the check"""))
 def q_check_hour_overattributed_exact(spark, sf_dir):
     """J4 exact (R9): per-hour split compared hour by hour (0 expected)."""
     shw = _shw(spark, sf_dir)
@@ -532,11 +534,17 @@ def q_schedule_frequency_counts(spark, sf_dir):
     return normalize.schedule_frequency_counts(fx.schedules(spark, sf_dir))
 
 
+@register("schedule_object_frequency_counts", _bucket_counts_sql("'d' || cast(o_custkey as varchar)", "o_orderkey % 10", "orders"))
+def q_schedule_object_frequency_counts(spark, sf_dir):
+    """Bucket counts of schedules in the API's own shape (cron text inside cron_schedule)."""
+    return normalize.schedule_frequency_counts(fx.raw_schedule_objects(spark, sf_dir))
+
+
 _O_DASH_EXPECTED = ("dash_expected", """
 select 'd' || cast(c_custkey as varchar) as dashboard_id,
   case when c_custkey % 3 = 0 then make_timestamp(cast((1700000000 + c_custkey) * 1000000 as bigint))
        else make_timestamp(cast((1700000000000 + c_custkey * 1000) * 1000 as bigint)) end as create_time,
-  c_name as display_name, cast(c_custkey * 7 as varchar) as etag,
+  c_name || case when c_custkey % 50 = 1 then ' é 日本 😀' else '' end as display_name, cast(c_custkey * 7 as varchar) as etag,
   case when c_acctbal < 0 then 'TRASHED' else 'ACTIVE' end as lifecycle_state,
   case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team' when 1 then '/Users/'
     when 2 then '/Shared/reports' end as parent_path,
@@ -596,7 +604,7 @@ def q_dashboard_rows(spark, sf_dir):
 _O_DASH_JSON = """'{"create_time":' || cast(case when c_custkey % 3 = 0 then 1700000000 + c_custkey
       else 1700000000000 + c_custkey * 1000 end as varchar)
   || ',"dashboard_id":' || to_json('d' || cast(c_custkey as varchar))
-  || ',"display_name":' || to_json(c_name)
+  || ',"display_name":"' || c_name || case when c_custkey % 50 = 1 then ' \\u00e9 \\u65e5\\u672c \\ud83d\\ude00' else '' end || '"'
   || ',"etag":' || to_json(cast(c_custkey * 7 as varchar))
   || ',"lifecycle_state":' || case when c_acctbal < 0 then '"TRASHED"' else '"ACTIVE"' end
   || coalesce(',"parent_path":' || to_json(case c_custkey % 4 when 0 then '/Users/' || lower(c_mktsegment) || '@x.org/team'
@@ -640,8 +648,9 @@ join meta m on e.dashboard_id = m.dashboard_id
 left join sched s on e.dashboard_id = s.dashboard_id
 left join sched_json j on e.dashboard_id = j.dashboard_id""", extra=[_O_DASH_EXPECTED]))
 def q_dashboard_snapshot_rows(spark, sf_dir):
-    """All 25 snapshot columns incl. canonical JSON and hashes."""
-    return normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir), fx.raw_schedules(spark, sf_dir))
+    """All 25 snapshot columns incl. canonical JSON and hashes; schedules as the API gives
+    them, the cron text inside their cron_schedule."""
+    return normalize.dashboard_rows(fx.raw_dashboards(spark, sf_dir), fx.raw_schedule_objects(spark, sf_dir))
 
 
 @register("space_counts", """
@@ -756,7 +765,11 @@ from (
     cast(read_rows as double) / cast(nullif(produced_rows, 0) as double) as scan_to_output_ratio
   from (
     select 'u' || cast(user_id as varchar) as executed_by, 'w' || cast(user_id % 4 as varchar) as warehouse_id,
-      cast(ts as date) as query_date,
+      cast(ts as date) as query_date, cast(hour(ts) as integer) as query_hour, cast(dayofweek(ts) + 1 as integer) as day_of_week,
+      case when event_id % 90 = 1 then 'ld' || cast(user_id % 4 as varchar) end as legacy_dashboard_id,
+      case when event_id % 90 = 2 then 'pl' || cast(user_id % 5 as varchar) end as pipeline_id,
+      case when event_id % 90 = 3 then 'sq' || cast(user_id % 6 as varchar) end as sql_query_id,
+      user_id % 3 = 0 as is_tableau,
       case event_type when 'view' then 'AI/BI Dashboard' when 'click' then 'Genie Space' when 'signup' then 'Notebook'
         when 'error' then case when k < 50 then 'Alert' else 'Job' end else 'Other' end as query_source_type,
       case when k % 10 = 0 then 'FAILED' else 'FINISHED' end as execution_status,
@@ -854,18 +867,44 @@ def q_metric_by_day_source(spark, sf_dir):
     return _metric(spark, sf_dir, ["query_date", "query_source_type"])
 
 
-@register("metric_global_distributed", _metric_sql([]))
-def q_metric_global_distributed(spark, sf_dir):
-    """All 33 measures over the whole history, percentiles by the
-    distributed exact plan (the single global group spread over tasks)."""
-    return _metric(spark, sf_dir, [])
+@register("metric_by_entity", _metric_sql(["legacy_dashboard_id", "pipeline_id", "sql_query_id"]))
+def q_metric_by_entity(spark, sf_dir):
+    """All 33 measures per legacy dashboard, pipeline and SQL query (NULL for most statements)."""
+    return _metric(spark, sf_dir, ["legacy_dashboard_id", "pipeline_id", "sql_query_id"])
 
 
-@register("metric_by_user_distributed", _metric_sql(["executed_by"]))
-def q_metric_by_user_distributed(spark, sf_dir):
-    """All 33 measures per user, percentiles by the distributed exact plan
-    (histogram + windowed running counts) used for large inputs."""
-    return _metric(spark, sf_dir, ["executed_by"])
+@register("metric_by_hour_flags", _metric_sql(["query_hour", "day_of_week", "is_slow_query", "is_cached", "is_tableau"]))
+def q_metric_by_hour_flags(spark, sf_dir):
+    """All 33 measures per hour of day, weekday, slow and cached flag and tool."""
+    return _metric(spark, sf_dir, ["query_hour", "day_of_week", "is_slow_query", "is_cached", "is_tableau"])
+
+
+_STATE_GRAINS = {"all": [], "user": ["executed_by"], "day_source": ["query_date", "query_source_type"], "day": ["query_date"]}
+
+
+def _metric_grains_sql() -> str:
+    parts = []
+    for grain, by in _STATE_GRAINS.items():
+        keys = [f"{d} as {d}" if d in by else f"cast(null as {t}) as {d}"
+                for d, t in (("query_date", "date"), ("query_source_type", "varchar"), ("executed_by", "varchar"))]
+        group = f" group by {', '.join('metric_base.' + d for d in by)}" if by else ""
+        parts.append(f"select '{grain}' as grain, {', '.join(keys)}, {_metric_measures_sql()} from metric_base{group}")
+    return oracle.build([], "\nunion all\n".join(parts), extra=[_O_METRIC_BASE])
+
+
+@register("metric_rollups_from_states", _metric_grains_sql())
+def q_metric_rollups_from_states(spark, sf_dir):
+    """The measures at four grains from one stored aggregate: the history is read once,
+    into mergeable states per day, source type and user; every grain comes from these alone."""
+    dims = ["query_date", "query_source_type", "executed_by"]
+    states = materialize(metrics.measure_states(metrics.metric_base(fx.metric_history(spark, sf_dir)), dims), "measure_states")
+    out = None
+    for grain, by in _STATE_GRAINS.items():
+        rows = metrics.QUERY_HISTORY_METRICS.query_states(states, by)
+        rows = rows.select(F.lit(grain).alias("grain"), *[F.col(d) if d in by else F.lit(None).cast(states.schema[d].dataType).alias(d) for d in dims],
+                           *metrics.QUERY_HISTORY_METRICS.measures)
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumn("total_duration_sec", F.col("total_duration_sec").cast("double"))
 
 
 # ------------------------------------------------------------------ A1-A8
@@ -944,15 +983,6 @@ def q_snapshot_source_jsonl(spark, sf_dir):
     return _landing_jsonl(spark, sf_dir).select("object_id", "status")
 
 
-@register("snapshot_source_jsonl_native", ORACLE["snapshot_source_jsonl"])
-def q_snapshot_source_jsonl_native(spark, sf_dir):
-    """The same JSON-lines landing read with Spark's text source and
-    built-in JSON functions (no Python worker) — the large-folder plan."""
-    _landing_jsonl(spark, sf_dir)  # lands the folder once per session
-    path = _landed(spark)[(sf_dir, "jsonl")]
-    return landing.read_jsonl_native(spark, path, id_field="dashboard_id").select("object_id", "status")
-
-
 @register("snapshot_fetch_outcomes", "select 'ok' as status, count(*) as objects from customer")
 def q_snapshot_fetch_outcomes(spark, sf_dir):
     """Objects per fetch outcome."""

@@ -94,27 +94,47 @@ def key_ordered(col, kind: T.DataType):
     return col
 
 
+def with_schedule_bucket(schedules: DataFrame, out: str, given_wins: bool = False) -> DataFrame:
+    """Add the frequency bucket of each schedule: of the cron text inside its ``cron_schedule``
+    object, or of a flat ``quartz_cron_expression`` column.  ``given_wins``: a
+    ``human_schedule`` that the object carries counts, ``unknown`` where it is no bucket."""
+    kind = schedules.schema["cron_schedule"].dataType if "cron_schedule" in schedules.columns else None
+    inside = kind.fieldNames() if isinstance(kind, T.StructType) else []
+    texts = [F.col("cron_schedule.quartz_cron_expression")] if "quartz_cron_expression" in inside else []
+    texts += [F.col("quartz_cron_expression")] if "quartz_cron_expression" in schedules.columns else []
+    text = F.coalesce(*texts).cast("string") if texts else F.lit(None).cast("string")
+    found = N.with_cron_frequency(schedules.withColumn("__cron", text), "__cron", out).drop("__cron")
+    if given_wins and "human_schedule" in inside:
+        given = F.col("cron_schedule.human_schedule")
+        kept = F.when(given.isin(*N.FREQ_BUCKETS), given).otherwise("unknown")
+        found = found.withColumn(out, F.when(F.length(given) > 0, kept).otherwise(F.col(out)))
+    return found
+
+
 def annotate_schedules(schedules: DataFrame) -> DataFrame:
     """Each schedule with its frequency bucket, as a struct whose fields are
     in key order (so its JSON text is canonical).  Every column but
-    ``dashboard_id`` is a field of the schedule; the cron expression and the
-    time zone, and the fields of a ``cron_schedule`` struct, lie in its cron_schedule."""
+    ``dashboard_id`` is a field of the schedule.  The cron expression lies in the
+    ``cron_schedule`` object, with all its other fields; a flat cron expression and
+    time zone beside it are put there."""
     bucket = F.col("bucket")
     kinds = {f.name: f.dataType for f in schedules.schema.fields if f.name != "dashboard_id"}
     cron = {"human_schedule": bucket}
     given = kinds.pop("cron_schedule", None)
     if isinstance(given, T.StructType):
         cron = {f.name: key_ordered(F.col("cron_schedule").getField(f.name), f.dataType) for f in given.fields} | cron
-    cron |= {c: F.col(c) for c in ("quartz_cron_expression", "timezone_id") if kinds.pop(c, None)}
+    for c in ("quartz_cron_expression", "timezone_id"):
+        if kinds.pop(c, None):
+            cron[c] = F.coalesce(cron[c], F.col(c)) if c in cron else F.col(c)
     fields = {c: key_ordered(F.col(f"`{c}`"), kind) for c, kind in kinds.items()}
     fields["cron_schedule"] = F.struct(*[cron[c].alias(c) for c in sorted(cron)])
-    return N.with_cron_frequency(schedules, "quartz_cron_expression", "bucket").select(
+    return with_schedule_bucket(schedules, "bucket").select(
         "dashboard_id",
         bucket,
         F.struct(
             F.coalesce(F.col("schedule_id"), F.lit("")).alias("k1"),
             F.coalesce(F.col("display_name"), F.lit("")).alias("k2"),
-            F.to_json(F.struct(*[fields[c].alias(c) for c in sorted(fields)])).alias("s"),
+            N.ascii_json(F.to_json(F.struct(*[fields[c].alias(c) for c in sorted(fields)]))).alias("s"),
         ).alias("entry"),
     )
 
@@ -146,7 +166,7 @@ def schedule_summary(schedules: DataFrame) -> DataFrame:
 def schedule_frequency_counts(schedules: DataFrame) -> DataFrame:
     """B7 alone: schedule count and the eight bucket counts per dashboard
     (map-side partial aggregation; no list is collected)."""
-    return N.with_cron_frequency(schedules, "quartz_cron_expression", "__b").groupBy("dashboard_id").agg(
+    return with_schedule_bucket(schedules, "__b", given_wins=True).groupBy("dashboard_id").agg(
         F.count(F.lit(1)).cast("int").alias("schedule_count"),
         *[F.sum(F.when(F.col("__b") == b, 1).otherwise(0)).cast("int").alias(f"schedule_frequency_{b}")
           for b in N.FREQ_BUCKETS],
@@ -170,7 +190,7 @@ def dashboard_rows(raw: DataFrame, schedules: DataFrame | None = None,
     )
     sd_type = F.schema_of_variant("__sd")
     serialized = (
-        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"), F.to_json("__sd"))
+        F.when(sd_type.startswith("OBJECT") | sd_type.startswith("ARRAY"), N.ascii_json(F.to_json("__sd")))
         .otherwise(N.variant_text("__sd"))
     )
     if not include_serialized_dashboard:

@@ -199,3 +199,34 @@ def test_cron_buckets_match_the_rules(spark_session_for_hypothesis, texts):
     df = spark.createDataFrame([(t,) for t in texts], "e string")
     got = [r[0] for r in N.with_cron_frequency(df, "e").select("frequency").collect()]
     assert got == [_bucket_spec(t) for t in texts]
+
+
+def test_canonical_json_is_ascii_like_pythons(spark):
+    """Characters beyond ~ are escaped, also in pairs; backslashes that are text stay."""
+    objects = [{"b": "é日😀", "a": "plain"}, {"x": "\x0b\x1f\x7f\n\t", "é": ["ß", None, 1, True]}, {"t": "\\u001F \\\\u000B \" /"},
+               {"deep": {"z": "\U0010ffff", "a": {"k": "\u2028"}}}, {"n": "\x00\x1e\\\x0f"}]
+    texts = [json.dumps(o, ensure_ascii=False) for o in objects] + [json.dumps(o) for o in objects]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string") \
+        .select("i", N.canonical_json("t").alias("c"), N.canonical_json_of_fields(N.json_fields("t")).alias("f")).collect()
+    for r in rows:
+        want = json.dumps(objects[r["i"] % len(objects)], sort_keys=True, separators=(",", ":"))
+        assert r["c"] == want and r["f"] == want
+
+
+def test_schedules_in_the_shape_of_the_api(spark):
+    """The cron text lies in the cron_schedule object; a given human_schedule counts for the
+    counts only; flat and nested shapes give the same rows."""
+    cron = "quartz_cron_expression string, timezone_id string, human_schedule string"
+    given = spark.createDataFrame(
+        [("d1", "s1", "A", ("0 0 9 * * ?", "UTC", None)), ("d1", "s2", "é", ("0 0 9 ? * MON", "UTC", "daily")),
+         ("d1", "s3", None, (None, None, "whenever")), ("d2", "s4", "B", None)],
+        f"dashboard_id string, schedule_id string, display_name string, cron_schedule struct<{cron.replace(' string', ':string')}>")
+    counts = {r["dashboard_id"]: r for r in normalize.schedule_frequency_counts(given).collect()}
+    assert (counts["d1"]["schedule_frequency_daily"], counts["d1"]["schedule_frequency_weekly"], counts["d1"]["schedule_frequency_unknown"]) == (2, 0, 1)
+    assert counts["d2"]["schedule_frequency_unknown"] == 1
+    summary = {r["dashboard_id"]: r for r in normalize.schedule_summary(given).collect()}
+    assert (summary["d1"]["schedule_frequency_daily"], summary["d1"]["schedule_frequency_weekly"], summary["d1"]["schedule_frequency_unknown"]) == (1, 1, 1)
+    assert '"display_name":"\\u00e9"' in summary["d1"]["schedules_json"] and '"human_schedule":"weekly"' in summary["d1"]["schedules_json"]
+    nested = given.select("dashboard_id", "schedule_id", "display_name", F.struct("cron_schedule.quartz_cron_expression", "cron_schedule.timezone_id").alias("cron_schedule"))
+    flat = given.select("dashboard_id", "schedule_id", "display_name", "cron_schedule.quartz_cron_expression", "cron_schedule.timezone_id")
+    assert sorted(map(str, normalize.schedule_summary(nested).collect())) == sorted(map(str, normalize.schedule_summary(flat).collect()))

@@ -169,13 +169,13 @@ def test_hot_group_percentiles_are_exact(spark):
         ((F.col("id") * 7919) % 100003).alias("v"),
     )
     ps = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", ps, partitions=8).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", ps).collect()}
     want = {r["g"]: r for r in df.groupBy("g").agg(
         *[F.percentile(F.col("v").cast("double"), F.lit(p)).alias(n) for n, p in ps.items()]).collect()}
     assert got.keys() == want.keys()
     for g in want:
         for n in ps:
             assert got[g][n] == want[g][n], (g, n)
-    glob = exact_percentiles(df, [], "v", ps, partitions=8).collect()[0]
+    glob = exact_percentiles(df, [], "v", ps).collect()[0]
     ref = df.agg(*[F.percentile(F.col("v").cast("double"), F.lit(p)).alias(n) for n, p in ps.items()]).collect()[0]
     assert all(glob[n] == ref[n] for n in ps)

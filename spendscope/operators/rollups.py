@@ -37,6 +37,11 @@ def _zero(c: str, zero) -> Column:
 def dashboard_cost(dashboards: DataFrame, qca: DataFrame) -> DataFrame:
     """H9: statements, cost, DBUs, average cost and last run per dashboard."""
     fact = _fact_by(qca, "dashboard_id", [F.avg("attributed_cost_usd").alias("__avg")])
+    return dashboard_table(dashboards, fact)
+
+
+def dashboard_table(dashboards: DataFrame, fact: DataFrame) -> DataFrame:
+    """The dashboard roll-up of the facts per dashboard: objects without any keep a zero row."""
     dim = dashboards.select(
         "dashboard_id", F.col("display_name").alias("dashboard_name"), "owner",
         F.col("warehouse_id").alias("configured_warehouse_id"),
@@ -58,6 +63,11 @@ def space_cost(spaces: DataFrame, qca: DataFrame) -> DataFrame:
         F.avg("attributed_cost_usd").alias("__avg"),
         F.countDistinct("executed_by").alias("unique_users"),
     ])
+    return space_table(spaces, fact)
+
+
+def space_table(spaces: DataFrame, fact: DataFrame) -> DataFrame:
+    """The space roll-up of the facts per space: objects without any keep a zero row."""
     dim = spaces.select(
         "space_id", F.col("title").alias("genie_space_title"),
         F.col("warehouse_id").alias("configured_warehouse_id"), "creator_id",
@@ -81,6 +91,11 @@ def warehouse_cost(warehouses: DataFrame, qca: DataFrame) -> DataFrame:
         F.countDistinct("dashboard_id").alias("dashboards_touched"),
         F.countDistinct("genie_space_id").alias("genie_spaces_touched"),
     ])
+    return warehouse_table(warehouses, fact)
+
+
+def warehouse_table(warehouses: DataFrame, fact: DataFrame) -> DataFrame:
+    """The warehouse roll-up of the facts per warehouse: objects without any keep a zero row."""
     dim = warehouses.select(
         F.col("id").alias("warehouse_id"), F.col("name").alias("warehouse_name"),
         "cluster_size", "warehouse_type", "enable_serverless_compute",

@@ -119,6 +119,12 @@ class CostHistory:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.root).where(F.col("increment") <= n)
 
+    def increment(self, n: int) -> DataFrame:
+        """The statements that increment ``n`` made final; reads its folder only."""
+        if not 1 <= n <= self.record()["increments"]:
+            raise ValueError(f"{self.root} has no increment {n}")
+        return self.spark.read.parquet(f"{self.root}/increment={n}")
+
     def open_statements(self) -> DataFrame:
         folders = [f"{self.root}/_open/{x}" for x in self.record()["open"]]
         return self.spark.read.schema(OPEN_SCHEMA).parquet(*folders) if folders else self.spark.createDataFrame([], OPEN_SCHEMA)

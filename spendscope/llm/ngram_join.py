@@ -8,17 +8,19 @@ between classes only.
 1. ``HASHES`` MinHash values per class; classes that agree on a whole band of
    ``ROWS`` values meet.  A pair at the threshold misses all bands with
    probability (1 - 0.8^5)^32 = 3e-6.
-2. Each class is linked to the first one it meets in a band, and the links
-   whose posterior of a similarity of ``NEIGHBOUR`` is below the tolerance
-   are dropped.  What stays connected is a neighbourhood: any pair above
-   the threshold is inside one.
-3. Neighbourhoods are compared whole, in blocks of about ``BLOCK`` classes
-   against each other, so no task holds more than two blocks.  MinHash
-   values are compared ``STEP`` at a time; a pair is dropped as soon as the
-   posterior probability (uniform prior, binomial agreement) that it
-   reaches the threshold is below ``TOLERANCE``.  The rest are verified
-   exactly on the gram sets.  A block hands on the number of links of each
-   class and a spanning forest of them, never the pairs.
+2. All that meet in a band are compared with each other, by the low bytes of
+   their MinHash values, ``STEP`` at a time; a pair is dropped as soon as the
+   posterior probability (uniform prior, binomial agreement) that it reaches
+   the threshold is below ``TOLERANCE``.  Bytes that agree by chance only keep
+   a pair longer.  A band with more than ``BLOCK`` classes is split into blocks
+   that are compared two by two.  A band hands on a spanning forest of the
+   pairs that are left, never the pairs, so every such pair is connected: the
+   parts that are connected hold all pairs that can reach the threshold.
+3. The connected parts are compared in blocks of about ``BLOCK`` classes
+   against each other, so no task holds more than two blocks: the same
+   incremental pruning on the whole MinHash values, then exactly on the gram
+   sets.  A block hands on the number of links of each class and a spanning
+   forest of them.
 
 Defined results: null text equals empty text; texts without a word are
 copies of each other; repeated rows are copies; ids may be null or repeat;
@@ -46,7 +48,6 @@ WORDS = 5
 THRESHOLD = 0.8
 ROWS, BANDS = 5, 32
 HASHES = ROWS * BANDS
-NEIGHBOUR = 0.6
 TOLERANCE = 1e-6
 STEP = 32
 BLOCK = 512
@@ -191,7 +192,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, words: int):
 
 
 def gram_classes(df: DataFrame, words: int) -> DataFrame:
-    """(id, md5, set_id, size, keys, sig) of every row."""
+    """(id, md5, set_id, size, keys, low) of every row; ``low`` has the low bytes of the MinHash values."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, part, grams, starts, ids in _sets(batches, 1, words):
@@ -202,24 +203,78 @@ def gram_classes(df: DataFrame, words: int) -> DataFrame:
                 [batch.column(0).slice(first, len(part)),
                  pa.array([hashlib.md5(t.encode()).hexdigest() for t in part]), pa.array(ids, pa.binary()), pa.array(size, pa.int64()),
                  pa.ListArray.from_arrays(np.arange(0, len(part) + 1, dtype=np.int32) * BANDS, keys.ravel()),
-                 pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "md5", "set_id", "size", "keys", "sig"])
+                 pa.array([s.tobytes() for s in sig.astype(np.uint8)], pa.binary())], names=["id", "md5", "set_id", "size", "keys", "low"])
 
     schema = T.StructType([T.StructField("id", df.schema["id"].dataType), *T._parse_datatype_string(
-        "md5 string, set_id binary, size long, keys array<long>, sig binary").fields])
+        "md5 string, set_id binary, size long, keys array<long>, low binary").fields])
     return df.select("id", "text").mapInArrow(rows, schema)
 
 
-def near_edges(edges: DataFrame, threshold: float) -> DataFrame:
-    """The edges (a, b, sig_a, sig_b) whose posterior of the threshold isn't below the tolerance."""
-    least = least_matches(HASHES, threshold, TOLERANCE)
+def band_forest(low: np.ndarray, first: np.ndarray | None, threshold: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of rows of ``low`` that the pruning leaves; with ``first``,
+    of the pairs between rows where it holds and rows where it doesn't."""
+    part, out, every = np.arange(len(low)), [], np.arange(len(low))
+    for x in range(len(low)) if first is None else np.flatnonzero(first):
+        others = every[x + 1:] if first is None else np.flatnonzero(~first)
+        others = others[part[others] != part[x]]
+        if not len(others):
+            continue
+        for y in others[survivors(low[x], low[others], threshold)]:
+            if part[y] != part[x]:
+                out.append((x, int(y)))
+                part[part == part[y]] = part[x]
+    return out
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= least))
 
-    return edges.select("a", "b", "sig_a", "sig_b").mapInArrow(near, "a long, b long")
+def met_edges(met: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b): per band a spanning forest of the pairs that may reach the threshold.  ``met`` has
+    (key, n, node, low): bands with the number of their classes."""
+    dealt = met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")) \
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))) \
+        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "low") \
+        .repartition(shuffle_partitions(met.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def whole_groups(batches: Iterator[pa.RecordBatch]):
+        """(key, i, j, block, node, low) arrays that end with the end of a group."""
+        held: list[tuple] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = [batch.column(k).to_numpy() for k in range(5)]
+            low = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, HASHES)
+            now = (*numbers, low)
+            if held:
+                now = tuple(np.concatenate([a, b]) for a, b in zip(held.pop(), now))
+            new = np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0) | (np.diff(now[2]) != 0)) + 1
+            if len(new):
+                yield [0, *new], tuple(x[:new[-1]] for x in now)
+                held.append(tuple(x[new[-1]:] for x in now))
+            else:
+                held.append(now)
+        if held:
+            yield [0, len(held[0][0])], held[0]
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        need = least_matches_table(threshold)[-1]
+        for starts, (_, i, j, inside, node, low) in whole_groups(batches):
+            starts = np.array(starts)
+            size = np.diff(starts)
+            # most bands have two classes: these are compared at once
+            at = starts[:-1][(size == 2) & ((i == j)[starts[:-1]] | (inside[starts[:-1]] != inside[np.minimum(starts[:-1] + 1, len(i) - 1)]))]
+            near = at[(low[at] == low[at + 1]).sum(axis=1) >= need] if len(at) else at
+            a, b = [node[near]], [node[near + 1]]
+            for s, n in zip(starts[:-1][size > 2], size[size > 2]):
+                own = slice(s, s + n)
+                found = band_forest(low[own], None if i[s] == j[s] else inside[own] == i[s], threshold)
+                if found:
+                    x, y = np.array(found).T
+                    a.append(node[own][x])
+                    b.append(node[own][y])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return dealt.mapInArrow(edges, "a long, b long").distinct()
 
 
 def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -235,15 +290,15 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = scratch.table(rows.groupBy("set_id").agg(F.min(first).alias("f"), F.count("*").alias("copies"))
                             .select("set_id", F.col("f.id").alias("class_id"), F.col("f.row").alias("node"), "copies"), "classes")
     heads = scratch.table(rows.where("size > 0").join(classes.select("node").hint("merge"), F.col("row") == F.col("node"))
-                          .select("node", "keys", "sig"), "heads")
+                          .select("node", "keys", "low"), "heads")
 
-    # classes that share a band meet its first one
+    # the bands that a class shares, at most BANDS, then its bytes go to each of them
     met = heads.select("node", F.explode("keys").alias("key"))
-    hubs = met.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    stars = met.join(hubs.hint("merge"), "key").where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    signed = stars.join(heads.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")).hint("merge"), "a") \
-        .join(heads.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")).hint("merge"), "b")
-    near = scratch.table(near_edges(signed, min(NEIGHBOUR, threshold)), "near")
+    shared = met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    bands = met.join(shared.hint("merge"), "key").groupBy("node").agg(F.collect_list(F.struct("key", "n")).alias("bands"))
+    met = heads.select("node", "low").join(bands.hint("merge"), "node").select("node", "low", F.explode("bands").alias("b")) \
+        .select("b.key", "b.n", "node", "low")
+    near = scratch.table(met_edges(met, threshold, BLOCK), "near")
     around = connected_components(near, scratch)
     sizes = around.groupBy("component").agg(F.count("*").alias("n"))
     members = around.join(sizes, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")) \

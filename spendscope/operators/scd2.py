@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -235,8 +236,9 @@ class HistoryStore:
         schema = StructType.fromJson(json.loads(st["schema"]))
         closed = self._read_parts(st).where(F.col(END).isNotNull())
         folder = os.path.join(self.root, f"compact-v{int(st['version'])}-{uuid.uuid4().hex[:8]}")
-        closed.select(*schema.fieldNames()).withColumn("__state", F.lit("closed")).write.partitionBy("__state").parquet(
-            folder)
+        # clustered by interval: an as-of read skips the row groups that ended before
+        closed = closed.select(*schema.fieldNames()).repartitionByRange(F.col(END), F.col(START)).sortWithinPartitions(END, START)
+        closed.withColumn("__state", F.lit("closed")).write.partitionBy("__state").parquet(folder)
         latest = st["folders"][-1]
         # the latest folder's open part stays current; its closed part is now in the compacted folder
         self._write_state({**st, "folders": [folder, latest], "skip_closed": [latest]})
@@ -251,6 +253,17 @@ class HistoryStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*existing)
 
+    def as_of(self, version: int) -> DataFrame | None:
+        """The rows valid at ``version``.  A folder's closed rows all ended at the version that
+        wrote it, so those of versions up to ``version`` are not opened; in a compacted folder
+        the filter on the end reaches the scan."""
+        st = self.state()
+        if st is None:
+            return None
+        skip = set(st.get("skip_closed", []))
+        skip |= {f for f in st["folders"] if (m := re.match(r"v(\d+)-", os.path.basename(f))) and int(m[1]) <= version}
+        return as_of(self._read_parts({**st, "skip_closed": sorted(skip)}), version)
+
     def read(self) -> DataFrame | None:
         st = self.state()
         return None if st is None else self._read_parts(st)

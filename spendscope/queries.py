@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscope import fixtures as fx
-from spendscope import oracle
+from spendscope import oracle, schemas, tables
 from spendscope.functions import normalize as N
 from spendscope.functions.normalize import owner_from_path
 from spendscope.operators import cost, metrics, prices, quality, rollup_states, rollups, scd2, usage
 from spendscope.plans.joins import materialize
 from spendscope.sources import landing, normalize, system_tables
 from spendscope.session import prepare
-from spendscope.streaming import incremental
+from spendscope.streaming import incremental, snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -955,8 +955,9 @@ def q_snapshot_ids(spark, sf_dir):
 select 'd' || cast(c_custkey as varchar) as object_id, 'ok' as status from customer
 where 'd' || cast(c_custkey as varchar) in ('d1', 'd2', 'd10', 'd999')""")
 def q_snapshot_source_by_ids(spark, sf_dir):
-    """A5: explicit id list (pushed into the reader)."""
-    return landing.select_ids(_landing(spark, sf_dir), " d1, d2 ,, d10,d999 ").select("object_id", "status")
+    """A5: explicit id list, applied inside the reader."""
+    path = landing_path(spark, sf_dir)
+    return landing.read_landing(spark, path, parallelism=4, ids=" d1, d2 ,, d10,d999 ").select("object_id", "status")
 
 
 def _landing_jsonl(spark, sf_dir):
@@ -984,10 +985,133 @@ def q_snapshot_source_jsonl(spark, sf_dir):
     return _landing_jsonl(spark, sf_dir).select("object_id", "status")
 
 
-@register("snapshot_fetch_outcomes", "select 'ok' as status, count(*) as objects from customer")
+def _status_sql(kind: str) -> str:
+    """Expected status of an object at version 2, by its number k."""
+    return "case when k % 13 = 5 then 'invalid' when k % 10 = 2 then 'missing' else 'ok' end"
+
+
+_O_NUMBERS = {"dashboard": ("d", "c_custkey", "customer"), "space": ("g", "p_partkey", "part"), "warehouse": ("w", "s_suppkey", "supplier")}
+
+
+def _landed_inventory(spark, sf_dir, kind, version=2):
+    """An inventory snapshot landed as parquet once per session, scanned by the data source."""
+    landed, key = _landed(spark), (sf_dir, kind, version)
+    if key not in landed:
+        landed[key] = _history_folder(spark, f"landing-{kind}")
+        fx.inventory_snapshot(spark, sf_dir, kind, version).repartition(4).write.parquet(landed[key])
+    return landing.read_landing(spark, landed[key], parallelism=4, output_batch_size=128)
+
+
+@register("snapshot_fetch_outcomes", " union all ".join(
+    f"select '{kind}' as kind, status, count(*) as objects from (select {_status_sql(kind)} as status from (select {n} as k from {t})) group by status"
+    for kind, (_, n, t) in _O_NUMBERS.items()))
 def q_snapshot_fetch_outcomes(spark, sf_dir):
-    """Objects per fetch outcome."""
-    return normalize.fetch_outcomes(_landing(spark, sf_dir))
+    """Objects per fetch outcome (ok, missing, invalid) of the three landed inventories."""
+    out = None
+    for kind in _O_NUMBERS:
+        rows = normalize.fetch_outcomes(_landed_inventory(spark, sf_dir, kind)).select(F.lit(kind).alias("kind"), "status", "objects")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("space_source_scan", f"select 'g' || cast(k as varchar) as object_id, {_status_sql('space')} as status from (select p_partkey as k from part)")
+def q_space_source_scan(spark, sf_dir):
+    """A2: scan of the landed spaces with their fetch status."""
+    return _landed_inventory(spark, sf_dir, "space").select("object_id", "status")
+
+
+@register("warehouse_source_scan", f"select 'w' || cast(k as varchar) as object_id, {_status_sql('warehouse')} as status from (select s_suppkey as k from supplier)")
+def q_warehouse_source_scan(spark, sf_dir):
+    """A3: scan of the landed warehouses with their fetch status."""
+    return _landed_inventory(spark, sf_dir, "warehouse").select("object_id", "status")
+
+
+# Expected histories: at version 2 a failed object keeps what it was at version 1.
+_VALUE_SQL = {
+    "dashboard": "case when k % 7 = eff then 'v' || eff || '-' else '' end || cast(k * 7 as varchar)",
+    "space": "case when k % 7 = eff then 'v' || eff || ' ' else '' end || name",
+    "warehouse": "case when k % 7 = eff then 'V' || eff || '_' else '' end || case when k % 2 = 0 then 'RUNNING' else 'STOPPED' end",
+}
+_NAME_SQL = {"dashboard": "c_name", "space": "p_name", "warehouse": "s_name"}
+_VALUE_COLUMN = {"dashboard": "etag", "space": "title", "warehouse": "state"}
+
+
+def _inventory_sql(body: str) -> str:
+    seen = " union all ".join(
+        f"""select '{kind}' as kind, '{p}' || cast(k as varchar) as object_id, ver, {_VALUE_SQL[kind]} as val
+  from (select {n} as k, {_NAME_SQL[kind]} as name, ver, case when {n} % 13 = 5 and ver = 2 then 1 else ver end as eff
+        from {t}, (values (1), (2), (3)) v(ver)) where k % 10 <> eff"""
+        for kind, (p, n, t) in _O_NUMBERS.items())
+    return f"""with seen as ({seen}),
+flagged as (
+  select *, case when lag(ver) over w = ver - 1 and lag(val) over w = val then 0 else 1 end as is_new
+  from seen window w as (partition by kind, object_id order by ver)),
+runs as (select *, sum(is_new) over (partition by kind, object_id order by ver) as run from flagged),
+inventory_history as (
+  select kind, object_id, val as tracked_value, cast(min(ver) as bigint) as __START_AT,
+    cast(case when max(ver) < 3 then max(ver) + 1 end as bigint) as __END_AT
+  from runs group by kind, object_id, run, val)
+{body}"""
+
+
+def _streamed_inventory(spark, sf_dir):
+    """The three inventories' snapshots, landed and streamed in two goes over one checkpoint; once per session."""
+    landed, key = _landed(spark), (sf_dir, "inventory")
+    if key not in landed:
+        root = _history_folder(spark, "inventory")
+        for versions in ((1, 2), (3,)):
+            for version in versions:
+                for kind in schemas.KEYS:
+                    schedules = fx.raw_schedule_objects(spark, sf_dir) if kind == "dashboard" else None
+                    snapshots.land(spark, f"{root}/landed", kind, version, fx.inventory_snapshot(spark, sf_dir, kind, version), schedules)
+            snapshots.run_stream(spark, f"{root}/landed", f"{root}/store", f"{root}/stream").awaitTermination()
+        landed[key] = root
+    return {kind: snapshots.history(spark, f"{landed[key]}/store", kind) for kind in schemas.KEYS}
+
+
+def _inventory_rows(frames, columns):
+    out = None
+    for kind, df in frames.items():
+        df = df.select(F.lit(kind).alias("kind"), F.col(schemas.KEYS[kind][0]).alias("object_id"),
+                       F.col(_VALUE_COLUMN[kind]).alias("tracked_value"), *columns)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("inventory_histories", _inventory_sql("select * from inventory_history"))
+def q_inventory_histories(spark, sf_dir):
+    """Landed snapshots of dashboards (with schedules), spaces and warehouses
+    are streamed by their completion markers, normalized, and applied to histories with the
+    declared schemas and the real tracked columns, with a restart of the stream between."""
+    frames = {kind: store.read() for kind, store in _streamed_inventory(spark, sf_dir).items()}
+    return _inventory_rows(frames, ["__START_AT", "__END_AT"])
+
+
+@register("inventory_current", _inventory_sql("select kind, object_id, tracked_value from inventory_history where __END_AT is null"))
+def q_inventory_current(spark, sf_dir):
+    """C4: the current views of the three streamed histories."""
+    return _inventory_rows({kind: scd2.current(store.read_open()) for kind, store in _streamed_inventory(spark, sf_dir).items()}, [])
+
+
+@register("inventory_as_of", _inventory_sql("""select kind, object_id, tracked_value from inventory_history
+where __START_AT <= 2 and (__END_AT is null or __END_AT > 2)"""))
+def q_inventory_as_of(spark, sf_dir):
+    """The three inventories as they were at version 2, from the stored histories' folders that overlap it."""
+    return _inventory_rows({kind: store.as_of(2) for kind, store in _streamed_inventory(spark, sf_dir).items()}, [])
+
+
+@register("tables_by_name", ORACLE["space_cost"])
+def q_tables_by_name(spark, sf_dir):
+    """The cost tables are written to versioned folders, the space roll-up is read back by its name."""
+    system = tables.SystemTables(query_history=fx.query_history(spark, sf_dir), usage=fx.usage(spark, sf_dir), audit=fx.audit(spark, sf_dir),
+                                 account_prices=fx.account_prices(spark, sf_dir), list_prices=fx.list_prices(spark, sf_dir))
+    made = tables.cost_tables(system, _dashboards(spark, sf_dir), fx.space_current(spark, sf_dir), fx.warehouse_current(spark, sf_dir),
+                              fx.AS_OF, fx.WINDOW_DAYS)
+    target = _history_folder(spark, "tables")
+    tables.write_tables(made, target)
+    out = tables.read_table(spark, target, "space_cost")
+    return out.select("space_id", "genie_space_title", "configured_warehouse_id", "creator_id", "statements", r4("cost_usd"), r4("dbus"),
+                      r4("avg_cost_per_statement_usd"), "unique_users", "last_statement_at")
 
 
 # ------------------------------------------------------------------ K1

@@ -10,8 +10,6 @@ from pyspark.sql import SparkSession
 # end; ``date_trunc`` goes through the session zone, so it must be UTC.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    # the landing source pushes ``object_id IN (...)`` into its reader
-    "spark.sql.python.filterPushdown.enabled": "true",
     # a repeated key in a JSON object: the last value counts
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.variant.allowDuplicateKeys": "true",

@@ -4,14 +4,16 @@ A fetcher (outside this library) lands one record per object —
 ``(object_id, raw_json, status)`` — as parquet files in a folder.  The
 source scans that folder for a snapshot:
 
-* partition planning (A6): the files are split into ``parallelism``
-  contiguous chunks (``min(parallelism, files)``, chunk = ceil(n/p));
-  an empty folder gives one empty partition;
+* partition planning (A6): whole files, or for a file larger than a fair share
+  its row groups, are dealt to ``parallelism`` partitions, largest first, each to
+  the partition with the fewest bytes; an empty folder gives one empty partition;
 * batched columnar output (A7): each partition yields ``pyarrow``
   record batches of ``output_batch_size`` rows, read column-pruned;
-* explicit ids (A5): option ``ids`` (comma separated, trimmed, blanks
-  dropped) or a pushed-down ``object_id IN (...)`` / ``=`` filter is
-  applied inside the reader, per batch;
+* explicit ids (A5): option ``ids`` (comma separated, trimmed, blanks dropped) is
+  applied inside the reader: row groups whose ``object_id`` statistics hold none
+  of them are skipped, the rest filtered batch by batch.  Filters of a query are
+  not pushed into the reader: Spark keeps a pushed filter with the relation, and a
+  second query over the same DataFrame would see it too;
 * a missing folder is an error, never an empty snapshot.
 
 Listing and de-duplication (A4) are DataFrame operations
@@ -25,15 +27,18 @@ a JSON-lines folder is :func:`read_jsonl_native`.
 
 from __future__ import annotations
 
+import heapq
 import math
 import weakref
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+MIN_SPLIT_BYTES = 8 * 1024 * 1024  # smaller files are never split
+
 SOURCE_NAME = "spendscope_landing"
 LANDING_SCHEMA = StructType([
     StructField("object_id", StringType(), False),
@@ -59,6 +64,33 @@ def plan_chunks(items: list, parallelism: int) -> list[list]:
     return [items[i:i + size] for i in range(0, len(items), size)]
 
 
+def plan_splits(pieces: list[tuple[str, list[int] | None, int]], parallelism: int) -> list[list[tuple[str, list[int] | None]]]:
+    """Pieces (file, row groups or None for all, bytes) in at most ``parallelism`` lists of
+    about equal bytes: the largest first, each to the list with the fewest."""
+    n = max(1, min(int(parallelism), len(pieces)))
+    bins: list[list] = [[] for _ in range(n)]
+    heap = [(0, i) for i in range(n)]
+    for path, groups, size in sorted(pieces, key=lambda p: (-p[2], p[0], p[1] or [])):
+        held, i = heapq.heappop(heap)
+        bins[i].append((path, groups))
+        heapq.heappush(heap, (held + size, i))
+    return bins
+
+
+def row_groups(metadata, ids: list[str] | None, groups: list[int] | None = None) -> list[int]:
+    """The row groups (of ``groups``) that may hold one of the ids, by their statistics."""
+    found = list(range(metadata.num_row_groups)) if groups is None else groups
+    if ids is None:
+        return found
+    column = next(i for i in range(metadata.num_columns) if metadata.schema.column(i).path == "object_id")
+
+    def may_hold(g: int) -> bool:
+        s = metadata.row_group(g).column(column).statistics
+        return s is None or not s.has_min_max or any(s.min <= i <= s.max for i in ids)
+
+    return [g for g in found if may_hold(g)]
+
+
 # Hadoop URI schemes → the scheme pyarrow's file systems understand.
 _ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
 
@@ -81,9 +113,9 @@ def _open(path: str):
 
 
 class FileChunk(InputPartition):
-    def __init__(self, files: list[str]):
-        super().__init__(files)
-        self.files = files
+    def __init__(self, pieces: list[tuple[str, list[int] | None]]):
+        super().__init__(pieces)
+        self.pieces = pieces
 
 
 class LandingReader(DataSourceReader):
@@ -92,21 +124,9 @@ class LandingReader(DataSourceReader):
         self.parallelism = int(options.get("parallelism", "8"))
         self.batch_size = max(1, int(options.get("output_batch_size", "128")))
         self.ids = parse_ids(options.get("ids"))
+        self.min_split = int(options.get("min_split_bytes", str(MIN_SPLIT_BYTES)))
 
-    def pushFilters(self, filters):
-        """Take ``object_id IN (...)`` / ``object_id = x``; the rest stays with Spark."""
-        for f in filters:
-            if isinstance(f, In) and f.attribute == ("object_id",):
-                wanted = [str(v) for v in f.value]
-            elif isinstance(f, EqualTo) and f.attribute == ("object_id",):
-                wanted = [str(f.value)]
-            else:
-                yield f
-                continue
-            keep = set(wanted)
-            self.ids = wanted if self.ids is None else [i for i in self.ids if i in keep]
-
-    def _files(self) -> list[str]:
+    def _files(self) -> list[tuple[str, int]]:
         from pyarrow import fs
 
         path = self.path
@@ -121,14 +141,25 @@ class LandingReader(DataSourceReader):
         # a missing folder is an error: it must not pass for an empty snapshot
         infos = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
         files = sorted(
-            i.path for i in infos
+            (i.path, i.size) for i in infos
             if i.type == fs.FileType.File and i.path.endswith(".parquet")
             and "/_" not in i.path[len(root):] and "/." not in i.path[len(root):]
         )
-        return [prefix + f if prefix and not f.startswith(prefix) else f for f in files]
+        return [(prefix + f if prefix and not f.startswith(prefix) else f, size) for f, size in files]
 
     def partitions(self):
-        return [FileChunk(chunk) for chunk in plan_chunks(self._files(), self.parallelism)]
+        import pyarrow.parquet as pq
+
+        files = self._files()
+        share = sum(size for _, size in files) / max(1, self.parallelism)
+        pieces: list[tuple[str, list[int] | None, int]] = []
+        for path, size in files:
+            if size <= max(share, self.min_split):
+                pieces.append((path, None, size))
+            else:  # only files larger than a fair share have their footers read here
+                meta = pq.ParquetFile(_open(path)).metadata
+                pieces += [(path, [g], meta.row_group(g).total_byte_size) for g in row_groups(meta, self.ids)]
+        return [FileChunk(chunk) for chunk in plan_splits(pieces, self.parallelism)]
 
     def read(self, partition: FileChunk) -> Iterator:
         import pyarrow as pa
@@ -136,10 +167,10 @@ class LandingReader(DataSourceReader):
         import pyarrow.parquet as pq
 
         wanted = pa.array(self.ids, pa.string()) if self.ids is not None else None
-        for path in partition.files:
-            batches = pq.ParquetFile(_open(path)).iter_batches(
-                batch_size=self.batch_size, columns=["object_id", "raw_json", "status"])
-            for batch in batches:
+        for path, groups in partition.pieces:
+            file = pq.ParquetFile(_open(path))
+            groups = row_groups(file.metadata, self.ids, groups)
+            for batch in file.iter_batches(batch_size=self.batch_size, row_groups=groups, columns=["object_id", "raw_json", "status"]):
                 if wanted is not None:
                     batch = batch.filter(pc.is_in(batch.column(0), value_set=wanted))
                 if batch.num_rows:
@@ -214,6 +245,6 @@ def read_jsonl_native(spark: SparkSession, path: str, id_field: str = "id") -> D
 
 
 def select_ids(landing: DataFrame, ids: str) -> DataFrame:
-    """A5: keep only the listed ids (comma separated); pushed into the scan."""
+    """A5: keep only the listed ids (comma separated) of any landing; ``read_landing(ids=...)`` skips the others at the scan."""
     wanted = parse_ids(ids) or []
     return landing.where(F.col("object_id").isin(wanted))

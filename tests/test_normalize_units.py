@@ -230,3 +230,28 @@ def test_schedules_in_the_shape_of_the_api(spark):
     nested = given.select("dashboard_id", "schedule_id", "display_name", F.struct("cron_schedule.quartz_cron_expression", "cron_schedule.timezone_id").alias("cron_schedule"))
     flat = given.select("dashboard_id", "schedule_id", "display_name", "cron_schedule.quartz_cron_expression", "cron_schedule.timezone_id")
     assert sorted(map(str, normalize.schedule_summary(nested).collect())) == sorted(map(str, normalize.schedule_summary(flat).collect()))
+
+
+def test_landing_splits_large_files_and_skips_row_groups(spark, tmp_path):
+    """One file becomes as many balanced tasks as asked; explicit ids read only the row groups
+    that may hold them; a landing that was filtered once still gives all its rows."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from spendscope.sources import landing
+
+    n = 4000
+    table = pa.table({"object_id": [f"k{i:05d}" for i in range(n)], "raw_json": ["{" + "x" * 100 + str(i) + "}" for i in range(n)], "status": ["ok"] * n})
+    (tmp_path / "landed").mkdir()
+    pq.write_table(table, str(tmp_path / "landed" / "one.parquet"), row_group_size=100)
+    options = {"path": str(tmp_path / "landed"), "parallelism": "8", "min_split_bytes": "1000"}
+    chunks = landing.LandingReader(options).partitions()
+    assert len(chunks) == 8 and {len(c.pieces) for c in chunks} == {5}
+    some = landing.LandingReader(options | {"ids": "k00007, k03999,absent"})
+    assert sorted(g for c in some.partitions() for _, g in c.pieces) == [[0], [39]]
+    assert sum(b.num_rows for c in some.partitions() for b in some.read(c)) == 2
+    assert landing.plan_splits([], 4) == [[]]
+    assert [[p for p, _ in b] for b in landing.plan_splits([("a", None, 9), ("b", None, 5), ("c", None, 4), ("d", None, 1)], 2)] == [["a", "d"], ["b", "c"]]
+    landed = landing.read_landing(spark, options["path"])
+    assert landed.where("object_id = 'k00001'").count() == 1 and landed.where("object_id = ''").isEmpty()
+    assert landed.count() == n and landing.read_landing(spark, options["path"], ids="k00001").count() == 1

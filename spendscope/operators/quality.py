@@ -3,10 +3,11 @@ DataFrame (one row, or a top-k list) computed in one pass where possible."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spendscope.functions.time import hour_floor
+from spendscope.operators import rollups
 from spendscope.operators.cost import HOUR_KEY
 
 
@@ -98,3 +99,44 @@ def check_unbilled(qca: DataFrame) -> DataFrame:
         F.coalesce(F.col("unbilled_statements"), F.lit(0).cast("bigint")).alias("unbilled_statements"),
         F.try_divide(F.lit(100.0) * F.col("unbilled_statements"), F.col("__n")).alias("unbilled_pct"),
     )
+
+
+def write_checked(qca: DataFrame, hourly_undiscounted: DataFrame, dashboards: DataFrame, spaces: DataFrame, path: str) -> DataFrame:
+    """J1-J8 in one evaluation: the cost table is written to ``path``, and what it takes over all
+    statements (counts, bad and unbilled rows, the total) is observed while it is written; the
+    checks by hour, object and source read the written table.  ``hourly_undiscounted`` should be
+    a written table.  One row per check and item: (check_name, item, value)."""
+    cost = F.col("attributed_cost_usd")
+    seen = Observation("cost_checks")
+    qca.observe(
+        seen, F.count(F.lit(1)).alias("statements"), F.count_if((cost < 0) | cost.isNull()).alias("bad"),
+        F.count_if((cost == 0) | cost.isNull()).alias("unbilled"), F.sum(cost).alias("total"),
+    ).write.parquet(path)
+    found = seen.get
+    written = qca.sparkSession.read.parquet(path)
+    billed = hourly_undiscounted.agg(F.sum("list_cost_usd").alias("raw"))
+    scalars = billed.select(F.explode(F.array(*[
+        F.struct(F.lit(check).alias("check_name"), F.lit(item).alias("item"), value.cast("double").alias("value"))
+        for check, item, value in (
+            ("rowcount", "statements_attributed", F.lit(found["statements"])),
+            ("variance", "mv_total_usd", F.lit(found["total"])),
+            ("variance", "raw_total_usd", F.col("raw")),
+            ("variance", "variance_pct", F.try_divide(F.abs(F.lit(found["total"]) - F.col("raw")), F.col("raw"))),
+            ("bad_cost", "bad_rows", F.lit(found["bad"])),
+            ("unbilled", "unbilled_statements", F.lit(found["unbilled"])),
+            ("unbilled", "unbilled_pct", F.try_divide(F.lit(100.0 * found["unbilled"]), F.lit(found["statements"]))),
+        )])).alias("r")).select("r.*")
+
+    def rows(df: DataFrame, check: str, item, value) -> DataFrame:
+        return df.select(F.lit(check).alias("check_name"), item.alias("item"), value.cast("double").alias("value"))
+
+    by_source = rollups.cost_by_source_type(written)
+    parts = [
+        rows(check_hour_overattributed(written, hourly_undiscounted), "hour_overattributed", F.lit("hours_overattributed"), F.col("hours_overattributed")),
+        rows(top_dashboards(rollups.dashboard_cost(dashboards, written)), "top_dashboards", F.col("dashboard_name"), F.col("cost_usd")),
+        rows(top_spaces(rollups.space_cost(spaces, written)), "top_spaces", F.col("genie_space_title"), F.col("cost_usd")),
+        rows(by_source, "coverage", F.col("source_type"), F.col("pct_of_total")),
+    ]
+    for p in parts:
+        scalars = scalars.unionByName(p)
+    return scalars

@@ -80,11 +80,16 @@ def _shw(spark, sf_dir):
     return cost.statement_hour_work(cost.statement_hours(stmts))
 
 
+def _written_hourly(spark, sf_dir):
+    """The undiscounted bill, written: the attribution and the check share it."""
+    return materialize(_hourly(spark, sf_dir), "hourly_bill")
+
+
 def cost_attribution(spark: SparkSession, sf_dir: str, discount_pct: float = 0.0,
-                     window_days: int = fx.WINDOW_DAYS) -> DataFrame:
+                     window_days: int = fx.WINDOW_DAYS, hourly: DataFrame | None = None) -> DataFrame:
     return cost.query_cost_attribution(
         fx.query_history(spark, sf_dir), fx.usage(spark, sf_dir), _prices(spark, sf_dir),
-        fx.AS_OF, window_days, discount_pct,
+        fx.AS_OF, window_days, discount_pct, hourly=hourly,
     )
 
 
@@ -363,7 +368,8 @@ select {on('mv', 4, 'mv_total_usd')}, {on('billed', 4, 'raw_total_usd')},
 from sums"""))
 def q_check_variance(spark, sf_dir):
     """Attributed vs raw billed total and their relative gap."""
-    out = quality.check_variance(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
+    hourly = _written_hourly(spark, sf_dir)
+    out = quality.check_variance(cost_attribution(spark, sf_dir, hourly=hourly), hourly)
     return out.select(r4("mv_total_usd"), r4("raw_total_usd"), rn("variance_pct", 6))
 
 
@@ -382,7 +388,8 @@ from bill_by_hour join spent on ws = workspace_id and wh = warehouse_id and h =
 where usd > list_cost_usd * 1.01  -- fixed value: the rule of the check"""))
 def q_check_hour_overattributed(spark, sf_dir):
     """Hours whose start-hour-booked attribution exceeds the bill by > 1 %."""
-    return quality.check_hour_overattributed(cost_attribution(spark, sf_dir), _hourly(spark, sf_dir))
+    hourly = _written_hourly(spark, sf_dir)
+    return quality.check_hour_overattributed(cost_attribution(spark, sf_dir, hourly=hourly), hourly)
 
 
 @register("check_hour_overattributed_exact", oracle.build(["stmt_hour_cost", "bill_by_hour"], """
@@ -394,7 +401,7 @@ where usd > list_cost_usd * 1.01  -- fixed value: the rule of the check"""))
 def q_check_hour_overattributed_exact(spark, sf_dir):
     """J4 exact (R9): per-hour split compared hour by hour (0 expected)."""
     shw = _shw(spark, sf_dir)
-    hourly = _hourly(spark, sf_dir)
+    hourly = _written_hourly(spark, sf_dir)
     att = cost.attribute_hours(shw, cost.hour_rates(cost.hour_totals(shw), hourly))
     return quality.check_hour_overattributed_exact(att, hourly)
 
@@ -428,6 +435,40 @@ def q_check_unbilled(spark, sf_dir):
     return quality.check_unbilled(cost_attribution(spark, sf_dir)).select("unbilled_statements", rn("unbilled_pct", 2))
 
 
+def _all_checks_sql() -> str:
+    """The eight checks' own queries, one row per item."""
+    ordered = "(select * from ({}) q)"
+    parts = [
+        "select 'rowcount' as check_name, 'statements_attributed' as item, cast(count(*) as double) as value from stmt_cost",
+        "select 'variance', 'mv_total_usd', sum(attributed_cost_usd) from stmt_cost",
+        "select 'variance', 'raw_total_usd', sum(list_cost_usd) from bill_by_hour",
+        "select 'variance', 'variance_pct', abs(mv - billed) / nullif(billed, 0) from (select (select sum(attributed_cost_usd) from stmt_cost) as mv, (select sum(list_cost_usd) from bill_by_hour) as billed)",
+        "select 'bad_cost', 'bad_rows', count(*) from stmt_cost where attributed_cost_usd < 0 or attributed_cost_usd is null",
+        "select 'unbilled', 'unbilled_statements', count(*) from stmt_cost where coalesce(attributed_cost_usd, 0) = 0",
+        "select 'unbilled', 'unbilled_pct', avg((coalesce(attributed_cost_usd, 0) = 0)::int) * 100 from stmt_cost",
+        "select 'hour_overattributed', 'hours_overattributed', count(*) from bill_by_hour join (select workspace_id as ws, warehouse_id as wh, "
+        "date_trunc('hour', start_time) as h, sum(attributed_cost_usd) as usd from stmt_cost group by all) on ws = workspace_id and wh = warehouse_id "
+        "and h = hour_start where usd > list_cost_usd * 1.01",
+        ordered.format("select 'top_dashboards', display_name, usd from (select dashboard_id as k, sum(attributed_cost_usd) as usd from stmt_cost "
+                       "group by 1) join fx_dashboard_current on k = dashboard_id where usd > 0 order by usd desc, k limit 10"),
+        ordered.format("select 'top_spaces', title, usd from (select genie_space_id as k, sum(attributed_cost_usd) as usd from stmt_cost "
+                       "group by 1) join fx_space_current on k = space_id where usd > 0 order by usd desc, k limit 10"),
+        f"select 'coverage', source_type, sum(usd) * 100.0 / any_value(all_usd) from (select {_SOURCE_LABEL} as source_type, attributed_cost_usd as usd, "
+        "sum(attributed_cost_usd) over () as all_usd from stmt_cost) group by source_type",
+    ]
+    return f"select check_name, item, {on('value', 2)} from (" + "\nunion all\n".join(parts) + ") a"
+
+
+@register("checks_all", oracle.build(["stmt_cost", "bill_by_hour", "fx_dashboard_current", "fx_space_current"], _all_checks_sql()))
+def q_checks_all(spark, sf_dir):
+    """J1-J8 in one evaluation of the cost chain: observed while the cost table is written, the
+    rest read from it; the bill is computed once."""
+    hourly = _written_hourly(spark, sf_dir)
+    out = quality.write_checked(cost_attribution(spark, sf_dir, hourly=hourly), hourly, _dashboards(spark, sf_dir),
+                                fx.space_current(spark, sf_dir), _history_folder(spark, "checked-costs"))
+    return out.select("check_name", "item", rn("value", 2))
+
+
 # ------------------------------------------------------------------ C1-C6
 SNAP_KEYS = ["object_id"]
 SNAP_TRACKED = ["segment", "balance"]

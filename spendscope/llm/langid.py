@@ -16,7 +16,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,7 @@ from spendscope.llm.text import chunks, code_points, is_letter, which
 
 DIMENSIONS = 4096
 PER_LANGUAGE = 800  # most labelled texts of a language that are learned from
+LEAST_SCORE = 0.5  # below, the best language has lost to another one
 MAX_MACHINES = 5000  # of 16 KB each, broadcast
 STEPS = 200
 RIDGE = 1e-4
@@ -230,7 +231,11 @@ def identify(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col
 
 
 def of_known_language(df: DataFrame, trained_on: Column, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of ``df``, with its own columns, whose language can be told."""
-    return _predicted(df, trained_on, id_col, text_col, lang_col, df.columns, per_language) \
-        .where(F.col("lang_pred") != UNDETERMINED).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+                      lang_col: str = "lang", per_language: int = PER_LANGUAGE, languages: Sequence[str] | None = None,
+                      least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``df``, with its own columns, whose predicted language is one of ``languages``
+    (without them: any learned one) and is told with ``least_score``: a text that no machine
+    tells, or whose best language loses to another one, is rejected."""
+    found = _predicted(df, trained_on, id_col, text_col, lang_col, df.columns, per_language)
+    wanted = F.col("lang_pred") != UNDETERMINED if languages is None else F.col("lang_pred").isin(*languages)
+    return found.where(wanted & (F.col("score") >= least_score)).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -6,6 +6,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,9 +131,9 @@ def test_packing_words_with_number_signs():
     words = packing.WordIds(tokenizer_path())
     signs = [chr(c) for c in range(33, 256) if not chr(c).isspace()]
     texts = ["m²", "km²", "cm³.", "x¹", "½", "1½x!", *[f"ab{c}" for c in signs], *[f"{c}Cd." for c in signs], *[f"É{c}ß," for c in signs]]
-    start, length, pool = words.of(texts)
-    for t, a, n in zip(texts, start, length):
-        assert pool[a:a + n].tolist() == words.whole(t), t
+    for t, entries in zip(texts, words.of(pa.array(texts))):
+        ids = [i for k in entries for i in words.pool[words.starts[k]:words.starts[k] + words.lens[k]]]
+        assert ids == words.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
 def test_url_filter_trie_and_join_agree(spark):
@@ -284,6 +285,10 @@ def test_language_id(spark, nothing):
     assert sum(got[i]["lang_pred"] == data[i][2] for i in range(180)) >= 175
     kept = langid.of_known_language(df, F.lit(True))
     assert kept.columns == df.columns and kept.count() == 180
+    some = langid.of_known_language(df, F.lit(True), languages=["de", "fr"])
+    assert {r["lang"] for r in some.collect()} == {"de", "fr"} and some.count() == 120
+    sure = sorted(r["score"] for r in got.values())
+    assert langid.of_known_language(df, F.col("doc_id") % 4 != 2, least_score=sure[90]).count() == sum(x >= sure[90] for x in sure)
     assert langid.identify(nothing, F.lit(True)).count() == 0
 
 

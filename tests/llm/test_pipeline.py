@@ -25,3 +25,23 @@ def test_stages(spark):
     assert set(ids[2]) == {1, 4, 5, 6, 7, 9}  # 8 is 7 and one word more
     assert all(n <= 2 for n in ids[3].values()) and set(ids[3]) <= set(ids[2])
     assert ids[4] == collections.Counter(r["doc_id"] for r in mixed)  # every copy is one short piece
+
+
+def test_stages_on_odd_tables(spark):
+    """An empty table, rows without ids, repeated rows and extra columns whose names clash."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, key string, taken long"
+    more = (0.5, 3, "k", 7)
+    long = " ".join(f"{w}{i}" for i in range(40) for w in EN.split())
+    data = [(None, EN, "en", "a", 1, *more), (None, None, None, None, None, *more), (5, DE, "de", None, 1, *more), (5, DE, "de", None, 1, *more),
+            (6, FR, "fr", "b", 1, *more), (7, EN + " " + DE, "en", "b", 1, *more), (None, EN, "en", "a", 1, *more), (8, long, "en", "b", 1, *more)]
+    for rows in (data, []):
+        docs, scratch = spark.createDataFrame(rows, schema), Scratch(spark, "test-odd")
+        columns, counts = docs.columns, []
+        for name, stage in p.STAGES:
+            docs = scratch.table(stage(spark, docs, ""), name)
+            assert name == "best_fit_packing" or docs.columns == columns
+            counts.append(docs.count())
+        if rows:
+            assert counts[0] == 7 and counts[1] == counts[2] == 5  # the text without words; the repeats of two texts
+        else:
+            assert counts == [0] * 5

@@ -93,20 +93,22 @@ def ascii_json(text: Column | str) -> Column:
     """JSON text in plain ASCII: characters beyond ``~`` as ``\\uXXXX`` (a surrogate pair
     beyond U+FFFF), hex digits in lower case throughout.  Equal to the text where it
     holds neither such a character nor an escaped control character."""
-    t = _c(text)
-
     def one(c: Column) -> Column:
         code = F.ascii(c)
         above = code - F.lit(0x10000)
         pair = F.concat(_escape(F.lit(0xD800) + F.shiftright(above, 10)), _escape(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))))
         return F.when(code <= 0x7E, c).when(code <= 0xFFFF, _escape(code)).otherwise(pair)
 
-    plain = F.when(t.rlike(r"[^\x00-\x7E]"), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)
-    # control characters come escaped already, in upper case; an even number of backslashes before is text
-    lowered = plain
-    for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
-        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
-    return F.when(t.contains("\\u00"), lowered).otherwise(plain)
+    def escaped(t: Column) -> Column:
+        plain = F.when(t.rlike(r"[^\x00-\x7E]"), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)
+        # control characters come escaped already, in upper case; an even number of backslashes before is text
+        lowered = plain
+        for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
+            lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+        return F.when(t.contains("\\u00"), lowered).otherwise(plain)
+
+    # bound by a lambda, so that the text is built once
+    return F.get(F.transform(F.array(_c(text)), escaped), F.lit(0))
 
 
 def canonical_json(x: Column | str) -> Column:

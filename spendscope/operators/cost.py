@@ -193,7 +193,7 @@ def attribute_hours(
     are split by the statements counted in them.  Otherwise the join carries no hint
     (``salt_buckets`` deals every hour to that many buckets)."""
     if written and salt_buckets <= 1:
-        if has_at_most(rates, max_broadcast_rows):
+        if has_at_most(rates, max_broadcast_rows, written=True):
             joined = stmt_hour_work.join(F.broadcast(rates.drop("statements_in_hour")), HOUR_KEY, "left")
         else:
             heavy = heavy_keys(rates, HOUR_KEY, "statements_in_hour")

@@ -12,9 +12,10 @@ of dimensions, into states that can be merged:
 Every measure at that grain or a coarser one comes from these rows alone:
 sums add up, distinct values are counted again, and exact percentiles
 (linear interpolation between closest ranks, as PERCENTILE_CONT) are read
-off the merged histogram.  ``QUERY_HISTORY_METRICS.query(base, by=[...])`` is
-one scan, one shuffle to the states, and what they need; states written by
-the caller answer any number of coarser queries (``query_states``).
+off the merged histogram.  States written by the caller answer any number of
+queries at their grain or a coarser one (``query_states``); for a single one,
+``QUERY_HISTORY_METRICS.query(base, by=[...])`` aggregates the sums and the
+values apart, so that the many rows of values stay narrow.
 
 Sums are taken over integer ms/bytes and converted to seconds/GB after
 aggregation, so they are exact and independent of summation order.  All
@@ -158,20 +159,29 @@ def metric_base(history: DataFrame) -> DataFrame:
     )
 
 
+def _cells(base: DataFrame, dims: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Each statement as its duration and its distinct values, one row each: kind, number, text."""
+    cells = [F.struct(F.lit("duration").alias("kind"), F.col("duration_ms").alias("number"), F.lit(None).cast("string").alias("text"))]
+    cells += [F.struct(F.lit(k).alias("kind"), F.lit(None).cast("bigint").alias("number"), F.col(c).alias("text"))
+              for k, c in DISTINCT.items()]
+    return base.select(*[F.col(d).alias(f"__{d}") for d in dims], *extra, F.explode(F.array(*cells)).alias("c"))
+
+
+def _cell_keys(dims: Sequence[str]) -> list:
+    return [*[F.col(f"__{d}").alias(d) for d in dims], "c.kind", "c.number", "c.text"]
+
+
 def measure_states(base: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Mergeable states of the statements in ``base`` per ``dims`` (columns of ``base``): rows of
     kind ``duration`` (``number``: duration_ms; n, sums, flag counts of its statements) and
     of the kinds of ``DISTINCT`` (``text``: a value).  One scan, one shuffle."""
-    cells = [F.struct(F.lit("duration").alias("kind"), F.col("duration_ms").alias("number"), F.lit(None).cast("string").alias("text"))]
-    cells += [F.struct(F.lit(k).alias("kind"), F.lit(None).cast("bigint").alias("number"), F.col(c).alias("text"))
-              for k, c in DISTINCT.items()]
-    rows = base.select(*[F.col(d).alias(f"__{d}") for d in dims], *SUMS, *FLAGS, *MEANS, F.explode(F.array(*cells)).alias("c"))
+    rows = _cells(base, dims, [*SUMS, *FLAGS, *MEANS])
     own = F.col("c.kind") == "duration"
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.sum(F.when(own, F.col(c))).alias(c) for c in [*SUMS, *MEANS]]
     aggs += [F.count(F.when(own, F.col(c))).alias(f"{c}_n") for c in MEANS]
     aggs += [F.count_if(own & F.col(c)).alias(f"{c}_rows") for c in FLAGS]
-    return rows.groupBy(*[F.col(f"__{d}").alias(d) for d in dims], "c.kind", "c.number", "c.text").agg(*aggs)
+    return rows.groupBy(*_cell_keys(dims)).agg(*aggs)
 
 
 @dataclass
@@ -197,22 +207,33 @@ class MetricSet:
         """Measures (all by default) at the grain of the ``by`` dimensions."""
         df = base if where is None else base.where(where)
         columns = [self.dimensions[d][1] for d in by]
-        out = self.query_states(measure_states(df, columns), columns, measures, merged=True)
+        adds = [F.count(F.lit(1)).alias("n"), F.sum("duration_ms").alias("duration_total_ms"), F.max("duration_ms").alias("max_duration_ms")]
+        adds += [F.sum(c).alias(f"{c}_sum") for c in [*SUMS, *MEANS]] + [F.count(c).alias(f"{c}_n") for c in MEANS]
+        adds += [F.count_if(F.col(c)).alias(f"{c}_rows") for c in FLAGS]
+        sums = (df.groupBy(*columns) if columns else df).agg(*adds)
+        # the values themselves in a second, narrow aggregate of three columns of the base
+        values = _cells(df, columns).groupBy(*_cell_keys(columns)).agg(F.count(F.lit(1)).alias("n"))
+        out = self._measures(sums, values, columns, measures, merged=True)
         return out.withColumnsRenamed(dict(zip(columns, by)))
 
-    def query_states(self, states: DataFrame, by: Sequence[str] = (), measures: Sequence[str] | None = None,
-                     merged: bool = False) -> DataFrame:
-        """Measures per ``by`` (columns of the states, as many or fewer than they have);
-        ``merged`` says that the states have no other dimensions."""
-        by, names = list(by), list(self.measures) if measures is None else list(measures)
+    def query_states(self, states: DataFrame, by: Sequence[str] = (), measures: Sequence[str] | None = None) -> DataFrame:
+        """Measures per ``by`` (columns of the states, as many or fewer than they have), from
+        written ``measure_states`` alone."""
         own = states.where(F.col("kind") == "duration")
-        adds = [F.sum(c).alias(c) for c in ["n", *SUMS, *MEANS, *[f"{c}_rows" for c in FLAGS], *[f"{c}_n" for c in MEANS]]]
-        adds += [F.sum(F.col("number") * F.col("n")).alias("duration_ms"), F.max("number").alias("max_duration_ms")]
-        out = (own.groupBy(*by) if by else own).agg(*adds)
+        adds = [F.sum("n").alias("n"), F.sum(F.col("number") * F.col("n")).alias("duration_total_ms"), F.max("number").alias("max_duration_ms")]
+        adds += [F.sum(c).alias(f"{c}_sum") for c in [*SUMS, *MEANS]]
+        adds += [F.sum(c).alias(c) for c in [*[f"{c}_rows" for c in FLAGS], *[f"{c}_n" for c in MEANS]]]
+        return self._measures((own.groupBy(*by) if by else own).agg(*adds), states, list(by), measures, merged=False)
+
+    def _measures(self, sums: DataFrame, states: DataFrame, by: list[str], measures: Sequence[str] | None, merged: bool) -> DataFrame:
+        """The measures from the sums per group and the values in ``states``; ``merged`` says that
+        these have no other dimensions."""
+        names = list(self.measures) if measures is None else list(measures)
+        out, parts = sums, []
         percent = {m: p for m, p in self.percentile_measures.items() if m in names}
-        parts = []
         if percent:
-            hist = own if merged else own.groupBy(*by, "number").agg(F.sum("n").alias("n"))
+            hist = states.where(F.col("kind") == "duration")
+            hist = hist if merged else hist.groupBy(*by, "number").agg(F.sum("n").alias("n"))
             parts.append(percentiles_of_histogram(hist, by, "number", "n", {f"__{m}": p for m, p in percent.items()}))
         distinct = {m: k for m, k in self.distinct_measures.items() if m in names}
         if distinct:
@@ -241,6 +262,10 @@ def _mean(col: str, count: str = "n") -> Column:
     return F.try_divide(F.col(col).cast("double"), F.col(count).cast("double"))
 
 
+def _sum(col: str) -> Column:
+    return F.col(f"{col}_sum")
+
+
 def _rate(col: str) -> Callable[[], Column]:
     return lambda: _r(_mean(f"{col}_rows") * 100)
 
@@ -280,28 +305,28 @@ def _build_query_history_metrics() -> MetricSet:
     m.measure("total_queries", "Total Queries", lambda: F.coalesce(F.col("n"), F.lit(0).cast("bigint")))
     m.measure("unique_users", "Unique Users", lambda: F.coalesce(F.col("__unique_users"), F.lit(0).cast("bigint")))
     m.measure("warehouses_used", "Warehouses Used", lambda: F.coalesce(F.col("__warehouses_used"), F.lit(0).cast("bigint")))
-    m.measure("total_duration_sec", "Total Duration Sec", lambda: F.col("duration_ms") / 1000)
-    m.measure("avg_duration_sec", "Avg Duration Sec", lambda: _r(_mean("duration_ms") / 1000))
+    m.measure("total_duration_sec", "Total Duration Sec", lambda: F.col("duration_total_ms") / 1000)
+    m.measure("avg_duration_sec", "Avg Duration Sec", lambda: _r(_mean("duration_total_ms") / 1000))
     m.measure("max_duration_sec", "Max Duration Sec", lambda: _r(F.col("max_duration_ms") / 1000))
     m.measure("p50_duration_sec", "P50 Duration Sec", _pct("p50_duration_sec"))
     m.measure("p95_duration_sec", "P95 Duration Sec", _pct("p95_duration_sec"))
     m.measure("p99_duration_sec", "P99 Duration Sec", _pct("p99_duration_sec"))
     m.distinct_measures.update({"unique_users": "user", "warehouses_used": "warehouse"})
     m.percentile_measures.update({"p50_duration_sec": 0.50, "p95_duration_sec": 0.95, "p99_duration_sec": 0.99})
-    m.measure("total_compute_wait_sec", "Total Compute Wait Sec", lambda: _r(F.col("compute_wait_ms") / 1000))
-    m.measure("total_capacity_wait_sec", "Total Capacity Wait Sec", lambda: _r(F.col("capacity_wait_ms") / 1000))
-    m.measure("avg_wait_pct", "Avg Wait Pct", lambda: _r(_mean("wait_pct_of_total", "wait_pct_of_total_n")))
-    m.measure("avg_compilation_sec", "Avg Compilation Sec", lambda: _r(_mean("compilation_ms") / 1000))
-    m.measure("avg_execution_sec", "Avg Execution Sec", lambda: _r(_mean("execution_ms") / 1000))
-    m.measure("avg_result_fetch_sec", "Avg Result Fetch Sec", lambda: _r(_mean("result_fetch_ms") / 1000))
-    m.measure("total_read_gb", "Total Read GB", lambda: _r(F.col("read_bytes") / GB))
-    m.measure("total_read_tb", "Total Read TB", lambda: _r(F.col("read_bytes") / TB, 4))
-    m.measure("total_written_gb", "Total Written GB", lambda: _r(F.col("written_bytes") / GB))
-    m.measure("total_shuffle_gb", "Total Shuffle GB", lambda: _r(F.col("shuffle_bytes") / GB))
-    m.measure("total_spill_gb", "Total Spill GB", lambda: _r(F.col("spill_bytes") / GB))
-    m.measure("total_read_rows", "Total Read Rows", lambda: F.col("read_rows"))
-    m.measure("total_produced_rows", "Total Produced Rows", lambda: F.col("produced_rows"))
-    m.measure("avg_scan_to_output_ratio", "Avg Scan to Output Ratio", lambda: _r(_mean("scan_to_output_ratio", "scan_to_output_ratio_n")))
+    m.measure("total_compute_wait_sec", "Total Compute Wait Sec", lambda: _r(_sum("compute_wait_ms") / 1000))
+    m.measure("total_capacity_wait_sec", "Total Capacity Wait Sec", lambda: _r(_sum("capacity_wait_ms") / 1000))
+    m.measure("avg_wait_pct", "Avg Wait Pct", lambda: _r(_mean("wait_pct_of_total_sum", "wait_pct_of_total_n")))
+    m.measure("avg_compilation_sec", "Avg Compilation Sec", lambda: _r(_mean("compilation_ms_sum") / 1000))
+    m.measure("avg_execution_sec", "Avg Execution Sec", lambda: _r(_mean("execution_ms_sum") / 1000))
+    m.measure("avg_result_fetch_sec", "Avg Result Fetch Sec", lambda: _r(_mean("result_fetch_ms_sum") / 1000))
+    m.measure("total_read_gb", "Total Read GB", lambda: _r(_sum("read_bytes") / GB))
+    m.measure("total_read_tb", "Total Read TB", lambda: _r(_sum("read_bytes") / TB, 4))
+    m.measure("total_written_gb", "Total Written GB", lambda: _r(_sum("written_bytes") / GB))
+    m.measure("total_shuffle_gb", "Total Shuffle GB", lambda: _r(_sum("shuffle_bytes") / GB))
+    m.measure("total_spill_gb", "Total Spill GB", lambda: _r(_sum("spill_bytes") / GB))
+    m.measure("total_read_rows", "Total Read Rows", lambda: _sum("read_rows"))
+    m.measure("total_produced_rows", "Total Produced Rows", lambda: _sum("produced_rows"))
+    m.measure("avg_scan_to_output_ratio", "Avg Scan to Output Ratio", lambda: _r(_mean("scan_to_output_ratio_sum", "scan_to_output_ratio_n")))
     m.measure("slow_query_count", "Slow Query Count", _flag_count("is_slow_query"))
     m.measure("very_slow_query_count", "Very Slow Query Count", _flag_count("is_very_slow_query"))
     m.measure("spill_query_count", "Spill Query Count", _flag_count("has_disk_spill"))

@@ -39,13 +39,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _SMALL: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; counted, up to one row more, once a DataFrame."""
+def has_at_most(df: DataFrame, rows: int, written: bool = False) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counted, up to one row more, once a DataFrame.
+    The count of a ``written`` table is read from its files' metadata."""
     if rows <= 0:
         return False
     bound, small = _SMALL.get(df, (None, False))
     if bound != rows:
-        small = df.limit(rows + 1).count() <= rows
+        small = (df if written else df.limit(rows + 1)).count() <= rows
         _SMALL[df] = (rows, small)
     return small
 

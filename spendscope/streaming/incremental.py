@@ -32,7 +32,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,18 +169,20 @@ class CostHistory:
         # one row a statement: what is known best of it; a row with attributed hours before any repeat of it
         best = F.struct(F.col("attributed_until").isNotNull().alias("begun"), "known", *[c for c in OPEN_SCHEMA.names if c != "known"])
         live_path = f"{self.root}/_open/live-{n}"
-        self.open_statements().groupBy("statement_id").agg(F.max(best).alias("b")).select("b.*").where(F.col("known") != VOID) \
-            .write.mode("overwrite").parquet(live_path)
-        live = spark.read.schema(OPEN_SCHEMA).parquet(live_path)
         running, done = F.col("known") == RUNNING, F.col("known") == DONE
         oldest = None if self.running_limit_hours is None else complete_until - dt.timedelta(hours=self.running_limit_hours)
         holds = running if oldest is None else running & (F.col("start_time") >= ntz_literal(oldest))
         first_hour = hour_floor(F.col("start_time"))
         late = done & F.col("attributed_until").isNull() & (first_hour < ntz_literal(since)) if since else F.lit(False)
-        seen = live.agg(
-            F.min(F.when(holds, first_hour)).alias("held"), F.count_if(running & ~holds).alias("abandoned"),
-            F.count_if(late).alias("late"), F.min(F.when(late, F.col("start_time"))).alias("late_from"),
-            F.min(F.when(done, F.coalesce("attributed_until", first_hour))).alias("lower")).first()
+        counted = Observation("open_statements")
+        self.open_statements().groupBy("statement_id").agg(F.max(best).alias("b")).select("b.*").where(F.col("known") != VOID).observe(
+            counted,
+            F.min(F.when(holds, first_hour)).cast("string").alias("held"), F.count_if(running & ~holds).alias("abandoned"),
+            F.count_if(late).alias("late"), F.min(F.when(late, F.col("start_time"))).cast("string").alias("late_from"),
+            F.min(F.when(done, F.coalesce("attributed_until", first_hour))).cast("string").alias("lower"),
+        ).write.mode("overwrite").parquet(live_path)
+        live = spark.read.schema(OPEN_SCHEMA).parquet(live_path)
+        seen = {k: dt.datetime.fromisoformat(v) if isinstance(v, str) else v for k, v in counted.get.items()}
         boundary = complete_until.replace(minute=0, second=0, microsecond=0)
         boundary = min(boundary, seen["held"]) if seen["held"] else boundary
         boundary = max(boundary, since) if since else boundary

@@ -222,3 +222,15 @@ def test_long_running_late_statements_and_lost_state(spark, tmp_path):
     # the late one shares hours that were closed before it came: only their rows may differ
     for k in ("long", "short", "late"):
         assert abs((got[k] or 0) - (want[k] or 0)) < 1e-9
+
+
+def test_empty_feed(spark, tmp_path):
+    """No rows, and no absorbed batch at all: the boundary moves, the history stays empty."""
+    qh, us, pr = inputs(spark)
+    for name, rows in (("none", None), ("empty", qh.limit(0))):
+        history = incremental.CostHistory(spark, str(tmp_path / name), fx.AS_OF)
+        if rows is not None:
+            history.absorb(rows)
+        assert history.close(us, pr, dt.datetime(2024, 1, 15)) == dt.datetime(2024, 1, 15)
+        assert history.close(us, pr, dt.datetime(2024, 1, 15)) is None
+        assert history.read().count() == 0 and history.open_statements().count() == 0

@@ -69,7 +69,7 @@ class RollupStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def record(self) -> dict:
-        return state.read_state(self.spark, self.root) or {"version": 0, "folders": []}
+        return state.read_state(self.spark, self.root) or {"version": 0, "folders": [], "record": 0}
 
     def apply(self, statements: DataFrame, version: int) -> bool:
         """Add the statements of an increment; False when that version is in already."""
@@ -78,7 +78,7 @@ class RollupStore:
             return False
         folder = f"delta-{version}"
         delta(statements).write.mode("overwrite").parquet(f"{self.root}/{folder}")
-        state.write_state(self.spark, self.root, {"version": version, "folders": [*record["folders"], folder]})
+        state.write_state(self.spark, self.root, {**record, "version": version, "folders": [*record["folders"], folder]})
         return True
 
     def follow(self, history) -> int:
@@ -99,7 +99,7 @@ class RollupStore:
         record = self.record()
         folder = f"upto-{record['version']}-of-{len(record['folders'])}"
         self.states().write.mode("overwrite").parquet(f"{self.root}/{folder}")
-        state.write_state(self.spark, self.root, {"version": record["version"], "folders": [folder]})
+        state.write_state(self.spark, self.root, {**record, "folders": [folder]})
         for old in record["folders"]:
             state.remove(self.spark, f"{self.root}/{old}")
 

@@ -290,5 +290,6 @@ class HistoryStore:
          .write.partitionBy("__state").parquet(folder))
         folders = ([] if st is None else st["folders"]) + [folder]
         skip = [] if st is None else st.get("skip_closed", [])
-        self._write_state({"version": int(version), "folders": folders, "schema": schema.json(), "skip_closed": skip})
+        self._write_state({"version": int(version), "folders": folders, "schema": schema.json(), "skip_closed": skip,
+                           "record": 0 if st is None else st["record"]})
         return self.read()

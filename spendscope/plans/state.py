@@ -2,6 +2,11 @@
 
 A record is written to a temporary name and renamed; no record is ever
 replaced or deleted, so a run that fails leaves the previous one in place.
+A record that was read carries its number as ``record``; what is written with
+that number is refused if another run has recorded anything since, so of two
+runs that begin at one record only one succeeds.  (Where renaming is not atomic,
+as on some object stores, runs that end within the same moment need a lock of
+their own.)
 """
 
 from __future__ import annotations
@@ -50,19 +55,25 @@ def read_state(spark: SparkSession, root: str) -> dict | None:
     path, fs = filesystem(spark, f"{root.rstrip('/')}/_state/{name}")
     stream = fs.open(path)
     try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        found = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        return {**found, "record": int(name[1:-5])}
     finally:
         stream.close()
 
 
 def write_state(spark: SparkSession, root: str, state: dict) -> None:
+    """Record ``state``.  Its ``record`` is the number of the record that it follows (0: none yet);
+    without one it follows whatever is the newest."""
     name = _newest(spark, root)
-    number = 1 + (int(name[1:-5]) if name else 0)
+    newest = int(name[1:-5]) if name else 0
+    number = 1 + state.get("record", newest)
+    if number <= newest:
+        raise RuntimeError(f"another run has recorded state {newest} of {root} since record {number - 1} was read")
     folder = f"{root.rstrip('/')}/_state"
     target, fs = filesystem(spark, f"{folder}/v{number:012d}.json")
     tmp, _ = filesystem(spark, f"{folder}/{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, False)
-    out.write(bytearray(json.dumps(state).encode("utf-8")))
+    out.write(bytearray(json.dumps({k: v for k, v in state.items() if k != "record"}).encode("utf-8")))
     out.close()
     if fs.exists(target) or not fs.rename(tmp, target):
         raise RuntimeError(f"another run has recorded state {number} of {root}")

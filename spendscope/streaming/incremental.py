@@ -109,7 +109,8 @@ class CostHistory:
     def record(self) -> dict:
         """The last committed version: number of increments, boundary, last batch, open folders, abandoned statements."""
         return state.read_state(self.spark, self.root) or {
-            "increments": 0, "closed_until": None, "last_batch": -1, "open": [], "step": 0, "abandoned": 0}
+            "increments": 0, "closed_until": None, "last_batch": -1, "open": [], "step": 0, "abandoned": 0,
+            "record": 0}
 
     def read(self) -> DataFrame:
         """The final statements of all committed increments, with the ``increment`` that brought them."""

@@ -119,3 +119,28 @@ def test_empty_snapshot_closes_every_key(spark):
     s = snaps(spark, [(1, 1, "A", 1.0, "p1"), (2, 1, "A", 2.0, "p1"), (1, 3, "A", 1.0, "p3")])
     back = scd2.backfill(s, ["object_id"], ["segment", "balance"], versions=[1, 2, 3])
     assert rows_of(back) == [(1, "A", 1.0, "p1", 1, 2), (1, "A", 1.0, "p3", 3, None), (2, "A", 2.0, "p1", 1, 2)]
+
+
+def test_of_two_runs_that_begin_at_one_record_one_succeeds(spark, tmp_path):
+    rows = lambda seg: spark.createDataFrame([(1, seg), (2, "x")], "k int, segment string")
+    root = str(tmp_path / "history")
+    store, other = (scd2.HistoryStore(spark, root, ["k"], ["segment"]) for _ in range(2))
+    store.apply(rows("a"), 1)
+    write, calls = scd2.state.write_state, []
+
+    def overtaken(spark, root, record):
+        if not calls:  # the other run applies its version while this one has written its data
+            calls.append(record)
+            other.apply(rows("b"), 2)
+        write(spark, root, record)
+
+    scd2.state.write_state = overtaken
+    try:
+        with pytest.raises(RuntimeError, match="since record 1 was read"):
+            store.apply(rows("c"), 3)
+    finally:
+        scd2.state.write_state = write
+    assert store.last_version() == 2
+    assert {r["segment"] for r in store.read_open().collect()} == {"b", "x"}
+    store.apply(rows("c"), 3)  # begun again, from the newest record
+    assert store.read().where("k = 1").count() == 3

@@ -52,12 +52,12 @@ SIGNIFICANT = 2.0  # least score of a passage
 
 
 def _words(batches: Iterator[pa.RecordBatch]):
-    """Chunks of the texts in the first column: batch, index of the first text, texts, their
+    """Chunks of the texts in the first column (lower-cased letter by letter, so that places stay): batch, index of the first text, texts, their
     words' tokens (a row for the words, one for each prefix length; 0: the word is no
     longer than that), starts and ends, the texts' starts, and their first words."""
     for batch in batches:
         texts = pc.fill_null(batch.column(0), "").to_pylist()
-        for first, part in chunks([t.lower() for t in texts]):
+        for first, part in chunks([t.replace("\u0130", "i").lower() for t in texts]):
             h, begin, end, starts, of, begins_with = word_hashes(part, is_letter)
             tokens = np.zeros((1 + len(PREFIXES), len(h)), np.uint64)
             tokens[0] = h

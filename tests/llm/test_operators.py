@@ -144,6 +144,9 @@ def test_url_filter_trie_and_join_agree(spark):
     a = sorted(map(tuple, url_filter.filter_urls(df).collect()), key=str)
     b = sorted(map(tuple, url_filter.filter_urls(df, max_broadcast_rules=0).collect()), key=str)
     assert a == b
+    clash = df.selectExpr("*", "'h' AS host", "'p' AS path", "'r' AS rule", "'v' AS verdict", "1 AS node")
+    assert sorted(map(tuple, url_filter.filter_urls(clash).collect()), key=str) == a
+    assert url_filter.filter_urls(df.limit(0)).count() == 0
     rule = {r[0]: (r[3], r[4]) for r in a}
     assert rule[0] == ("example.net/en/", "allow") and rule[2] == ("org/fr/", "allow") and rule[1] == (None, "allow")
     assert rule[3] == ("example.com/de/", "block") and rule[4] == ("net/", "block") and rule[5] == (None, "allow")
@@ -172,6 +175,14 @@ def test_toxicity_learns_words_and_finds_passages(spark, nothing, monkeypatch):
             if r["passages"]:
                 text = docs[r["doc_id"]][1]
                 assert "vile" in text[r["passages"][0]["start"]:r["passages"][0]["end"]]
+    # a letter that grows when it is lower-cased moves no place; a very long text; columns with clashing names
+    odd = ["\u0130\u0130 " * 3 + docs[0][1], " ".join(base * 3000 + ["vile", "wicked"] + base * 3000)]
+    more = df.unionByName(spark.createDataFrame(list(enumerate(odd, 600)), df.schema)) \
+        .selectExpr("*", "1 AS score", "'p' AS passages", "'t' AS toxic", "2 AS word")
+    monkeypatch.setattr(toxicity, "PRIOR_WORDS", 500.0)  # in proportion to the corpus, which the long text makes 25 times as large
+    passages = {r["doc_id"]: r["passages"] for r in toxicity.toxicity(more, lab, F.col("doc_id") % 3 != 1).collect()}
+    for i, text in enumerate(odd, 600):
+        assert [text[p["start"]:p["end"]].split()[0] in ("vile", "wicked") for p in passages[i]] == [True]
     assert toxicity.toxicity(nothing, lab, F.lit(True)).count() == 0
     assert {r["score"] < 0.7 for r in toxicity.toxicity(df, lab.limit(0), F.lit(True)).collect()} == {True}
 
@@ -290,6 +301,12 @@ def test_language_id(spark, nothing):
     sure = sorted(r["score"] for r in got.values())
     assert langid.of_known_language(df, F.col("doc_id") % 4 != 2, least_score=sure[90]).count() == sum(x >= sure[90] for x in sure)
     assert langid.identify(nothing, F.lit(True)).count() == 0
+    # a very long text, repeated rows, rows without id
+    more = df.union(spark.createDataFrame([(2000, " ".join([FR] * 3000), None, "s"), *[data[1]] * 3, (None, DE, None, "s")], df.schema))
+    again = langid.identify(more, F.col("doc_id") % 4 != 2).collect()
+    assert len(again) == len(data) + 5 and {r["lang_pred"] for r in again if r["doc_id"] == 2000} == {"fr"}
+    assert len({(r["lang_pred"], r["score"]) for r in again if r["doc_id"] == 1}) == 1
+    assert [r["lang_pred"] for r in again if r["doc_id"] is None] == ["de"]
 
 
 def test_ngram_join(spark, docs, nothing):

@@ -215,24 +215,34 @@ def compare_with_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     tasks = shuffle_partitions(spark)
     n = tasks * RANGES_PER_TASK
     ids = scratch.table(df.select(F.col(id_col).cast("long").alias("id")), "ids")
-    cuts = sorted({int(q) for q in ids.approxQuantile("id", [i / n for i in range(1, n)], 1 / (10 * n))})
-    cut_array = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    part = F.when(F.col("id").isNull(), F.lit(len(cuts))) \
-        .otherwise(F.size(F.filter(cut_array, lambda c: c > F.col("id"))))
+    cuts = np.array(sorted({int(q) for q in ids.approxQuantile("id", [i / n for i in range(1, n)], 1 / (10 * n))}), np.int64)
+    known = spark.sparkContext.broadcast(cuts)
+    of_id = F.coalesce("id", F.lit(0).cast("long")), F.col("id").isNull()
+
+    @F.pandas_udf("int")
+    def part(doc: pd.Series, null: pd.Series) -> pd.Series:
+        cuts = known.value
+        return pd.Series(np.where(null, len(cuts), len(cuts) - np.searchsorted(cuts, doc, "right")).astype(np.int32))
+
     # one row for each range that has documents
-    firsts = {r["part"]: r["first"] for r in ids.select("id", part.alias("part")).groupBy("part")
-              .agg(F.max("id").alias("first")).collect()}
-    filled = sorted(firsts)
-    before = {q: filled[i - 1] for i, q in enumerate(filled)}
-    first_of = F.array(*[F.lit(firsts.get(q)).cast("long") for q in range(len(cuts) + 1)])
-    before_of = F.array(*[F.lit(before.get(q, 0)) for q in range(len(cuts) + 1)])
-    at = F.col("part") + 1
+    filled = ids.withColumn("part", part(*of_id)).groupBy("part").agg(F.max("id").alias("first")).orderBy("part").collect()
+    heads = spark.sparkContext.broadcast((
+        np.array([r["part"] for r in filled], np.int32), np.array([r["first"] or 0 for r in filled], np.int64),
+        np.array([r["first"] is None for r in filled], bool)))
+
+    @F.pandas_udf("int")
+    def ahead_in(part: pd.Series, doc: pd.Series, null: pd.Series) -> pd.Series:
+        """The range before, for the first documents of a range; else -1."""
+        filled, first, first_null = heads.value
+        at = np.searchsorted(filled, part)
+        is_first = np.where(null, first_null[at], (first[at] == doc) & ~first_null[at])
+        return pd.Series(np.where(is_first, filled[at - 1], -1).astype(np.int32))
+
     here = F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead"))
-    there = F.struct(F.element_at(before_of, at).alias("part"), F.lit(True).alias("ahead"))
+    there = F.struct(F.col("before").alias("part"), F.lit(True).alias("ahead"))
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text")) \
-        .withColumn("part", part) \
-        .withColumn("go", F.explode(F.when(F.col("id").eqNullSafe(F.element_at(first_of, at)), F.array(here, there))
-                                    .otherwise(F.array(here)))) \
+        .withColumn("part", part(*of_id)).withColumn("before", ahead_in("part", *of_id)) \
+        .withColumn("go", F.explode(F.when(F.col("before") >= 0, F.array(here, there)).otherwise(F.array(here)))) \
         .select("go.part", "go.ahead", "id", "text") \
         .repartition(tasks, "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("id"), "text")
 

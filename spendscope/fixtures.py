@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import math
 import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,14 +54,21 @@ def once_per_session(fn):
     return wrapper
 
 
-# A generated table is one parquet file with one row group, i.e. one scan
-# task whatever its size, so it is spread round-robin over the session's
-# cores (real system tables arrive as many files, which have splits enough).
+ROWS_PER_TASK = 250_000  # of an input table, at most
+
+
+# A generated table is one parquet file with one row group: one scan task reads
+# it all, whatever its size and however many splits the file has.  So a table of
+# few files is dealt over at least the session's cores, and over more tasks as it
+# grows (real system tables arrive as many files).  Rows are dealt by their
+# number, which needs no sort in the task that reads them.
 @once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
+    if min(len(df.inputFiles()), df._jdf.rdd().getNumPartitions()) >= tasks:
+        return df
+    return df.repartition(tasks, F.monotonically_increasing_id())
 
 
 def _k(props: str = "props") -> Column:

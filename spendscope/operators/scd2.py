@@ -117,11 +117,13 @@ def apply_snapshot(
     keys: Sequence[str],
     tracked: Sequence[str],
     complete: bool = True,
+    unresolved: DataFrame | None = None,
 ) -> DataFrame:
     """History after one full snapshot taken at ``version``.
 
     ``complete=False`` (a partial listing, e.g. a failed fetch) keeps keys
-    that are missing from the snapshot open instead of closing them.
+    that are missing from the snapshot open instead of closing them;
+    ``unresolved`` names the keys for which this holds in a complete one.
     Duplicate keys in the snapshot fail the job.
     """
     keys, tracked = list(keys), list(tracked)
@@ -144,6 +146,10 @@ def apply_snapshot(
     open_ = history.where(F.col(END).isNull()).select(
         *keys, *[F.col(c).alias(f"__o_{c}") for c in value_cols], F.col(START).alias("__o_start"), F.lit(1).alias("__in_open")
     )
+    if unresolved is None:
+        open_ = open_.withColumn("__held", F.lit(None).cast("int"))
+    else:
+        open_ = open_.join(unresolved.select(*keys).distinct().withColumn("__held", F.lit(1)), keys, "left")
     s = snap.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in value_cols], F.lit(1).alias("__in_snap"), "__n")
     j = open_.join(s, keys, "full_outer")
     in_open = F.col("__in_open").isNotNull()
@@ -153,7 +159,7 @@ def apply_snapshot(
     old_row = F.struct(
         *[F.col(f"__o_{c}").alias(c) for c in value_cols],
         F.col("__o_start").alias(START),
-        F.when(in_snap | F.lit(not complete), F.lit(None).cast("bigint")).otherwise(v).alias(END),
+        F.when(in_snap | F.col("__held").isNotNull() | F.lit(not complete), F.lit(None).cast("bigint")).otherwise(v).alias(END),
     )
     closed_old = F.struct(
         *[F.col(f"__o_{c}").alias(c) for c in value_cols], F.col("__o_start").alias(START), v.alias(END)
@@ -280,10 +286,9 @@ class HistoryStore:
             return None
         open_rows = None if st is None else self._read_parts(st, open_only=True)
         if open_rows is not None and unresolved is not None:
-            held = open_rows.join(unresolved.select(*self.keys).distinct(), self.keys, "left_semi") \
-                .join(snapshot.select(*self.keys), self.keys, "left_anti").drop(START, END)
-            snapshot = snapshot.unionByName(held, allowMissingColumns=True)
-        step = apply_snapshot(open_rows, snapshot, version, self.keys, self.tracked, complete)
+            lacking = [f for f in open_rows.schema if f.name not in (*snapshot.columns, START, END)]
+            snapshot = snapshot.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+        step = apply_snapshot(open_rows, snapshot, version, self.keys, self.tracked, complete, unresolved)
         schema = step.schema
         folder = os.path.join(self.root, f"v{int(version)}-{uuid.uuid4().hex[:8]}")
         (step.withColumn("__state", F.when(F.col(END).isNull(), "open").otherwise("closed"))

@@ -38,7 +38,8 @@ def history(spark: SparkSession, store_root: str, kind: str) -> scd2.HistoryStor
 
 def apply_landed(spark: SparkSession, root: str, store_root: str, kind: str, version: int, complete: bool = True) -> None:
     """Apply one landed snapshot to the history of its kind."""
-    objects = landing.read_landing(spark, f"{root.rstrip('/')}/{kind}/version={version}")
+    objects = landing.read_landing(spark, f"{root.rstrip('/')}/{kind}/version={version}",
+                                   parallelism=max(8, 2 * spark.sparkContext.defaultParallelism))
     beside = f"{root.rstrip('/')}/{kind}_schedules/version={version}"
     schedules = spark.read.parquet(beside) if state.exists(spark, beside) else None
     tables.apply_inventory_snapshot(spark, store_root, kind, objects, version, schedules, complete)

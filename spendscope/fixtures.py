@@ -60,14 +60,16 @@ ROWS_PER_TASK = 250_000  # of an input table, at most
 # A generated table is one parquet file with one row group: one scan task reads
 # it all, whatever its size and however many splits the file has.  So a table of
 # few files is dealt over at least the session's cores, and over more tasks as it
-# grows (real system tables arrive as many files).  Rows are dealt by their
-# number, which needs no sort in the task that reads them.
+# grows (real system tables arrive as many files).  Rows of a large one are dealt
+# by their number, which needs no sort in the task that reads them.
 @once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
     if min(len(df.inputFiles()), df._jdf.rdd().getNumPartitions()) >= tasks:
         return df
+    if tasks == spark.sparkContext.defaultParallelism:
+        return df.repartition(tasks)  # sorts in the task that reads, at most ROWS_PER_TASK rows a core
     return df.repartition(tasks, F.monotonically_increasing_id())
 
 
